@@ -4,13 +4,19 @@ Each task scores its own vectors against all queries as one matrix product and,
 top-n, passes on only its own best n per query.
 """
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from postlake.operators.ranking import topk
 
+# The scoring code travels with the tasks, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SCORES = "query_id string, post_id string, score double"
 
 # Query tables up to this many rows travel with the tasks (some 8 MB at 256 dimensions);
