@@ -86,10 +86,12 @@ def hybrid_search(
     """Best n posts per query: (query_id, post_id, score, rank), every post for n < 0.
 
     Both inputs are whole rankings (query_id, post_id, score), as search and vector_scores
-    give them for n = -1. The few candidates and their places are written to the shared
-    folder between the passes; their known size lets Spark choose how to join them.
+    give them for n = -1, and both are read several times. The keyword hits, which took a
+    search to find, are written to the shared folder first; so are the few candidates and
+    their places, whose known size lets Spark choose how to join them.
     """
-    lists = [h.select("query_id", "post_id", "score") for h in (keyword_hits, vector_hits)]
+    keyword = stage(keyword_hits.select("query_id", "post_id", "score"), "keyword")
+    lists = [keyword, vector_hits.select("query_id", "post_id", "score")]
     if n < 0:
         ranked = [_all_ranks(hits) for hits in lists]
     else:
@@ -113,7 +115,7 @@ def search_with_fallback(
     A query with a vector and no hits stays without hits; that is a result, no failure.
     """
     with_vector = query_vectors.select(F.col("query_id").cast("string")).distinct()
-    keyword = keyword_hits.select("query_id", "post_id", "score")
+    keyword = stage(keyword_hits.select("query_id", "post_id", "score"), "keyword")
     fused = hybrid_search(
         keyword.join(with_vector, "query_id", "left_semi"), vector_hits, n, k
     ).withColumn("method", F.lit(HYBRID))

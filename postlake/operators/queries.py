@@ -108,6 +108,14 @@ def clause_sizes(rows):
     }
 
 
+def unit_shapes(units: DataFrame):
+    """({(kind, several words)}, {prefix lengths}) of a table of any size: a few rows, as
+    there are few kinds and no long prefixes."""
+    length = F.when(F.col("kind") == "prefix", F.length(F.element_at("words", -1)))
+    rows = units.select("kind", (F.size("words") > 1).alias("several"), length.alias("length")).distinct().collect()
+    return {(row.kind, row.several) for row in rows}, {row.length for row in rows if row.length}
+
+
 class KnownUnits:
     """A unit table small enough to be looked at, and what an index must deliver for it."""
 
@@ -124,6 +132,10 @@ class KnownUnits:
                 is_prefix = row.kind == "prefix" and i == last
                 (self.prefixes if is_prefix else self.words).add(word)
 
+    def shapes(self):
+        """Same as unit_shapes, from the rows at hand."""
+        return {(row.kind, len(row.words) > 1) for row in self.rows}, {len(p) for p in self.prefixes}
+
     def keep(self, term: Column) -> Column:
         """Whether a term is used by any unit; pushed down to stored postings."""
         tests = [term.isin(sorted(self.words))] if self.words else []

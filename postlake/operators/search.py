@@ -14,6 +14,7 @@ from postlake.operators.queries import (
     KnownUnits,
     known_units,
     query_units,
+    unit_shapes,
     unit_words,
     with_clause_sizes,
 )
@@ -40,16 +41,13 @@ _KEY = ["query_id", "post_id"]
 
 def _word_matches(postings: DataFrame, words: DataFrame, prefix_lengths) -> DataFrame:
     """Postings of each query word. A prefix is an equal-key join too: each posting also
-    offers its term's beginnings, of the lengths asked for or of all lengths (None)."""
+    offers its term's beginnings, in the lengths asked for."""
     keyed = postings.withColumn("is_prefix", F.lit(False)).withColumn("word", F.col("term"))
-    if prefix_lengths is None or prefix_lengths:
+    if prefix_lengths:
         whole = F.struct(F.lit(False).alias("is_prefix"), F.col("term").alias("word"))
-        if prefix_lengths is None:
-            lengths = F.sequence(F.lit(1), F.length("term"))
-        else:
-            lengths = F.filter(
-                F.array(*[F.lit(n) for n in sorted(prefix_lengths)]), lambda n: n <= F.length("term")
-            )
+        lengths = F.filter(
+            F.array(*[F.lit(n) for n in sorted(prefix_lengths)]), lambda n: n <= F.length("term")
+        )
         beginnings = F.transform(
             lengths,
             lambda n: F.struct(F.lit(True).alias("is_prefix"), F.substring("term", F.lit(1), n).alias("word")),
@@ -165,8 +163,6 @@ def score_units(units: DataFrame, index: TextIndex, known: KnownUnits | None = N
     """
     if known is not None:
         units, small = known.frame, F.broadcast
-        shapes = {(row.kind, len(row.words) > 1) for row in known.rows}
-        lengths = {len(p) for p in known.prefixes}
         index = TextIndex(
             index.postings.where(known.keep(F.col("term"))),
             index.term_stats.where(known.keep(F.col("term"))),
@@ -174,8 +170,7 @@ def score_units(units: DataFrame, index: TextIndex, known: KnownUnits | None = N
         )
     else:
         units, small = with_clause_sizes(units), lambda frame: frame
-        shapes = {(kind, more) for kind in ("phrase", "prefix", "near", "initial") for more in (False, True)}
-        lengths = None
+    shapes, lengths = unit_shapes(units) if known is None else known.shapes()
     kinds = {kind for kind, _ in shapes}
     ordered_words = any(more and kind != "near" for kind, more in shapes)
     one_word = any(not more and kind != "near" for kind, more in shapes)
@@ -186,7 +181,7 @@ def score_units(units: DataFrame, index: TextIndex, known: KnownUnits | None = N
     columns = [*_KEY, "unit", "kind", "n_words", "near_k", "word_no", "field", "tf", "doc_len"]
     if ordered_words or "near" in kinds:
         columns.append("positions")
-    matches = _word_matches(index.postings, small(words), lengths if "prefix" in kinds else set())
+    matches = _word_matches(index.postings, small(words), lengths)
     matches = matches.select(*columns, opens.alias("opens")).repartition(*_KEY)
 
     parts = []

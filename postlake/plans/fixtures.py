@@ -68,7 +68,7 @@ def incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sequence, chunk, pos, item_json): every post, then a fifth of them again, newer."""
-    rows = numbered_posts(spark, sf_dir)
+    rows = text_posts(spark, sf_dir)
     first = rows.withColumn("sequence", F.lit(0).cast("bigint"))
     second = rows.where("doc_id % 5 = 0").withColumns(
         {"sequence": F.lit(1).cast("bigint"), "like_count": F.col("like_count") + 1}
