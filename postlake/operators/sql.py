@@ -13,4 +13,4 @@ def register_views(posts: DataFrame, index=None) -> None:
 
 def run_sql(spark: SparkSession, query: str) -> DataFrame:
     """Run one query. Wrapped as a subquery, a statement that changes anything is refused."""
-    return spark.sql(f"SELECT * FROM (\n{query}\n)")
+    return spark.sql(f"SELECT * FROM (\n{query.strip().rstrip(';')}\n)")

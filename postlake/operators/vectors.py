@@ -18,6 +18,7 @@ from postlake.operators.ranking import topk
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SCORES = "query_id string, post_id string, score double"
+SCORE_FIELDS = [("query_id", pa.string()), ("post_id", pa.string()), ("score", pa.float64())]
 
 # Query tables up to this many rows travel with the tasks (some 8 MB at 256 dimensions);
 # larger ones are cut into blocks of this size and joined.
@@ -59,6 +60,8 @@ def _best_rows(scores: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
 def _score_table(query_ids, query_rows, vectors: pa.Table, n: int) -> pa.Table:
     rows, mask = _unit_matrix(vectors["embedding"])
     ids = vectors["post_id"].to_numpy(zero_copy_only=False)[mask].astype(str)
+    if not len(ids) or not len(query_ids):
+        return pa.schema(SCORE_FIELDS).empty_table()
     scores = np.round(rows @ query_rows.T, 6) + 0.0
     out_queries, out_ids, out_scores = [], [], []
     for j, query_id in enumerate(query_ids):
@@ -67,14 +70,10 @@ def _score_table(query_ids, query_rows, vectors: pa.Table, n: int) -> pa.Table:
         out_queries.append(np.full(len(best), query_id, dtype=object))
         out_ids.append(ids[best])
         out_scores.append(column[best])
-    if not out_ids:
-        return pa.table({"query_id": pa.array([], pa.string()), "post_id": pa.array([], pa.string()),
-                         "score": pa.array([], pa.float64())})
-    return pa.table({
-        "query_id": pa.array(np.concatenate(out_queries), pa.string()),
-        "post_id": pa.array(np.concatenate(out_ids).astype(object), pa.string()),
-        "score": pa.array(np.concatenate(out_scores), pa.float64()),
-    })
+    return pa.table(
+        [np.concatenate(out_queries), np.concatenate(out_ids).astype(object), np.concatenate(out_scores)],
+        schema=pa.schema(SCORE_FIELDS),
+    )
 
 
 def vector_scores(query_vectors: DataFrame, vectors: DataFrame, n: int = -1) -> DataFrame:

@@ -1,5 +1,6 @@
 """Search against SQLite FTS5 and brute force, and the paths for large query tables."""
 
+import math
 import random
 import sqlite3
 
@@ -183,7 +184,7 @@ def fuse(left, right, n, k):
     for ranking_ in (left, right):
         for place, (_, post_id) in enumerate(sorted((-s, p) for p, s in ranking_), 1):
             total[post_id] = total.get(post_id, 0) + 1 / (k + place)
-    best = sorted((-round(s, 6), p) for p, s in total.items())
+    best = sorted((-math.floor(s * 1e6 + 0.5) / 1e6, p) for p, s in total.items())
     return [(p, pytest.approx(-s, abs=1e-6)) for s, p in (best if n < 0 else best[:n])]
 
 
