@@ -46,21 +46,26 @@ def parse_post_time(text: Column) -> Column:
     return local - F.make_dt_interval(F.lit(0), F.lit(0), _offset_minutes(F.get(parts, 6)))
 
 
+def _text(time: Column) -> Column:
+    """The wall-clock text; unlike date_format, a cast does not pass through a time zone."""
+    return F.translate(time.cast("string"), " ", "T")
+
+
 def time_text(time: Column) -> Column:
     """ISO-8601 text with the UTC offset; a missing time is the empty text."""
-    whole = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.date_format(time, "SSSSSS")
-    text = F.when(fraction == "000000", whole).otherwise(F.concat(whole, F.lit("."), fraction))
-    return F.coalesce(F.concat(text, F.lit("+00:00")), F.lit(""))
+    text = _text(time)
+    fraction = F.when(F.length(text) > 19, F.concat(F.lit("."), F.rpad(F.substring(text, 21, 6), 6, "0")))
+    whole = F.substring(text, 1, 19)
+    return F.coalesce(F.concat(whole, F.coalesce(fraction, F.lit("")), F.lit("+00:00")), F.lit(""))
 
 
 def day_text(time: Column) -> Column:
-    return F.coalesce(F.date_format(time, "yyyy-MM-dd"), F.lit(""))
+    return F.coalesce(F.substring(_text(time), 1, 10), F.lit(""))
 
 
 def minute_text(time: Column) -> Column:
-    return F.coalesce(F.date_format(time, "yyyy-MM-dd'T'HH:mm"), F.lit(""))
+    return F.coalesce(F.substring(_text(time), 1, 16), F.lit(""))
 
 
 def month_text(time: Column) -> Column:
-    return F.coalesce(F.date_format(time, "yyyy-MM"), F.lit(""))
+    return F.coalesce(F.substring(_text(time), 1, 7), F.lit(""))

@@ -50,7 +50,8 @@ def late_filter(
     if bound is None:
         limit = archive_latest(archive).scalar()
     else:
-        limit = F.lit(None if bound == NO_BOUND else bound).cast("timestamp_ntz")
+        # As text, so that no time zone of the driver or the session comes in.
+        limit = F.lit(None if bound == NO_BOUND else str(bound)).cast("timestamp_ntz")
     flagged = _late_flags(batch, archive, limit)
     kept = flagged.where(~F.col("late")).select(*POST_COLUMNS)
     late = flagged.where("late").select(*POST_COLUMNS)

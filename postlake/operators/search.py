@@ -1,9 +1,11 @@
 """Keyword search: many queries per job, ranked by BM25.
 
 Shape of the plan: the query words meet the postings (by broadcast while the unit table is
-small), the matches are shuffled once by (query_id, post_id), and units, scores and clauses
-are worked out inside those partitions. A word found in a third of all posts gives many
-small groups, one per post, so no task gets more than its share.
+small), the matches are shuffled by (query_id, post_id), and units, scores and clauses are
+worked out inside those partitions. A word found in a third of all posts gives many small
+groups, one per post, so no task gets more than its share. Searches for phrases, prefixes
+and the like, whose frequencies must be counted before ranking, write the matches to the
+shared folder and go on from there.
 """
 
 from functools import reduce
@@ -182,7 +184,12 @@ def score_units(units: DataFrame, index: TextIndex, known: KnownUnits | None = N
     if ordered_words or "near" in kinds:
         columns.append("positions")
     matches = _word_matches(index.postings, small(words), lengths)
-    matches = matches.select(*columns, opens.alias("opens")).repartition(*_KEY)
+    matches = matches.select(*columns, opens.alias("opens"))
+    counts_units = ordered_words or bool(kinds & {"prefix", "initial"})
+    if counts_units or (one_word and "near" in kinds):
+        # Several branches read the matches: find them once.
+        matches = stage(matches, "matches")
+    matches = matches.repartition(*_KEY)
 
     parts = []
     if one_word:
@@ -197,7 +204,7 @@ def score_units(units: DataFrame, index: TextIndex, known: KnownUnits | None = N
 
     # Plain words have their frequency in the term statistics; other units are counted.
     frequencies = _plain_frequencies(words, index.term_stats)
-    if ordered_words or kinds & {"prefix", "initial"}:
+    if counts_units:
         counted = units.where(
             F.col("kind").isin("prefix", "initial")
             | ((F.col("kind") == "phrase") & (F.size("words") > 1))

@@ -6,7 +6,7 @@ import json
 import pytest
 
 import postlake as P
-from postlake.functions.times import parse_post_time, time_text
+from postlake.functions.times import day_text, minute_text, month_text, parse_post_time, time_text
 from pyspark.sql import functions as F
 
 
@@ -120,6 +120,21 @@ def test_dates_do_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_time_texts(spark):
+    rows = [(dt.datetime(2025, 3, 9, 2, 30),), (dt.datetime(2025, 3, 9, 2, 30, 1, 500000),), (None,)]
+    frame = spark.createDataFrame(rows, "t timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [tuple(r) for r in frame.select(*[f(F.col("t")) for f in (time_text, day_text, minute_text, month_text)]).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [
+        ("2025-03-09T02:30:00+00:00", "2025-03-09", "2025-03-09T02:30", "2025-03"),
+        ("2025-03-09T02:30:01.500000+00:00", "2025-03-09", "2025-03-09T02:30", "2025-03"),
+        ("", "", "", ""),
+    ]
+
+
 def test_last_arrival_wins(spark):
     rows = [
         (1, 0, 0, json.dumps(item({"favorite_count": 5}))), (0, 0, 9, json.dumps(item({"favorite_count": 4}))),
