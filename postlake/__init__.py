@@ -48,4 +48,4 @@ from postlake.session import build_session, stage
 from postlake.sources.archive import read_posts, write_posts
 from postlake.sources.corpus import parse_documents, read_corpus, read_rendered, write_corpus
 from postlake.sources.dumps import read_raw_items
-from postlake.streaming.ingest import batch_ingest, stream_ingest
+from postlake.streaming.ingest import batch_ingest, daily_update, stream_ingest

@@ -172,16 +172,17 @@ def build_index(posts: DataFrame, fields=("content",), fold: bool = True) -> Tex
     return TextIndex(postings, term_stats(postings), index_totals(doc_stats(posts, fields, fold)))
 
 
-def write_index(index: TextIndex, path: str) -> None:
-    """Store an index so that a search reads only its terms.
+def write_index(postings: DataFrame, posts: DataFrame, path: str) -> None:
+    """Store the index of `posts` so that a search reads only its terms.
 
     Postings are range-partitioned and sorted by (term, post_id): a term filter skips
     files and row groups, and a term found in a third of all posts spreads over many
-    files. Term statistics are counted from the stored postings.
+    files. All figures are then counted from what is stored, without another look at the
+    texts; only the number of posts, which includes those without words, is theirs.
     """
-    spark = index.postings.sparkSession
+    spark = postings.sparkSession
     (
-        index.postings.repartitionByRange("term", "post_id", "field")
+        postings.repartitionByRange("term", "post_id", "field")
         .sortWithinPartitions("term", "post_id", "field")
         .write.parquet(f"{path}/postings")
     )
@@ -190,7 +191,12 @@ def write_index(index: TextIndex, path: str) -> None:
         term_stats(stored).repartitionByRange("term").sortWithinPartitions("term")
         .write.parquet(f"{path}/term_stats")
     )
-    index.totals.write.parquet(f"{path}/totals")
+    n_docs = posts.agg(F.count("*").alias("n")).scalar()
+    (
+        stored.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("n_tokens"))
+        .select(n_docs.alias("n_docs"), "n_tokens")
+        .write.parquet(f"{path}/totals")
+    )
 
 
 def read_index(spark: SparkSession, path: str) -> TextIndex:

@@ -5,14 +5,23 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from postlake.operators.corpus import corpus_diff, corpus_diff_counts, render_body
 from postlake.operators.decode import decode_items
 from postlake.operators.dedupe import dedupe_last
-from postlake.operators.incremental import NO_BOUND, gap_check, late_filter, upsert
+from postlake.operators.incremental import (
+    NO_BOUND,
+    gap_check,
+    late_filter,
+    plan_update,
+    update_report,
+    upsert,
+)
 from postlake.operators.stats import archive_latest
 from postlake.session import stage
 from postlake.sources.archive import (
     current_version,
     published_exists,
+    read_posts,
     read_posts_or_empty,
     write_posts,
 )
@@ -44,12 +53,7 @@ def apply_items(
         return rejects
     batch = stage(dedupe_last(posts), "batch")
     archive = read_posts_or_empty(spark, archive_dir)
-    if catch_up:
-        status, _ = gap_check(batch, archive)
-        if status.head().status == "gap":
-            raise GapError("catch-up batch did not reach an already archived post")
-    kept, _ = late_filter(batch, archive, bound)
-    write_posts(upsert(archive, kept), archive_dir, version)
+    _publish(batch, archive, archive_dir, version, bound, catch_up)
     return rejects
 
 
@@ -60,6 +64,39 @@ def batch_ingest(
     return apply_items(spark, read_raw_items(spark, in_dir), archive_dir, version, catch_up=catch_up)
 
 
+def daily_update(
+    spark: SparkSession,
+    in_dir: str,
+    archive_dir: str,
+    version: str,
+    catch_up: bool = True,
+    dry_run: bool = False,
+) -> DataFrame:
+    """Ingest a folder of dumps and report on it: one row, see update_report.
+
+    A dry run writes nothing to the archive and returns plan_update. The report compares
+    the version before with the one written, both of which stay in place.
+    """
+    posts, _ = decode_items(read_raw_items(spark, in_dir))
+    batch = stage(dedupe_last(posts), "batch")
+    before = read_posts_or_empty(spark, archive_dir)
+    if dry_run:
+        return plan_update(batch, before)
+    _publish(batch, before, archive_dir, version, None, catch_up)
+    after = read_posts(spark, archive_dir)
+    corpus = corpus_diff_counts(corpus_diff(render_body(after), render_body(before)))
+    return update_report(before, batch, after, corpus)
+
+
+def _publish(batch, archive, archive_dir, version, bound, catch_up) -> None:
+    if catch_up:
+        status, _ = gap_check(batch, archive)
+        if status.head().status == "gap":
+            raise GapError("catch-up batch did not reach an already archived post")
+    kept, _ = late_filter(batch, archive, bound)
+    write_posts(upsert(archive, kept), archive_dir, version)
+
+
 def _fixed_bound(spark: SparkSession, archive_dir: str, checkpoint: str) -> datetime | None:
     """The archive's newest time when the run began. It is kept beside the checkpoint, so a
     restarted run goes on with the same bound."""

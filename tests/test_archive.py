@@ -215,6 +215,18 @@ def test_stream_equals_batch(spark, few, tmp_path, empty):
     assert "30" in {r.post_id for r in P.read_posts(spark, str(tmp_path / "stream")).collect()}
 
 
+def test_daily_update_reports(spark, few, tmp_path):
+    inbox, archive = tmp_path / "inbox", str(tmp_path / "archive")
+    dump(inbox, "a.txt", 0, ("1", "first", day(1), 3), ("20", "new", day(10), 4), ("21", "late", day(2), 4))
+    P.write_posts(few, archive, "start")
+    dry = P.daily_update(spark, str(inbox), archive, "v", dry_run=True).head()
+    assert (dry.would_apply, dry.skipped_older_unarchived) == (2, 1) and current_version(spark, archive) == "start"
+    row = P.daily_update(spark, str(inbox), archive, "v").head()
+    assert current_version(spark, archive) == "v"
+    assert (row.applied, row.db.inserted, row.db.updated) == (2, 1, 1)
+    assert row.corpus.asDict() == {"files": 4, "written": 2, "removed": 0} and row.archive.total == 5
+
+
 def test_catch_up_refuses_a_gap(spark, few, tmp_path):
     dump(tmp_path / "inbox", "a.txt", 0, ("77", "far", day(20), 3))
     P.write_posts(few, str(tmp_path / "archive"), "start")

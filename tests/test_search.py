@@ -99,8 +99,9 @@ def test_nested_logic(spark, posts, fts):
 def test_stored_index_gives_the_same_hits(spark, posts, tmp_path):
     queries = search_table(spark, *[{"query_id": k, **q} for k, (q, _) in CASES.items()])
     fields = ("content", "title")
-    P.write_index(P.build_index(posts, fields), str(tmp_path / "index"))
+    P.write_index(P.build_postings(posts, fields), posts, str(tmp_path / "index"))
     index = P.read_index(spark, str(tmp_path / "index"))
+    assert index.totals.head() == P.build_index(posts, fields).totals.head()
     stored = P.search(queries, index, 5).collect()
     assert sorted(stored) == sorted(P.search_posts(queries, posts, 5, fields).collect())
     plan = S.score_units(P.query_units(queries), index, S.known_units(P.query_units(queries.limit(1)), 9))
