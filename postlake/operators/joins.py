@@ -52,7 +52,8 @@ def enrich_hits(hits: DataFrame, posts: DataFrame, max_hits: int | None = None)
         *extra,
         "post_id",
         time_text(F.col("created_at")).alias("created_at"),
-        F.when(missing, clean_markup(F.coalesce("snippet", F.lit(""))))
+        # Only snippets that are shown go through the clean-up.
+        F.when(missing, clean_markup(F.when(missing, F.coalesce("snippet", F.lit("")))))
         .otherwise(F.col("post_content")).alias("content"),
         *[
             F.when(missing, F.lit(0)).otherwise(F.col(c)).alias(c)

@@ -171,7 +171,8 @@ def score_units(units: DataFrame, index: TextIndex, known: KnownUnits | None = N
             index.totals,
         )
     else:
-        units, small = with_clause_sizes(units), lambda frame: frame
+        # Written tables have a known size, from which Spark chooses how to join them.
+        units, small = stage(with_clause_sizes(units), "units"), lambda frame: frame
     shapes, lengths = unit_shapes(units) if known is None else known.shapes()
     kinds = {kind for kind, _ in shapes}
     ordered_words = any(more and kind != "near" for kind, more in shapes)
@@ -214,6 +215,9 @@ def score_units(units: DataFrame, index: TextIndex, known: KnownUnits | None = N
             .groupBy("query_id", "unit", "part").agg(F.count("doc_len").alias("df"))
         )
 
+    if known is None:
+        frequencies = stage(frequencies, "frequencies")
+
     totals = index.totals.select(F.struct("n_docs", "n_tokens").alias("t")).scalar()
     roles = units.select("query_id", "unit", "clause", "negated", "n_negated", "n_clauses", "n_preset")
     scored = (
