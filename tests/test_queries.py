@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import compare, connect
+from postlake.plans.oracle import ORACLE
+from postlake.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +16,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     frame = contract.queries()[name](spark, SF)
     assert compare(frame, duck, contract.oracle_sql()[name]) is None
