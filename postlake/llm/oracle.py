@@ -74,3 +74,23 @@ JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_i
 LEFT JOIN sizes s ON s.doc_id = d.doc_id
 LEFT JOIN (SELECT a, count(*) AS n FROM edges GROUP BY a) e ON e.a = d.doc_id
 """
+
+ORACLE["op3_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
+), edges AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a
+), named AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT n.vec_id, CAST(coalesce(e.n, 0) AS BIGINT) AS n_links, n.component_id, n.vec_id = n.component_id AS kept
+FROM named n LEFT JOIN (SELECT a, count(*) AS n FROM edges GROUP BY a) e ON e.a = n.vec_id
+"""

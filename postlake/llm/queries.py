@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from postlake.llm.pivots import near_vectors
 from postlake.llm.quality import quality_rules
 from postlake.llm.setjoin import jaccard_components
 
@@ -28,3 +29,8 @@ def op1_quality_rules(spark, sf_dir):
 @query
 def op2_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+@query
+def op3_embedding_near_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
