@@ -94,3 +94,97 @@ WITH RECURSIVE v AS (
 SELECT n.vec_id, CAST(coalesce(e.n, 0) AS BIGINT) AS n_links, n.component_id, n.vec_id = n.component_id AS kept
 FROM named n LEFT JOIN (SELECT a, count(*) AS n FROM edges GROUP BY a) e ON e.a = n.vec_id
 """
+
+ORACLE["op4_token_counts"] = rf"""
+WITH state AS (
+  SELECT lang,
+    CASE WHEN doc_id % 7 = 0 AND doc_id % 2 = 0 THEN 'moved' ELSE source END AS source,
+    CASE WHEN doc_id % 7 = 0 THEN coalesce(text || ' ' || text, '') ELSE coalesce(text, '') END AS text
+  FROM documents WHERE doc_id % 10 <> 3
+), counts AS (
+  SELECT source, lang, 'words@1' AS tokenizer, len({WORDS}) AS n FROM state
+  UNION ALL SELECT source, lang, 'bytes@1', strlen(text) FROM state
+  UNION ALL SELECT source, lang, 'pieces@1',
+    len(regexp_extract_all(text, '\pL+|\pN|[^\pL\pN \x09-\x0D]')) FROM state
+)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
+FROM counts GROUP BY source, lang, tokenizer
+"""
+
+ORACLE["op5_substring_dedup"] = rf"""
+WITH pieces AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents WHERE text IS NOT NULL
+), units AS (
+  SELECT doc_id, pos, text AS raw, {LOWER_WORDS} AS ws,
+    coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_char
+  FROM pieces
+), counted AS (
+  SELECT doc_id, pos, len(ws) AS n_words, start_char, start_char + length(raw) AS end_char,
+    row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq,
+    row_number() OVER (PARTITION BY md5(array_to_string(ws, ' ')) ORDER BY doc_id, pos) AS nth
+  FROM units WHERE len(ws) > 0
+), runs AS (
+  SELECT *, seq - row_number() OVER (PARTITION BY doc_id ORDER BY seq) AS run FROM counted WHERE nth > 1
+), gone AS (
+  SELECT * FROM (SELECT *, sum(n_words) OVER (PARTITION BY doc_id, run) AS run_words FROM runs)
+  WHERE n_words >= 10 OR run_words >= 50
+), removed AS (
+  SELECT doc_id, count(*) AS n, sum(n_words) AS words,
+    string_agg(CAST(start_char AS BIGINT) || '-' || CAST(end_char AS BIGINT), ',' ORDER BY pos) AS spans
+  FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT p.doc_id, string_agg(p.text, chr(10) ORDER BY p.pos) AS text
+  FROM pieces p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.pos = p.pos WHERE g.pos IS NULL GROUP BY p.doc_id
+), total AS (
+  SELECT doc_id, count(*) AS n FROM counted GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+  CAST(coalesce(t.n, 0) AS BIGINT) AS n_units, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(r.words, 0) AS BIGINT) AS n_removed_words, coalesce(r.spans, '') AS removed_spans
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN removed r ON r.doc_id = d.doc_id
+LEFT JOIN total t ON t.doc_id = d.doc_id
+"""
+
+
+def _shares(parent: str, level: str, weight: str, family: str) -> str:
+    """One level of the budget tree: `parent` has family columns and budget."""
+    return f"""
+  SELECT *, CASE WHEN is_full THEN cap ELSE (rest * weight) // nullif(open_weight, 0) END AS share FROM (
+    SELECT *, budget - coalesce(sum(CASE WHEN is_full THEN cap END) OVER (PARTITION BY {family}), 0) AS rest,
+      sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER (PARTITION BY {family}) AS open_weight
+    FROM (
+      SELECT *, cap * sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+        <= weight * (budget - coalesce(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS is_full
+      FROM (SELECT *, {weight} AS weight FROM ({parent}))
+      WINDOW w AS (PARTITION BY {family} ORDER BY cap / weight, {level})))"""
+
+
+_LEAF = """CASE WHEN nr < 5 THEN 'web' WHEN nr < 10 THEN 'books' WHEN nr < 15 THEN 'reference' ELSE 'other' END"""
+ORACLE["op9_source_mixture"] = rf"""
+WITH d AS (
+  SELECT doc_id, lang, source, CAST(len({WORDS}) AS BIGINT) AS n_tokens, {_LEAF} AS domain
+  FROM (SELECT *, TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) AS nr FROM documents)
+), leaves AS (
+  SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(sum(n_tokens) AS BIGINT) * 2 AS cap
+  FROM d GROUP BY ALL
+), domains AS ({_shares(
+    "SELECT domain, sum(cap) AS cap, (SELECT sum(tokens) * 60 // 100 FROM leaves) AS budget FROM leaves GROUP BY domain",
+    "domain", "CASE domain WHEN 'web' THEN 3 WHEN 'books' THEN 4 WHEN 'reference' THEN 2 ELSE 1 END", "1")}
+), langs AS ({_shares(
+    "SELECT l.domain, l.lang, sum(l.cap) AS cap, any_value(p.share) AS budget FROM leaves l JOIN domains p ON p.domain = l.domain GROUP BY l.domain, l.lang",
+    "lang", "CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END", "domain")}
+), sources AS ({_shares(
+    "SELECT l.*, p.share AS budget FROM leaves l JOIN langs p ON p.domain = l.domain AND p.lang = l.lang",
+    "source", "CASE source WHEN 'src0' THEN 3 WHEN 'src6' THEN 5 ELSE 1 END", "domain, lang")}
+), plan AS (
+  SELECT domain, lang, source, share // tokens AS whole, share % tokens AS remainder FROM sources WHERE tokens > 0
+), ordered AS (
+  SELECT d.*, whole, remainder, md5(concat_ws(':', '17', CAST(CAST(whole AS BIGINT) AS VARCHAR), CAST(doc_id AS VARCHAR))) AS k
+  FROM d JOIN plan p ON p.domain = d.domain AND p.lang = d.lang AND p.source = d.source
+), taken AS (
+  SELECT *, whole + CASE WHEN sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY k, doc_id) <= remainder
+    THEN 1 ELSE 0 END AS copies FROM ordered
+)
+SELECT doc_id, domain, lang, source, n_tokens, CAST(copies AS BIGINT) AS copies FROM taken WHERE copies > 0
+"""

@@ -1,10 +1,14 @@
 """One query per operator over the given tables: name -> (spark, sf_dir) -> DataFrame."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from postlake.llm.mixture import Weights, mix
 from postlake.llm.pivots import near_vectors
 from postlake.llm.quality import quality_rules
+from postlake.llm.rollup import commit_batch, totals
 from postlake.llm.setjoin import jaccard_components
+from postlake.llm.units import substring_dedup
+from postlake.session import scratch_path
 
 QUERIES = {}
 
@@ -34,3 +38,43 @@ def op2_ngram_jaccard_join(spark, sf_dir):
 @query
 def op3_embedding_near_dedup(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+@query
+def op4_token_counts(spark, sf_dir):
+    """A store filled by three batches, the last two of which arrive twice: all documents are
+    inserted, then some are revised, moved to another source or deleted."""
+    docs = table(spark, sf_dir, "documents")
+    store = scratch_path(spark, "token-store")
+    inserted = docs.withColumn("action", F.lit("insert"))
+    revised = docs.where("doc_id % 7 = 0").select(
+        "doc_id", F.lit("revise").alias("action"), F.concat_ws(" ", "text", "text").alias("text"),
+        F.when(F.col("doc_id") % 2 == 0, F.lit("moved")).otherwise(F.col("source")).alias("source"), "lang",
+    )
+    deleted = docs.where("doc_id % 10 = 3").select("doc_id", F.lit("delete").alias("action"), F.lit("").alias("text"), "source", "lang")
+    for seq, changes in ((1, inserted), (2, revised), (3, deleted), (2, revised), (3, deleted)):
+        commit_batch(spark, store, seq, changes)
+    return totals(spark, store)
+
+
+@query
+def op5_substring_dedup(spark, sf_dir):
+    return substring_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", "n_units", "n_removed", "n_removed_words", "removed_spans"
+    )
+
+
+def domain_of_source() -> Column:
+    """A made-up assignment of the given sources to domains."""
+    number = F.try_to_number(F.regexp_extract("source", "([0-9]+)$", 1), F.lit("999999999"))
+    return F.when(number < 5, "web").when(number < 10, "books").when(number < 15, "reference").otherwise("other")
+
+
+MIX = Weights(domain={"web": 3, "books": 4, "reference": 2}, lang={"en": 4, "de": 2, "fr": 2}, source={"src0": 3, "src6": 5})
+
+
+@query
+def op9_source_mixture(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"), domain_of_source(), 60, MIX, epochs=2, seed=17).select(
+        "doc_id", "domain", "lang", "source", "n_tokens", "copies"
+    )
