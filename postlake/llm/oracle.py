@@ -1,5 +1,7 @@
 """The same results in DuckDB's SQL, where SQL can express them."""
 
+from postlake.llm.queries import CALLS_SQL, RESULTS_SQL
+
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 LOWER_WORDS = (
     r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -188,3 +190,47 @@ WITH d AS (
 )
 SELECT doc_id, domain, lang, source, n_tokens, CAST(copies AS BIGINT) AS copies FROM taken WHERE copies > 0
 """
+
+_FIELD = "json_type(arguments, '$.{0}')"
+ORACLE["op10_chat_tool_calls"] = f"""
+WITH RECURSIVE turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+calls AS ({CALLS_SQL.replace("explode(sequence(0, CAST(n - 1 AS INT)))", "unnest(range(n))").replace("conversations", "turns")}),
+results AS ({RESULTS_SQL.replace("conversations", "turns")}),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, content) AS nth FROM results
+), steps AS (
+  -- A call waits for one call at most here: it has a step if its chain ends.
+  SELECT conv_id, call_id, 0 AS step FROM calls WHERE needs IS NULL
+  UNION ALL
+  SELECT c.conv_id, c.call_id, s.step + 1 FROM calls c JOIN steps s ON c.conv_id = s.conv_id AND c.needs = s.call_id
+), linked AS (
+  SELECT c.*, r.turn AS result_turn, r.content, s.step FROM calls c
+  LEFT JOIN ranked r ON r.conv_id = c.conv_id AND r.call_id = c.call_id AND r.nth = 1
+  LEFT JOIN steps s ON s.conv_id = c.conv_id AND s.call_id = c.call_id
+), checked AS (
+  SELECT *, CASE
+      WHEN NOT json_valid(raw) THEN 'not JSON'
+      WHEN name = 'search' AND {_FIELD.format("limit")} NOT IN ('UBIGINT', 'BIGINT') THEN 'type of limit'
+      WHEN name = 'search' AND {_FIELD.format("query")} IS NULL THEN 'missing query'
+      WHEN name IN ('search', 'calculate', 'lookup') THEN ''
+      ELSE 'unknown tool' END AS problem,
+    CASE name
+      WHEN 'search' THEN '{{' || concat_ws(',', '"limit":' || json_extract(arguments, '$.limit'), '"query":' || json_extract(arguments, '$.query')) || '}}'
+      WHEN 'calculate' THEN '{{"expression":' || json_extract(arguments, '$.expression') || ',"precision":2}}'
+      WHEN 'lookup' THEN '{{"exact":' || json_extract(arguments, '$.exact') || ',"id":' || json_extract(arguments, '$.id') || '}}'
+      ELSE '{{"a":' || json_extract(arguments, '$.a') || ',"b":[' || json_extract(arguments, '$.b[0]') || ',{{"c":' || json_extract(arguments, '$.b[1].c') || ',"d":null}}]}}'
+    END AS canonical
+  FROM (SELECT * REPLACE (CASE WHEN json_valid(arguments) THEN arguments END AS arguments), arguments AS raw FROM linked)
+)
+SELECT conv_id, call_id, turn, 'call' AS kind, CASE WHEN result_turn IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
+  step, problem,
+  '{{"arguments":' || coalesce(canonical, CAST(to_json(raw) AS VARCHAR)) || ',"conv_id":' || conv_id || ',"depends_on":['
+    || coalesce('"' || needs || '"', '') || '],"id":"' || call_id || '","name":"' || name || '","result":'
+    || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || ',"turn":' || turn || '}}' AS message
+FROM checked
+UNION ALL
+SELECT r.conv_id, r.call_id, r.turn, 'result', CASE WHEN r.nth > 1 THEN 'repeated' ELSE 'orphan' END, NULL, '',
+  '{{"conv_id":' || r.conv_id || ',"id":"' || r.call_id || '","result":' || CAST(to_json(r.content) AS VARCHAR) || ',"turn":' || r.turn || '}}'
+FROM ranked r LEFT JOIN calls c ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+WHERE r.nth > 1 OR c.call_id IS NULL
+"""

@@ -7,6 +7,7 @@ from postlake.llm.pivots import near_vectors
 from postlake.llm.quality import quality_rules
 from postlake.llm.rollup import commit_batch, totals
 from postlake.llm.setjoin import jaccard_components
+from postlake.llm.toolcalls import link_tool_calls
 from postlake.llm.units import substring_dedup
 from postlake.session import scratch_path
 
@@ -78,3 +79,59 @@ def op9_source_mixture(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"), domain_of_source(), 60, MIX, epochs=2, seed=17).select(
         "doc_id", "domain", "lang", "source", "n_tokens", "copies"
     )
+
+
+#: Calls and results for the tools below, made from the turns of `conversations` in SQL that
+#: Spark and DuckDB share: some arguments are broken, some calls wait for others or for each
+#: other, some results are missing, repeated or belong to no call.
+CALLS_SQL = """
+SELECT conv_id, concat('call_', conv_id, '_', turn, '_', k) AS call_id, turn, name,
+  CASE
+    WHEN name = 'search' AND (conv_id + turn) % 13 = 0 THEN '{ "limit": 3 }'
+    WHEN name = 'search' AND (conv_id + turn) % 11 = 0 THEN concat('{"query": "', word, '", "limit": "3"}')
+    WHEN name = 'search' THEN concat('{ "query": "', word, '",  "limit": ', turn + k + 1, ' }')
+    WHEN name = 'calculate' THEN concat('{"precision": 2, "expression": "', turn, ' + ', conv_id, '"}')
+    WHEN name = 'lookup' AND (conv_id + turn) % 7 = 0 THEN concat('{"id": ', conv_id, ', ')
+    WHEN name = 'lookup' THEN concat('{"id": ', conv_id, ', "exact": ', CASE WHEN k = 1 THEN 'false' ELSE 'true' END, '}')
+    ELSE concat('{"b": [', k, ', {"d": null, "c": "', word, '"}], "a": ', turn, '}')
+  END AS arguments,
+  CASE WHEN k > 0 THEN concat('call_', conv_id, '_', turn, '_', k - 1)
+    WHEN (conv_id + turn) % 17 = 0 AND n > 1 THEN concat('call_', conv_id, '_', turn, '_', 1) END AS needs
+FROM (
+  SELECT conv_id, turn, n, k, word, CASE (conv_id + turn + k) % 5 WHEN 0 THEN 'search' WHEN 1 THEN 'calculate'
+    WHEN 2 THEN 'lookup' WHEN 3 THEN 'search' ELSE 'browse' END AS name
+  FROM (
+    SELECT conv_id, turn, n, word, explode(sequence(0, CAST(n - 1 AS INT))) AS k
+    FROM (
+      SELECT conv_id, turn, 1 + (conv_id + turn) % 3 AS n,
+        coalesce(regexp_extract(text, '[A-Za-z]+', 0), '') AS word
+      FROM conversations WHERE role = 'assistant'
+    ) turns
+  ) numbered
+) named
+"""
+RESULTS_SQL = """
+SELECT conv_id, call_id, turn + 1 AS turn, concat('found "', name, '" at ', turn) AS content
+FROM calls WHERE (conv_id * 3 + turn + length(name)) % 6 <> 0
+UNION ALL
+SELECT conv_id, call_id, turn + 2, 'again' FROM calls WHERE (conv_id + turn) % 8 = 0
+UNION ALL
+SELECT conv_id, concat('call_', conv_id, '_', turn, '_9'), turn, 'late'
+FROM conversations WHERE role = 'user' AND (conv_id + turn) % 9 = 0
+"""
+SCHEMAS = {
+    "search": {"limit": ("integer", False), "query": ("string", True)},
+    "calculate": {"expression": ("string", True), "precision": ("integer", False)},
+    "lookup": {"exact": ("boolean", False), "id": ("integer", True)},
+}
+
+
+@query
+def op10_chat_tool_calls(spark, sf_dir):
+    # Repeated rows of a turn are one turn.
+    turns = table(spark, sf_dir, "conversations").dropDuplicates(["conv_id", "turn", "role", "text"])
+    named = lambda sql: sql.replace("{", "{{").replace("}", "}}").replace("FROM conversations", "FROM {turns}")
+    calls = spark.sql(named(CALLS_SQL), turns=turns)
+    results = spark.sql(named(RESULTS_SQL).replace("FROM calls", "FROM {calls}"), turns=turns, calls=calls)
+    linked = calls.withColumn("depends_on", F.when(F.col("needs").isNotNull(), F.array("needs")))
+    return link_tool_calls(linked, results, SCHEMAS)
