@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from postlake.llm.bpe import byte_bpe, digests
 from postlake.llm.mixture import Weights, mix
 from postlake.llm.pivots import near_vectors
 from postlake.llm.quality import quality_rules
@@ -135,3 +136,16 @@ def op10_chat_tool_calls(spark, sf_dir):
     results = spark.sql(named(RESULTS_SQL).replace("FROM calls", "FROM {calls}"), turns=turns, calls=calls)
     linked = calls.withColumn("depends_on", F.when(F.col("needs").isNotNull(), F.array("needs")))
     return link_tool_calls(linked, results, SCHEMAS)
+
+
+def tokenizer_file() -> tuple[str, str]:
+    """(rank file, pattern) of the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query
+def op6_byte_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digests(byte_bpe(docs, *tokenizer_file())).drop("text")
