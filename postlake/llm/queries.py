@@ -3,7 +3,9 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from postlake.llm.bpe import byte_bpe, digests
+from postlake.llm.langid import identify_languages
 from postlake.llm.mixture import Weights, mix
+from postlake.llm.ngram_lm import score_texts
 from postlake.llm.pivots import near_vectors
 from postlake.llm.quality import quality_rules
 from postlake.llm.rollup import commit_batch, totals
@@ -149,3 +151,15 @@ def tokenizer_file() -> tuple[str, str]:
 def op6_byte_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return digests(byte_bpe(docs, *tokenizer_file())).drop("text")
+
+
+@query
+def op7_ngram_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return score_texts(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
+
+
+@query
+def op8_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return identify_languages(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
