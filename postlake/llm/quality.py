@@ -140,7 +140,10 @@ def ledger(docs: DataFrame, rules=None) -> DataFrame:
         bit = F.when(F.expr(rule.fails), F.lit(1 << rule.bit)).otherwise(F.lit(0)).cast("bigint")
         bits = bit if bits is None else bits.bitwiseOR(bit)
     measured = measure(docs)
-    return measured.drop("fail_bits").withColumn("fail_bits", bits)
+    # Filters on the ledger must not be moved below the measurements, where each use of a
+    # measurement would compute it anew; Spark moves none past a column like this one.
+    once = F.when(F.monotonically_increasing_id() >= 0, bits)
+    return measured.drop("fail_bits").withColumn("fail_bits", once)
 
 
 def passes(policy: Policy, rules=None) -> Column:
