@@ -65,4 +65,13 @@ def stage(df: DataFrame, name="stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_path = path
+    return staged
+
+
+def drop_stage(*staged: DataFrame) -> None:
+    """Remove the folders of staged frames, once what was made from them is written."""
+    for df in staged:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
