@@ -21,7 +21,8 @@ Shingles are compared by their 64-bit hashes.
 Edge cases: a null or empty text, or one of white space, has an empty set and links with
 nothing. Equal sets link. `doc_id` names a document: rows that repeat it are returned each,
 with their own set, in one component if the id is the least of its set; a null id is returned
-with a null component. Further columns are ignored. An empty table gives an empty result.
+with a null component, is counted among the copies of an equal set that has an id, and links
+with nothing else. Further columns are ignored. An empty table gives an empty result.
 """
 
 import hashlib
@@ -214,6 +215,8 @@ def divide_skip(sets: list, side: np.ndarray, percent: int):
 
 def _search_units(percent: int):
     def run(unit: pd.DataFrame) -> pd.DataFrame:
+        # Rows that repeat a document are counted among its copies already.
+        unit = unit.drop_duplicates("doc_id")
         ids = unit["doc_id"].to_numpy()
         copies = unit["copies"].to_numpy()
         sets = [np.frombuffer(x, U) for x in unit["entries"]]
