@@ -35,7 +35,8 @@ LEAVES = {
     "original": "payload.legacy.retweeted_status_result",
 }
 
-ARRIVAL = ["sequence", "chunk", "pos"]
+# Sequences count inside one job, jobs sort by age.
+ARRIVAL = ["job", "sequence", "chunk", "pos"]
 
 
 def parse_items(raw: DataFrame) -> DataFrame:
@@ -44,6 +45,8 @@ def parse_items(raw: DataFrame) -> DataFrame:
     Each item is parsed once. The leaves pass through an explode of one element, because
     filters are not moved below it, where they would parse each item again.
     """
+    if "job" not in raw.columns:
+        raw = raw.withColumn("job", F.lit(""))
     parsed = F.from_json("item_json", ITEM)
     one = F.explode(F.filter(F.array(parsed), lambda item: item["payload"]["legacy"].isNotNull()))
     leaves = F.struct(*[
@@ -99,7 +102,10 @@ def decode_rows(raw: DataFrame) -> DataFrame:
 
 def decode_items(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(posts with their arrival columns, rejects with the column that is unreadable)."""
-    rows = decode_rows(raw)
+    return split_rows(decode_rows(raw))
+
+
+def split_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     posts = rows.where(F.col("problem").isNull()).select(
         *ARRIVAL, *[F.col(c).cast(POSTS[c].dataType) for c in POST_COLUMNS]
     )

@@ -7,9 +7,9 @@ score at least 1 / (k + n), which is more. So the best n are among the first k +
 ranking. Their places in the other ranking are found by counting the hits before them.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from postlake.operators.ranking import topk
+from postlake.operators.ranking import all_ranks, topk
 from postlake.session import stage
 
 RRF_K = 60
@@ -59,27 +59,6 @@ def _ranks_of(candidates: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
-def _all_ranks(hits: DataFrame) -> DataFrame:
-    """Ranks of whole rankings: rows are laid out in order over many partitions, counted
-    per partition, and numbered inside it. The layout is written first, so that counting
-    and numbering see the same one."""
-    order = [F.col("query_id"), F.col("score").desc(), F.col("post_id")]
-    laid_out = stage(
-        hits.repartitionByRange(*order).withColumn("stretch", F.spark_partition_id()), "ranking"
-    )
-    before = Window.partitionBy("query_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        laid_out.groupBy("query_id", "stretch").agg(F.count("*").alias("n"))
-        .select("query_id", "stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    )
-    inside = Window.partitionBy("query_id", "stretch").orderBy(*order[1:])
-    return (
-        laid_out.withColumn("nth", F.row_number().over(inside))
-        .join(offsets, ["query_id", "stretch"])
-        .select("query_id", "post_id", (F.col("nth") + F.col("offset")).alias("rank"))
-    )
-
-
 def hybrid_search(
     keyword_hits: DataFrame, vector_hits: DataFrame, n: int = 10, k: int = RRF_K
 ) -> DataFrame:
@@ -93,7 +72,7 @@ def hybrid_search(
     keyword = stage(keyword_hits.select("query_id", "post_id", "score"), "keyword")
     lists = [keyword, vector_hits.select("query_id", "post_id", "score")]
     if n < 0:
-        ranked = [_all_ranks(hits) for hits in lists]
+        ranked = [all_ranks(hits).select("query_id", "post_id", "rank") for hits in lists]
     else:
         first = [topk(hits, k + 2 * n).select("query_id", "post_id") for hits in lists]
         candidates = stage(first[0].unionByName(first[1]).distinct(), "candidates")

@@ -42,7 +42,7 @@ def query_units(queries: DataFrame, fold: bool = True) -> DataFrame:
 
     def together(name, kind) -> Column:
         words = F.flatten(F.transform(texts(name), lambda text: tokens(text, fold)))
-        return F.array(unit("must", kind, words))
+        return F.filter(F.array(unit("must", kind, words)), lambda _: F.size(texts(name)) > 0)
 
     units = F.concat(
         each("must", "must", "phrase"),
@@ -53,7 +53,8 @@ def query_units(queries: DataFrame, fold: bool = True) -> DataFrame:
         together("near", "near"),
         each("initial", "must", "initial"),
     )
-    usable = F.filter(units, lambda u: F.size(u["words"]) > 0)
+    # A text without a word matches nothing; to forbid it forbids nothing.
+    usable = F.filter(units, lambda u: (F.size(u["words"]) > 0) | (u["role"] != "must_not"))
     near_k = F.col("near_k") if "near_k" in queries.columns else F.lit(None)
     field = F.col("field") if "field" in queries.columns else F.lit(None)
     return queries.select(
@@ -111,7 +112,7 @@ def clause_sizes(rows):
 def unit_shapes(units: DataFrame):
     """({(kind, several words)}, {prefix lengths}) of a table of any size: a few rows, as
     there are few kinds and no long prefixes."""
-    length = F.when(F.col("kind") == "prefix", F.length(F.element_at("words", -1)))
+    length = F.when(F.col("kind") == "prefix", F.length(F.try_element_at("words", F.lit(-1))))
     rows = units.select("kind", (F.size("words") > 1).alias("several"), length.alias("length")).distinct().collect()
     return {(row.kind, row.several) for row in rows}, {row.length for row in rows if row.length}
 

@@ -98,7 +98,7 @@ def _is_near(places: Column, n_words: Column, near_k: Column) -> Column:
 
     One pass over the places in order, keeping the last place of each word.
     """
-    unseen = F.lit(-1_000_000_000)
+    unseen = F.lit(None).cast("int")
     start = F.struct(
         F.array_repeat(unseen, n_words).alias("last"), F.lit(False).alias("found")
     )
@@ -107,7 +107,8 @@ def _is_near(places: Column, n_words: Column, near_k: Column) -> Column:
         last = F.transform(
             state["last"], lambda seen, i: F.when(i == place["word_no"], place["pos"]).otherwise(seen)
         )
-        close = place["pos"] - F.array_min(last) - 1 <= near_k
+        all_seen = F.forall(last, lambda seen: seen.isNotNull())
+        close = all_seen & (place["pos"] - F.array_min(last) - 1 <= near_k)
         return F.struct(last.alias("last"), (state["found"] | close).alias("found"))
 
     return F.aggregate(places, start, step, lambda state: state["found"])

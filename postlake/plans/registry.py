@@ -108,7 +108,7 @@ def rows_to_json(spark, sf_dir):
 
 @query
 def decode_items(spark, sf_dir):
-    return shown(decoded(spark, sf_dir).drop("chunk", "pos"))
+    return shown(decoded(spark, sf_dir).drop("job", "chunk", "pos"))
 
 
 @query

@@ -40,7 +40,14 @@ def current_version(spark: SparkSession, path: str) -> str | None:
     return spark.read.text(f"{_pointer_dir(path)}/{max(steps):010d}").head()[0]
 
 
-def _pointer_steps(spark, path) -> list[int]:
+def was_published(spark: SparkSession, path: str, version: str) -> bool:
+    """Whether a version is or ever was the current one."""
+    steps = _pointer_steps(spark, path)
+    pointers = [f"{_pointer_dir(path)}/{step:010d}" for step in steps]
+    return bool(steps) and not spark.read.text(pointers).where(F.col("value") == version).isEmpty()
+
+
+def _pointer_steps(spark, path, complete=True) -> list[int]:
     folder = spark._jvm.org.apache.hadoop.fs.Path(_pointer_dir(path))
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(folder):
@@ -48,7 +55,8 @@ def _pointer_steps(spark, path) -> list[int]:
     names = [status.getPath().getName() for status in files.listStatus(folder)]
     return [
         int(name) for name in names
-        if re.fullmatch(r"\d{10}", name) and published_exists(spark, f"{_pointer_dir(path)}/{name}")
+        if re.fullmatch(r"\d{10}", name)
+        and (not complete or published_exists(spark, f"{_pointer_dir(path)}/{name}"))
     ]
 
 
@@ -66,20 +74,34 @@ def read_posts_or_empty(spark: SparkSession, path: str) -> DataFrame:
     return read_posts(spark, path)
 
 
-def write_posts(posts: DataFrame, path: str, version: str, clustered=False) -> None:
-    """Write a version and publish it. Writing a version again replaces it.
+UNCHECKED = object()
+
+
+class VersionError(ValueError):
+    """A version that may not be written."""
+
+
+def write_posts(posts: DataFrame, path: str, version: str, clustered=False, base=UNCHECKED) -> None:
+    """Write a version and publish it. A version that was published is never written again,
+    as readers may still use it; one whose writing failed is.
+
+    `base` names the version the posts were made from (None for none). If another one has
+    been published since, nothing is published: its changes would be lost. The pointer is
+    added without overwriting, so of two writers that add the same one, one fails.
 
     `clustered` orders the rows by post_id, so that id look-ups skip row groups. It costs
     a range shuffle, so it suits the first load; updates keep the order of the files they
     were read from.
     """
     spark = posts.sparkSession
-    if version == current_version(spark, path):
-        raise ValueError(f"version {version} is published and may be in use")
+    if was_published(spark, path, version):
+        raise VersionError(f"version {version} was published and may be in use")
     rows = posts.select(*[F.col(c).cast(POSTS[c].dataType) for c in POST_COLUMNS])
     if clustered:
         rows = rows.repartitionByRange("post_id").sortWithinPartitions("post_id")
     rows.write.mode("overwrite").parquet(_version_dir(path, version))
-    step = max(_pointer_steps(spark, path), default=0) + 1
+    step = max(_pointer_steps(spark, path, complete=False), default=0) + 1
+    if base is not UNCHECKED and (now := current_version(spark, path)) != base:
+        raise VersionError(f"version {version} was made from {base}, but {now} is current")
     pointer = spark.createDataFrame([(version,)], "version string").coalesce(1)
-    pointer.write.mode("overwrite").text(f"{_pointer_dir(path)}/{step:010d}")
+    pointer.write.mode("error").text(f"{_pointer_dir(path)}/{step:010d}")

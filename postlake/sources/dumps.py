@@ -9,31 +9,46 @@ ENVELOPE = (
 )
 
 
-def read_raw_items(spark: SparkSession, path: str) -> DataFrame:
-    """(sequence, chunk, pos, item_json); the first three give the arrival order.
+# Where a file's name or folder tells its job: the last date in it.
+JOB_PATTERN = r".*([0-9]{4}-[0-9]{2}-[0-9]{2})"
 
-    One page per line keeps a dump splittable: its lines spread over tasks whatever
-    the size of the file.
+
+def file_job(pattern: str = JOB_PATTERN) -> Column:
+    """The job a dump file belongs to, which sorts by age: the first group of the pattern in
+    the file's path, else the day on which the file was last written."""
+    named = F.regexp_extract("_metadata.file_path", pattern, 1)
+    written = F.date_format("_metadata.file_modification_time", "yyyy-MM-dd")
+    return F.when(named != "", named).otherwise(written)
+
+
+def read_raw_items(spark: SparkSession, path: str, job: Column | None = None) -> DataFrame:
+    """(job, sequence, chunk, pos, item_json); the first four give the arrival order.
+
+    Sequences count inside one job only, so the job comes first: file_job unless another
+    column over the file's `_metadata` is given. One page per line keeps a dump splittable:
+    its lines spread over tasks whatever the size of the file.
     """
-    return flatten_envelopes(spark.read.text(path), F.col("value"))
+    return flatten_envelopes(spark.read.text(path), F.col("value"), file_job() if job is None else job)
 
 
-def stream_raw_items(spark: SparkSession, path: str) -> DataFrame:
-    return flatten_envelopes(spark.readStream.text(path), F.col("value"))
+def stream_raw_items(spark: SparkSession, path: str, job: Column | None = None) -> DataFrame:
+    return flatten_envelopes(spark.readStream.text(path), F.col("value"), file_job() if job is None else job)
 
 
-def flatten_envelopes(lines: DataFrame, line: Column) -> DataFrame:
+def flatten_envelopes(lines: DataFrame, line: Column, job: Column | None = None) -> DataFrame:
     """Explode envelopes into items. Lines that are no JSON object are log noise; an
     envelope that does not say ok fails the job, since its page would be missing."""
+    job = F.lit("") if job is None else job
     envelope = F.from_json(line, ENVELOPE)
     chunks = F.when(F.col("envelope.ok"), F.col("envelope.data.result.chunks")).otherwise(
         F.raise_error(F.lit("dump holds an envelope that is not ok"))
     )
     return (
         lines.where(F.ltrim(line).startswith("{"))
-        .select(envelope.alias("envelope"))
-        .select(F.posexplode(chunks).alias("chunk", "c"))
+        .select(job.alias("job"), envelope.alias("envelope"))
+        .select("job", F.posexplode(chunks).alias("chunk", "c"))
         .select(
+            "job",
             F.coalesce("c.sequence", F.lit(0)).alias("sequence"),
             "chunk",
             F.posexplode("c.items").alias("pos", "item_json"),

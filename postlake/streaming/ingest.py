@@ -1,12 +1,13 @@
 """Ingest of raw dumps, as one batch or as a stream of arriving files."""
 
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postlake.operators.corpus import corpus_diff, corpus_diff_counts, render_body
-from postlake.operators.decode import decode_items
+from postlake.operators.decode import decode_rows, split_rows
 from postlake.operators.dedupe import dedupe_last
 from postlake.operators.incremental import (
     NO_BOUND,
@@ -23,6 +24,7 @@ from postlake.sources.archive import (
     published_exists,
     read_posts,
     read_posts_or_empty,
+    was_published,
     write_posts,
 )
 from postlake.sources.dumps import read_raw_items, stream_raw_items
@@ -31,7 +33,26 @@ BOUND = "late_bound"
 
 
 class GapError(RuntimeError):
-    """A catch-up batch does not reach the archive."""
+    """A catch-up batch leaves a gap to what is archived."""
+
+
+class EmptyBatchError(RuntimeError):
+    """A batch without a single readable post."""
+
+
+def rejects_dir(archive_dir: str, version: str) -> str:
+    """Where the unreadable items of the batch behind a version are kept."""
+    return f"{archive_dir.rstrip('/')}/rejects/version={version}"
+
+
+def _take_apart(raw: DataFrame, archive_dir: str, version: str | None) -> tuple[DataFrame, DataFrame]:
+    """(one row per post, unreadable items) of a batch, decoded once. With a version, the
+    unreadable items are kept beside it."""
+    rows = stage(decode_rows(raw), "decoded")
+    posts, rejects = split_rows(rows)
+    if version is not None and not rejects.isEmpty():
+        rejects.write.mode("overwrite").parquet(rejects_dir(archive_dir, version))
+    return stage(dedupe_last(posts), "batch"), rejects
 
 
 def apply_items(
@@ -44,16 +65,20 @@ def apply_items(
 ) -> DataFrame:
     """Decode, deduplicate, filter and upsert one batch of raw items, and publish it.
 
-    Returns the rejected items. A version that is published already is left as it is, so
-    a repeated micro-batch does nothing. The decoded batch is written to the shared folder
-    once; everything later reads it from there.
+    Returns the rejected items, which are also kept at rejects_dir. A version that was
+    published already is left as it is, so a repeated micro-batch does nothing. A batch
+    without a readable post raises EmptyBatchError and publishes nothing.
     """
-    posts, rejects = decode_items(raw)
-    if current_version(spark, archive_dir) == version:
-        return rejects
-    batch = stage(dedupe_last(posts), "batch")
+    if was_published(spark, archive_dir, version):
+        return split_rows(decode_rows(raw))[1]
+    batch, rejects = _take_apart(raw, archive_dir, version)
+    if batch.isEmpty():
+        raise EmptyBatchError(f"no readable post for version {version}")
+    base = current_version(spark, archive_dir)
     archive = read_posts_or_empty(spark, archive_dir)
-    _publish(batch, archive, archive_dir, version, bound, catch_up)
+    if catch_up:
+        _refuse_gap(batch, archive)
+    _publish(batch, archive, archive_dir, version, bound, base)
     return rejects
 
 
@@ -72,38 +97,49 @@ def daily_update(
     catch_up: bool = True,
     dry_run: bool = False,
 ) -> DataFrame:
-    """Ingest a folder of dumps and report on it: one row, see update_report.
+    """Ingest a folder of dumps and report on it: one row, see update_report, with
+    `n_rejected`, the number of unreadable items, which are kept at rejects_dir.
 
-    A dry run writes nothing to the archive and returns plan_update. The report compares
-    the version before with the one written, both of which stay in place.
+    A dry run writes nothing to the archive and returns plan_update, after the same checks.
+    The report compares the version before with the one written, both of which stay in place.
     """
-    posts, _ = decode_items(read_raw_items(spark, in_dir))
-    batch = stage(dedupe_last(posts), "batch")
+    batch, rejects = _take_apart(read_raw_items(spark, in_dir), archive_dir, None if dry_run else version)
+    if batch.isEmpty():
+        raise EmptyBatchError(f"no readable post for version {version}")
+    base = current_version(spark, archive_dir)
     before = read_posts_or_empty(spark, archive_dir)
+    if catch_up:
+        _refuse_gap(batch, before)
+    n_rejected = F.lit(rejects.count()).cast("bigint").alias("n_rejected")
     if dry_run:
-        return plan_update(batch, before)
-    _publish(batch, before, archive_dir, version, None, catch_up)
+        return plan_update(batch, before).select("*", n_rejected)
+    _publish(batch, before, archive_dir, version, None, base)
     after = read_posts(spark, archive_dir)
     corpus = corpus_diff_counts(corpus_diff(render_body(after), render_body(before)))
-    return update_report(before, batch, after, corpus)
+    return update_report(before, batch, after, corpus).select("*", n_rejected)
 
 
-def _publish(batch, archive, archive_dir, version, bound, catch_up) -> None:
-    if catch_up:
-        status, _ = gap_check(batch, archive)
-        if status.head().status == "gap":
-            raise GapError("catch-up batch did not reach an already archived post")
+def _refuse_gap(batch, archive) -> None:
+    status, _ = gap_check(batch, archive)
+    if status.head().status == "gap":
+        raise GapError("none of the posts sent is archived yet, so posts between may be missing")
+
+
+def _publish(batch, archive, archive_dir, version, bound, base) -> None:
     kept, _ = late_filter(batch, archive, bound)
-    write_posts(upsert(archive, kept), archive_dir, version)
+    write_posts(upsert(archive, kept), archive_dir, version, base=base)
 
 
-def _fixed_bound(spark: SparkSession, archive_dir: str, checkpoint: str) -> datetime | None:
-    """The archive's newest time when the run began. It is kept beside the checkpoint, so a
-    restarted run goes on with the same bound."""
+def _run_state(spark: SparkSession, archive_dir: str, checkpoint: str) -> tuple[str, datetime | None]:
+    """(id of the run, the archive's newest time when it began). Both are kept beside the
+    checkpoint, so a restarted run goes on with them, and another checkpoint is another run."""
     path = f"{checkpoint.rstrip('/')}-{BOUND}"
     if not published_exists(spark, path):
-        archive_latest(read_posts_or_empty(spark, archive_dir)).coalesce(1).write.mode("overwrite").parquet(path)
-    return spark.read.schema("latest timestamp_ntz").parquet(path).head()[0]
+        archive_latest(read_posts_or_empty(spark, archive_dir)).select(
+            "latest", F.lit(uuid.uuid4().hex).alias("run_id")
+        ).coalesce(1).write.mode("overwrite").parquet(path)
+    row = spark.read.schema("latest timestamp_ntz, run_id string").parquet(path).head()
+    return row.run_id or "run", row.latest
 
 
 def stream_ingest(
@@ -112,12 +148,18 @@ def stream_ingest(
     """Ingest the dump files that have arrived and stop; run again for later ones.
 
     Start a new checkpoint for each run that should take a new late bound. The versions
-    written are named by run and micro-batch.
+    written are named by `run`, an id of the checkpoint and the micro-batch, so no two runs
+    share one. Unreadable items are kept at rejects_dir; a micro-batch without a readable
+    post publishes nothing.
     """
-    bound = _fixed_bound(spark, archive_dir, checkpoint)
+    run_id, bound = _run_state(spark, archive_dir, checkpoint)
 
     def apply(items: DataFrame, batch_id: int) -> None:
-        apply_items(items.sparkSession, items, archive_dir, f"{run}-{batch_id}", bound or NO_BOUND)
+        version = f"{run}-{run_id}-{batch_id}"
+        try:
+            apply_items(items.sparkSession, items, archive_dir, version, bound or NO_BOUND)
+        except EmptyBatchError:
+            pass  # its unreadable items are kept, and there is nothing to publish
 
     return (
         stream_raw_items(spark, in_dir)

@@ -10,7 +10,8 @@ from postlake.operators.incremental import NO_BOUND
 from postlake.operators.joins import MAX_BROADCAST_HITS
 from postlake.schemas import POSTS
 from postlake.sources.archive import current_version
-from postlake.streaming.ingest import GapError
+from postlake.sources.archive import VersionError
+from postlake.streaming.ingest import EmptyBatchError, GapError, rejects_dir
 from pyspark.sql import functions as F
 
 
@@ -215,6 +216,65 @@ def test_stream_equals_batch(spark, few, tmp_path, empty):
     assert "30" in {r.post_id for r in P.read_posts(spark, str(tmp_path / "stream")).collect()}
 
 
+def test_two_runs_and_a_later_dump_with_low_sequences(spark, few, tmp_path):
+    archive, inbox = str(tmp_path / "archive"), tmp_path / "inbox"
+    P.write_posts(few, archive, "start")
+    dump(inbox, "2025-09-28-p1.txt", 1, ("1", "old", day(1), 3), ("50", "one", day(20), 1))
+    P.stream_ingest(spark, str(inbox), archive, str(tmp_path / "day1")).awaitTermination()
+    dump(inbox, "2025-09-29-p0.txt", 0, ("1", "new", day(1), 9), ("51", "two", day(21), 1))
+    P.stream_ingest(spark, str(inbox), archive, str(tmp_path / "day2")).awaitTermination()
+    got = {r.post_id: r.content for r in P.read_posts(spark, archive).collect()}
+    assert got["1"] == "new" and {"50", "51"} <= set(got)
+    # Both days at once: the later job wins although its sequences are lower.
+    batch = P.dedupe_last(P.decode_items(P.read_raw_items(spark, str(inbox)))[0])
+    assert {r.post_id: r.content for r in batch.collect()}["1"] == "new"
+
+
+def test_unreadable_items_are_kept(spark, few, tmp_path):
+    archive, inbox = str(tmp_path / "archive"), tmp_path / "inbox"
+    P.write_posts(few, archive, "start")
+    dump(inbox, "a.txt", 0, ("1", "good", day(1), 3), ("2", "bad", day(1), "many"))
+    row = P.daily_update(spark, str(inbox), archive, "v").head()
+    assert row.n_rejected == 1
+    kept = spark.read.parquet(rejects_dir(archive, "v")).collect()
+    assert [(r.post_id, r.problem) for r in kept] == [("2", "like_count")]
+    P.stream_ingest(spark, str(inbox), archive, str(tmp_path / "progress")).awaitTermination()
+    version = current_version(spark, archive)
+    assert spark.read.parquet(rejects_dir(archive, version)).count() == 1
+
+
+def test_empty_batch_is_refused(spark, few, tmp_path):
+    archive, inbox = str(tmp_path / "archive"), tmp_path / "inbox"
+    P.write_posts(few, archive, "start")
+    dump(inbox, "a.txt", 0)
+    for call in (P.batch_ingest, P.daily_update):
+        with pytest.raises(EmptyBatchError):
+            call(spark, str(inbox), archive, "v")
+    P.stream_ingest(spark, str(inbox), archive, str(tmp_path / "progress")).awaitTermination()
+    assert current_version(spark, archive) == "start"
+
+
+def test_dry_run_refuses_a_gap(spark, few, tmp_path):
+    archive = str(tmp_path / "archive")
+    P.write_posts(few, archive, "start")
+    dump(tmp_path / "inbox", "a.txt", 0, ("77", "far", day(20), 3))
+    with pytest.raises(GapError):
+        P.daily_update(spark, str(tmp_path / "inbox"), archive, "v", dry_run=True)
+
+
+def test_two_writers(spark, few, tmp_path):
+    archive = str(tmp_path / "archive")
+    P.write_posts(few, archive, "v1", base=None)
+    P.write_posts(few, archive, "v2", base="v1")
+    with pytest.raises(VersionError, match="v2 is current"):
+        P.write_posts(few, archive, "v3", base="v1")
+    for old in ("v1", "v2"):
+        with pytest.raises(VersionError, match="was published"):
+            P.write_posts(few, archive, old)
+    P.write_posts(few, archive, "v3", base="v2")
+    assert current_version(spark, archive) == "v3"
+
+
 def test_daily_update_reports(spark, few, tmp_path):
     inbox, archive = tmp_path / "inbox", str(tmp_path / "archive")
     dump(inbox, "a.txt", 0, ("1", "first", day(1), 3), ("20", "new", day(10), 4), ("21", "late", day(2), 4))
