@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, functions as F
 from postlake.functions.text import clean_markup
 from postlake.functions.times import time_text
 
-# Hits up to this many rows (three short columns each, some 10 MB) are broadcast.
+# Hits up to this many rows are broadcast if they have short columns only (some 10 MB); what
+# else a hit carries has no known size, and Spark goes by the size it finds.
 MAX_BROADCAST_HITS = 100_000
+SHORT_COLUMNS = {"query_id", "post_id", "score", "rank", "method"}
 
 
 def _bounded(hits: DataFrame, max_hits: int | None) -> DataFrame:
     """`max_hits` is a bound the caller has proved, such as queries x hits per query."""
-    return F.broadcast(hits) if max_hits is not None and max_hits <= MAX_BROADCAST_HITS else hits
+    small = max_hits is not None and max_hits <= MAX_BROADCAST_HITS and set(hits.columns) <= SHORT_COLUMNS
+    return F.broadcast(hits) if small else hits
 
 
 def lookup_ids(posts: DataFrame, ids: DataFrame) -> DataFrame:

@@ -20,9 +20,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SCORES = "query_id string, post_id string, score double"
 SCORE_FIELDS = [("query_id", pa.string()), ("post_id", pa.string()), ("score", pa.float64())]
 
-# Query tables up to this many rows travel with the tasks (some 8 MB at 256 dimensions);
-# larger ones are cut into blocks of this size and joined.
+# Query tables up to this many rows and bytes travel with the tasks; larger ones are cut into
+# blocks of this size and joined.
 MAX_CARRIED_QUERIES = 4_096
+MAX_CARRIED_BYTES = 16_000_000
+
+# Scores worked on at a time by a task, in double (some 16 MB, and a few copies of it).
+SCORES_AT_A_TIME = 2_000_000
 
 # Vectors per group on the joined path.
 SHARD_ROWS = 200_000
@@ -76,6 +80,33 @@ def _score_table(query_ids, query_rows, vectors: pa.Table, n: int) -> pa.Table:
     )
 
 
+def _keep_best(table: pa.Table, n: int) -> pa.Table:
+    """The n best rows per query of scores gathered from several parts."""
+    frame = table.to_pandas().sort_values(["query_id", "score", "post_id"], ascending=[True, False, True], kind="stable")
+    return pa.Table.from_pandas(frame.groupby("query_id", sort=False).head(n), pa.schema(SCORE_FIELDS), preserve_index=False)
+
+
+def _score_parts(query_ids, query_rows, vectors: pa.Table, n: int):
+    """Score tables of a table of any size, part by part; for a top-n one table with the best
+    found so far, which never holds more than two rounds of n rows per query."""
+    step = max(1, SCORES_AT_A_TIME // max(1, len(query_ids)))
+    best = None
+    for at in range(0, vectors.num_rows, step):
+        part = _score_table(query_ids, query_rows, vectors.slice(at, step), n)
+        if n < 0:
+            yield part
+        else:
+            best = part if best is None else _keep_best(pa.concat_tables([best, part]), n)
+    if best is not None:
+        yield best
+
+
+def _block_rows(vectors: DataFrame) -> int:
+    """Rows of a block of queries, by the width of a vector."""
+    widest = vectors.select(F.max(F.size("embedding"))).head()[0] or 1
+    return max(1, min(MAX_CARRIED_QUERIES, MAX_CARRIED_BYTES // (8 * max(1, widest))))
+
+
 def vector_scores(query_vectors: DataFrame, vectors: DataFrame, n: int = -1) -> DataFrame:
     """(query_id, post_id, score) of every pair, or of at least the n best per query.
 
@@ -83,10 +114,11 @@ def vector_scores(query_vectors: DataFrame, vectors: DataFrame, n: int = -1) ->
     """
     queries = query_vectors.select(F.col("query_id").cast("string"), "embedding")
     posts = vectors.select(F.col("post_id").cast("string"), "embedding")
-    carried = queries.limit(MAX_CARRIED_QUERIES + 1).toArrow()
-    if carried.num_rows <= MAX_CARRIED_QUERIES:
+    block = _block_rows(queries)
+    carried = queries.limit(block + 1).toArrow()
+    if carried.num_rows <= block:
         return _scores_carried(carried, posts, n)
-    return _scores_joined(queries, posts, n)
+    return _scores_joined(queries, posts, n, block)
 
 
 def _scores_carried(queries: pa.Table, posts: DataFrame, n: int) -> DataFrame:
@@ -95,12 +127,13 @@ def _scores_carried(queries: pa.Table, posts: DataFrame, n: int) -> DataFrame:
 
     def score(batches):
         for batch in batches:
-            yield from _score_table(query_ids, query_rows, pa.Table.from_batches([batch]), n).to_batches()
+            for part in _score_parts(query_ids, query_rows, pa.Table.from_batches([batch]), n):
+                yield from part.to_batches()
 
     return posts.mapInArrow(score, SCORES)
 
 
-def _scores_joined(queries: DataFrame, posts: DataFrame, n: int, block=MAX_CARRIED_QUERIES,
+def _scores_joined(queries: DataFrame, posts: DataFrame, n: int, block: int,
                    shard=SHARD_ROWS) -> DataFrame:
     """Both sides laid out on a grid of vector shards x query blocks. Shards and blocks go
     by hash, so their sizes are even whatever the data."""
@@ -118,7 +151,8 @@ def _scores_joined(queries: DataFrame, posts: DataFrame, n: int, block=MAX_CARRI
     def score(post_table, query_table):
         query_rows, mask = _unit_matrix(query_table["embedding"])
         query_ids = query_table["query_id"].to_numpy(zero_copy_only=False)[mask]
-        return _score_table(query_ids, query_rows, post_table, n)
+        parts = list(_score_parts(query_ids, query_rows, post_table, n))
+        return pa.concat_tables(parts) if parts else pa.schema(SCORE_FIELDS).empty_table()
 
     return (
         left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(score, SCORES)

@@ -40,12 +40,11 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbered posts for work on the texts. A lone file may be a single row group, hence a
-    single task; its rows are then spread over the cores first."""
+    """Numbered posts for work on the texts. A table that gives fewer tasks than there are
+    cores is spread over the cores first, wherever it is stored."""
     rows = numbered_posts(spark, sf_dir)
-    if os.path.isfile(os.path.join(sf_dir, "documents.parquet")):
-        return rows.repartition(spark.sparkContext.defaultParallelism)
-    return rows
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,11 +129,20 @@ def _item() -> Column:
     )
 
 
-def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def later_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of a later job, whose sequences begin at 0 again: some posts with more likes."""
+    rows = text_posts(spark, sf_dir).where("doc_id % 4 = 1").withColumn("like_count", F.col("like_count") + 5)
+    return rows.select(
+        F.lit(0).cast("bigint").alias("sequence"), F.lit(0).alias("chunk"), F.col("doc_id").cast("int").alias("pos"),
+        _item().alias("item_json"),
+    )
+
+
+def envelopes(items: DataFrame) -> DataFrame:
     """One JSON envelope per page of 100 items, in a single text column."""
     page = F.floor(F.col("pos") / 100)
     pages = (
-        raw_items(spark, sf_dir)
+        items
         .groupBy("sequence", page.alias("page"))
         .agg(F.sort_array(F.collect_list(F.struct("pos", "item_json"))).alias("items"))
     )

@@ -427,6 +427,27 @@ SELECT {SHOWN} FROM (
   UNION ALL
   SELECT post_id, content, created_at, like_count, repost_count, reply_count, view_count, is_reply, is_repost, is_quote,
     reply_to_post_id FROM applied)""")
+put("stream_ingest_two_days", DECODED + """,
+archive AS (SELECT * EXCLUDE (doc_id, lang, source) FROM numbered WHERE doc_id % 5 <> 4),
+applied AS (
+  SELECT * FROM last_sent WHERE post_id IN (SELECT post_id FROM archive)
+    OR coalesce(created_at >= (SELECT max(created_at) FROM archive), FALSE)),
+first_day AS (
+  SELECT * FROM archive WHERE post_id NOT IN (SELECT post_id FROM applied) UNION ALL BY NAME SELECT * FROM applied),
+later AS (
+  SELECT * EXCLUDE (sequence) REPLACE (like_count + 5 AS like_count) FROM decoded
+  WHERE sequence = 0 AND CAST(post_id AS BIGINT) % 4 = 1),
+applied_later AS (
+  SELECT * FROM later WHERE post_id IN (SELECT post_id FROM first_day)
+    OR coalesce(created_at >= (SELECT max(created_at) FROM first_day), FALSE))""", f"""
+SELECT {SHOWN} FROM (
+  SELECT * FROM first_day WHERE post_id NOT IN (SELECT post_id FROM applied_later)
+  UNION ALL BY NAME SELECT * FROM applied_later)""")
+put("topk_every_hit", POSTS, """
+SELECT lang AS query_id, post_id, CAST(like_count AS DOUBLE) AS score,
+  CAST(row_number() OVER (PARTITION BY lang, n ORDER BY like_count DESC, post_id) AS INTEGER) AS rank, n
+FROM numbered CROSS JOIN (SELECT 'all' AS n UNION ALL SELECT '5000') WHERE TRUE
+QUALIFY n = 'all' OR row_number() OVER (PARTITION BY lang, n ORDER BY like_count DESC, post_id) <= 5000""")
 put("archive_check", BATCH + """,
 faulty AS (
   SELECT * REPLACE (reply_count - 1 AS reply_count,

@@ -61,7 +61,7 @@ def scan_archive(spark, sf_dir):
 @query
 def scan_raw_items(spark, sf_dir):
     path = scratch_path(spark, "dump")
-    X.envelopes(spark, sf_dir).write.text(path)
+    X.envelopes(X.raw_items(spark, sf_dir)).write.text(path)
     return P.read_raw_items(spark, path).select(
         "sequence", F.get_json_object("item_json", "$.id").alias("item_id"),
         F.get_json_object("item_json", "$.payload.rest_id").alias("rest_id"),
@@ -492,11 +492,32 @@ def gap_check(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     dump, archive, checkpoint = (scratch_path(spark, n) for n in ("dump", "archive", "progress"))
     P.write_posts(X.archive(spark, sf_dir), archive, "v1")
-    X.envelopes(spark, sf_dir).write.text(dump)
+    X.envelopes(X.raw_items(spark, sf_dir)).write.text(dump)
     P.stream_ingest(spark, dump, archive, checkpoint).awaitTermination()
     return shown(P.read_posts(spark, archive))
 
 
+@query
+def stream_ingest_two_days(spark, sf_dir):
+    """Two runs with a checkpoint each; the second finds the files of both days."""
+    dump, archive = scratch_path(spark, "dump"), scratch_path(spark, "archive")
+    P.write_posts(X.archive(spark, sf_dir), archive, "v1")
+    for day, items in (("2025-09-28", X.raw_items(spark, sf_dir)), ("2025-09-29", X.later_items(spark, sf_dir))):
+        X.envelopes(items).write.text(f"{dump}/{day}")
+        P.stream_ingest(spark, f"{dump}/*", archive, scratch_path(spark, "progress")).awaitTermination()
+    return shown(P.read_posts(spark, archive))
+
+
+@query
+def topk_every_hit(spark, sf_dir):
+    scored = X.numbered_posts(spark, sf_dir).select(
+        F.col("lang").alias("query_id"), "post_id", F.col("like_count").cast("double").alias("score")
+    )
+    return P.topk(scored, -1).withColumn("n", F.lit("all")).unionByName(
+        P.topk(scored, 5_000).withColumn("n", F.lit("5000"))
+    )
+
+
 @query
 def archive_check(spark, sf_dir):
     # Rows of two tables under one key, so that every rule has something to find.

@@ -187,7 +187,9 @@ def test_vector_search_equals_brute_force(spark, vectors, monkeypatch, limit):
     rows, frame = vectors
     monkeypatch.setattr(V, "MAX_CARRIED_QUERIES", limit)
     if limit == 0:
-        monkeypatch.setattr(V, "_scores_joined", lambda q, p, n, f=V._scores_joined: f(q, p, n, block=2, shard=30))
+        joined = V._scores_joined
+        monkeypatch.setattr(V, "_scores_joined", lambda q, p, n, _: joined(q, p, n, block=2, shard=30))
+        monkeypatch.setattr(V, "SCORES_AT_A_TIME", 16)
     asked = [(f"q{i}", rows[i][1]) for i in range(5)]
     got = P.vector_search(spark.createDataFrame(asked, "query_id string, embedding array<float>"), frame, 6).collect()
     for query_id, ranked in brute(rows, asked).items():
