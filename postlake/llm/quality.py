@@ -159,18 +159,17 @@ def ablations(rows: DataFrame, policy: Policy, rules=None) -> DataFrame:
     """Per rule of a policy: documents that fail it, that fail it alone, and that would be
     kept without it. Reads the ledger only."""
     known = {rule.name: rule.bit for rule in rules or RULES}
-    spark = rows.sparkSession
     patterns = rows.groupBy(
         F.col("fail_bits").bitwiseAND(F.lit(policy.mask(rules)).cast("bigint")).alias("bits")
     ).agg(F.count("*").alias("n"))
-    listed = spark.createDataFrame(
-        [(name, 1 << known[name]) for name in policy.rules], "rule string, bit bigint"
-    )
-    # A policy has at most 63 rules, so the list is broadcast whatever the data.
+    # Few rows by now: each pattern is looked at under every rule.
+    listed = F.array(*[
+        F.struct(F.lit(name).alias("rule"), F.lit(1 << known[name]).cast("bigint").alias("bit")) for name in policy.rules
+    ])
     hit = F.col("bits").bitwiseAND(F.col("bit"))
     rest = F.col("bits").bitwiseAND(F.bitwise_not("bit"))
     return (
-        patterns.join(F.broadcast(listed), (hit != 0) | (F.col("bits") == 0))
+        patterns.select("bits", "n", F.explode(listed).alias("r")).select("bits", "n", "r.rule", "r.bit")
         .groupBy("rule")
         .agg(
             F.sum(F.when(hit != 0, F.col("n")).otherwise(0)).alias("n_failed"),
