@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from postlake.llm.eliasfano import Trie
 from postlake.llm.words import U, mix, text_chunks, word_hashes
-from postlake.session import stage
+from postlake.session import drop_stage, stage
 
 #: Weight of the unigram model, in tokens.
 MU = 100.0
@@ -43,7 +43,7 @@ MU = 100.0
 STEPS = 4_096
 ABSENT = 65_535
 #: Tokens of a block, distinct entries of a shard, and training tokens of a context per shard.
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_500_000
 SHARD_ENTRIES = 1_000_000
 CONTEXT_TOKENS = 500_000
 #: Stands for the end of a text; no word is hashed to it but by chance.
@@ -53,18 +53,27 @@ BLOCKS = "block bigint, doc_ids array<bigint>, trained array<boolean>, lengths a
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    """32-bit numbers, byte planes apart, compressed."""
+    """Whole numbers of 32 or 64 bits, byte planes apart, compressed."""
     import zstandard
 
-    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    width = 8 if len(numbers) and int(numbers.max()) >= 2**32 else 4
+    planes = np.ascontiguousarray(numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
     import zstandard
 
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8)
+    return np.ascontiguousarray(planes.reshape(data[0], -1).T).view(f"<u{data[0]}").ravel().astype(np.int64)
+
+
+def pack_rising(numbers: np.ndarray) -> bytes:
+    return pack(np.diff(numbers, prepend=0))
+
+
+def unpack_rising(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data))
 
 
 def _block_row(block: int, ids: list, trained: list, hashes: list) -> pa.RecordBatch:
@@ -141,8 +150,9 @@ def _number_words(asked: pd.DataFrame) -> pd.DataFrame:
     # The same figures stand in each row of the shard; they are read once per shard.
     return pd.DataFrame({
         "block": asked["block"], "shard": asked["shard"],
-        "numbers": [pack(x) for x in np.split(numbers[places].astype(np.uint32), cuts)],
-        "counts": [x.tobytes() for x in np.split(counts[places], cuts)],
+        # A word that was never trained has the number of the one before it, and count 0.
+        "numbers": [pack_rising(x) for x in np.split(np.maximum(numbers, 0)[places], cuts)],
+        "counts": [pack(x) for x in np.split(counts[places], cuts)],
         "n_words": int((counts > 0).sum()), "n_tokens": int(counts.sum()),
     })
 
@@ -152,16 +162,14 @@ def _numbered(firsts: dict):
 
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         answers = answers.sort_values("shard")
-        out = blocks.drop(columns="words")
-        numbers, counts = [], []
+        numbers, counts, none = [], [], np.zeros(0, np.int64)
         for block in blocks["block"]:
             own = answers[answers["block"] == block]
-            none = np.zeros(0, np.int64)
-            numbers.append(np.concatenate([none, *(
-                unpack(x).astype(np.int64) + firsts[s] for x, s in zip(own["numbers"], own["shard"])
-            )]).tobytes())
-            counts.append(np.concatenate([none, *(np.frombuffer(x, np.int64) for x in own["counts"])]).tobytes())
-        return out.assign(numbers=numbers, counts=counts)
+            numbers.append(pack_rising(np.concatenate([none, *(
+                unpack_rising(x) + firsts[s] for x, s in zip(own["numbers"], own["shard"])
+            )])))
+            counts.append(pack(np.concatenate([none, *map(unpack, own["counts"])])))
+        return blocks.assign(numbers=numbers, counts=counts)
 
     return run
 
@@ -170,12 +178,16 @@ def _pairs(row) -> tuple:
     """Of a block: (place of each token's pair, contexts and words of the distinct pairs as
     places in the block's words, training count of each). Pairs come in order."""
     tokens = unpack(row["tokens"]).astype(U)
+    weights = _token_weights(row)
     lengths = np.asarray(row["lengths"], np.int64)
     before = np.concatenate([tokens[:1], tokens[:-1]])
     # The last token of any text is its end, which is the context of the first.
     before[np.cumsum(lengths) - lengths] = tokens[-1]
-    distinct, places = np.unique((before << U(32)) | tokens, return_inverse=True)
-    counts = np.bincount(places, weights=_token_weights(row), minlength=len(distinct)).astype(np.int64)
+    before <<= U(32)
+    before |= tokens
+    del tokens
+    distinct, places = np.unique(before, return_inverse=True)
+    counts = np.bincount(places, weights=weights, minlength=len(distinct)).astype(np.int64)
     return places, (distinct >> U(32)).astype(np.int64), (distinct & U(0xFFFFFFFF)).astype(np.int64), counts
 
 
@@ -192,16 +204,16 @@ def _ask_pairs(shards: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                numbers, counts = np.frombuffer(row["numbers"], np.int64), np.frombuffer(row["counts"], np.int64)
+                numbers, counts = unpack_rising(row["numbers"]), unpack(row["counts"])
                 _, contexts, words, seen = _pairs(row)
                 for shard, own in _cuts(_pair_shards(contexts, words, numbers, counts, shards) , shards):
                     head = np.flatnonzero(np.diff(contexts[own], prepend=-1))
                     yield pa.RecordBatch.from_pydict({
                         "shard": pa.array([shard], pa.int64()), "block": pa.array([row["block"]], pa.int64()),
-                        "contexts": [numbers[contexts[own][head]].tobytes()],
-                        "totals": [counts[contexts[own][head]].tobytes()],
+                        "contexts": [pack_rising(numbers[contexts[own][head]])],
+                        "totals": [pack(counts[contexts[own][head]])],
                         "runs": [pack(np.diff(np.append(head, len(own))))],
-                        "words": [numbers[words[own]].astype("<u4").tobytes() if numbers.max() < 2**32 else numbers[words[own]].tobytes()],
+                        "words": [pack(numbers[words[own]])],
                         "seen": [pack(seen[own])],
                     })
 
@@ -214,26 +226,30 @@ def _quantise(p: np.ndarray) -> np.ndarray:
 
 def _answer_pairs(asked: pd.DataFrame) -> pd.DataFrame:
     """Builds the shard's trie in files, maps them, and answers every block from it."""
-    wide = [len(w) // max(1, len(unpack(s))) for w, s in zip(asked["words"], asked["seen"])]
-    words = [np.frombuffer(x, np.int64 if w == 8 else "<u4").astype(np.int64) for x, w in zip(asked["words"], wide)]
-    contexts = [np.frombuffer(x, np.int64) for x in asked["contexts"]]
-    runs = [unpack(x).astype(np.int64) for x in asked["runs"]]
+    words, runs = [unpack(x) for x in asked["words"]], [unpack(x) for x in asked["runs"]]
+    contexts = [unpack_rising(x) for x in asked["contexts"]]
     known, ranks = np.unique(np.concatenate(contexts), return_inverse=True)
     totals = np.zeros(len(known), np.int64)
-    totals[ranks] = np.concatenate([np.frombuffer(x, np.int64) for x in asked["totals"]])
+    totals[ranks] = np.concatenate([unpack(x) for x in asked["totals"]])
     ranks, all_words = np.repeat(ranks, np.concatenate(runs)), np.concatenate(words)
     order = np.lexsort((all_words, ranks))
     ranks, all_words = ranks[order], all_words[order]
-    first = np.flatnonzero((np.diff(ranks, prepend=-1) != 0) | (np.diff(all_words, prepend=-1) != 0))
-    counts = np.add.reduceat(np.concatenate([unpack(x) for x in asked["seen"]]).astype(np.int64)[order], first)
+    new = (np.diff(ranks, prepend=-1) != 0) | (np.diff(all_words, prepend=-1) != 0)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    ranks, all_words = ranks[new], all_words[new]
+    counts = np.bincount(place, weights=np.concatenate([unpack(x) for x in asked["seen"]])).astype(np.int64)
     trained = counts > 0
-    ranks, all_words, counts = ranks[first][trained], all_words[first][trained], counts[trained]
-    own, sizes = np.unique(ranks, return_counts=True)
+    own, sizes = np.unique(ranks[trained], return_counts=True)
+    asked_for, asked_sizes = np.unique(ranks, return_counts=True)
     with tempfile.TemporaryDirectory() as folder:
-        Trie.save(folder, known[own], sizes, all_words, _quantise(counts / (totals[ranks] + MU)))
+        kept = _quantise(counts[trained] / (totals[ranks[trained]] + MU))
+        Trie.save(folder, known[own], sizes, all_words[trained], kept)
         trie = Trie(folder)
-        codes = [trie.query(c, r, w, ABSENT).tobytes() for c, r, w in zip(contexts, runs, words)]
+        # Every distinct pair is looked for once, in order; blocks share the answers.
+        found = trie.query(known[asked_for], asked_sizes, all_words, ABSENT)
         del trie
+    codes = [x.tobytes() for x in np.split(found[place], np.cumsum([len(w) for w in words])[:-1])]
     return pd.DataFrame({"block": asked["block"], "shard": asked["shard"], "codes": codes})
 
 
@@ -241,7 +257,7 @@ def _score(n_tokens: int, n_words: int, shards: int):
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in blocks.to_dict("records"):
-            numbers, counts = np.frombuffer(row["numbers"], np.int64), np.frombuffer(row["counts"], np.int64)
+            numbers, counts = unpack_rising(row["numbers"]), unpack(row["counts"])
             places, contexts, words, _ = _pairs(row)
             codes = np.full(len(contexts), ABSENT, np.uint16)
             own = answers[answers["block"] == row["block"]].set_index("shard")["codes"]
@@ -287,13 +303,14 @@ def score_texts(docs: DataFrame, trained) -> DataFrame:
         firsts[shard] = n_words
         n_words, n_tokens = n_words + more_words, n_tokens + more_tokens
     numbered = stage(
-        blocks.groupBy("block").cogroup(answers.drop("n_words", "n_tokens").groupBy("block")).applyInPandas(
+        blocks.drop("words").groupBy("block").cogroup(answers.drop("n_words", "n_tokens").groupBy("block")).applyInPandas(
             _numbered(firsts),
             "block bigint, doc_ids array<bigint>, trained array<boolean>, lengths array<bigint>, tokens binary, "
             "numbers binary, counts binary",
         ),
         "numbered-blocks",
     )
+    drop_stage(blocks, answers)
     pairs = numbered.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] or 0
     shards = _shards(int(pairs))
     codes = numbered.mapInArrow(
