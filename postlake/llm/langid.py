@@ -8,8 +8,8 @@ temperature, fitted on the fifth of the sample that the weights have not seen, m
 probabilities (Guo et al., 2017).
 
 What covers what: document frequencies and languages come from all training documents; the
-weights from a sample of at most `SAMPLE_ROWS` of them, drawn evenly over languages, whole
-texts, read by the driver. Every document is scored on its whole text, in pieces.
+weights from a sample of about `SAMPLE_ROWS` of them and never more than twice as many, drawn
+evenly over languages, whole texts, read by the driver. Every document is scored on its whole text, in pieces.
 
 Edge cases: a text that is null or has no letter is `und` with score 0; without any training
 document every text is `und`. A null id passes through and, like a null language, is not
