@@ -1,9 +1,11 @@
 """Connected components of links, without gathering a component anywhere.
 
-Links are first contracted inside each partition (a forest has fewer links than nodes), then
+Links are first contracted inside each partition (a forest has fewer links than nodes and
+points to its least node, so nodes at the far end of many links are no hot keys), then
 large-star and small-star steps (Kiveris et al., 2014) alternate until nothing changes. Each
-step is an aggregation for the least neighbour and a join with it, so a node with very many
-links is an ordinary skewed key. Every step is written to the shared folder: lost executors
+step is an aggregation for the least neighbour and a join with it. Links always point from
+the greater id to the lesser, so a node that very many link with is a hot key of one join
+only, whose sides are plain tables that Spark splits where they are skewed. Every step is written to the shared folder: lost executors
 lose nothing, and plans stay short.
 """
 
@@ -73,17 +75,22 @@ def connected_components(links: DataFrame, name="components") -> DataFrame:
     Links of a node with itself and null ends are ignored; repeated links do no harm.
     """
     links = links.select(F.col("a").cast("bigint"), F.col("b").cast("bigint")).where("a <> b")
-    links = stage(links.mapInArrow(_contract, LINKS), name)
+    # Once where the links are, once where all links of a node are: few are left of many.
+    near = links.mapInArrow(_contract, LINKS)
+    links = stage(near.repartition("a").mapInArrow(_contract, LINKS), name)
     mark = _mark(links)
     while mark[0]:
-        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.where("a <> b").distinct()
-        down = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(down, "a").select(
-            F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("x")
-        ).select("x.a", "x.b").where("a <> b").distinct()
+        # Large star: what points to b points to b's least neighbour instead. A node that
+        # nothing precedes has no row in `low`; written first, the join's hot side can split.
+        low = stage(links.groupBy("a").agg(F.min("b").alias("low")), name)
+        large = links.join(low.select(F.col("a").alias("b"), "low"), "b", "left").select(
+            "a", F.coalesce("low", "b").alias("b")
+        ).distinct()
+        # Small star: a and all it points to point to the least of them.
+        least = large.groupBy("a").agg(F.min("b").alias("low"))
+        small = large.join(least, "a").select(F.explode(F.array(
+            F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b"))
+        )).alias("x")).select("x.a", "x.b").where("a <> b").distinct()
         links = stage(small, name)
         new = _mark(links)
         if new == mark:
