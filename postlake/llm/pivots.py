@@ -6,8 +6,12 @@ Inverted lists (pivot -> vectors with it in their head) bring vectors together;
 share enough pivots are verified by cosine in double precision.
 
 Layout: pivots are a bounded sample of the distinct vectors (`N_PIVOTS`, the only thing that
-is sent to every task); every vector is indexed. Equal vectors are one class and are counted,
-never paired. An inverted list too long for one task is cut into blocks, and pairs of blocks
+is sent to every task); every vector is indexed. Where one group of near copies would fill its
+members' lists with pivots of its own, whose order among close vectors is chance, pivots are
+thinned until the sample's own links share enough of them (`RECALL`): the group then shares
+its few pivots and is told apart by those outside. A table that is one such group keeps few
+pivots and long lists, down to comparing all pairs. Equal vectors are one class and are
+counted, never paired. An inverted list too long for one task is cut into blocks, and pairs of blocks
 are the units of work. A pair of vectors is looked at in the list of its lowest shared pivot
 only. Units give the number of links of each vector and a spanning forest of the links.
 
@@ -32,6 +36,11 @@ N_PIVOTS = 256
 #: Length of the head of each ordered list, and pivots that a pair must share.
 HEAD = 10
 SHARED = 2
+#: Vectors read to choose pivots from, the share of their links that must be found with the
+#: pivots chosen, and the bounds tried for the cosine of two pivots, in steps of 1 - cosine.
+CANDIDATES = 1_024
+RECALL = 0.99
+THINNINGS = 6
 BLOCK = 2_048
 WORDS = N_PIVOTS // 64
 
@@ -91,7 +100,7 @@ def _bits(heads) -> np.ndarray:
     return out
 
 
-def _search(cosine: float):
+def _search(cosine: float, least: int):
     def run(unit: pd.DataFrame) -> pd.DataFrame:
         pivot = int(unit["pivot"].iloc[0])
         ids, copies = unit["vec_id"].to_numpy(), unit["copies"].to_numpy()
@@ -111,7 +120,7 @@ def _search(cosine: float):
             for word in range(WORDS):
                 shared += np.bitwise_count(bits[some, word][:, None] & bits[right, word])
                 first &= (lower[some, word][:, None] & lower[right, word]) == 0
-            asked = first & (shared >= SHARED)
+            asked = first & (shared >= least)
             if not crossed:
                 asked &= some[:, None] < right
             x, y = np.flatnonzero(asked.any(axis=1)), np.flatnonzero(asked.any(axis=0))
@@ -138,12 +147,61 @@ def _search(cosine: float):
     return run
 
 
-def choose_pivots(classes: DataFrame) -> list:
-    """A bounded sample: the vectors least by a hash of their id, at most N_PIVOTS per width."""
+def _thinned(sample: np.ndarray, bound: float) -> np.ndarray:
+    """The first N_PIVOTS vectors of the sample of which no two reach the bound."""
+    kept, free = [], np.ones(len(sample), bool)
+    for i in range(len(sample)):
+        if free[i] and len(kept) < N_PIVOTS:
+            kept.append(i)
+            free &= sample @ sample[i] < bound
+    return sample[kept]
+
+
+def _sample_links(sample: np.ndarray, cosine: float) -> list:
+    """Pairs to try pivots on, each as two tables of vectors and two arrays of places: the links
+    within the sample, and its vectors turned to the bound towards random mixtures of it."""
+    i, j = np.nonzero(np.triu(sample @ sample.T >= cosine, 1))
+    out = [(sample, sample, i, j)] if len(i) else []
+    mixed = np.random.default_rng(7).normal(size=(len(sample), len(sample))) @ sample
+    mixed -= (mixed * sample).sum(axis=1)[:, None] * sample
+    length = np.sqrt((mixed * mixed).sum(axis=1))
+    own = sample[length > 1e-6]
+    if len(own):
+        turned = cosine * own + np.sqrt(max(0.0, 1 - cosine * cosine)) * mixed[length > 1e-6] / length[length > 1e-6][:, None]
+        out.append((own, turned, np.arange(len(own)), np.arange(len(own))))
+    return out
+
+
+def _recall(pivots: np.ndarray, links: list) -> float:
+    """The share of links that have enough pivots in common, of the kind that has least."""
+    def marks(rows):
+        out = np.zeros((len(rows), len(pivots)), np.float32)
+        np.put_along_axis(out, np.argsort(-(rows @ pivots.T), axis=1, kind="stable")[:, :HEAD], 1, axis=1)
+        return out
+
+    return min(((marks(a) @ marks(b).T)[i, j] >= min(SHARED, len(pivots))).mean() for a, b, i, j in links) if links else 1.0
+
+
+def spread_pivots(sample: np.ndarray, cosine: float) -> np.ndarray:
+    """The most pivots of the sample with which its links are found; if none will do, the best."""
+    links, best = _sample_links(sample, cosine), None
+    for step in range(THINNINGS + 1):
+        # The first does not thin.
+        pivots = _thinned(sample, 1 - step * (1 - cosine)) if step else sample[:N_PIVOTS]
+        found = _recall(pivots, links)
+        if best is None or found > best[0]:
+            best = found, pivots
+        if found >= RECALL:
+            break
+    return best[1]
+
+
+def choose_pivots(classes: DataFrame, cosine: float) -> list:
+    """At most N_PIVOTS per width, from a bounded sample: the vectors least by a hash of their id."""
     widths = [r[0] for r in classes.select(F.size("embedding").alias("w")).distinct().orderBy("w").limit(N_PIVOTS).collect()]
     return [
-        (w, unit_rows([r[0] for r in classes.where(F.size("embedding") == w)
-                       .orderBy(F.xxhash64("vec_id"), "vec_id").limit(N_PIVOTS).select("embedding").collect()]))
+        (w, spread_pivots(unit_rows([r[0] for r in classes.where(F.size("embedding") == w)
+                       .orderBy(F.xxhash64("vec_id"), "vec_id").limit(CANDIDATES).select("embedding").collect()]), cosine))
         for w in widths
     ]
 
@@ -152,7 +210,7 @@ def pivot_links(classes: DataFrame, cosine: float) -> DataFrame:
     """(a, b, n_links): forest links between classes (vec_id, copies, embedding), and at a = b
     the number of vectors in other classes linked with a class."""
     found = None
-    for width, pivots in choose_pivots(classes):
+    for width, pivots in choose_pivots(classes, cosine):
         described = classes.where(F.size("embedding") == width).mapInArrow(
             _heads(pivots), "vec_id bigint, copies bigint, embedding array<double>, head array<int>"
         )
@@ -166,7 +224,9 @@ def pivot_links(classes: DataFrame, cosine: float) -> DataFrame:
             F.when(F.col("part") > F.col("other"), 1).otherwise(0).alias("side"),
             "vec_id", "copies", "embedding", "head",
         )
-        part = units.groupBy("pivot", "low", "high").applyInPandas(_search(cosine), "a bigint, b bigint, n_links bigint")
+        part = units.groupBy("pivot", "low", "high").applyInPandas(
+            _search(cosine, min(SHARED, len(pivots))), "a bigint, b bigint, n_links bigint"
+        )
         found = part if found is None else found.union(part)
     return found
 

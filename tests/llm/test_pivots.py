@@ -55,6 +55,19 @@ def test_recall_and_blocks(spark, monkeypatch):
     assert all(a[1] <= b[1] for a, b in zip(got, want))
 
 
+@pytest.mark.parametrize("share", [0.33, 1.0])
+def test_recall_of_a_hot_group(spark, share):
+    """A large share of the rows are distinct near copies of one vector."""
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(1500, 64)) / 8
+    hot = int(1500 * share)
+    vectors[:hot] = np.sqrt(0.97) * vectors[0] / np.linalg.norm(vectors[0]) + np.sqrt(0.03) * vectors[:hot]
+    units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    there = int((units @ units.T >= 0.95).sum()) - len(units)
+    found = sum(r[1] for r in run(spark, list(enumerate(vectors.tolist()))))
+    assert 0.98 * there <= found <= there and there > 100_000
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)]])
 def test_nothing_usable(spark, rows):
     assert run(spark, rows) == [(i, 0, i, True) for i, _ in rows]
