@@ -215,9 +215,10 @@ def divide_skip(sets: list, side: np.ndarray, percent: int):
 
 def _search_units(percent: int):
     def run(unit: pd.DataFrame) -> pd.DataFrame:
-        # Rows that repeat a document are counted among its copies already.
-        unit = unit.drop_duplicates("doc_id")
-        ids = unit["doc_id"].to_numpy()
+        # Rows that repeat a document are counted among its copies already; an id may name
+        # several sets.
+        unit = unit.drop_duplicates(["doc_id", "digest"])
+        ids, digests = unit["doc_id"].to_numpy(), unit["digest"].to_numpy()
         copies = unit["copies"].to_numpy()
         sets = [np.frombuffer(x, U) for x in unit["entries"]]
         a, b, degree = [], [], np.zeros(len(ids), np.int64)
@@ -227,13 +228,13 @@ def _search_units(percent: int):
             degree[i] += copies[partners].sum()
             degree[partners] += copies[i]
         if not a:
-            return pd.DataFrame({"a": [], "b": [], "n_links": []}).astype("int64")
+            return pd.DataFrame(columns=["a", "b", "n_links", "digest"])
         nodes, roots = local_roots(np.concatenate(a), np.concatenate(b))
         linked = degree > 0
         none = np.zeros(int(linked.sum()), np.int64)
         return pd.concat([
-            pd.DataFrame({"a": nodes, "b": roots, "n_links": 0}),
-            pd.DataFrame({"a": ids[linked], "b": ids[linked], "n_links": degree[linked] + none}),
+            pd.DataFrame({"a": nodes, "b": roots, "n_links": 0, "digest": None}),
+            pd.DataFrame({"a": ids[linked], "b": ids[linked], "n_links": degree[linked] + none, "digest": digests[linked]}),
         ])
 
     return run
@@ -321,20 +322,23 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     together = connected_components(
         listed.join(lists, "entry").select(F.col("doc_id").alias("a"), F.col("low").alias("b"))
     )
+    # Sets of one id are in one component, but only links between ids are in `together`.
+    several = heads.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("node"))
+    together = together.union(several.join(together, "node", "left_anti").select("node", F.col("node").alias("component")))
     units = _units(heads, together)
     sets = docs.select(F.col("doc_id").cast("bigint"), "text").join(units, "doc_id").mapInArrow(
         _full_sets(k), "doc_id bigint, digest binary, copies bigint, units array<struct<unit:string,side:int>>, entries binary"
     )
     found = stage(
-        sets.select("doc_id", "copies", "entries", F.explode("units").alias("u"))
-        .select("doc_id", "copies", "entries", "u.unit", "u.side")
-        .groupBy("unit").applyInPandas(_search_units(percent), "a bigint, b bigint, n_links bigint"),
+        sets.select("doc_id", "digest", "copies", "entries", F.explode("units").alias("u"))
+        .select("doc_id", "digest", "copies", "entries", "u.unit", "u.side")
+        .groupBy("unit").applyInPandas(_search_units(percent), "a bigint, b bigint, n_links bigint, digest binary"),
         "links",
     )
     components = connected_components(found.select("a", "b"))
-    degrees = found.where("n_links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n_links").alias("linked"))
+    degrees = found.where("n_links > 0").groupBy("digest").agg(F.sum("n_links").alias("linked"))
     named = classes.join(components, F.col("head") == F.col("node"), "left").drop("node").join(
-        degrees, F.col("head") == F.col("node"), "left"
+        degrees, "digest", "left"
     )
     return rows.join(named.select("digest", "head", "copies", "component", "linked"), "digest", "left").select(
         "doc_id",

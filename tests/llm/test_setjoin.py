@@ -98,3 +98,16 @@ def test_empty_and_removal(spark, empty, hard):
     left = sorted((r.doc_id for r in S.near_duplicates_removed(hard).collect()), key=repr)
     # 2 and 3 repeat 1; 9 repeats 8; the null id stays.
     assert left == sorted([1, 1, 4, 5, 6, 7, 8, 10, 11, 12, 13, None, None], key=repr)
+
+
+def test_an_id_with_several_texts(spark):
+    """Each text of an id has its own links; two of them may link with each other only."""
+    other, third = " ".join(PROSE.split()[::-1]), " ".join(sorted(PROSE.split()))
+    rows = [(5, PROSE), (5, other), (9, other + " end"), (4, PROSE + " end"), (5, PROSE),
+            (7, third), (7, third + " end"), (8, " ".join(sorted(PROSE.split(), key=lambda w: w[::-1])))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in S.jaccard_components(frame, 4, 85).collect())
+    # Links as by brute force; 4 and 9 are joined by their links with texts of 5.
+    want = sorted((i, n, 4 if i in (4, 5, 9) else c, links) for i, n, c, links in brute(rows, 4, 85))
+    assert got == want and [r[3] for r in got if r[0] in (7, 9)] == [1, 1, 1]
+    assert {r.doc_id for r in S.near_duplicates_removed(frame, 4, 85).collect()} == {4, 7, 8}
