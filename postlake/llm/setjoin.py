@@ -220,9 +220,12 @@ def _search_units(percent: int):
         unit = unit.drop_duplicates(["doc_id", "digest"])
         ids, digests = unit["doc_id"].to_numpy(), unit["digest"].to_numpy()
         copies = unit["copies"].to_numpy()
+        side = unit["side"].to_numpy()
+        # A pair of blocks of which the higher has no set; the lower is a unit of its own too.
+        alone = bool(unit["pair"].iloc[0]) and not side.any()
         sets = [np.frombuffer(x, U) for x in unit["entries"]]
         a, b, degree = [], [], np.zeros(len(ids), np.int64)
-        for i, partners, _ in divide_skip(sets, unit["side"].to_numpy(), percent):
+        for i, partners, _ in () if alone else divide_skip(sets, side, percent):
             a.append(np.full(len(partners), ids[i]))
             b.append(ids[partners])
             degree[i] += copies[partners].sum()
@@ -266,7 +269,8 @@ def _shard_count(n: int) -> int:
 
 
 def _units(classes: DataFrame, components: DataFrame) -> DataFrame:
-    """(doc_id, digest, copies, unit, side): where each class is searched."""
+    """(doc_id, digest, copies, units): where each class is searched, as (unit, side, pair).
+    Of a pair of blocks only links between its sides are looked for."""
     placed = classes.join(components, F.col("doc_id") == F.col("node"))
     weights = placed.groupBy("component").agg(F.sum("size").alias("weight"))
     total = weights.agg(F.sum("weight")).first()[0] or 0
@@ -278,11 +282,12 @@ def _units(classes: DataFrame, components: DataFrame) -> DataFrame:
         F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1),
         lambda other: F.struct(
             F.concat_ws("-", "component", F.least("part", other), F.greatest("part", other)).alias("unit"),
-            F.when(F.col("part") > other, 1).otherwise(0).alias("side"),
+            F.when(F.col("part") > other, 1).otherwise(0).alias("side"), (F.col("part") != other).alias("pair"),
         ),
     )
     alone = F.array(F.struct(
-        F.pmod(F.xxhash64("component"), F.lit(bins)).cast("string").alias("unit"), F.lit(0).alias("side")
+        F.pmod(F.xxhash64("component"), F.lit(bins)).cast("string").alias("unit"), F.lit(0).alias("side"),
+        F.lit(False).alias("pair"),
     ))
     return placed.select(
         "doc_id", "digest", "copies", F.when(F.col("parts") > 1, pairs).otherwise(alone).alias("units")
@@ -327,11 +332,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     together = together.union(several.join(together, "node", "left_anti").select("node", F.col("node").alias("component")))
     units = _units(heads, together)
     sets = docs.select(F.col("doc_id").cast("bigint"), "text").join(units, "doc_id").mapInArrow(
-        _full_sets(k), "doc_id bigint, digest binary, copies bigint, units array<struct<unit:string,side:int>>, entries binary"
+        _full_sets(k), "doc_id bigint, digest binary, copies bigint, units array<struct<unit:string,side:int,pair:boolean>>, entries binary"
     )
     found = stage(
         sets.select("doc_id", "digest", "copies", "entries", F.explode("units").alias("u"))
-        .select("doc_id", "digest", "copies", "entries", "u.unit", "u.side")
+        .select("doc_id", "digest", "copies", "entries", "u.unit", "u.side", "u.pair")
         .groupBy("unit").applyInPandas(_search_units(percent), "a bigint, b bigint, n_links bigint, digest binary"),
         "links",
     )

@@ -111,3 +111,11 @@ def test_an_id_with_several_texts(spark):
     want = sorted((i, n, 4 if i in (4, 5, 9) else c, links) for i, n, c, links in brute(rows, 4, 85))
     assert got == want and [r[3] for r in got if r[0] in (7, 9)] == [1, 1, 1]
     assert {r.doc_id for r in S.near_duplicates_removed(frame, 4, 85).collect()} == {4, 7, 8}
+
+
+def test_a_part_without_sets(spark, monkeypatch):
+    """Few long sets cut into many parts, some of which are empty."""
+    monkeypatch.setattr(S, "UNIT_SHINGLES", 20)
+    rows = [(3 * group + i, " ".join([f"{w}{group}" for w in PROSE.split()] + ["end"] * (i + 1))) for group in range(16) for i in range(3)]
+    got = sorted((tuple(r) for r in S.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()), key=repr)
+    assert got == brute(rows, 4, 85)
