@@ -49,7 +49,8 @@ CONTEXT_TOKENS = 500_000
 #: Stands for the end of a text; no word is hashed to it but by chance.
 END = mix(np.array([2**63 + 11], U))[0]
 
-BLOCKS = "block bigint, doc_ids array<bigint>, trained array<boolean>, lengths array<bigint>, words binary, tokens binary"
+#: Ids as texts: a list of numbers with a null in it reaches pandas in floating point.
+BLOCKS = "block bigint, doc_ids array<string>, trained array<boolean>, lengths array<bigint>, words binary, tokens binary"
 
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -80,7 +81,7 @@ def _block_row(block: int, ids: list, trained: list, hashes: list) -> pa.RecordB
     words, tokens = np.unique(np.concatenate(hashes), return_inverse=True)
     return pa.RecordBatch.from_pydict({
         "block": pa.array([block], pa.int64()),
-        "doc_ids": pa.array([ids], pa.list_(pa.int64())),
+        "doc_ids": pa.array([ids], pa.list_(pa.string())),
         "trained": pa.array([trained], pa.list_(pa.bool_())),
         "lengths": pa.array([[len(h) for h in hashes]], pa.list_(pa.int64())),
         "words": pa.array([words.tobytes()], pa.binary()),
@@ -95,7 +96,7 @@ def _blocks(batches):
         for first, texts in text_chunks(batch, "text"):
             hashes, begins = word_hashes(texts)
             for i in range(len(texts)):
-                held[0].append(ids[first + i])
+                held[0].append(None if ids[first + i] is None else str(ids[first + i]))
                 held[1].append(trained[first + i])
                 held[2].append(np.append(hashes[begins[i] : begins[i + 1]], END))
                 size += len(held[2][-1])
@@ -271,7 +272,7 @@ def _score(n_tokens: int, n_words: int, shards: int):
             lengths = np.asarray(row["lengths"], np.int64)
             first = np.cumsum(lengths) - lengths
             out.append(pd.DataFrame({
-                "doc_id": pd.array(row["doc_ids"], "Int64"), "held_out": ~np.asarray(row["trained"], bool),
+                "doc_id": np.asarray(row["doc_ids"], object), "held_out": ~np.asarray(row["trained"], bool),
                 "n_tokens": lengths, "n_known": np.add.reduceat((counts > 0)[tokens].astype(np.int64), first),
                 "base_score": np.add.reduceat(base[tokens], first), "score": np.add.reduceat(bigram[places], first),
             }))
@@ -305,7 +306,7 @@ def score_texts(docs: DataFrame, trained) -> DataFrame:
     numbered = stage(
         blocks.drop("words").groupBy("block").cogroup(answers.drop("n_words", "n_tokens").groupBy("block")).applyInPandas(
             _numbered(firsts),
-            "block bigint, doc_ids array<bigint>, trained array<boolean>, lengths array<bigint>, tokens binary, "
+            "block bigint, doc_ids array<string>, trained array<boolean>, lengths array<bigint>, tokens binary, "
             "numbers binary, counts binary",
         ),
         "numbered-blocks",
@@ -319,8 +320,8 @@ def score_texts(docs: DataFrame, trained) -> DataFrame:
     ).groupBy("shard").applyInPandas(_answer_pairs, "block bigint, shard bigint, codes binary")
     scored = numbered.groupBy("block").cogroup(codes.groupBy("block")).applyInPandas(
         _score(n_tokens, n_words, shards),
-        "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double",
+        "doc_id string, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double",
     )
     return scored.select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
+        F.col("doc_id").cast("bigint").alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
     )

@@ -79,7 +79,7 @@ def _set_blocks(k: int, percent: int):
                 kept = [s[: _prefix_length(len(s), percent)] for s in sets]
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([block], pa.int64()),
-                    "doc_ids": [ids.slice(first, len(texts)).to_pylist()],
+                    "doc_ids": pa.array([ids.slice(first, len(texts)).to_pylist()], pa.list_(pa.int64())),
                     "sizes": pa.array([[len(s) for s in sets]], pa.list_(pa.int32())),
                     "digests": [[digest(s) for s in sets]],
                     "lengths": pa.array([[len(s) for s in kept]], pa.list_(pa.int32())),
@@ -147,7 +147,7 @@ def _keep_able(percent: int):
                 order = np.lexsort((entries[own], lists[own]))
                 order = order[: len(order) - int(_needed_shared(sizes[i], percent)) + 1]
                 order = order[lists[own][order] > 1]
-                if len(order) and row.doc_ids[i] is not None and not np.isnan(row.doc_ids[i]):
+                if len(order) and row.doc_ids[i] is not None:
                     out.append((int(row.doc_ids[i]), row.digests[i], int(sizes[i]),
                                 entries[own][order].view(np.int64)))
         return pd.DataFrame(out, columns=["doc_id", "digest", "size", "entries"])
@@ -310,7 +310,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     asked = blocks.mapInArrow(_requests(_shard_count(int(entries))), "shard bigint, block bigint, keys binary, counts binary")
     answers = asked.groupBy("shard").applyInPandas(_count_lists, "block bigint, shard bigint, lengths binary")
     able = stage(
-        blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
+        # Ids as texts: a list of numbers with a null in it reaches pandas in floating point.
+        blocks.withColumn("doc_ids", F.col("doc_ids").cast("array<string>")).groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
             _keep_able(percent), "doc_id bigint, digest binary, size bigint, entries array<bigint>"
         ),
         "able",

@@ -84,3 +84,11 @@ def test_trie_finds_only_successors_of_the_context(tmp_path):
         np.array(list(asked)), np.array([len(w) for w in asked.values()]), np.concatenate(list(map(np.array, asked.values()))), 99
     )
     assert got.tolist() == [99, 0, 99, 1, 99, 99, 99, 2, 99, 3, 4, 99, 5, 99, 99]
+
+
+def test_null_id_beside_large_ids(spark):
+    """Ids that floating point cannot hold, in one block with a null id."""
+    ids = [2**60 + 1, None, -(2**62) - 1, 2**63 - 1]
+    frame = spark.createDataFrame([(i, "some words") for i in ids], "doc_id long, text string").coalesce(1)
+    got = [r.doc_id for r in L.score_texts(frame, F.lit(True)).collect()]
+    assert sorted(got, key=repr) == sorted(ids, key=repr)

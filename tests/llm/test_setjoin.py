@@ -119,3 +119,11 @@ def test_a_part_without_sets(spark, monkeypatch):
     rows = [(3 * group + i, " ".join([f"{w}{group}" for w in PROSE.split()] + ["end"] * (i + 1))) for group in range(16) for i in range(3)]
     got = sorted((tuple(r) for r in S.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()), key=repr)
     assert got == brute(rows, 4, 85)
+
+
+def test_null_id_beside_large_ids(spark):
+    """Ids that floating point cannot hold, in one block with a null id."""
+    rows = [(2**60 + 1, PROSE), (None, PROSE[::-1]), (2**60 + 3, PROSE + " end"), (-(2**62) - 1, PROSE + " the end"), (2**63 - 1, "one")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((tuple(r) for r in S.jaccard_components(frame, 4, 85).collect()), key=repr)
+    assert got == brute(rows, 4, 85) and sum(r[3] for r in got) == 6
