@@ -5,7 +5,9 @@ counts of the documents that batch n changed, `deltas/seq=n` the signed sums of
 Totals are the sum of all deltas. A batch is computed against the ledger of lower numbers
 only, writes its ledger first and its deltas last, and counts as committed when the deltas
 are complete. So a batch that failed half-way is simply run again, and one that is committed
-already changes nothing.
+already changes nothing. A batch may arrive after batches of higher numbers: for documents that
+those touch, its deltas also undo, as of the first such batch (`at`), what it changes, as that
+batch took off the count before it. Batches are committed one at a time.
 
 A change is a row (doc_id, action, text, source, lang), with action `insert`, `revise` or
 `delete`. What a document counted before is taken off, what it counts now is added: a revised
@@ -55,9 +57,14 @@ def _committed(spark: SparkSession, store: str) -> list[int]:
     return sorted(int(f.getPath().getParent().getName().removeprefix("seq=")) for f in found)
 
 
-def _read(spark: SparkSession, store: str, name: str, seqs: list[int]) -> DataFrame:
+#: Of the deltas; those of stores written without `at` hold from their own batch on.
+DELTAS = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint, at bigint, seq int"
+
+
+def _read(spark: SparkSession, store: str, name: str, seqs: list[int], schema: str | None = None) -> DataFrame:
     paths = [f"{store}/{name}/seq={n}" for n in seqs]
-    return spark.read.option("basePath", f"{store}/{name}").parquet(*paths)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.option("basePath", f"{store}/{name}").parquet(*paths)
 
 
 def _counted(changes: DataFrame, tokenizers) -> DataFrame:
@@ -86,11 +93,11 @@ def commit_batch(spark: SparkSession, store: str, seq: int, changes: DataFrame,
         return False
     _counted(changes, tokenizers or TOKENIZERS).write.mode("overwrite").parquet(f"{store}/ledger/seq={seq}")
     new = spark.read.parquet(f"{store}/ledger/seq={seq}")
-    signed = new.where("live").select(*KEYS, F.lit(1).cast("bigint").alias("n_docs"), "n_tokens")
-    earlier = [n for n in committed if n < seq]
+    signed = new.where("live").select("doc_id", *KEYS, F.lit(1).cast("bigint").alias("n_docs"), "n_tokens")
+    # The ledger is the streamed side; only documents of the batch leave it.
+    touched = new.select("doc_id", "tokenizer").where("doc_id is not null")
+    earlier, later = [n for n in committed if n < seq], [n for n in committed if n > seq]
     if earlier:
-        # The ledger is the streamed side; only documents of the batch leave it.
-        touched = new.select("doc_id", "tokenizer").where("doc_id is not null")
         old = (
             _read(spark, store, "ledger", earlier)
             .join(touched, ["doc_id", "tokenizer"], "left_semi")
@@ -99,9 +106,18 @@ def commit_batch(spark: SparkSession, store: str, seq: int, changes: DataFrame,
             .where("row.live")
         )
         signed = signed.union(old.select(
-            "row.source", "row.lang", "tokenizer", F.lit(-1).cast("bigint"), -F.col("row.n_tokens")
+            "doc_id", "row.source", "row.lang", "tokenizer", F.lit(-1).cast("bigint"), -F.col("row.n_tokens")
+        ))
+    signed = signed.withColumn("at", F.lit(seq).cast("bigint"))
+    if later:
+        # The next batch of a document took off its count before this one, not after it.
+        following = _read(spark, store, "ledger", later).join(touched, ["doc_id", "tokenizer"], "left_semi").groupBy(
+            "doc_id", "tokenizer"
+        ).agg(F.min("seq").cast("bigint").alias("next"))
+        signed = signed.union(signed.join(following, ["doc_id", "tokenizer"]).select(
+            "doc_id", *KEYS, -F.col("n_docs"), -F.col("n_tokens"), "next"
         ))
-    signed.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.mode(
+    signed.groupBy(*KEYS, "at").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.mode(
         "overwrite"
     ).parquet(f"{store}/deltas/seq={seq}")
     return True
@@ -114,7 +130,9 @@ def totals(spark: SparkSession, store: str, until: int | None = None) -> DataFra
     if not seqs:
         return spark.createDataFrame([], "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint")
     return (
-        _read(spark, store, "deltas", seqs).groupBy(*KEYS)
+        _read(spark, store, "deltas", seqs, DELTAS)
+        .where(F.lit(until is None) | (F.coalesce("at", "seq") <= F.lit(until)))
+        .groupBy(*KEYS)
         .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         .where("n_docs <> 0 or n_tokens <> 0")
     )

@@ -56,3 +56,22 @@ def test_unknown_action_and_empty(spark):
         R.commit_batch(spark, store, 1, spark.createDataFrame([(1, "upsert", "a", "s", "en", 0, None)], CHANGES))
     assert R.commit_batch(spark, store, 1, spark.createDataFrame([], CHANGES))
     assert R.totals(spark, store).count() == 0
+
+
+def test_batches_out_of_order(spark):
+    """Any order of arrival gives the totals of the order of numbers, as of every batch."""
+    batches = {
+        1: [(1, "insert", "a b c", "s", "en", 0, None), (2, "insert", "a", "s", "en", 0, None)],
+        2: [(1, "revise", "a b c d e", "t", "en", 0, None), (3, "insert", "x y", "s", "en", 0, None), (2, "delete", "", "s", "en", 0, None)],
+        3: [(1, "revise", "a", "s", "en", 0, None), (3, "delete", "", "s", "en", 0, None)],
+        4: [(1, "delete", "", "s", "en", 0, None), (2, "insert", "q q q", "u", "en", 0, None), (3, "insert", "z", "s", "en", 0, None)],
+    }
+    frames = {n: spark.createDataFrame(rows, CHANGES) for n, rows in batches.items()}
+    states = []
+    for order in ((1, 2, 3, 4), (1, 4, 2, 3)):
+        store = scratch_path(spark, "store")
+        for n in order:
+            assert R.commit_batch(spark, store, n, frames[n])
+        states.append([state(spark, store, until) for until in (1, 2, 3, 4, None)])
+    assert states[0] == states[1]
+    assert states[0][4] == {("u", "en"): (1, 3), ("s", "en"): (1, 1)}
