@@ -9,6 +9,7 @@ from postlake.llm.ngram_lm import score_texts
 from postlake.llm.pivots import near_vectors
 from postlake.llm.quality import quality_rules
 from postlake.llm.rollup import commit_batch, totals
+from postlake.llm.runs import periodic_runs
 from postlake.llm.setjoin import jaccard_components
 from postlake.llm.toolcalls import link_tool_calls
 from postlake.llm.units import substring_dedup
@@ -163,3 +164,34 @@ def op7_ngram_lm(spark, sf_dir):
 def op8_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return identify_languages(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
+
+
+def planted_period(text: Column, doc_id: Column) -> Column:
+    """The text, or for one in ten documents (by a hash of the id) its words with a cycle from
+    some word on: word i >= a becomes word a + (i - a) % p."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n, g = F.size(words), F.floor(h / 10)
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    cycle = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    changed = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(cycle, F.lit(1), n - a)), " ")
+    return F.when((h % 10 == 0) & (n > 0), changed).otherwise(text)
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted_period(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic_runs(docs).drop("text")
+    # The greatest length / period, compared as whole numbers; ties go to the earlier run.
+    best = F.reduce(
+        "runs", F.try_element_at("runs", F.lit(1)),
+        lambda top, r: F.when(r["length"] * top["period"] > top["length"] * r["period"], r).otherwise(top),
+    )
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
