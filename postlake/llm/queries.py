@@ -13,6 +13,7 @@ from postlake.llm.runs import periodic_runs
 from postlake.llm.setjoin import jaccard_components
 from postlake.llm.toolcalls import link_tool_calls
 from postlake.llm.units import substring_dedup
+from postlake.llm.whitening import whiten
 from postlake.session import scratch_path
 
 QUERIES = {}
@@ -166,6 +167,15 @@ def op8_language_id(spark, sf_dir):
     return identify_languages(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
 
 
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    found = whiten(table(spark, sf_dir, "embeddings"), k=4)
+    each = found.select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
+    return each.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error"
+    )
+
+
 def planted_period(text: Column, doc_id: Column) -> Column:
     """The text, or for one in ten documents (by a hash of the id) its words with a cycle from
     some word on: word i >= a becomes word a + (i - a) % p."""
