@@ -14,6 +14,7 @@ from postlake.llm.setjoin import jaccard_components
 from postlake.llm.toolcalls import link_tool_calls
 from postlake.llm.units import substring_dedup
 from postlake.llm.whitening import whiten
+from postlake.llm.zstd_quality import learn, score_quality
 from postlake.session import scratch_path
 
 QUERIES = {}
@@ -205,3 +206,13 @@ def op12_periodic_runs(spark, sf_dir):
         F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
     )
+
+
+@query
+def op13_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    training = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+    scored = score_quality(docs, learn(docs, table(spark, sf_dir, "labels"), training))
+    return scored.select(
+        "doc_id", F.coalesce(~training, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "difference"
+    )
