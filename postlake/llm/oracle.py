@@ -113,39 +113,84 @@ SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_
 FROM counts GROUP BY source, lang, tokenizer
 """
 
+_MARKS = "coalesce(min(h) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {0} AND {1}), 'g')"
+_RUNS = """
+  SELECT *, max(pos + n_words) OVER (PARTITION BY doc_id, line, run) - min(pos) OVER (PARTITION BY doc_id, line, run) AS covered
+  FROM (
+    SELECT *, sum(fresh) OVER (PARTITION BY doc_id, line ORDER BY pos, n_words ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+    FROM (
+      SELECT *, CASE WHEN pos <= max(pos + n_words) OVER (
+        PARTITION BY doc_id, line ORDER BY pos, n_words ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh
+      FROM later))"""
 ORACLE["op5_substring_dedup"] = rf"""
-WITH pieces AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(len(string_split(text, chr(10))))) AS pos
-  FROM documents WHERE text IS NOT NULL
+WITH tokens AS (
+  -- Words, line ends and other gaps, with their lines and places.
+  SELECT doc_id, t, token, token <> chr(10) AND regexp_matches(token, '[^\x20\x09-\x0D]') AS is_word,
+    sum(length(token)) OVER w - length(token) AS start_char,
+    sum(CASE WHEN token = chr(10) THEN 1 ELSE 0 END) OVER w - CASE WHEN token = chr(10) THEN 1 ELSE 0 END AS line_no
+  FROM (
+    SELECT doc_id, unnest(found) AS token, unnest(range(len(found))) AS t
+    FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+|\n|[\x20\x09\x0B-\x0D]+') AS found FROM documents WHERE text IS NOT NULL)
+  ) WINDOW w AS (PARTITION BY doc_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), words AS (
+  SELECT doc_id, t, line_no, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY t) - 1 AS BIGINT) AS i,
+    translate(token, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word
+  FROM tokens WHERE is_word
+), lines AS (
+  SELECT doc_id, min(i) AS pos, count(*) AS n_words, string_agg(word, ' ' ORDER BY i) AS content FROM words GROUP BY doc_id, line_no
+), cut AS (
+  SELECT *, CASE WHEN i = 0 OR (h < {_MARKS.format("3 PRECEDING", "1 PRECEDING")}
+    AND h <= {_MARKS.format("1 FOLLOWING", "3 FOLLOWING")}) THEN 1 ELSE 0 END AS begins
+  FROM (SELECT *, substr(md5(word), 1, 16) AS h FROM words)
+), pieces AS (
+  SELECT doc_id, piece, min(i) AS pos, count(*) AS n_words, string_agg(word, ' ' ORDER BY i) AS content
+  FROM (SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS piece FROM cut)
+  GROUP BY doc_id, piece
+), pairs AS (
+  SELECT doc_id, pos, n_words + lead(n_words) OVER w AS n_words, md5(content || chr(10) || lead(content) OVER w) AS content
+  FROM pieces WINDOW w AS (PARTITION BY doc_id ORDER BY piece)
 ), units AS (
-  SELECT doc_id, pos, text AS raw, {LOWER_WORDS} AS ws,
-    coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_char
-  FROM pieces
-), counted AS (
-  SELECT doc_id, pos, len(ws) AS n_words, start_char, start_char + length(raw) AS end_char,
-    row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq,
-    row_number() OVER (PARTITION BY md5(array_to_string(ws, ' ')) ORDER BY doc_id, pos) AS nth
-  FROM units WHERE len(ws) > 0
-), runs AS (
-  SELECT *, seq - row_number() OVER (PARTITION BY doc_id ORDER BY seq) AS run FROM counted WHERE nth > 1
+  SELECT doc_id, pos, n_words, md5(content) AS content, true AS line FROM lines
+  UNION ALL SELECT doc_id, pos, n_words, content, false FROM pairs WHERE n_words IS NOT NULL
+), later AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY line, content ORDER BY doc_id, pos) AS nth FROM units) WHERE nth > 1
 ), gone AS (
-  SELECT * FROM (SELECT *, sum(n_words) OVER (PARTITION BY doc_id, run) AS run_words FROM runs)
-  WHERE n_words >= 10 OR run_words >= 50
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + n_words)) AS i FROM ({_RUNS})
+  WHERE CASE WHEN line THEN n_words >= 10 OR covered >= 50 ELSE covered >= 25 END
+), placed AS (
+  SELECT x.*, w.i, g.i IS NOT NULL AS goes,
+    max(CASE WHEN x.is_word AND g.i IS NULL THEN w.i END) OVER l AS last_kept, max(w.i) OVER l IS NOT NULL AS has_words,
+    last_value(CASE WHEN x.is_word THEN g.i IS NOT NULL END IGNORE NULLS) OVER (l ORDER BY x.t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before_goes,
+    first_value(w.i IGNORE NULLS) OVER (l ORDER BY x.t ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_word
+  FROM tokens x LEFT JOIN words w ON w.doc_id = x.doc_id AND w.t = x.t LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.i = w.i
+  WINDOW l AS (PARTITION BY x.doc_id, x.line_no)
+), judged AS (
+  -- A line without words left goes whole; a gap stays behind a word that stays, unless no word that stays follows a cut.
+  SELECT *, has_words AND last_kept IS NULL AS line_goes, CASE
+      WHEN token = chr(10) THEN false WHEN has_words AND last_kept IS NULL THEN true WHEN is_word THEN goes
+      WHEN before_goes IS NULL THEN false WHEN before_goes THEN true
+      ELSE next_word IS NOT NULL AND next_word > last_kept END AS cut
+  FROM placed
+), spans AS (
+  SELECT doc_id, line_no, min(start_char) AS a, max(start_char + length(token)) AS b FROM (
+    SELECT *, t - row_number() OVER (PARTITION BY doc_id, line_no ORDER BY t) AS island FROM judged WHERE cut
+  ) GROUP BY doc_id, line_no, island
 ), removed AS (
-  SELECT doc_id, count(*) AS n, sum(n_words) AS words,
-    string_agg(CAST(start_char AS BIGINT) || '-' || CAST(end_char AS BIGINT), ',' ORDER BY pos) AS spans
-  FROM gone GROUP BY doc_id
+  SELECT doc_id, count(*) AS n, string_agg(CAST(a AS BIGINT) || '-' || CAST(b AS BIGINT), ',' ORDER BY a) AS spans FROM spans GROUP BY doc_id
+), left_lines AS (
+  SELECT d.doc_id, d.line_no, coalesce(string_agg(j.token, '' ORDER BY j.t) FILTER (NOT j.cut AND j.token <> chr(10)), '') AS text
+  FROM (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents WHERE text IS NOT NULL) d
+  LEFT JOIN judged j ON j.doc_id = d.doc_id AND j.line_no = d.line_no
+  GROUP BY d.doc_id, d.line_no HAVING NOT coalesce(bool_or(j.line_goes), false)
 ), kept AS (
-  SELECT p.doc_id, string_agg(p.text, chr(10) ORDER BY p.pos) AS text
-  FROM pieces p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.pos = p.pos WHERE g.pos IS NULL GROUP BY p.doc_id
-), total AS (
-  SELECT doc_id, count(*) AS n FROM counted GROUP BY doc_id
+  SELECT doc_id, string_agg(text, chr(10) ORDER BY line_no) AS text FROM left_lines GROUP BY doc_id
 )
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
-  CAST(coalesce(t.n, 0) AS BIGINT) AS n_units, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed,
-  CAST(coalesce(r.words, 0) AS BIGINT) AS n_removed_words, coalesce(r.spans, '') AS removed_spans
+  CAST(coalesce(u.n, 0) AS BIGINT) AS n_units, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed_words, coalesce(r.spans, '') AS removed_spans
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN removed r ON r.doc_id = d.doc_id
-LEFT JOIN total t ON t.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM lines GROUP BY doc_id) u ON u.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g ON g.doc_id = d.doc_id
 """
 
 

@@ -1,3 +1,8 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
 from samples import HARD, OTHER, PROSE
 
 from postlake.llm import units as N
@@ -30,8 +35,11 @@ def test_short_units_go_only_in_long_runs(spark):
 
 def test_paragraphs(spark):
     rows = [(1, f"{PROSE}\n{OTHER}\n\nx", None), (2, f"y\n\n{PROSE} {OTHER}", None), (3, PROSE, None)]
-    got = {doc_id: text for (doc_id, _), text in cut(spark, rows, unit="paragraph").items()}
+    got = {doc_id: text for (doc_id, _), text in cut(spark, rows, unit="paragraph", passage_words=1_000).items()}
     assert got == {1: rows[0][1], 2: "y", 3: PROSE}
+    # As a passage inside a paragraph the third goes but for its last words.
+    [left] = [text for (doc_id, _), text in cut(spark, rows, unit="paragraph").items() if doc_id == 3]
+    assert PROSE.endswith(left) and len(left.split()) < 12
 
 
 def test_hard_rows(spark, hard, empty):
@@ -44,3 +52,85 @@ def test_hard_rows(spark, hard, empty):
     assert [t for d, t in texts if d == 12] == [""]
     assert sum(t is None for _, t in texts) == 2
     assert N.substring_dedup(empty).count() == 0
+
+
+def brute(docs):
+    """The rule in plain Python: (text, spans) of each (doc_id, text)."""
+    seen, later = {}, []
+    for doc_id, text in docs:
+        at, words = 0, []
+        for line in text.split("\n"):
+            own = line.lower().split()
+            if own:
+                later.append((doc_id, True, at, at + len(own), tuple(own)))
+            at += len(own)
+            words += own
+        h = [hashlib.md5(w.encode()).hexdigest()[:16] for w in words]
+        starts = [
+            i for i in range(len(h)) if i == 0 or (all(h[i] < x for x in h[max(0, i - 3) : i]) and all(h[i] <= x for x in h[i + 1 : i + 4]))
+        ]
+        ends = starts[1:] + [len(h)]
+        pieces = [tuple(words[a:b]) for a, b in zip(starts, ends)]
+        for i in range(len(pieces) - 1):
+            later.append((doc_id, False, starts[i], ends[i + 1], (pieces[i], pieces[i + 1])))
+    gone = {doc_id: set() for doc_id, _ in docs}
+    again = {}
+    for doc_id, line, a, b, key in later:
+        if (line, key) in seen:
+            again.setdefault((doc_id, line), []).append((a, b))
+        seen[(line, key)] = True
+    for (doc_id, line), spans in again.items():
+        runs = []
+        for a, b in sorted(spans):
+            if runs and a <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], b)
+                runs[-1][2].append((a, b))
+            else:
+                runs.append([a, b, [(a, b)]])
+        for a, b, own in runs:
+            for x, y in own:
+                if (y - x >= 10 or b - a >= 50) if line else b - a >= 25:
+                    gone[doc_id] |= set(range(x, y))
+    return gone
+
+
+def passage(seed, n):
+    rng = random.Random(seed)
+    return [f"{rng.choice('abcdefgh')}{rng.randrange(300)}" for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def planted():
+    """Documents of own words with passages that begin and end inside lines, laid out in other lines each time."""
+    rng, docs, places = random.Random(5), [], {}
+    for doc_id in range(60):
+        words = [f"own{doc_id}x{i}" for i in range(rng.randrange(40, 200))]
+        for number, at in zip(rng.sample(range(8), 2), sorted(rng.sample(range(len(words)), 2), reverse=True)):
+            words[at:at] = passage(number, 52 + 3 * number)
+            places.setdefault(number, []).append(doc_id)
+        text = "".join(w + rng.choice([" ", " ", " ", "  ", "\n", ", "[1:]]) for w in words)
+        docs.append((doc_id, text))
+    return docs, places
+
+
+def test_passages_inside_lines(spark, planted):
+    docs, places = planted
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("text_key", F.lit(1)).withColumn("_gone", F.lit("x"))
+    rows = {r.doc_id: r for r in N.substring_dedup(frame).collect()}
+    want = brute(docs)
+    for doc_id, text in docs:
+        r, gone = rows[doc_id], want[doc_id]
+        kept = [w for i, w in enumerate(text.split()) if i not in gone]
+        assert r.text.split() == kept and r.n_removed_words == len(gone) and (r.text_key, r._gone) == (1, "x")
+        for span in filter(None, r.removed_spans.split(",")):
+            a, b = map(int, span.split("-"))
+            assert text[a:b].split() and (b == len(text) or text[b].isspace() or text[b - 1].isspace() or text[b:b + 1] == "\n")
+    caught = total = 0
+    for number, owners in places.items():
+        words = set(passage(number, 52 + 3 * number))
+        for doc_id in owners[1:]:
+            left = sum(w in words for w in rows[doc_id].text.split())
+            total += 1
+            caught += left <= 0.5 * (52 + 3 * number)
+    assert total > 80 and caught >= 0.97 * total
+    assert all(len([w for w in rows[d].text.split() if w.startswith(f"own{d}x")]) >= 0.97 * sum(w.startswith(f"own{d}x") for w in t.split()) for d, t in docs)
