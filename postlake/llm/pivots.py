@@ -10,7 +10,9 @@ is sent to every task); every vector is indexed. Where one group of near copies
 members' lists with pivots of its own, whose order among close vectors is chance, pivots are
 thinned until the sample's own links share enough of them (`RECALL`): the group then shares
 its few pivots and is told apart by those outside. A table that is one such group keeps few
-pivots and long lists, down to comparing all pairs. Equal vectors are one class and are
+pivots and long lists; if no thinning finds that share of the sample's links, one pivot is
+left, whose list has all vectors, and all pairs are compared. Vectors of different width are
+indexed apart, any number of widths, `WIDTHS` of them in one pass. Equal vectors are one class and are
 counted, never paired. An inverted list too long for one task is cut into blocks, and pairs of blocks
 are the units of work. A pair of vectors is looked at in the list of its lowest shared pivot
 only. Units give the number of links of each vector and a spanning forest of the links.
@@ -28,6 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from postlake.llm.arrays import by_width
 from postlake.llm.graph import connected_components, local_roots
 from postlake.session import stage
 
@@ -43,65 +46,64 @@ RECALL = 0.99
 THINNINGS = 6
 BLOCK = 2_048
 WORDS = N_PIVOTS // 64
+#: Widths indexed in one pass: bounds the pivots sent to every task and the samples read.
+WIDTHS = 32
 
 VECTORS = "vec_id bigint, digest binary, embedding array<double>"
 
 
-def _usable(batches):
-    """Vectors that have a direction, in double, with a digest of their components."""
+def _digests(batches):
+    """Vectors in double with a digest of their components."""
     for batch in batches:
-        ids, digests, rows, places = batch.column(0), [], [], []
-        for i, row in enumerate(batch.column(1)):
-            values = row.as_py() if row.is_valid else None
-            if values is None or None in values:
-                continue
-            vector = np.asarray(values, np.float64)
-            if len(vector) and np.isfinite(vector).all() and vector.any():
-                places.append(i)
-                rows.append(vector)
-                digests.append(hashlib.blake2b((vector + 0.0).tobytes(), digest_size=16).digest())
-        if rows:
-            yield pa.RecordBatch.from_pydict({
-                "vec_id": ids.take(pa.array(places, pa.int64())),
-                "digest": pa.array(digests, pa.binary()),
-                "embedding": pa.array(rows, pa.list_(pa.float64())),
-            })
+        for _, places, rows in by_width(batch, "embedding"):
+            rows = rows + 0.0
+            digests = [hashlib.blake2b(row, digest_size=16).digest() for row in rows]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(places)), pa.array(digests, pa.binary()), _lists(rows)], names=["vec_id", "digest", "embedding"]
+            )
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.ascontiguousarray(rows).ravel()))
 
 
 def unit_rows(vectors) -> np.ndarray:
-    rows = np.stack([np.asarray(v, np.float64) for v in vectors])
+    rows = np.stack(vectors).astype(np.float64, copy=False)
     rows = rows / np.abs(rows).max(axis=1)[:, None]
     return rows / np.sqrt((rows * rows).sum(axis=1))[:, None]
 
 
-def _heads(pivots: np.ndarray):
-    """Adds each vector's ordered nearest pivots."""
+def _heads(pivots: dict):
+    """Adds each vector's width and its ordered nearest pivots among those of its width."""
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 2_000):
-                part = batch.slice(at, 2_000)
-                rows = unit_rows(part.column(part.schema.get_field_index("embedding")).to_pylist())
-                near = np.argsort(-(rows @ pivots.T), axis=1, kind="stable")[:, :HEAD]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(list(near.astype(np.int32)), pa.list_(pa.int32()))],
-                    names=[*part.schema.names, "head"],
-                )
+            for width, places, rows in by_width(batch, "embedding"):
+                for at in range(0, len(rows), 2_000):
+                    some = rows[at : at + 2_000]
+                    near = np.argsort(-(unit_rows(some) @ pivots[width].T), axis=1, kind="stable")[:, :HEAD].astype(np.int32)
+                    part = batch.take(pa.array(places[at : at + 2_000]))
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, pa.array([width] * len(some), pa.int32()), _lists(near)], names=[*part.schema.names, "width", "head"]
+                    )
 
     return run
 
 
 def _bits(heads) -> np.ndarray:
-    """Head lists as bit sets, one row of 64-bit words each."""
+    """Head lists of one length as bit sets, one row of 64-bit words each."""
+    heads = np.stack(heads)
     out = np.zeros((len(heads), WORDS), np.uint64)
-    for i, head in enumerate(heads):
-        for pivot in head:
-            out[i, pivot // 64] |= np.uint64(1) << np.uint64(pivot % 64)
+    rows = np.repeat(np.arange(len(heads)), heads.shape[1])
+    np.bitwise_or.at(out, (rows, heads.ravel() // 64), np.uint64(1) << (heads.ravel() % 64).astype(np.uint64))
     return out
 
 
-def _search(cosine: float, least: int):
+def _search(cosine: float):
     def run(unit: pd.DataFrame) -> pd.DataFrame:
+        # With fewer pivots than a pair must share, all that there are.
+        least = min(SHARED, int(unit["n_pivots"].iloc[0]))
         pivot = int(unit["pivot"].iloc[0])
         ids, copies = unit["vec_id"].to_numpy(), unit["copies"].to_numpy()
         side = unit["side"].to_numpy()
@@ -183,50 +185,57 @@ def _recall(pivots: np.ndarray, links: list) -> float:
 
 
 def spread_pivots(sample: np.ndarray, cosine: float) -> np.ndarray:
-    """The most pivots of the sample with which its links are found; if none will do, the best."""
-    links, best = _sample_links(sample, cosine), None
+    """The most pivots of the sample with which its links are found. If none will do, a single
+    one: its list holds every vector, so all pairs are compared."""
+    links = _sample_links(sample, cosine)
     for step in range(THINNINGS + 1):
         # The first does not thin.
         pivots = _thinned(sample, 1 - step * (1 - cosine)) if step else sample[:N_PIVOTS]
-        found = _recall(pivots, links)
-        if best is None or found > best[0]:
-            best = found, pivots
-        if found >= RECALL:
-            break
-    return best[1]
+        if _recall(pivots, links) >= RECALL:
+            return pivots
+    return sample[:1]
 
 
-def choose_pivots(classes: DataFrame, cosine: float) -> list:
-    """At most N_PIVOTS per width, from a bounded sample: the vectors least by a hash of their id."""
-    widths = [r[0] for r in classes.select(F.size("embedding").alias("w")).distinct().orderBy("w").limit(N_PIVOTS).collect()]
-    return [
-        (w, spread_pivots(unit_rows([r[0] for r in classes.where(F.size("embedding") == w)
-                       .orderBy(F.xxhash64("vec_id"), "vec_id").limit(CANDIDATES).select("embedding").collect()]), cosine))
-        for w in widths
-    ]
+def choose_pivots(classes: DataFrame, counts: dict, cosine: float) -> dict:
+    """Pivots by width, at most N_PIVOTS each, from a sample of about CANDIDATES vectors of each
+    width in `counts`, drawn by a hash of the id."""
+    parts = classes.sparkSession.createDataFrame(
+        [(w, min(1.0, CANDIDATES / n)) for w, n in counts.items()], "width int, part double"
+    )
+    place = F.pmod(F.xxhash64("vec_id", F.lit("pivots")), F.lit(1 << 30)) / float(1 << 30)
+    drawn = classes.join(F.broadcast(parts), F.size("embedding") == F.col("width")).where(place < F.col("part"))
+    sample: dict = {}
+    for row in drawn.select("width", "vec_id", "embedding").orderBy("width", F.xxhash64("vec_id"), "vec_id").limit(2 * CANDIDATES * WIDTHS).toLocalIterator():
+        sample.setdefault(row.width, []).append(np.array(row.embedding))
+    # A width of which nothing was drawn has few vectors: any direction will do as its only pivot.
+    return {w: spread_pivots(unit_rows(sample[w][:CANDIDATES]), cosine) if w in sample else np.eye(1, w) for w in counts}
 
 
 def pivot_links(classes: DataFrame, cosine: float) -> DataFrame:
     """(a, b, n_links): forest links between classes (vec_id, copies, embedding), and at a = b
     the number of vectors in other classes linked with a class."""
-    found = None
-    for width, pivots in choose_pivots(classes, cosine):
-        described = classes.where(F.size("embedding") == width).mapInArrow(
-            _heads(pivots), "vec_id bigint, copies bigint, embedding array<double>, head array<int>"
+    counts = dict(classes.groupBy(F.size("embedding")).count().orderBy("count").collect())
+    found, widths = None, sorted(counts)
+    for first in range(0, len(widths), WIDTHS):
+        some = widths[first : first + WIDTHS]
+        own = classes.where(F.size("embedding").between(some[0], some[-1]))
+        pivots = choose_pivots(own, {w: counts[w] for w in some}, cosine)
+        described = stage(own.mapInArrow(
+            _heads(pivots), "vec_id bigint, copies bigint, embedding array<double>, width int, head array<int>"
+        ), "heads")
+        listed = described.select("*", F.explode("head").alias("pivot"))
+        # One row per width and pivot: bounded by WIDTHS * N_PIVOTS whatever the data.
+        sizes = listed.groupBy("width", "pivot").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("bigint").alias("parts"))
+        numbers = own.sparkSession.createDataFrame([(w, len(p)) for w, p in pivots.items()], "width int, n_pivots int")
+        placed = listed.join(F.broadcast(sizes.join(F.broadcast(numbers), "width")), ["width", "pivot"]).withColumn(
+            "part", F.pmod(F.xxhash64("vec_id"), F.col("parts"))
         )
-        described = stage(described, "heads")
-        listed = described.withColumn("pivot", F.explode("head"))
-        # One row per pivot: bounded by N_PIVOTS whatever the data.
-        sizes = listed.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("bigint").alias("parts"))
-        placed = listed.join(F.broadcast(sizes), "pivot").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
         units = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).select(
-            "pivot", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+            "width", "pivot", "n_pivots", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
             F.when(F.col("part") > F.col("other"), 1).otherwise(0).alias("side"),
             "vec_id", "copies", "embedding", "head",
         )
-        part = units.groupBy("pivot", "low", "high").applyInPandas(
-            _search(cosine, min(SHARED, len(pivots))), "a bigint, b bigint, n_links bigint"
-        )
+        part = units.groupBy("width", "pivot", "low", "high").applyInPandas(_search(cosine), "a bigint, b bigint, n_links bigint")
         found = part if found is None else found.union(part)
     return found
 
@@ -234,7 +243,9 @@ def pivot_links(classes: DataFrame, cosine: float) -> DataFrame:
 def near_vectors(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of vectors (vec_id, embedding)."""
     rows = vectors.select(F.col("vec_id").cast("bigint"), "embedding")
-    usable = stage(rows.mapInArrow(_usable, VECTORS), "vectors")
+    usable = stage(
+        rows.where(_has_direction()).select("vec_id", F.col("embedding").cast("array<double>")).mapInArrow(_digests, VECTORS), "vectors"
+    )
     classes = stage(
         usable.groupBy("digest").agg(
             F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.first("embedding").alias("embedding")

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from postlake.llm.arrays import by_width
 from postlake.llm.bidiagonal import leading_components
 from postlake.session import stage
 
@@ -65,17 +66,6 @@ class Scatter:
         return cls(n, high, low, np.linalg.qr(np.concatenate([*(p.r for p in parts), means]), "r"))
 
 
-def _matrix(batch: pa.RecordBatch, column: str):
-    """(width, places, whole numbers) of the vectors of each width in a batch."""
-    lists = batch.column(batch.schema.get_field_index(column))
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-    begins = np.cumsum(sizes) - sizes
-    for width in np.unique(sizes).tolist():
-        places = np.flatnonzero(sizes == width)
-        yield width, places, flat[begins[places][:, None] + np.arange(width)]
-
-
 def _reduce(batches):
     held: dict = {}
     block = TaskContext.get().partitionId()
@@ -88,7 +78,7 @@ def _reduce(batches):
         ]))
 
     for batch in batches:
-        for width, _, x in _matrix(batch, "x"):
+        for width, _, x in by_width(batch, "x"):
             for at in range(0, len(x), ROWS):
                 own = Scatter.of(x[at : at + ROWS])
                 held[width] = Scatter.merged([held[width], own]) if width in held else own
@@ -184,7 +174,7 @@ def _moments(fits: dict):
     def run(batches):
         total: dict = {}
         for batch in batches:
-            for width, _, x in _matrix(batch, "x"):
+            for width, _, x in by_width(batch, "x"):
                 w = fits[width].whitened(x)
                 own = np.concatenate([w.sum(axis=0), (w.T @ w).ravel()])
                 total[width] = total.get(width, 0) + own
@@ -217,7 +207,7 @@ WHITENED = "vec_id bigint, n bigint, deviation bigint, whitened array<double>, e
 def _whiten(fits: dict):
     def run(batches):
         for batch in batches:
-            for width, places, x in _matrix(batch, "x"):
+            for width, places, x in by_width(batch, "x"):
                 fit = fits[width]
                 flat, k = fit.whitened(x).ravel(), len(fit.variances)
                 ends = pa.array(np.arange(len(x) + 1) * k, pa.int32())

@@ -71,3 +71,23 @@ def test_recall_of_a_hot_group(spark, share):
 @pytest.mark.parametrize("rows", [[], [(1, None)]])
 def test_nothing_usable(spark, rows):
     assert run(spark, rows) == [(i, 0, i, True) for i, _ in rows]
+
+
+def test_many_widths(spark, monkeypatch):
+    """Each width has a linked pair, over more widths than one pass takes."""
+    monkeypatch.setattr(V, "WIDTHS", 3)
+    rng = np.random.default_rng(6)
+    rows = []
+    for width in range(2, 12):
+        v = rng.normal(size=width)
+        rows += [(10 * width, v.tolist()), (10 * width + 1, (v * 1.5 + 0.01).tolist()), (10 * width + 2, (-v).tolist())]
+    got = run(spark, rows)
+    assert got == brute(rows, 0.95) and sum(r[1] for r in got) == 20
+
+
+def test_no_pivots_good_enough(spark, monkeypatch):
+    """If the sample's links are not found with any thinning, all pairs are compared."""
+    monkeypatch.setattr(V, "RECALL", 1.1)
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.normal(size=8) * 0.3 + np.eye(8)[i % 4]).tolist()) for i in range(300)]
+    assert run(spark, rows) == brute(rows, 0.95)
