@@ -18,13 +18,16 @@ Products of a budget and a node's total weight must stay below 9e18.
 Edge cases: null domains, languages and sources are nodes of their own with the default
 weight; a null text has no tokens and, like any document without tokens, comes with any epoch
 that reaches its place; rows that repeat an id are rows of their own at the same place of the
-order. If nothing has tokens the mix is empty. Further columns pass through.
+order. If nothing has tokens the mix is empty. A weight of 0 leaves a node and all below it
+out, also when its siblings are short; a negative weight is an error. Further columns pass
+through, whatever their names; those named like the results are replaced.
 """
 
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from postlake.llm.columns import unused
 from postlake.llm.rollup import word_count
 from postlake.session import stage
 
@@ -42,18 +45,29 @@ class Weights:
     source: dict = field(default_factory=dict)
     default: int = 1
 
+    def __post_init__(self):
+        if any(w < 0 for level in LEVELS for w in [*getattr(self, level).values(), self.default]):
+            raise ValueError("weights must not be negative")
+
     def of(self, level: str) -> Column:
         chosen = F.lit(self.default)
         for name, weight in getattr(self, level).items():
             chosen = F.when(F.col(level) == name, F.lit(weight)).otherwise(chosen)
         return chosen.cast("bigint")
 
+    def leave_out(self) -> Column:
+        """Whether a weight on the path is 0."""
+        out = F.lit(False)
+        for level in LEVELS:
+            out = out | (self.of(level) == 0)
+        return out
+
 
 def _share(nodes: DataFrame, parents: list[str], level: str, weights: Weights) -> DataFrame:
     """Adds `share`: nodes have `cap` and their parent's `budget`. A node is full if, when it
     and all fuller ones are served, it cannot take its part of what is left."""
     family = [F.col(f"_{p}") for p in parents] or [F.lit(0)]
-    order = Window.partitionBy(*family).orderBy(F.col("cap") / F.col("weight"), F.col(level).asc_nulls_first())
+    order = Window.partitionBy(*family).orderBy(F.try_divide("cap", "weight").asc_nulls_first(), F.col(level).asc_nulls_first())
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     whole = Window.partitionBy(*family)
@@ -70,7 +84,8 @@ def _share(nodes: DataFrame, parents: list[str], level: str, weights: Weights) -
 
 def leaf_budgets(leaves: DataFrame, budget: int, weights: Weights, epochs: int) -> DataFrame:
     """(domain, lang, source, n_docs, tokens, quota) from leaves without the quota."""
-    held = leaves.withColumn("cap", F.col("tokens") * epochs)
+    # What a weight of 0 leaves out holds nothing: it is full with no share.
+    held = leaves.withColumn("cap", F.when(weights.leave_out(), 0).otherwise(F.col("tokens") * epochs))
     given = None
     for depth, level in enumerate(LEVELS):
         parents, path = LEVELS[:depth], LEVELS[: depth + 1]
@@ -111,13 +126,13 @@ def mix(docs: DataFrame, domain: Column, budget_percent: int, weights: Weights,
     The budget is a percentage of all tokens. Runs jobs when called.
     """
     tokens = count(F.coalesce(F.col("text"), F.lit("")))
-    named = docs.drop("n_tokens", "domain", "copies").withColumn("domain", domain)
+    named = docs.withColumn("domain", domain).drop("n_tokens", "copies")
     slim = stage(named.select("doc_id", *LEVELS, tokens.alias("n_tokens")), "tokens")
     leaves = stage(
         slim.groupBy(*LEVELS).agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("tokens")), "leaves"
     )
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
-    plan = leaf_budgets(leaves, total * budget_percent // 100, weights, epochs).where("tokens > 0").select(
+    plan = leaf_budgets(leaves, total * budget_percent // 100, weights, epochs).where((F.col("tokens") > 0) & ~weights.leave_out()).select(
         *[F.col(p).alias(f"_{p}") for p in LEVELS],
         F.expr("quota div tokens").alias("whole"), (F.col("quota") % F.col("tokens")).alias("remainder"),
         F.greatest(F.lit(1), F.col("n_docs") / BUCKET_DOCS).cast("bigint").alias("buckets"),
@@ -149,17 +164,19 @@ def mix(docs: DataFrame, domain: Column, budget_percent: int, weights: Weights,
         plan.join(ends, same, "left").select(*plan.columns, F.coalesce("end", "buckets").alias("end"), F.coalesce("before", F.lit(0)).alias("before")),
         "ends",
     )
-    rows = placed(named.withColumn("n_tokens", tokens), full_plan)
+    # The input's columns travel as one, apart from the plan's.
+    rows = placed(named.select(F.struct(*[F.col(f"`{c}`") for c in named.columns]).alias("row"), "doc_id", *LEVELS, tokens.alias("n_tokens")), full_plan)
     in_order = Window.partitionBy(*[F.struct(p) for p in own]).orderBy("_key", "doc_id")
     final = rows.where("_bucket = end").withColumn(
         "_in", (F.sum("n_tokens").over(in_order) + F.col("before") <= F.col("remainder")).cast("bigint")
     )
     others = rows.where("_bucket <> end").withColumn("_in", (F.col("_bucket") < F.col("end")).cast("bigint"))
     return others.union(final).withColumn("copies", F.col("whole") + F.col("_in")).where("copies > 0").select(
-        *named.columns, "n_tokens", "copies"
+        "row.*", "n_tokens", "copies"
     )
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """Each chosen document as often as it is taken."""
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).drop("_copy")
+    [copy] = unused(mixed.columns, "copy")
+    return mixed.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).drop(copy)

@@ -48,6 +48,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM b
 """
 
+ORACLE["quality_ablations"] = f"""
+WITH bits AS (SELECT fail_bits AS f FROM ({ORACLE["op1_quality_rules"]})), rules(rule, bit) AS (
+  VALUES ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('repeated_lines', 8), ('short_words', 16),
+    ('long_words', 32), ('capitals', 64)
+), policies(policy, mask) AS (VALUES ('base@1', 3), ('standard@1', 15), ('standard@2', 127))
+SELECT policy, rule,
+  CAST(count(*) FILTER ((f & bit) <> 0) AS BIGINT) AS n_failed, CAST(count(*) FILTER ((f & mask) = bit) AS BIGINT) AS n_failed_alone,
+  CAST(count(*) FILTER ((f & mask & ~bit) = 0) AS BIGINT) AS n_kept_without, CAST(count(*) FILTER ((f & mask) = 0) AS BIGINT) AS n_kept
+FROM bits, policies JOIN rules ON (mask & bit) <> 0 GROUP BY policy, rule
+"""
+
 ORACLE["op2_ngram_jaccard_join"] = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, {LOWER_WORDS} AS ws FROM documents

@@ -2,7 +2,8 @@
 
 Every rule is evaluated once per document. The ledger keeps the measurements and one bit per
 rule that failed (`fail_bits`). Policies are versioned sets of rules; applying one is a
-bitwise AND, so a new policy or an ablation never reads a text again. Ablations count the
+bitwise AND, so on a stored ledger (`write_ledger`, `read_ledger`) a new policy or an ablation
+never reads a text again. Ablations count the
 distinct bit patterns under a policy's mask first, which is one small aggregation whatever
 the number of rules.
 
@@ -13,7 +14,9 @@ ledger's own are replaced.
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from postlake.llm.columns import unused
 
 #: What separates words: space and the characters 0x09 to 0x0D.
 GAP = "[ \\t-\\r]+"
@@ -71,66 +74,58 @@ def measure(docs: DataFrame) -> DataFrame:
 
     n_repeat_words counts the words that lie in a window of three words found twice or more
     in the text. The windows of a text become 64-bit hashes; where one repeats, the hashes are
-    sorted with their positions in the low bits, so equal ones are neighbours: n log n in the
-    length of one text, and nothing leaves its row. (A text of n words keeps 64 - log2 n bits
-    of each hash; two different windows of 500 words meet with a chance of 4e-12.)
+    sorted with their positions, so equal ones are neighbours: n log n in the length of one
+    text, and nothing leaves its row. (Two different windows of a text of a million words meet
+    with a chance of 3e-8.)
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     trimmed = F.btrim(text, F.lit(GAP_CHARACTERS))
     kept = docs.drop(*[c for c in MEASURES if c in docs.columns])
-    none = F.array().cast("array<bigint>")
+    own = [F.col(f"`{c}`") for c in kept.columns]
+    words, lines, windows, placed, starts = unused(kept.columns, "words", "lines", "windows", "placed", "starts")
     counted = kept.withColumns({
-        "_words": F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, GAP)),
-        "_lines": F.filter(F.split(text, "\n"), lambda line: line.rlike("[^ \\t-\\r]")),
+        words: F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, GAP)),
+        lines: F.filter(F.split(text, "\n"), lambda line: line.rlike("[^ \\t-\\r]")),
     }).select(
-        *kept.columns,
-        "_words",
-        F.size("_words").cast("bigint").alias("n_words"),
-        F.length(F.array_join("_words", "")).cast("bigint").alias("word_chars"),
+        *own,
+        words,
+        F.size(words).cast("bigint").alias("n_words"),
+        F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
         _length_without(text, "[^#*$%&|<>]+").alias("n_symbols"),
         _length_without(text, "[^A-Z]+").alias("n_capitals"),
-        F.size("_lines").cast("bigint").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
+        F.size(lines).cast("bigint").alias("n_lines"),
+        (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
     )
-    at = lambda i: F.get("_words", i)
-    windows = counted.withColumn(
-        "_windows",
+    at = lambda i: F.get(words, i)
+    hashed = counted.withColumn(
+        windows,
         F.when(
-            F.size("_words") > 3,
-            F.transform(F.sequence(F.lit(0), F.size("_words") - 3),
+            F.size(words) > 3,
+            F.transform(F.sequence(F.lit(0), F.size(words) - 3),
                         lambda i: F.xxhash64(at(i), at(i + 1), at(i + 2))),
-        ).otherwise(none),
-    ).drop("_words")
+        ).otherwise(F.array().cast("array<bigint>")),
+    ).drop(words)
     # Most texts repeat no window and stop at the comparison of sizes.
-    sized = windows.withColumn("_bits", F.length(F.bin(F.size("_windows").cast("bigint"))))
-    up = lambda h, n: F.call_function("shiftleft", h, n)
-    down = lambda h, n: F.call_function("shiftright", h, n)
-    packed = sized.withColumn(
-        "_packed",
+    ordered = hashed.withColumn(
+        placed,
         F.when(
-            F.size(F.array_distinct("_windows")) < F.size("_windows"),
-            F.sort_array(F.transform(
-                "_windows", lambda h, i: up(h, F.col("_bits")).bitwiseOR(i.cast("bigint"))
-            )),
-        ).otherwise(none),
-    ).drop("_windows")
-    shapes = packed.withColumn("_shapes", F.transform("_packed", lambda x: down(x, F.col("_bits"))))
-    same = lambda i, j: F.get("_shapes", i).eqNullSafe(F.get("_shapes", j))
-    starts = shapes.withColumn(
-        "_starts",
-        F.sort_array(F.transform(
-            F.filter("_packed", lambda _, i: same(i, i - 1) | same(i, i + 1)),
-            lambda x: x.bitwiseAND(up(F.lit(1).cast("bigint"), F.col("_bits")) - 1),
-        )),
+            F.size(F.array_distinct(windows)) < F.size(windows),
+            F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+        ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")),
+    ).drop(windows)
+    same = lambda x, j: F.coalesce(x["h"] == F.get(placed, j)["h"], F.lit(False))
+    repeated = ordered.withColumn(
+        starts,
+        F.sort_array(F.transform(F.filter(placed, lambda x, i: same(x, i - 1) | same(x, i + 1)), lambda x: x["i"])),
     )
     # Each start covers three words, or fewer where the next start comes sooner.
     covered = F.aggregate(
-        F.transform("_starts", lambda p, i: F.least(F.lit(3), F.coalesce(F.get("_starts", i + 1) - p, F.lit(3)))),
+        F.transform(starts, lambda p, i: F.least(F.lit(3), F.coalesce(F.get(starts, i + 1) - p, F.lit(3)))),
         F.lit(0).cast("bigint"),
         lambda total, n: total + n,
     )
-    return starts.select(*kept.columns, *[c for c in MEASURES if c != "n_repeat_words"],
-                         covered.alias("n_repeat_words"))
+    return repeated.select(*own, *[c for c in MEASURES if c != "n_repeat_words"],
+                           covered.alias("n_repeat_words"))
 
 
 def ledger(docs: DataFrame, rules=None) -> DataFrame:
@@ -146,6 +141,16 @@ def ledger(docs: DataFrame, rules=None) -> DataFrame:
     return measured.drop("fail_bits").withColumn("fail_bits", once)
 
 
+def write_ledger(rows: DataFrame, path: str) -> None:
+    """Stores a ledger without the texts it was measured from."""
+    rows.drop("text").write.mode("errorifexists").parquet(path)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """A stored ledger: policies and ablations read its bits, no text and no rule."""
+    return spark.read.parquet(path)
+
+
 def passes(policy: Policy, rules=None) -> Column:
     return F.col("fail_bits").bitwiseAND(F.lit(policy.mask(rules)).cast("bigint")) == 0
 

@@ -7,7 +7,7 @@ from postlake.llm.langid import identify_languages
 from postlake.llm.mixture import Weights, mix
 from postlake.llm.ngram_lm import score_texts
 from postlake.llm.pivots import near_vectors
-from postlake.llm.quality import quality_rules
+from postlake.llm.quality import POLICIES, ablations, apply_policies, ledger, quality_rules, read_ledger, write_ledger
 from postlake.llm.rollup import commit_batch, totals
 from postlake.llm.runs import periodic_runs
 from postlake.llm.setjoin import jaccard_components
@@ -37,6 +37,21 @@ def op1_quality_rules(spark, sf_dir):
     )
 
 
+@query
+def quality_ablations(spark, sf_dir):
+    """Per policy and rule of it, from a stored ledger: documents that fail it, that fail it
+    alone, and that would be kept without it; and how many the policy keeps."""
+    path = scratch_path(spark, "quality-ledger")
+    write_ledger(ledger(table(spark, sf_dir, "documents")), path)
+    stored, out = read_ledger(spark, path), None
+    for policy in POLICIES:
+        name = f"{policy.name}@{policy.version}"
+        kept = apply_policies(stored, [policy]).agg(F.count_if(f"kept_{policy.name}_v{policy.version}").alias("n_kept"))
+        rows = ablations(stored, policy).join(F.broadcast(kept)).select(F.lit(name).alias("policy"), "*")
+        out = rows if out is None else out.union(rows)
+    return out
+
+
 @query
 def op2_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)

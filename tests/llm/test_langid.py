@@ -1,3 +1,6 @@
+import math
+
+import numpy as np
 from pyspark.sql import functions as F
 from samples import HARD
 
@@ -44,3 +47,82 @@ def test_weights_are_sparse_and_temperature_found(spark):
     languages, weights, temperature = I.fit(docs.where("lang is not null"))
     assert len(languages) == 4 and 0.05 <= temperature <= 20
     assert (weights == 0).mean() > 0.3
+
+
+def plain_features(text):
+    """Shares of hashed n-grams of one to three characters, character by character."""
+    def code(c):
+        if not c.isalpha():
+            return 32
+        return ord(c.lower()) if ord(c) <= 0xFFFF and len(c.lower()) == 1 else ord(c)
+
+    codes, mask, found = [32, *map(code, text), 32, 32], 0xFFFFFFFF, {}
+    for at in range(len(text) + 1):
+        h = 0
+        for order in range(3):
+            h = ((h ^ codes[at + order]) * 0x9E3779B1 + order) & mask
+            own = (((h ^ (h >> 15)) * 0x85EBCA77) & mask) >> 16
+            found[own] = found.get(own, 0) + 1
+    total = sum(found.values())
+    return {f: n / total for f, n in found.items()}
+
+
+def test_predictions_equal_plain_python(spark):
+    """Whole texts, n-gram by n-gram, with the learned weights."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    languages, weights, temperature = I.fit(docs.where(remainder() != 1))
+    got = {r.doc_id: r for r in I.identify_languages(docs, remainder() != 1).collect()}
+    asked = [r for r in docs.collect() if len(r.text) < 4000][:80]
+    for r in asked:
+        own = plain_features(r.text)
+        logits = [sum(share * weights[f, i] for f, share in own.items()) / temperature for i in range(len(languages))]
+        top = max(logits)
+        chances = [math.exp(x - top) for x in logits]
+        best = logits.index(top)
+        assert got[r.doc_id].lang_pred == languages[best]
+        assert abs(got[r.doc_id].score - chances[best] / sum(chances)) < 1e-4
+    assert len(asked) == 80
+
+
+def test_weights_equal_plain_ftrl():
+    """Follow-the-regularised-leader, one weight at a time."""
+    rng = np.random.default_rng(3)
+    rows = [(int(c), np.array([c, 3 + c, 7]), np.array([0.5, 0.3, 0.2])) for c in rng.integers(0, 3, 30)]
+    idf = np.ones(I.FEATURES)
+    got, temperature = I.train(rows, idf, 3)
+    z, n = {}, {}
+
+    def weight(f, c):
+        lean = z.get((f, c), 0.0)
+        if abs(lean) <= I.L1:
+            return 0.0
+        return -(lean - math.copysign(I.L1, lean)) / ((I.BETA + math.sqrt(n.get((f, c), 0.0))) / I.ALPHA + I.L2)
+
+    for _ in range(I.EPOCHS):
+        for i in np.random.default_rng(7).permutation(len(rows)):
+            label, own, shares = rows[i]
+            logits = [sum(s * I.SCALE * weight(f, c) for f, s in zip(own.tolist(), shares)) for c in range(3)]
+            total = sum(math.exp(x - max(logits)) for x in logits)
+            for c in range(3):
+                error = math.exp(logits[c] - max(logits)) / total - (c == label)
+                for f, s in zip(own.tolist(), shares):
+                    g = s * I.SCALE * error
+                    w, before = weight(f, c), n.get((f, c), 0.0)
+                    z[f, c] = z.get((f, c), 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / I.ALPHA * w
+                    n[f, c] = before + g * g
+    # The weights of one row are read before any is changed; no feature repeats in a row.
+    assert temperature == 1.0
+    want = {(f, c): weight(f, c) * I.SCALE for f in range(8) for c in range(3)}
+    assert all(abs(got[f, c] - w) < 1e-9 for (f, c), w in want.items()) and np.count_nonzero(got) <= 24
+
+
+def test_more_languages_than_learned(spark):
+    """The languages with the most documents are learned; no number of others ends the query."""
+    rows = [(i, f"text number {i}", f"x{i:04d}", "s", 1) for i in range(1_200)] + [
+        (2_000 + i, "the river and the hill" if i % 2 else "die und der mit", "en" if i % 2 else "de", "s", 1) for i in range(200)
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    languages, weights, _ = I.fit(frame)
+    assert len(languages) == I.MOST_LANGUAGES and {"en", "de"} <= set(languages) and languages == sorted(languages)
+    got = I.identify_languages(frame, F.lit(True)).collect()
+    assert len(got) == 1_400 and all(r.lang_pred in languages for r in got)

@@ -1,6 +1,7 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 from samples import HARD
 
@@ -78,3 +79,30 @@ def test_hard_rows(spark, empty):
 def test_copies_become_rows(spark):
     frame = spark.createDataFrame([(1, "a b", "en", "s")], "doc_id long, text string, lang string, source string")
     assert M.repeated(M.mix(frame, F.lit("d"), 200, WEIGHTS, 3)).count() == 2
+
+
+def test_weight_of_nothing(spark):
+    """Sources, languages and domains of weight 0 stay out, also when the rest is short."""
+    rows = [(i, "w " * (i % 5), ["en", "de"][i % 2], f"src{i % 3}", ["web", "books"][i % 4 // 2]) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, domain string")
+    for weights in (M.Weights(source={"src1": 0}), M.Weights(lang={"de": 0}, source={"src0": 3}), M.Weights(domain={"web": 0}),
+                    M.Weights(source={"src2": 5, "src0": 1}, default=0), M.Weights(default=0)):
+        got = M.mix(frame, F.col("domain"), 300, weights, 2).collect()
+        of = lambda level, name: getattr(weights, level).get(name, weights.default)  # noqa: E731, B023
+        allowed = [r for r in rows if of("lang", r[2]) and of("source", r[3]) and of("domain", r[4])]
+        tokens = sum(r[0] % 5 for r in rows)
+        assert all(of("lang", r.lang) and of("source", r.source) and of("domain", r.domain) for r in got)
+        if 2 * sum(r[0] % 5 for r in allowed) <= 3 * tokens:
+            assert sorted((r.doc_id, r.copies) for r in got if r.n_tokens) == sorted((r[0], 2) for r in allowed if r[0] % 5)
+    with pytest.raises(ValueError):
+        M.Weights(lang={"en": -1})
+
+
+def test_clashing_names_pass_through(spark):
+    names = ["end", "whole", "buckets", "before", "remainder", "row", "_key", "_bucket", "_in", "_copy", "_domain", "tokens"]
+    frame = spark.createDataFrame([(i, "a b", "en", "s") for i in range(9)], "doc_id long, text string, lang string, source string")
+    plain = M.mix(frame, F.lit("d"), 150, WEIGHTS, 2)
+    clashing = M.mix(frame.select("*", *[F.lit(n).alias(n) for n in names]), F.lit("d"), 150, WEIGHTS, 2)
+    assert set(names) <= set(clashing.columns) and {tuple(r[n] for n in names) for r in clashing.collect()} == {tuple(names)}
+    key = lambda f: sorted((r.doc_id, r.copies) for r in f.collect())
+    assert key(clashing) == key(plain) and M.repeated(clashing).count() == sum(c for _, c in key(plain))

@@ -1,5 +1,7 @@
+import random
 from collections import Counter
 
+from pyspark.sql import functions as F
 from samples import HARD
 
 from postlake.llm import quality as Q
@@ -49,3 +51,35 @@ def test_filter_on_ledger_does_not_repeat_measurements(spark, hard):
 def test_empty(spark, empty):
     assert Q.quality_rules(empty).count() == 0
     assert Q.ablations(Q.ledger(empty), Q.STANDARD).count() == 0
+
+
+def test_clashing_names_pass_through(spark, hard):
+    names = ["_words", "_lines", "_windows", "_WORDS_", "starts", "placed", "_starts"]
+    rows = Q.quality_rules(hard.select("*", *[F.lit(n).alias(n) for n in names])).collect()
+    assert all([r[n] for n in names] == names and r.n_words == brute(r.text)[0] for r in rows)
+
+
+def test_text_of_a_million_words(spark):
+    """Windows keep whole hashes however long the text."""
+    rng = random.Random(1)
+    words = [f"{rng.randrange(1 << 40):x}" for _ in range(1_000_000)]
+    words[900_000:900_003] = words[5:8]
+    rows = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    assert Q.measure(rows).first().n_repeat_words == 6
+
+
+def test_stored_ledger_serves_policies_without_texts(spark, hard, tmp_path):
+    Q.write_ledger(Q.ledger(hard), f"{tmp_path}/ledger")
+    stored = Q.read_ledger(spark, f"{tmp_path}/ledger")
+    assert "text" not in stored.columns and stored.count() == len(HARD)
+    direct = Q.apply_policies(Q.ledger(hard), Q.POLICIES)
+    again = Q.apply_policies(stored, Q.POLICIES)
+    kept = [f"kept_{p.name}_v{p.version}" for p in Q.POLICIES]
+    rows = lambda f: sorted(map(tuple, f.select("doc_id", *kept).collect()), key=repr)
+    assert rows(direct) == rows(again)
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema" in plan and "text" not in plan
+    bits = [r.fail_bits & Q.STANDARD.mask() for r in stored.collect()]
+    for r in Q.ablations(stored, Q.STANDARD).collect():
+        bit = 1 << next(x.bit for x in Q.RULES if x.name == r.rule)
+        assert tuple(r)[1:] == (sum(b & bit > 0 for b in bits), sum(b == bit for b in bits), sum(b & ~bit == 0 for b in bits))
