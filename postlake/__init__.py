@@ -4,7 +4,7 @@ from postlake.operators.corpus import corpus_diff, corpus_diff_counts, render_bo
 from postlake.operators.decode import decode_items
 from postlake.operators.dedupe import dedupe_last
 from postlake.operators.filters import filter_contains, filter_kind, filter_min
-from postlake.operators.hybrid import hybrid_search, search_with_fallback
+from postlake.operators.hybrid import fuse_rankings, hybrid_search, search_all, search_with_fallback
 from postlake.operators.incremental import (
     change_totals,
     classify_changes,
@@ -35,12 +35,17 @@ from postlake.operators.textindex import (
     build_postings,
     changed_posts,
     doc_stats,
+    index_changes,
     index_totals,
+    live_postings,
+    merge_segments,
+    published_segments,
     read_index,
     refresh_postings,
     term_stats,
     tokenize,
     write_index,
+    write_segment,
 )
 from postlake.operators.vectors import vector_scores, vector_search
 from postlake.schemas import CORPUS, POSTINGS, POSTS, UNITS

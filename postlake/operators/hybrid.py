@@ -4,12 +4,19 @@ The fused score of a post is the sum of 1 / (k + rank) over the rankings it is i
 count over whole rankings, but whole rankings are never sorted: a post beyond place k + 2n
 in both rankings scores at most 2 / (2k + 2n + 1), and the first n posts of either ranking
 score at least 1 / (k + n), which is more. So the best n are among the first k + 2n of each
-ranking. Their places in the other ranking are found by counting the hits before them.
+ranking. Their places in the other ranking are found by counting the hits before them: among
+keyword hits in their table, among vectors in a second pass that scores them and sends counts
+only, so that no pair of a query and a vector leaves a task unless it is a candidate.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from postlake.operators.joins import enrich_hits
 from postlake.operators.ranking import all_ranks, topk
+from postlake.operators.rows import to_json_rows
+from postlake.operators.search import search
+from postlake.operators.textindex import TextIndex
+from postlake.operators.vectors import vector_places, vector_scores, vector_search
 from postlake.session import stage
 
 RRF_K = 60
@@ -59,35 +66,40 @@ def _ranks_of(candidates: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
+def _fused(ranked: list, n: int, k: int) -> DataFrame:
+    shares = ranked[0].unionByName(ranked[1]).withColumn("share", 1.0 / (k + F.col("rank")))
+    return topk(shares.groupBy("query_id", "post_id").agg(F.round(F.sum("share"), 6).alias("score")), n)
+
+
+def fuse_rankings(left: DataFrame, right: DataFrame, n: int = 10, k: int = RRF_K) -> DataFrame:
+    """Best n posts per query: (query_id, post_id, score, rank), every post for n < 0, of two
+    whole rankings (query_id, post_id, score) that are given as tables."""
+    lists = [hits.select("query_id", "post_id", "score") for hits in (left, right)]
+    if n < 0:
+        return _fused([all_ranks(hits).select("query_id", "post_id", "rank") for hits in lists], n, k)
+    first = [topk(hits, k + 2 * n).select("query_id", "post_id") for hits in lists]
+    candidates = stage(first[0].unionByName(first[1]).distinct(), "candidates")
+    return _fused([_ranks_of(candidates, hits) for hits in lists], n, k)
+
+
 def hybrid_search(
-    keyword_hits: DataFrame, vector_hits: DataFrame, n: int = 10, k: int = RRF_K
+    keyword_hits: DataFrame, query_vectors: DataFrame, vectors: DataFrame, n: int = 10, k: int = RRF_K
 ) -> DataFrame:
-    """Best n posts per query: (query_id, post_id, score, rank), every post for n < 0.
+    """Best n posts per query by keyword and vector ranking: (query_id, post_id, score, rank).
 
-    Both inputs are whole rankings (query_id, post_id, score), as search and vector_scores
-    give them for n = -1, and both are read several times. The keyword hits, which took a
-    search to find, are written to the shared folder first; so are the few candidates and
-    their places, whose known size lets Spark choose how to join them.
+    `keyword_hits` is the whole keyword ranking, as search gives it for n = -1; the vector
+    ranking is made here. For n < 0 every post is ranked, and only then every pair is made.
     """
     keyword = stage(keyword_hits.select("query_id", "post_id", "score"), "keyword")
-    lists = [keyword, vector_hits.select("query_id", "post_id", "score")]
     if n < 0:
-        ranked = [all_ranks(hits).select("query_id", "post_id", "rank") for hits in lists]
-    else:
-        first = [topk(hits, k + 2 * n).select("query_id", "post_id") for hits in lists]
-        candidates = stage(first[0].unionByName(first[1]).distinct(), "candidates")
-        ranked = [_ranks_of(candidates, hits) for hits in lists]
-    shares = ranked[0].unionByName(ranked[1]).withColumn("share", 1.0 / (k + F.col("rank")))
-    fused = shares.groupBy("query_id", "post_id").agg(F.round(F.sum("share"), 6).alias("score"))
-    return topk(fused, n)
+        return fuse_rankings(keyword, vector_scores(query_vectors, vectors), n, k)
+    first = topk(keyword, k + 2 * n), vector_search(query_vectors, vectors, k + 2 * n)
+    candidates = stage(first[0].select("query_id", "post_id").unionByName(first[1].select("query_id", "post_id")).distinct(), "candidates")
+    return _fused([_ranks_of(candidates, keyword), vector_places(candidates, query_vectors, vectors)], n, k)
 
 
 def search_with_fallback(
-    keyword_hits: DataFrame,
-    query_vectors: DataFrame,
-    vector_hits: DataFrame,
-    n: int = 10,
-    k: int = RRF_K,
+    keyword_hits: DataFrame, query_vectors: DataFrame, vectors: DataFrame, n: int = 10, k: int = RRF_K
 ) -> DataFrame:
     """Hybrid hits for queries that have a vector, keyword hits for the others, labelled.
 
@@ -96,7 +108,20 @@ def search_with_fallback(
     with_vector = query_vectors.select(F.col("query_id").cast("string")).distinct()
     keyword = stage(keyword_hits.select("query_id", "post_id", "score"), "keyword")
     fused = hybrid_search(
-        keyword.join(with_vector, "query_id", "left_semi"), vector_hits, n, k
+        keyword.join(with_vector, "query_id", "left_semi"), query_vectors, vectors, n, k
     ).withColumn("method", F.lit(HYBRID))
     plain = topk(keyword.join(with_vector, "query_id", "left_anti"), n).withColumn("method", F.lit(KEYWORD))
     return fused.unionByName(plain)
+
+
+def search_all(
+    queries: DataFrame, index: TextIndex, posts: DataFrame, query_vectors: DataFrame, vectors: DataFrame, n: int = 10,
+    k: int = RRF_K,
+) -> DataFrame:
+    """A search from query table to JSON rows (json), one per hit: each query is answered by
+    the hybrid ranking if it has a vector and by keywords otherwise, every hit gets its post's
+    columns and the label of its method, and posts that are gone keep their hit."""
+    hits = search_with_fallback(search(queries, index, -1), query_vectors, vectors, n, k)
+    rows = stage(hits.withColumn("snippet", F.lit(None).cast("string")), "hits")
+    enriched = enrich_hits(rows, posts)
+    return to_json_rows(enriched)

@@ -6,13 +6,9 @@ clause holds, and a clause holds if one of its units matches or one of its negat
 does not. Any AND / OR / NOT of units can be written as such clauses.
 """
 
-from collections import Counter, defaultdict
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postlake.functions.text import tokens
-from postlake.schemas import SIZED_UNITS, UNITS
 
 # Fixed value: word gap of a proximity group when none is given.
 DEFAULT_NEAR = 10
@@ -85,8 +81,8 @@ def unit_words(units: DataFrame) -> DataFrame:
 
 
 def with_clause_sizes(units: DataFrame) -> DataFrame:
-    """Units with n_negated of their clause, and n_clauses and n_preset of their query (see
-    clause_sizes)."""
+    """Units with the number of negated units in their clause (n_negated), and of clauses
+    (n_clauses) and of clauses with a negated unit (n_preset) in their query."""
     clauses = units.groupBy("query_id", "clause").agg(F.count_if("negated").alias("n_negated"))
     queries = clauses.groupBy("query_id").agg(
         F.count("*").alias("n_clauses"), F.count_if(F.col("n_negated") > 0).alias("n_preset")
@@ -94,57 +90,8 @@ def with_clause_sizes(units: DataFrame) -> DataFrame:
     return units.join(clauses, ["query_id", "clause"]).join(queries, "query_id")
 
 
-def clause_sizes(rows):
-    """Per query and clause of a known table: (negated units of the clause, clauses of the
-    query, clauses of the query with a negated unit)."""
-    negated = Counter()
-    clauses = defaultdict(set)
-    for row in rows:
-        negated[row.query_id, row.clause] += row.negated
-        clauses[row.query_id].add(row.clause)
-    return {
-        (query, clause): (negated[query, clause], len(own), sum(negated[query, c] > 0 for c in own))
-        for query, own in clauses.items()
-        for clause in own
-    }
-
-
-def unit_shapes(units: DataFrame):
-    """({(kind, several words)}, {prefix lengths}) of a table of any size: a few rows, as
-    there are few kinds and no long prefixes."""
-    length = F.when(F.col("kind") == "prefix", F.length(F.try_element_at("words", F.lit(-1))))
-    rows = units.select("kind", (F.size("words") > 1).alias("several"), length.alias("length")).distinct().collect()
-    return {(row.kind, row.several) for row in rows}, {row.length for row in rows if row.length}
-
-
-class KnownUnits:
-    """A unit table small enough to be looked at, and what an index must deliver for it."""
-
-    def __init__(self, rows, spark):
-        self.rows = rows
-        sizes = clause_sizes(rows)
-        self.frame = spark.createDataFrame(
-            [(*row, *sizes[row.query_id, row.clause]) for row in rows], SIZED_UNITS
-        )
-        self.words, self.prefixes = set(), set()
-        for row in rows:
-            last = len(row.words) - 1
-            for i, word in enumerate(row.words):
-                is_prefix = row.kind == "prefix" and i == last
-                (self.prefixes if is_prefix else self.words).add(word)
-
-    def shapes(self):
-        """Same as unit_shapes, from the rows at hand."""
-        return {(row.kind, len(row.words) > 1) for row in self.rows}, {len(p) for p in self.prefixes}
-
-    def keep(self, term: Column) -> Column:
-        """Whether a term is used by any unit; pushed down to stored postings."""
-        tests = [term.isin(sorted(self.words))] if self.words else []
-        tests += [term.startswith(prefix) for prefix in sorted(self.prefixes)]
-        return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
-
-
-def known_units(units: DataFrame, limit: int) -> KnownUnits | None:
-    """The units if there are at most `limit` of them, else None."""
-    rows = units.select(*UNITS.fieldNames()).limit(limit + 1).collect()
-    return KnownUnits(rows, units.sparkSession) if len(rows) <= limit else None
+def unit_shapes(units: DataFrame) -> set:
+    """{(kind, several words, prefix of one letter)} of a table of any size: a few rows."""
+    letter = (F.col("kind") == "prefix") & (F.length(F.try_element_at("words", F.lit(-1))) == 1)
+    several = F.size("words") > 1
+    return {tuple(row) for row in units.select("kind", several, F.coalesce(letter, F.lit(False))).distinct().collect()}

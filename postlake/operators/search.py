@@ -1,65 +1,54 @@
-"""Keyword search: many queries per job, ranked by BM25.
-
-Shape of the plan: the query words meet the postings (by broadcast while the unit table is
-small), the matches are shuffled by (query_id, post_id), and units, scores and clauses are
-worked out inside those partitions. A word found in a third of all posts gives many small
-groups, one per post, so no task gets more than its share. Searches for phrases, prefixes
-and the like, whose frequencies must be counted before ranking, write the matches to the
-shared folder and go on from there.
+"""Keyword search: many queries per job, ranked by BM25, over an index.
+
+Shape of the plan: the table of query words is written first, so its size is known. It meets
+the postings on their bucket and term, and as buckets are folders, Spark reads only those in
+which a word lies (dynamic partition pruning), for three words or for three thousand. The
+matches are shuffled by (query_id, post_id), and units, scores and clauses are worked out
+inside those partitions. A word found in a third of all posts gives many small groups, one
+per post, so no task gets more than its share.
+
+Prefixes are looked up in the term statistics first and become plain words. Phrases and
+proximity groups are found in two steps: posts that hold all their words, without reading
+positions; then the positions of those words in those posts, compared as arrays.
 """
 
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postlake.operators.queries import (
-    KnownUnits,
-    known_units,
-    query_units,
-    unit_shapes,
-    unit_words,
-    with_clause_sizes,
-)
+from postlake.operators.queries import query_units, unit_shapes, unit_words, with_clause_sizes
 from postlake.operators.ranking import topk
-from postlake.operators.textindex import (
-    TextIndex,
-    build_postings,
-    split_statistics,
-    text_statistics,
-)
-from postlake.session import stage
+from postlake.operators.textindex import TextIndex, bucket_of, build_postings, only_live, read_index, write_index
+from postlake.session import scratch_path, stage
 
 # BM25 constants and the floor of the inverse document frequency.
 K1 = 1.2
 B = 0.75
 IDF_FLOOR = 1e-6
 
-# Unit tables up to this many rows are looked at to plan the search: their words are pushed
-# down as filters and the table itself is broadcast. Larger ones are joined.
-MAX_KNOWN_UNITS = 2_000
-
 _KEY = ["query_id", "post_id"]
 
 
-def _word_matches(postings: DataFrame, words: DataFrame, prefix_lengths) -> DataFrame:
-    """Postings of each query word. A prefix is an equal-key join too: each posting also
-    offers its term's beginnings, in the lengths asked for."""
-    keyed = postings.withColumn("is_prefix", F.lit(False)).withColumn("word", F.col("term"))
-    if prefix_lengths:
-        whole = F.struct(F.lit(False).alias("is_prefix"), F.col("term").alias("word"))
-        lengths = F.filter(
-            F.array(*[F.lit(n) for n in sorted(prefix_lengths)]), lambda n: n <= F.length("term")
-        )
-        beginnings = F.transform(
-            lengths,
-            lambda n: F.struct(F.lit(True).alias("is_prefix"), F.substring("term", F.lit(1), n).alias("word")),
-        )
-        keyed = (
-            postings.withColumn("key", F.explode(F.concat(F.array(whole), beginnings)))
-            .select("*", "key.*").drop("key")
-        )
+def _asked_terms(units: DataFrame, index: TextIndex, shapes: set) -> DataFrame:
+    """One row per term that a unit's word stands for, with the bucket it lies in."""
+    words = unit_words(units)
+    terms = words.where(~F.col("is_prefix")).withColumn("term", F.col("word"))
+    if any(kind == "prefix" for kind, _, _ in shapes):
+        prefixes, dictionary = words.where("is_prefix"), index.term_stats.select("term")
+        # Equal keys on the first two letters, or one where the prefix has no more.
+        for n in {1 if letter else 2 for kind, _, letter in shapes if kind == "prefix"}:
+            begins = F.substring("word", 1, n) == F.substring("term", 1, n)
+            own = prefixes.where((F.length("word") == 1) if n == 1 else (F.length("word") > 1))
+            found = dictionary.join(own, begins).where(F.startswith("term", "word"))
+            # A term of several fields is in the statistics once for each.
+            terms = terms.unionByName(found.dropDuplicates(["query_id", "unit", "word_no", "term"]).select(terms.columns))
+    return stage(terms.drop("word", "is_prefix").withColumn("bucket", bucket_of(F.col("term"), index.buckets)), "terms")
+
+
+def _matches(index: TextIndex, terms: DataFrame) -> DataFrame:
+    """Postings of the terms. The condition on the bucket lets Spark see that the terms select."""
     in_field = F.col("only_field").isNull() | (F.col("only_field") == F.col("field"))
-    return keyed.join(words, ["word", "is_prefix"]).where(in_field)
+    return index.postings.join(terms.where("bucket >= 0"), ["bucket", "term"]).where(in_field)
 
 
 def _single_words(matches: DataFrame) -> DataFrame:
@@ -74,21 +63,52 @@ def _single_words(matches: DataFrame) -> DataFrame:
     )
 
 
-def _phrases(matches: DataFrame) -> DataFrame:
+#: Where the words of a unit meet: a field of a post as one segment has it.
+_PLACE = [*_KEY, "unit", "field", "segment"]
+
+
+def _places(index: TextIndex, terms: DataFrame, matches: DataFrame) -> DataFrame:
+    """Units that need positions, one row per field that holds all their words, with the
+    positions of each word (`words`).
+
+    The fields are found first, from matches without positions. Few as they are, they are
+    written, so that Spark can send them to the postings and shuffle the positions of no
+    other post.
+    """
+    ordered = (F.col("n_words") > 1) | (F.col("kind") == "near")
+    candidates = stage(
+        matches.where(ordered).groupBy(*_PLACE).agg(F.collect_set("word_no").alias("seen"), F.max("n_words").alias("n_words"))
+        .where(F.size("seen") == F.col("n_words")).select(*_PLACE), "candidates",
+    )
+    return (
+        _matches(index, terms.where(ordered))
+        .select(*_PLACE, "kind", "n_words", "near_k", "doc_len", "tf", "word_no", "positions")
+        .join(candidates, _PLACE)
+        .groupBy(*_PLACE)
+        .agg(
+            F.first("kind").alias("kind"), F.max("n_words").alias("n_words"), F.max("near_k").alias("near_k"),
+            F.max("doc_len").alias("doc_len"), F.collect_list(F.struct("word_no", "tf", "positions")).alias("words"),
+        )
+    )
+
+
+def _phrases(places: DataFrame) -> DataFrame:
     """Units of several words in order: an occurrence is a start at which all words fit."""
-    starts = (
-        matches.where((F.col("n_words") > 1) & (F.col("kind") != "near"))
-        .select(*_KEY, "unit", "kind", "n_words", "field", "doc_len", "word_no",
-                F.explode("positions").alias("position"))
-        .withColumn("start", F.col("position") - F.col("word_no"))
-        .where((F.col("kind") != "initial") | (F.col("start") == 0))
-        .groupBy(*_KEY, "unit", "field", "start")
-        .agg(F.count("*").alias("fit"), F.max("n_words").alias("n_words"), F.max("doc_len").alias("doc_len"))
-        .where(F.col("fit") == F.col("n_words"))
+
+    def starts(word_no: Column) -> Column:
+        own = F.filter("words", lambda w: w["word_no"] == word_no)
+        return F.transform(F.flatten(F.transform(own, lambda w: w["positions"])), lambda p: p - word_no)
+
+    fit = F.reduce(
+        F.sequence(F.lit(1), F.col("n_words") - 1), starts(F.lit(0)), lambda left, i: F.array_intersect(left, starts(i))
     )
+    opening = F.when(F.col("kind") == "initial", F.filter("fit", lambda start: start == 0)).otherwise(F.col("fit"))
     return (
-        starts.groupBy(*_KEY, "unit")
-        .agg(F.count("*").alias("tf"), F.max("doc_len").alias("doc_len"))
+        places.where(F.col("kind") != "near").select(*_KEY, "unit", "doc_len", "kind", fit.alias("fit"))
+        .select(*_KEY, "unit", "doc_len", F.size(opening).alias("n"))
+        .groupBy(*_KEY, "unit")
+        .agg(F.sum("n").alias("tf"), F.max("doc_len").alias("doc_len"))
+        .where(F.col("tf") > 0)
         .withColumn("part", F.lit(0))
     )
 
@@ -114,35 +134,26 @@ def _is_near(places: Column, n_words: Column, near_k: Column) -> Column:
     return F.aggregate(places, start, step, lambda state: state["found"])
 
 
-def _near_groups(matches: DataFrame) -> DataFrame:
+def _near_groups(places: DataFrame) -> DataFrame:
     """Proximity groups. Each word of a matching group is ranked as a plain word (`part`)."""
-    grouped = (
-        matches.where(F.col("kind") == "near")
-        .groupBy(*_KEY, "unit", "field")
-        .agg(
-            F.max("n_words").alias("n_words"),
-            F.max("near_k").alias("near_k"),
-            F.max("doc_len").alias("doc_len"),
-            F.flatten(F.collect_list(F.transform(
-                "positions", lambda p: F.struct(p.alias("pos"), F.col("word_no").alias("word_no"))
-            ))).alias("places"),
-            F.collect_list(F.struct("word_no", "tf")).alias("counts"),
-        )
-    )
-    close = grouped.where(_is_near(F.sort_array("places"), F.col("n_words"), F.col("near_k")))
+    in_order = F.sort_array(F.flatten(F.transform(
+        "words", lambda w: F.transform(w["positions"], lambda p: F.struct(p.alias("pos"), w["word_no"].alias("word_no")))
+    )))
+    close = places.where(F.col("kind") == "near").where(_is_near(in_order, F.col("n_words"), F.col("near_k")))
     return (
-        close.select(*_KEY, "unit", "doc_len", F.explode("counts").alias("c"))
-        .groupBy(*_KEY, "unit", F.col("c.word_no").alias("part"))
-        .agg(F.sum("c.tf").alias("tf"), F.max("doc_len").alias("doc_len"))
+        close.select(*_KEY, "unit", "doc_len", F.explode(F.transform("words", lambda w: F.struct(w["word_no"], w["tf"]))).alias("w"))
+        .select(*_KEY, "unit", "doc_len", F.col("w.word_no").alias("part"), "w.tf")
+        .groupBy(*_KEY, "unit", "part")
+        .agg(F.sum("tf").alias("tf"), F.max("doc_len").alias("doc_len"))
     )
 
 
-def _plain_frequencies(words: DataFrame, stats: DataFrame) -> DataFrame:
+def _plain_frequencies(terms: DataFrame, stats: DataFrame) -> DataFrame:
     """Posts per single word, from the term statistics: (query_id, unit, part, df)."""
-    plain = words.where(
+    plain = terms.where(
         (F.col("kind") == "near") | ((F.col("kind") == "phrase") & (F.col("n_words") == 1))
     )
-    matched = stats.withColumnRenamed("term", "word").join(plain, "word")
+    matched = stats.join(plain, "term")
     in_field = F.col("only_field").isNull() | (F.col("only_field") == F.col("field"))
     part = F.when(F.col("kind") == "near", F.col("word_no")).otherwise(0)
     return (
@@ -159,71 +170,56 @@ def _bm25(tf: Column, df: Column, doc_len: Column, n_docs: Column, n_tokens: Col
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * relative))
 
 
-def score_units(units: DataFrame, index: TextIndex, known: KnownUnits | None = None) -> DataFrame:
-    """(query_id, post_id, score) for every post that matches, unranked.
-
-    `units` has the schema UNITS; `known` is the same table looked at, if it is small.
-    """
-    if known is not None:
-        units, small = known.frame, F.broadcast
-        index = TextIndex(
-            index.postings.where(known.keep(F.col("term"))),
-            index.term_stats.where(known.keep(F.col("term"))),
-            index.totals,
-        )
-    else:
-        # Written tables have a known size, from which Spark chooses how to join them.
-        units, small = stage(with_clause_sizes(units), "units"), lambda frame: frame
-    shapes, lengths = unit_shapes(units) if known is None else known.shapes()
-    kinds = {kind for kind, _ in shapes}
-    ordered_words = any(more and kind != "near" for kind, more in shapes)
-    one_word = any(not more and kind != "near" for kind, more in shapes)
-    words = unit_words(units)
-
-    # Positions are read and shuffled only for units that need them.
-    opens = F.array_contains("positions", 0) if "initial" in kinds else F.lit(None).cast("boolean")
-    columns = [*_KEY, "unit", "kind", "n_words", "near_k", "word_no", "field", "tf", "doc_len"]
-    if ordered_words or "near" in kinds:
-        columns.append("positions")
-    matches = _word_matches(index.postings, small(words), lengths)
-    matches = matches.select(*columns, opens.alias("opens"))
-    counts_units = ordered_words or bool(kinds & {"prefix", "initial"})
-    if counts_units or (one_word and "near" in kinds):
-        # Several branches read the matches: find them once.
-        matches = stage(matches, "matches")
-    matches = matches.repartition(*_KEY)
-
+def score_units(units: DataFrame, index: TextIndex) -> DataFrame:
+    """(query_id, post_id, score) for every post that matches, unranked. `units` has the schema
+    UNITS."""
+    # Written tables have a known size, from which Spark chooses how to join them.
+    units = stage(with_clause_sizes(units), "units")
+    shapes = unit_shapes(units)
+    kinds = {kind for kind, _, _ in shapes}
+    ordered_words = any(several and kind != "near" for kind, several, _ in shapes)
+    one_word = any(not several and kind != "near" for kind, several, _ in shapes)
+    terms = _asked_terms(units, index, shapes)
+
+    # Positions are read here only to see whether a word opens a field.
+    opens = F.array_contains("positions", 0) if ("initial", False, False) in shapes else F.lit(None).cast("boolean")
+    matches = only_live(
+        _matches(index, terms).select(
+            *_PLACE, "kind", "n_words", "near_k", "word_no", "tf", "doc_len", opens.alias("opens")
+        ), index,
+    ).repartition(*_KEY)
     parts = []
     if one_word:
         parts.append(_single_words(matches))
-    if ordered_words:
-        parts.append(_phrases(matches))
-    if "near" in kinds:
-        parts.append(_near_groups(matches))
+    if ordered_words or "near" in kinds:
+        places = _places(index, terms, matches)
+        if ordered_words and "near" in kinds:
+            places = stage(places, "places")
+        parts += [_phrases(places)] if ordered_words else []
+        parts += [_near_groups(places)] if "near" in kinds else []
     if not parts:
         return units.sparkSession.createDataFrame([], "query_id string, post_id string, score double")
     found = reduce(DataFrame.unionByName, parts)
 
     # Plain words have their frequency in the term statistics; other units are counted.
-    frequencies = _plain_frequencies(words, index.term_stats)
-    if counts_units:
+    frequencies = _plain_frequencies(terms, index.term_stats)
+    if ordered_words or kinds & {"prefix", "initial"}:
+        found = stage(found, "found")
         counted = units.where(
             F.col("kind").isin("prefix", "initial")
             | ((F.col("kind") == "phrase") & (F.size("words") > 1))
         )
         frequencies = frequencies.unionByName(
-            found.join(small(counted), ["query_id", "unit"], "left_semi")
+            found.join(counted, ["query_id", "unit"], "left_semi")
             .groupBy("query_id", "unit", "part").agg(F.count("doc_len").alias("df"))
         )
-
-    if known is None:
-        frequencies = stage(frequencies, "frequencies")
+    frequencies = stage(frequencies, "frequencies")
 
     totals = index.totals.select(F.struct("n_docs", "n_tokens").alias("t")).scalar()
     roles = units.select("query_id", "unit", "clause", "negated", "n_negated", "n_clauses", "n_preset")
     scored = (
-        found.join(small(frequencies), ["query_id", "unit", "part"])
-        .join(small(roles), ["query_id", "unit"])
+        found.join(frequencies, ["query_id", "unit", "part"])
+        .join(roles, ["query_id", "unit"])
         .withColumn(
             "score",
             _bm25(F.col("tf"), F.col("df"), F.col("doc_len"), totals["n_docs"], totals["n_tokens"]),
@@ -262,25 +258,20 @@ def _apply_clauses(scored: DataFrame) -> DataFrame:
 
 def search_units(units: DataFrame, index: TextIndex, n: int = 10) -> DataFrame:
     """Best n hits per query for a unit table (schema UNITS), which allows nested logic."""
-    return topk(score_units(units, index, known_units(units, MAX_KNOWN_UNITS)), n)
+    return topk(score_units(units, index), n)
 
 
-def search(queries: DataFrame, index: TextIndex, n: int = 10, fold: bool = True) -> DataFrame:
-    """Best n hits per query over a stored index: (query_id, post_id, score, rank)."""
-    return search_units(query_units(queries, fold), index, n)
+def search(queries: DataFrame, index: TextIndex, n: int = 10) -> DataFrame:
+    """Best n hits per query over an index: (query_id, post_id, score, rank)."""
+    return search_units(query_units(queries, index.fold), index, n)
 
 
 def search_posts(
     queries: DataFrame, posts: DataFrame, n: int = 10, fields=("content",), fold: bool = True
 ) -> DataFrame:
-    """Like search, straight over posts, which are read twice.
-
-    The first pass writes the few statistics the ranking needs; the second finds the hits.
-    Only the words asked for are counted and become postings.
-    """
-    units = query_units(queries, fold)
-    known = known_units(units, MAX_KNOWN_UNITS)
-    keep = known.keep if known is not None else None
-    stats, totals = split_statistics(stage(text_statistics(posts, fields, fold, keep), "statistics"))
-    index = TextIndex(build_postings(posts, fields, fold, keep), stats, totals)
-    return topk(score_units(units, index, known), n)
+    """Like search, over posts that have no index yet: one is stored in the shared folder for
+    this call. Whoever searches twice stores it with write_index."""
+    spark = posts.sparkSession
+    path = scratch_path(spark, "index")
+    write_index(build_postings(posts, fields, fold), posts, path, fields=fields, fold=fold)
+    return search(queries, read_index(spark, path), n)

@@ -1,29 +1,47 @@
-"""The inverted index as frames: postings, term statistics and totals.
+"""The inverted index: postings, term statistics and totals, in memory or stored.
 
 Postings are made inside each row: the tokens of a post are sorted and cut into runs, one
 per term. Nothing is shuffled, so an index build costs one scan, and a huge post stays the
 work of its own row. Each posting carries its post's length, so ranking needs no join with
 the posts.
+
+A stored index is a row of segments. The first holds all posts; every update adds one with
+the postings of its own posts, the ids whose older postings no longer count, and the signed
+differences of the figures. A search reads all segments as one table and leaves out what a
+later segment replaced, so an update writes no more than its batch; `merge_segments` makes
+one segment of all when there are many. Postings lie in folders by a hash of their term, so
+the words asked for, however many, tell which folders are read.
 """
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postlake.functions.text import tokens
+from postlake.operators.joins import lookup_ids
 from postlake.schemas import POSTINGS
+from postlake.session import stage
+
+#: Folders of a segment's postings, unless write_index is given another number. What is read
+#: for a word is about this part of the index, but files should stay large.
+BUCKETS = 64
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    """postings (schema POSTINGS), term_stats (term, field, df, lead_df), totals (one row)."""
+    """postings (schema POSTINGS with `bucket` and `segment`), term_stats (term, field, df,
+    lead_df), totals (one row); `replaced` says for ids of older segments since which segment
+    they do not count (post_id, since), None with one segment."""
 
     postings: DataFrame
     term_stats: DataFrame
     totals: DataFrame
+    buckets: int = BUCKETS
+    replaced: DataFrame | None = None
+    fields: tuple = ("content",)
+    fold: bool = True
 
 
 def tokenize(posts: DataFrame, column: str = "content", fold: bool = True) -> DataFrame:
@@ -36,25 +54,22 @@ def _field_tokens(field: str, fold: bool) -> Column:
     return F.coalesce(tokens(F.col(field), fold), F.array().cast("array<string>"))
 
 
-def build_postings(
-    posts: DataFrame,
-    fields=("content",),
-    fold: bool = True,
-    keep: Callable[[Column], Column] | None = None,
-) -> DataFrame:
+def bucket_of(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def build_postings(posts: DataFrame, fields=("content",), fold: bool = True) -> DataFrame:
     """One row per term, field and post: tf, positions and the post's whole length.
 
-    `lead` marks one of a term's rows per post, so posts can be counted without a
-    distinct. `keep` limits the terms (not the lengths) to those a search needs.
+    `lead` marks one of a term's rows per post, so posts can be counted without a distinct.
     """
     split = posts.select("post_id", *[_field_tokens(f, fold).alias(f"t{i}") for i, f in enumerate(fields)])
 
     def places(i: int, field: str) -> Column:
-        placed = F.transform(
+        return F.transform(
             f"t{i}",
             lambda term, pos: F.struct(term.alias("term"), F.lit(field).alias("field"), pos.alias("pos")),
         )
-        return placed if keep is None else F.filter(placed, lambda place: keep(place["term"]))
 
     every_place = F.concat(*[places(i, field) for i, field in enumerate(fields)])
     ordered = split.select(
@@ -120,91 +135,161 @@ def term_stats(postings: DataFrame) -> DataFrame:
     )
 
 
-def text_statistics(
-    posts: DataFrame,
-    fields=("content",),
-    fold: bool = True,
-    keep: Callable[[Column], Column] | None = None,
-) -> DataFrame:
-    """Term statistics and totals from one scan of the posts: (term, field, df, lead_df,
-    n_tokens). The row with the empty term counts every post, for the totals."""
-    split = posts.select(*[_field_tokens(f, fold).alias(f"t{i}") for i, f in enumerate(fields)])
-
-    def terms_of(i: int, field: str) -> Column:
-        terms = F.array_distinct(F.col(f"t{i}") if keep is None else F.filter(f"t{i}", keep))
-        return F.transform(terms, lambda term: F.struct(term.alias("term"), F.lit(field).alias("field")))
-
-    places = F.sort_array(F.concat(*[terms_of(i, field) for i, field in enumerate(fields)]))
-    every_post = F.array(F.struct(F.lit("").alias("term"), F.lit("").alias("field"), F.lit(True).alias("lead")))
-    entries = F.transform(
-        "places",
-        lambda place, i: F.struct(
-            place["term"].alias("term"),
-            place["field"].alias("field"),
-            ((i == 0) | (place["term"] != F.get("places", i - 1)["term"])).alias("lead"),
-        ),
-    )
-    doc_len = sum((F.size(f"t{i}") for i in range(len(fields))), F.lit(0))
-    return (
-        split.select(doc_len.alias("doc_len"), places.alias("places"))
-        .select("doc_len", F.explode(F.concat(every_post, entries)).alias("e"))
-        .groupBy("e.term", "e.field")
-        .agg(
-            F.count("*").alias("df"),
-            F.count_if("e.lead").alias("lead_df"),
-            F.coalesce(F.sum("doc_len"), F.lit(0)).alias("n_tokens"),
-        )
+def build_index(posts: DataFrame, fields=("content",), fold: bool = True) -> TextIndex:
+    """An index that is not stored: every search makes the postings it reads anew."""
+    postings = build_postings(posts, fields, fold)
+    return TextIndex(
+        postings.select("*", bucket_of(F.col("term"), BUCKETS).alias("bucket"), F.lit(1).alias("segment")),
+        term_stats(postings), index_totals(doc_stats(posts, fields, fold)), fields=tuple(fields), fold=fold,
     )
 
 
-def split_statistics(statistics: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(term_stats, totals) out of text_statistics."""
-    terms = statistics.where(F.col("term") != "").select("term", "field", "df", "lead_df")
-    totals = statistics.where(F.col("term") == "").agg(
-        F.coalesce(F.max("df"), F.lit(0)).alias("n_docs"),
-        F.coalesce(F.max("n_tokens"), F.lit(0)).alias("n_tokens"),
-    )
-    return terms, totals
+STORED_POSTINGS = T.StructType([*POSTINGS.fields, T.StructField("segment", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
+STORED_TERMS = "term string, field string, df bigint, lead_df bigint, segment int"
+STORED_TOTALS = "n_docs bigint, n_tokens bigint, segment int"
+STORED_REPLACED = "post_id string, segment int"
+STORED_SEGMENTS = "base boolean, buckets int, fields array<string>, fold boolean, segment int"
 
 
-def build_index(posts: DataFrame, fields=("content",), fold: bool = True) -> TextIndex:
-    postings = build_postings(posts, fields, fold)
-    return TextIndex(postings, term_stats(postings), index_totals(doc_stats(posts, fields, fold)))
+def _folder(path: str, table: str, segment: int) -> str:
+    return f"{path.rstrip('/')}/{table}/segment={segment}"
 
 
-def write_index(postings: DataFrame, posts: DataFrame, path: str) -> None:
-    """Store the index of `posts` so that a search reads only its terms.
+def _read(spark: SparkSession, path: str, table: str, schema, segments: list) -> DataFrame:
+    top = f"{path.rstrip('/')}/{table}"
+    return spark.read.schema(schema).option("basePath", top).parquet(*[_folder(path, table, n) for n in segments])
 
-    Postings are range-partitioned and sorted by (term, post_id): a term filter skips
-    files and row groups, and a term found in a third of all posts spreads over many
-    files. All figures are then counted from what is stored, without another look at the
-    texts; only the number of posts, which includes those without words, is theirs.
-    """
-    spark = postings.sparkSession
-    (
-        postings.repartitionByRange("term", "post_id", "field")
-        .sortWithinPartitions("term", "post_id", "field")
-        .write.parquet(f"{path}/postings")
-    )
-    stored = spark.read.schema(POSTINGS).parquet(f"{path}/postings")
+
+def published_segments(spark: SparkSession, path: str) -> list:
+    """The segments that make up the index, in order: the last one that holds all posts, and
+    those after it. A segment counts once its marker, written last, is there."""
+    top = f"{path.rstrip('/')}/published"
+    rows = sorted(spark.read.schema(STORED_SEGMENTS).parquet(top).collect(), key=lambda row: row.segment)
+    return rows[max(i for i, row in enumerate(rows) if row.base):]
+
+
+def _store(
+    spark: SparkSession, path: str, number: int, postings: DataFrame, figures, replaced: DataFrame | None,
+    buckets: int, fields, fold: bool,
+) -> None:
+    """Write and publish a segment. Its postings are laid out by bucket, term and post, so a
+    term found in a third of all posts spreads over many files. `figures` gives term statistics
+    and totals from the postings as stored. Of two writers of one segment the second fails."""
+    order = ["bucket", "term", "post_id", "field"]
     (
-        term_stats(stored).repartitionByRange("term").sortWithinPartitions("term")
-        .write.parquet(f"{path}/term_stats")
+        postings.withColumn("bucket", bucket_of(F.col("term"), buckets))
+        .repartitionByRange(*order).sortWithinPartitions(*order)
+        .write.mode("overwrite").partitionBy("bucket").parquet(_folder(path, "postings", number))
     )
-    n_docs = posts.agg(F.count("*").alias("n")).scalar()
-    (
-        stored.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("n_tokens"))
-        .select(n_docs.alias("n_docs"), "n_tokens")
-        .write.parquet(f"{path}/totals")
+    stored = _read(spark, path, "postings", STORED_POSTINGS, [number])
+    terms, totals = figures(stored)
+    terms.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(_folder(path, "terms", number))
+    totals.write.mode("overwrite").parquet(_folder(path, "totals", number))
+    if replaced is not None:
+        replaced.write.mode("overwrite").parquet(_folder(path, "replaced", number))
+    spark.createDataFrame(
+        [(replaced is None, buckets, list(fields), fold)], "base boolean, buckets int, fields array<string>, fold boolean"
+    ).coalesce(1).write.mode("error").parquet(_folder(path, "published", number))
+
+
+def _counted(posts: DataFrame):
+    """Figures of a segment that holds all posts: all but the number of posts, which includes
+    those without words, is counted from what is stored."""
+
+    def figures(stored):
+        n_docs = posts.agg(F.count("*").alias("n")).scalar()
+        totals = stored.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("n_tokens")).select(n_docs.alias("n_docs"), "n_tokens")
+        return term_stats(stored), totals
+
+    return figures
+
+
+def write_index(postings: DataFrame, posts: DataFrame, path: str, buckets: int = BUCKETS, fields=("content",), fold: bool = True) -> None:
+    """Store the index of `posts`, whose postings are given, as the first segment of a new index."""
+    _store(postings.sparkSession, path, 1, postings.select(*POSTINGS.fieldNames()), _counted(posts), None, buckets, fields, fold)
+
+
+def write_segment(spark: SparkSession, path: str, changed: DataFrame, outdated: DataFrame) -> None:
+    """Add an update to a stored index: `changed` are the posts that are new or have another
+    text, `outdated` the posts as they were before that are changed or gone (see index_changes).
+    Only these posts are tokenised and only their postings written."""
+    segments = published_segments(spark, path)
+    last, (fields, fold) = segments[-1], (tuple(segments[-1].fields), segments[-1].fold)
+    changed, outdated = (rows.select("post_id", *fields) for rows in (changed, outdated))
+
+    def figures(stored):
+        old = build_postings(outdated, fields, fold)
+        signed = term_stats(stored).unionByName(
+            term_stats(old).select("term", "field", (-F.col("df")).alias("df"), (-F.col("lead_df")).alias("lead_df"))
+        )
+        lengths = doc_stats(changed, fields, fold).select(F.lit(1).alias("sign"), "doc_len").union(
+            doc_stats(outdated, fields, fold).select(F.lit(-1), "doc_len")
+        )
+        totals = lengths.agg(
+            F.coalesce(F.sum("sign"), F.lit(0)).cast("bigint").alias("n_docs"),
+            F.coalesce(F.sum(F.col("sign") * F.col("doc_len")), F.lit(0)).alias("n_tokens"),
+        )
+        return signed.groupBy("term", "field").agg(F.sum("df").alias("df"), F.sum("lead_df").alias("lead_df")), totals
+
+    replaced = changed.select("post_id").union(outdated.select("post_id")).distinct()
+    _store(spark, path, last.segment + 1, build_postings(changed, fields, fold), figures, replaced, last.buckets, fields, fold)
+
+
+def merge_segments(spark: SparkSession, path: str) -> None:
+    """One segment of all, as a new one beside them: readers of the old ones go on."""
+    segments = published_segments(spark, path)
+    index = read_index(spark, path)
+    _store(
+        spark, path, segments[-1].segment + 1, live_postings(index), lambda _: (index.term_stats, index.totals),
+        None, index.buckets, index.fields, index.fold,
     )
 
 
 def read_index(spark: SparkSession, path: str) -> TextIndex:
+    """The stored index as its published segments stand now."""
+    segments = published_segments(spark, path)
+    numbers, last = [row.segment for row in segments], segments[-1]
+    terms = _read(spark, path, "terms", STORED_TERMS, numbers).drop("segment")
+    totals = _read(spark, path, "totals", STORED_TOTALS, numbers).agg(
+        F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")
+    )
+    replaced = None
+    if len(numbers) > 1:
+        terms = terms.groupBy("term", "field").agg(F.sum("df").alias("df"), F.sum("lead_df").alias("lead_df")).where("df > 0")
+        replaced = _read(spark, path, "replaced", STORED_REPLACED, numbers[1:]).groupBy("post_id").agg(F.max("segment").alias("since"))
     return TextIndex(
-        spark.read.schema(POSTINGS).parquet(f"{path}/postings"),
-        spark.read.schema("term string, field string, df bigint, lead_df bigint").parquet(f"{path}/term_stats"),
-        spark.read.schema("n_docs bigint, n_tokens bigint").parquet(f"{path}/totals"),
+        _read(spark, path, "postings", STORED_POSTINGS, numbers), terms, totals, last.buckets, replaced, tuple(last.fields), last.fold
+    )
+
+
+def only_live(rows: DataFrame, index: TextIndex) -> DataFrame:
+    """Rows of postings (post_id, segment) without those that a later segment replaced."""
+    if index.replaced is None:
+        return rows
+    joined = rows.join(index.replaced, "post_id", "left")
+    return joined.where(F.col("since").isNull() | (F.col("segment") >= F.col("since"))).drop("since")
+
+
+def live_postings(index: TextIndex) -> DataFrame:
+    """All postings that count, with the schema POSTINGS."""
+    return only_live(index.postings, index).select(*POSTINGS.fieldNames())
+
+
+def index_changes(batch: DataFrame, archive: DataFrame, removed: DataFrame | None = None, fields=("content",)) -> tuple[DataFrame, DataFrame]:
+    """(changed, outdated) for write_segment, of a batch that will be put into the archive and
+    of ids that will leave it. Only the archive's posts of these ids are looked at."""
+    texts = F.struct(*fields)
+    old = lookup_ids(archive, batch).select("post_id", texts.alias("old"))
+    judged = stage(
+        batch.select("post_id", texts.alias("new")).join(old, "post_id", "left").where(
+            F.col("old").isNull() | ~F.col("new").eqNullSafe(F.col("old"))
+        ), "index-changes",
     )
+    outdated = judged.where("old is not null").select("post_id", "old.*")
+    if removed is not None:
+        gone = lookup_ids(archive, removed.join(batch, "post_id", "left_anti"))
+        outdated = outdated.unionByName(gone.select("post_id", *fields))
+    return judged.select("post_id", "new.*"), outdated
 
 
 def refresh_postings(
@@ -212,7 +297,8 @@ def refresh_postings(
 ) -> DataFrame:
     """Postings after an update, without tokenising posts whose text is the same.
 
-    `changed` holds new and changed posts, `removed` the ids of posts that are gone.
+    `changed` holds new and changed posts, `removed` the ids of posts that are gone. For an
+    index that is not stored; a stored one takes the update as a segment.
     """
     stale = changed.select("post_id").unionByName(removed.select("post_id"))
     return postings.join(stale, "post_id", "left_anti").select(*postings.columns).unionByName(

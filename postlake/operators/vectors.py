@@ -13,6 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from postlake.operators.ranking import topk
+from postlake.session import stage
 
 # The scoring code travels with the tasks, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -114,29 +115,23 @@ def vector_scores(query_vectors: DataFrame, vectors: DataFrame, n: int = -1) ->
     """
     queries = query_vectors.select(F.col("query_id").cast("string"), "embedding")
     posts = vectors.select(F.col("post_id").cast("string"), "embedding")
-    block = _block_rows(queries)
-    carried = queries.limit(block + 1).toArrow()
-    if carried.num_rows <= block:
-        return _scores_carried(carried, posts, n)
-    return _scores_joined(queries, posts, n, block)
-
+    return _on_vectors(queries, posts, _scores_of_all(n), SCORES, _block_rows(queries))
 
-def _scores_carried(queries: pa.Table, posts: DataFrame, n: int) -> DataFrame:
-    query_rows, mask = _unit_matrix(queries["embedding"])
-    query_ids = queries["query_id"].to_numpy(zero_copy_only=False)[mask]
 
-    def score(batches):
-        for batch in batches:
-            for part in _score_parts(query_ids, query_rows, pa.Table.from_batches([batch]), n):
-                yield from part.to_batches()
+def _on_vectors(queries: DataFrame, posts: DataFrame, work, schema: str, block: int, shard=SHARD_ROWS) -> DataFrame:
+    """What `work` (a table of queries, an iterator of tables of vectors) yields over all
+    vectors for all queries. Up to `block` queries travel with the tasks; more are laid out with
+    the vectors on a grid of vector shards x query blocks. Shards and blocks go by hash, so
+    their sizes are even whatever the data."""
+    carried = queries.limit(block + 1).toArrow()
+    if carried.num_rows <= block:
 
-    return posts.mapInArrow(score, SCORES)
+        def run(batches):
+            for table in work(carried, (pa.Table.from_batches([batch]) for batch in batches)):
+                yield from table.to_batches()
 
+        return posts.mapInArrow(run, schema)
 
-def _scores_joined(queries: DataFrame, posts: DataFrame, n: int, block: int,
-                   shard=SHARD_ROWS) -> DataFrame:
-    """Both sides laid out on a grid of vector shards x query blocks. Shards and blocks go
-    by hash, so their sizes are even whatever the data."""
     n_shards = max(1, -(-posts.count() // shard))
     n_blocks = max(1, -(-queries.count() // block))
 
@@ -148,14 +143,100 @@ def _scores_joined(queries: DataFrame, posts: DataFrame, n: int, block: int,
     left = spread(posts, "post_id", "shard", n_shards, "block", n_blocks)
     right = spread(queries, "query_id", "block", n_blocks, "shard", n_shards)
 
-    def score(post_table, query_table):
-        query_rows, mask = _unit_matrix(query_table["embedding"])
-        query_ids = query_table["query_id"].to_numpy(zero_copy_only=False)[mask]
-        parts = list(_score_parts(query_ids, query_rows, post_table, n))
-        return pa.concat_tables(parts) if parts else pa.schema(SCORE_FIELDS).empty_table()
+    def run_group(post_table, query_table):
+        return pa.concat_tables([empty, *work(query_table, iter([post_table]))])
+
+    empty = pa.schema([(name, _ARROW[kind]) for name, kind in (field.split() for field in schema.split(", "))]).empty_table()
+    return left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(run_group, schema)
+
+
+_ARROW = {"string": pa.string(), "double": pa.float64(), "bigint": pa.int64(), "int": pa.int32()}
+
+
+def _scores_of_all(n: int):
+    def work(queries: pa.Table, tables):
+        query_rows, mask = _unit_matrix(queries["embedding"])
+        query_ids = queries["query_id"].to_numpy(zero_copy_only=False)[mask]
+        for table in tables:
+            yield from _score_parts(query_ids, query_rows, table, n)
 
+    return work
+
+
+def _slots(scores: np.ndarray, ids: np.ndarray, place_scores: np.ndarray, place_ids: np.ndarray) -> np.ndarray:
+    """For each hit the number of places not behind it; places are in order, best first."""
+    low = np.searchsorted(-place_scores, -scores, "left")
+    high = np.searchsorted(-place_scores, -scores, "right")
+    for i in np.flatnonzero(low < high):
+        low[i] += np.searchsorted(place_ids[low[i] : high[i]], ids[i], "right")
+    return low
+
+
+def _counts_between(queries: pa.Table, tables):
+    """(query_id, slot, n): how many vectors lie in front of the slot-th place of a query and
+    not in front of an earlier one. A task sends its sums only."""
+    query_rows, mask = _unit_matrix(queries["embedding"])
+    kept = queries.filter(pa.array(mask))
+    places = [
+        (np.array(scores, np.float64), np.array(ids, str))
+        for scores, ids in zip(kept["place_scores"].to_pylist(), kept["place_ids"].to_pylist())
+    ]
+    totals = [np.zeros(len(scores) + 1, np.int64) for scores, _ in places]
+    step = max(1, SCORES_AT_A_TIME // max(1, len(places)))
+    for table in tables:
+        for at in range(0, table.num_rows if places else 0, step):
+            part = table.slice(at, step)
+            rows, usable = _unit_matrix(part["embedding"])
+            ids = part["post_id"].to_numpy(zero_copy_only=False)[usable].astype(str)
+            scores = np.round(rows @ query_rows.T, 6) + 0.0
+            for j, (place_scores, place_ids) in enumerate(places):
+                totals[j] += np.bincount(_slots(scores[:, j], ids, place_scores, place_ids), minlength=len(totals[j]))
+    names = kept["query_id"].to_pylist()
+    found = [(name, slot, n) for name, total in zip(names, totals) for slot, n in enumerate(total.tolist()) if n]
+    if found:
+        yield pa.table([list(column) for column in zip(*found)], schema=pa.schema([("query_id", pa.string()), ("slot", pa.int32()), ("n", pa.int64())]))
+
+
+def vector_places(candidates: DataFrame, query_vectors: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(query_id, post_id, rank) of candidates (query_id, post_id) in the rankings of all
+    vectors, without those rankings: the candidates' own scores give places, and one pass over
+    the vectors counts how many lie between them."""
+    queries = query_vectors.select(F.col("query_id").cast("string"), "embedding")
+    posts = vectors.select(F.col("post_id").cast("string"), "embedding")
+    pairs = candidates.join(posts, "post_id").join(queries.withColumnRenamed("embedding", "asked"), "query_id")
+
+    def score_pairs(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            left, usable = _unit_matrix(table["embedding"])
+            right, asked = _unit_matrix(table["asked"])
+            both = usable & asked
+            scores = np.round((left[both[usable]] * right[both[asked]]).sum(axis=1), 6) + 0.0
+            kept = table.filter(pa.array(both))
+            yield from pa.table([kept["query_id"], kept["post_id"], pa.array(scores)], schema=pa.schema(SCORE_FIELDS)).to_batches()
+
+    scored = pairs.mapInArrow(score_pairs, SCORES)
+    places = scored.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "post_id"))).alias("places"))
+    asked = stage(
+        queries.join(places, "query_id").select(
+            "query_id", "embedding", F.transform("places", lambda p: -p["s"]).alias("place_scores"),
+            F.transform("places", lambda p: p["post_id"]).alias("place_ids"),
+        ), "places",
+    )
+    most = asked.agg(F.max(F.size("place_ids"))).first()[0] or 0
+    # Places travel with the queries and count among their bytes.
+    block = max(1, _block_rows(asked) // (1 + most // 64))
+    counts = _on_vectors(asked, posts, _counts_between, "query_id string, slot int, n bigint", block)
+    slots = counts.groupBy("query_id", "slot").agg(F.sum("n").alias("n")).groupBy("query_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("slot", "n"))).alias("counts")
+    )
+    before = F.aggregate(
+        F.sequence(F.lit(0), "nth"), F.lit(0).cast("bigint"),
+        lambda total, i: total + F.coalesce(F.try_element_at("counts", i), F.lit(0)),
+    )
     return (
-        left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(score, SCORES)
+        asked.select("query_id", F.posexplode("place_ids").alias("nth", "post_id")).join(slots, "query_id", "left")
+        .select("query_id", "post_id", (F.when(F.col("counts").isNull(), 0).otherwise(before) + 1).alias("rank"))
     )
 
 

@@ -5,7 +5,9 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from postlake.operators.corpus import render_body
+from postlake.operators.textindex import TextIndex, build_postings, read_index, write_index
 from postlake.schemas import POST_COLUMNS
+from postlake.session import scratch_path
 
 POSTS_SQL = """
 SELECT CAST(doc_id AS STRING) AS post_id, text AS content,
@@ -47,6 +49,20 @@ def text_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
+_indexes: dict = {}
+
+
+def text_index(spark: SparkSession, sf_dir: str, fields=("content",)) -> TextIndex:
+    """The stored index of all posts, as searches read it. It is built by the first search of
+    a session over these tables, in the shared folder, and read back by all."""
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(fields))
+    if key not in _indexes:
+        rows, path = text_posts(spark, sf_dir), scratch_path(spark, "posts-index")
+        write_index(build_postings(rows, fields, fold=False), rows, path, fields=fields, fold=False)
+        _indexes[key] = path
+    return read_index(spark, _indexes[key])
+
+
 def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered_posts(spark, sf_dir).where("doc_id % 5 <> 4").select(*POST_COLUMNS)
 
@@ -181,6 +197,7 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").where("vec_id < 5").selectExpr(
+    """Every twentieth vector asks for its neighbours among all."""
+    return table(spark, sf_dir, "embeddings").where("vec_id % 20 = 0").selectExpr(
         "concat('q', CAST(vec_id AS STRING)) AS query_id", "embedding"
     )

@@ -359,18 +359,25 @@ found AS (
 put("field_search", FIELD_TOKENS + SCORED, best(all_of({"language": 1, "content": 1, "any": 1})))
 
 VECTORS = """vec AS (SELECT CAST(vec_id * 3 AS VARCHAR) AS post_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-asked AS (SELECT 'q' || CAST(vec_id AS VARCHAR) AS query_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id < 5),
+asked AS (SELECT 'q' || CAST(vec_id AS VARCHAR) AS query_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 20 = 0),
 near AS (
   SELECT a.query_id, v.post_id, round(list_cosine_similarity(a.e, v.e), 6) AS score FROM asked a, vec v)"""
 put("vector_search", VECTORS, best("SELECT * FROM near"))
 
 
-def fusion(*words):
-    units = word_units(*[(f"q{i}", 0, w) for i, w in enumerate(words)])
+ASKED_WORDS = "['from', 'by', 'tion', 'ed', 'nd', 'zzzzz', 'with']"
+
+
+def fusion(*alone):
+    rows = ", ".join(f"('w{i}', '{w}')" for i, w in enumerate(alone))
+    others = f" UNION ALL SELECT * FROM (VALUES {rows}) AS x(query_id, word)" if alone else ""
     return f"""{TOKENS},
-found AS ({units}){SCORED},
-keyword AS (SELECT query_id, post_id, round(score, 6) AS score FROM scored),
 {VECTORS},
+words AS (
+  SELECT query_id, {ASKED_WORDS}[1 + CAST(substr(query_id, 2) AS BIGINT) // 20 % 7] AS word FROM asked{others}),
+found AS (
+  SELECT query_id, 0 AS unit, post_id, count(*) AS tf FROM words JOIN tok ON term = word GROUP BY ALL){SCORED},
+keyword AS (SELECT query_id, post_id, round(score, 6) AS score FROM scored),
 ranked AS (
   SELECT query_id, post_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, post_id) AS place
   FROM keyword WHERE query_id IN (SELECT query_id FROM asked)
@@ -379,12 +386,20 @@ ranked AS (
 fused AS (SELECT query_id, post_id, round(sum(1.0 / (60 + CAST(place AS DOUBLE))), 6) AS score FROM ranked GROUP BY ALL)"""
 
 
-put("hybrid_search", fusion("from", "by", "tion", "ed", "nd"), best("SELECT * FROM fused"))
-put("search_fallback", fusion("from", "by", "tion", "zzzzz", "nd", "ed", "with"), f"""
+FALLBACK = f"""
 SELECT *, 'hybrid' AS method FROM ({best("SELECT * FROM fused", 5)})
 UNION ALL
 SELECT *, 'keyword' AS method FROM ({best(
-    "SELECT * FROM keyword WHERE query_id NOT IN (SELECT query_id FROM asked)", 5)})""")
+    "SELECT * FROM keyword WHERE query_id NOT IN (SELECT query_id FROM asked)", 5)})"""
+put("hybrid_search", fusion(), best("SELECT * FROM fused"))
+put("search_fallback", fusion("with", "zzzzz"), FALLBACK)
+put("search_all", fusion("with", "zzzzz"), f"""
+SELECT CAST(to_json(struct_pack(query_id := h.query_id, rank := h.rank, method := h.method, post_id := h.post_id,
+    created_at := {iso('p.created_at')}, content := CASE WHEN p.post_id IS NULL THEN '' ELSE p.content END,
+    like_count := CASE WHEN p.post_id IS NULL THEN 0 ELSE p.like_count END,
+    repost_count := CASE WHEN p.post_id IS NULL THEN 0 ELSE p.repost_count END,
+    view_count := CASE WHEN p.post_id IS NULL THEN 0 ELSE p.view_count END, score := h.score)) AS VARCHAR) AS json
+FROM ({FALLBACK}) h LEFT JOIN (SELECT * FROM numbered WHERE doc_id % 7 <> 5) p ON p.post_id = h.post_id""")
 
 put("upsert_posts", BATCH, f"""
 SELECT {SHOWN} FROM (

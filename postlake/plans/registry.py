@@ -9,7 +9,6 @@ import postlake as P
 from postlake.functions.times import day_text, time_text
 from postlake.operators.decode import parse_items
 from postlake.plans import fixtures as X
-from postlake.schemas import POST_COLUMNS
 from postlake.session import scratch_path
 
 QUERIES = {}
@@ -330,7 +329,7 @@ def term_stats(spark, sf_dir):
 
 @query
 def keyword_search(spark, sf_dir):
-    posts = X.text_posts(spark, sf_dir)
+    posts = X.posts(spark, sf_dir)
     queries = search_table(
         spark,
         {"query_id": "two words", "must": ["from", "by"]},
@@ -338,8 +337,8 @@ def keyword_search(spark, sf_dir):
         {"query_id": "common", "must": ["the"]},
         {"query_id": "none", "must": ["from", "zzzzz"]},
     )
-    hits = P.search_posts(queries, posts, 10, fold=False)
-    joined = P.join_hits(hits, posts.select(*POST_COLUMNS), max_hits=4 * 10)
+    hits = P.search(queries, X.text_index(spark, sf_dir), 10)
+    joined = P.join_hits(hits, posts, max_hits=4 * 10)
     return joined.select("query_id", "rank", "post_id", "score", "like_count", day_text(F.col("created_at")).alias("day"))
 
 
@@ -351,7 +350,7 @@ def boolean_search(spark, sf_dir):
         {"query_id": "and or not", "must": ["from"], "should": ["tion", "by"], "must_not": ["ed"]},
         {"query_id": "not", "must": ["nd"], "must_not": ["the", "of"]},
     )
-    return P.search_posts(queries, X.text_posts(spark, sf_dir), 10, fold=False)
+    return P.search(queries, X.text_index(spark, sf_dir), 10)
 
 
 @query
@@ -362,7 +361,7 @@ def phrase_search(spark, sf_dir):
         {"query_id": "three", "phrase": ["to", "the", "of"]},
         {"query_id": "with word", "must": ["in the", "from"]},
     )
-    return P.search_posts(queries, X.text_posts(spark, sf_dir), 10, fold=False)
+    return P.search(queries, X.text_index(spark, sf_dir), 10)
 
 
 @query
@@ -373,7 +372,7 @@ def prefix_search(spark, sf_dir):
         {"query_id": "long", "prefix": ["thatth"]},
         {"query_id": "with word", "must": ["by"], "prefix": ["tio"]},
     )
-    return P.search_posts(queries, X.text_posts(spark, sf_dir), 10, fold=False)
+    return P.search(queries, X.text_index(spark, sf_dir), 10)
 
 
 @query
@@ -384,7 +383,7 @@ def near_search(spark, sf_dir):
         {"query_id": "default", "near": ["tion", "nd"]},
         {"query_id": "three", "near": ["from", "by", "ed"], "near_k": 20},
     )
-    return P.search_posts(queries, X.text_posts(spark, sf_dir), 10, fold=False)
+    return P.search(queries, X.text_index(spark, sf_dir), 10)
 
 
 @query
@@ -393,7 +392,7 @@ def initial_search(spark, sf_dir):
         spark, {"query_id": "the", "initial": ["the"]}, {"query_id": "of", "initial": ["of"]},
         {"query_id": "phrase", "initial": ["of the"]},
     )
-    return P.search_posts(queries, X.text_posts(spark, sf_dir), 10, fold=False)
+    return P.search(queries, X.text_index(spark, sf_dir), 10)
 
 
 @query
@@ -404,7 +403,7 @@ def field_search(spark, sf_dir):
         {"query_id": "content", "must": ["de"], "field": "content"},
         {"query_id": "any", "must": ["de"]},
     )
-    return P.search_posts(queries, X.text_posts(spark, sf_dir), 10, fields=("content", "lang"), fold=False)
+    return P.search(queries, X.text_index(spark, sf_dir, ("content", "lang")), 10)
 
 
 @query
@@ -412,22 +411,39 @@ def vector_search(spark, sf_dir):
     return P.vector_search(X.query_vectors(spark, sf_dir), X.vectors(spark, sf_dir), 10)
 
 
-def _keyword_rankings(spark, sf_dir, *words):
-    queries = search_table(spark, *[{"query_id": f"q{i}", "must": [w]} for i, w in enumerate(words)])
-    return P.search_posts(queries, X.text_posts(spark, sf_dir), -1, fold=False)
+#: Words asked for beside the query vectors, in turn; one is in no post.
+ASKED_WORDS = ["from", "by", "tion", "ed", "nd", "zzzzz", "with"]
+
+
+def _asked(spark, sf_dir, *words) -> DataFrame:
+    """A word for every query vector, and some queries with a word alone."""
+    listed = F.array(*[F.lit(w) for w in ASKED_WORDS])
+    number = F.floor(F.substring("query_id", 2, 20).cast("bigint") / 20)
+    vectors = X.query_vectors(spark, sf_dir).select("query_id", F.array(F.get(listed, number % len(ASKED_WORDS))).alias("must"))
+    alone = [(f"w{i}", [w]) for i, w in enumerate(words)]
+    return vectors.union(spark.createDataFrame(alone, "query_id string, must array<string>")) if alone else vectors
 
 
 @query
 def hybrid_search(spark, sf_dir):
-    keyword = _keyword_rankings(spark, sf_dir, "from", "by", "tion", "ed", "nd")
-    return P.hybrid_search(keyword, P.vector_scores(X.query_vectors(spark, sf_dir), X.vectors(spark, sf_dir)), 10)
+    keyword = P.search(_asked(spark, sf_dir), X.text_index(spark, sf_dir), -1)
+    return P.hybrid_search(keyword, X.query_vectors(spark, sf_dir), X.vectors(spark, sf_dir), 10)
 
 
 @query
 def search_fallback(spark, sf_dir):
-    keyword = _keyword_rankings(spark, sf_dir, "from", "by", "tion", "zzzzz", "nd", "ed", "with")
-    asked = X.query_vectors(spark, sf_dir)
-    return P.search_with_fallback(keyword, asked, P.vector_scores(asked, X.vectors(spark, sf_dir)), 5)
+    keyword = P.search(_asked(spark, sf_dir, "with", "zzzzz"), X.text_index(spark, sf_dir), -1)
+    return P.search_with_fallback(keyword, X.query_vectors(spark, sf_dir), X.vectors(spark, sf_dir), 5)
+
+
+@query
+def search_all(spark, sf_dir):
+    # Every seventh post has left the archive since the index was made.
+    posts = X.numbered_posts(spark, sf_dir).where("doc_id % 7 <> 5")
+    return P.search_all(
+        _asked(spark, sf_dir, "with", "zzzzz"), X.text_index(spark, sf_dir), posts,
+        X.query_vectors(spark, sf_dir), X.vectors(spark, sf_dir), 5,
+    )
 
 
 @query
@@ -437,9 +453,12 @@ def refresh_postings(spark, sf_dir):
     after = rows.where("doc_id % 7 <> 3").withColumn(
         "content", F.expr("CASE WHEN doc_id % 6 = 1 THEN concat(content, ' refreshed text') ELSE content END")
     )
-    changed, removed = P.changed_posts(before, after)
-    stored = P.build_postings(before, fold=False)
-    return _postings_as_text(P.refresh_postings(stored, changed, removed, fold=False))
+    path = scratch_path(spark, "index")
+    P.write_index(P.build_postings(before, fold=False), before, path, fold=False)
+    # The update as it arrives: posts that are new or changed, and ids that go.
+    batch, removed = after.where("doc_id % 6 = 1 OR doc_id % 5 = 4"), before.where("doc_id % 7 = 3").select("post_id")
+    P.write_segment(spark, path, *P.index_changes(batch, before, removed))
+    return _postings_as_text(P.live_postings(P.read_index(spark, path)))
 
 
 # --- updates -------------------------------------------------------------------------

@@ -56,13 +56,3 @@ UNITS = T.StructType(
         T.StructField("field", T.StringType()),
     ]
 )
-
-# Units with the clause figures a match is checked against.
-SIZED_UNITS = T.StructType(
-    UNITS.fields
-    + [
-        T.StructField("n_negated", T.LongType()),
-        T.StructField("n_clauses", T.LongType()),
-        T.StructField("n_preset", T.LongType()),
-    ]
-)

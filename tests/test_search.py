@@ -5,10 +5,11 @@ import random
 import sqlite3
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import postlake as P
-from postlake.operators import hybrid, ranking, search as S, vectors as V
+from postlake.operators import ranking, search as S, vectors as V
 from postlake.plans.registry import search_table
 from postlake.schemas import UNITS
 from pyspark.sql import functions as F
@@ -62,15 +63,37 @@ CASES = {
 }
 #: FTS5 takes a text without words out of an expression of its own; all of `must` is required.
 WORDLESS = {"required": {"must": ["beta", "!!!"]}, "alone": {"must": ["..."]}, "phrase": {"phrase": ["--"]}, "near": {"near": ["?"]}}
+FIELDS = ("content", "title")
 RANKED = [name for name in CASES if not name.startswith("near")]
 
 
-@pytest.mark.parametrize("limit", [2_000, 0], ids=["known", "joined"])
-def test_search_equals_fts5(spark, posts, fts, monkeypatch, limit):
-    monkeypatch.setattr(S, "MAX_KNOWN_UNITS", limit)
+@pytest.fixture(scope="module")
+def stored(spark, posts, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("search") / "index")
+    P.write_index(P.build_postings(posts, FIELDS), posts, path, buckets=7, fields=FIELDS)
+    return path
+
+
+@pytest.fixture(scope="module")
+def updated(spark, posts, tmp_path_factory):
+    """An index of other posts, brought to the same posts by two updates."""
+    path = str(tmp_path_factory.mktemp("search") / "updated")
+    first = posts.where("post_id <> '005' AND post_id < '055'").withColumn(
+        "content", F.when(F.col("post_id") < "020", F.concat("content", F.lit(" beta gamma"))).otherwise(F.col("content"))
+    ).unionByName(spark.createDataFrame([("extra", "alpha beta", "zeta")], "post_id string, content string, title string"))
+    P.write_index(P.build_postings(first, FIELDS), first, path, buckets=5, fields=FIELDS)
+    middle = posts.where("post_id < '030' OR post_id >= '900'")
+    for batch, gone in ((middle, None), (posts, "extra")):
+        ids = spark.createDataFrame([(gone,)], "post_id string")
+        P.write_segment(spark, path, *P.index_changes(batch, first, ids, FIELDS))
+        first = batch.unionByName(first.join(batch.select("post_id").union(ids), "post_id", "left_anti"))
+    return path
+
+
+def test_search_equals_fts5(spark, posts, fts):
     queries = search_table(spark, *[{"query_id": k, **q} for k, (q, _) in CASES.items()])
     got = {}
-    for row in P.search_posts(queries, posts, -1, fields=("content", "title")).collect():
+    for row in P.search_posts(queries, posts, -1, fields=FIELDS).collect():
         got.setdefault(row.query_id, {})[row.post_id] = row.score
     for name, (_, text) in CASES.items():
         want = {f"{i:03d}": -s for i, s in fts.execute("SELECT rowid, rank FROM t WHERE t MATCH ?", (text,))}
@@ -79,19 +102,17 @@ def test_search_equals_fts5(spark, posts, fts, monkeypatch, limit):
             assert got[name][post_id] == pytest.approx(score, abs=1e-6), (name, post_id)
 
 
-@pytest.mark.parametrize("limit", [2_000, 0], ids=["known", "joined"])
-def test_texts_without_words_match_nothing(spark, posts, monkeypatch, limit):
-    monkeypatch.setattr(S, "MAX_KNOWN_UNITS", limit)
+def test_texts_without_words_match_nothing(spark, stored):
     queries = search_table(spark, *[{"query_id": k, **q} for k, q in WORDLESS.items()])
-    assert P.search_posts(queries, posts, -1, fields=("content", "title")).count() == 0
+    assert P.search(queries, P.read_index(spark, stored), -1).count() == 0
 
 
 @pytest.mark.parametrize("k", [0, 1, 2, 5, 10])
-def test_near_matches_fts5(spark, posts, fts, k):
+def test_near_matches_fts5(spark, stored, fts, k):
     # Which posts match is compared; the ranking inside proximity groups is our own choice.
     queries = search_table(spark, {"query_id": "2", "near": ["beta", "gamma"], "near_k": k},
                            {"query_id": "3", "near": ["beta", "gamma", "eta"], "near_k": k})
-    rows = P.search_posts(queries, posts, -1, fields=("content", "title")).collect()
+    rows = P.search(queries, P.read_index(spark, stored), -1).collect()
     for name, words in (("2", "beta gamma"), ("3", "beta gamma eta")):
         want = {f"{i:03d}" for (i,) in fts.execute("SELECT rowid FROM t WHERE t MATCH ?", (f"NEAR({words}, {k})",))}
         assert {r.post_id for r in rows if r.query_id == name} == want
@@ -109,16 +130,73 @@ def test_nested_logic(spark, posts, fts):
     assert got == want
 
 
-def test_stored_index_gives_the_same_hits(spark, posts, tmp_path):
-    queries = search_table(spark, *[{"query_id": k, **q} for k, (q, _) in CASES.items()])
-    fields = ("content", "title")
-    P.write_index(P.build_postings(posts, fields), posts, str(tmp_path / "index"))
-    index = P.read_index(spark, str(tmp_path / "index"))
-    assert index.totals.head() == P.build_index(posts, fields).totals.head()
-    stored = P.search(queries, index, 5).collect()
-    assert sorted(stored) == sorted(P.search_posts(queries, posts, 5, fields).collect())
-    plan = S.score_units(P.query_units(queries), index, S.known_units(P.query_units(queries.limit(1)), 9))
-    assert "PushedFilters: [" in plan._jdf.queryExecution().executedPlan().toString()
+def every_case(spark):
+    return search_table(spark, *[{"query_id": k, **q} for k, (q, _) in CASES.items()])
+
+
+def test_stored_updated_and_merged_index_give_the_same_hits(spark, posts, stored, updated):
+    index = P.build_index(posts, FIELDS)
+    want = sorted(P.search(every_case(spark), index, 5).collect())
+    assert sorted(P.search(every_case(spark), P.read_index(spark, stored), 5).collect()) == want
+    assert len(P.published_segments(spark, updated)) == 3
+    for segments in (3, 1):
+        read = P.read_index(spark, updated)
+        assert len(P.published_segments(spark, updated)) == segments
+        assert read.totals.head() == index.totals.head()
+        assert sorted(P.live_postings(read).collect()) == sorted(P.build_postings(posts, FIELDS).collect())
+        assert sorted(read.term_stats.collect()) == sorted(index.term_stats.select("term", "field", "df", "lead_df").collect())
+        assert sorted(P.search(every_case(spark), read, 5).collect()) == want
+        if segments == 3:
+            P.merge_segments(spark, updated)
+
+
+def test_an_update_writes_only_its_batch(spark, posts, tmp_path):
+    path = str(tmp_path / "index")
+    P.write_index(P.build_postings(posts, FIELDS), posts, path, fields=FIELDS)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "index").rglob("*.parquet")}
+    batch = posts.where("post_id IN ('003', '004')").withColumn(
+        "content", F.when(F.col("post_id") == "003", F.lit("omega psi")).otherwise(F.col("content")))
+    changed, outdated = P.index_changes(batch, posts, None, FIELDS)
+    P.write_segment(spark, path, changed, outdated)
+    assert all(f.stat().st_mtime_ns == t for f, t in before.items())
+    new = spark.read.parquet(f"{path}/postings/segment=2")
+    assert {r.post_id for r in new.select("post_id").distinct().collect()} == {"003"}
+    hits = P.search(search_table(spark, {"query_id": "q", "must": ["omega"]}), P.read_index(spark, path), 5)
+    assert [r.post_id for r in hits.collect()] == ["003"]
+    # A batch that changes no text adds an empty segment and changes no hit.
+    P.write_segment(spark, path, *P.index_changes(batch, batch, None, FIELDS))
+    assert [r.post_id for r in P.search(search_table(spark, {"query_id": "q", "must": ["omega"]}), P.read_index(spark, path), 5).collect()] == ["003"]
+
+
+def test_unpublished_segments_do_not_count(spark, posts, tmp_path):
+    path = str(tmp_path / "index")
+    P.write_index(P.build_postings(posts), posts, path)
+    (tmp_path / "index" / "postings" / "segment=2").mkdir()
+    (tmp_path / "index" / "published" / "segment=2").mkdir()
+    assert [s.segment for s in P.published_segments(spark, path)] == [1]
+    # The first segment of a stored index is written once.
+    with pytest.raises(Exception, match="already exists"):
+        P.write_index(P.build_postings(posts), posts, path)
+
+
+@pytest.mark.parametrize("n_words", [3, 3_000])
+def test_buckets_are_pruned_by_the_words(spark, posts, stored, n_words):
+    """One plan for few words and for many: the folders to read follow from the words."""
+    words = ["alpha", "beta", "nothing"] + [f"missing{i}" for i in range(n_words - 3)]
+    queries = spark.createDataFrame([(w, [w]) for w in words], "query_id string, must array<string>")
+    index = P.read_index(spark, stored)
+    terms = S._asked_terms(S.with_clause_sizes(P.query_units(queries)), index, {("phrase", False, False)})
+    matches = S._matches(index, terms)
+    text = matches._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text and "BroadcastNestedLoop" not in text and "Cartesian" not in text
+    assert {r.term for r in matches.select("term").distinct().collect()} == {"alpha", "beta"}
+    assert {r.query_id for r in P.search(queries, index, 3).collect()} == {"alpha", "beta"}
+
+
+def test_positions_are_not_exploded(spark, stored):
+    queries = search_table(spark, {"query_id": "p", "phrase": ["beta", "gamma"]}, {"query_id": "x", "prefix": ["theta e"]})
+    plan = P.search(queries, P.read_index(spark, stored), 3)._jdf.queryExecution().analyzed().toString()
+    assert "explode(positions" not in plan and "substring(term, 1, 5)" not in plan
 
 
 def test_topk_is_the_head_of_the_full_ranking(spark, posts):
@@ -182,14 +260,19 @@ def brute(rows, asked):
     return out
 
 
+def on_grid(monkeypatch):
+    """Few queries and vectors at a time, so that the grid of both has several cells."""
+    whole = V._on_vectors
+    monkeypatch.setattr(V, "_on_vectors", lambda q, p, work, schema, _: whole(q, p, work, schema, block=2, shard=30))
+    monkeypatch.setattr(V, "SCORES_AT_A_TIME", 16)
+
+
 @pytest.mark.parametrize("limit", [4_096, 0], ids=["carried", "joined"])
 def test_vector_search_equals_brute_force(spark, vectors, monkeypatch, limit):
     rows, frame = vectors
     monkeypatch.setattr(V, "MAX_CARRIED_QUERIES", limit)
     if limit == 0:
-        joined = V._scores_joined
-        monkeypatch.setattr(V, "_scores_joined", lambda q, p, n, _: joined(q, p, n, block=2, shard=30))
-        monkeypatch.setattr(V, "SCORES_AT_A_TIME", 16)
+        on_grid(monkeypatch)
     asked = [(f"q{i}", rows[i][1]) for i in range(5)]
     got = P.vector_search(spark.createDataFrame(asked, "query_id string, embedding array<float>"), frame, 6).collect()
     for query_id, ranked in brute(rows, asked).items():
@@ -208,7 +291,7 @@ def fuse(left, right, n, k):
 
 
 @pytest.mark.parametrize("n, k", [(3, 2), (1, 0), (5, 60), (-1, 5)])
-def test_hybrid_equals_whole_fusion(spark, n, k):
+def test_fusion_of_given_rankings(spark, n, k):
     rng = random.Random(n * 100 + k)
     lists = {}
     for query_id in ("a", "b", "c"):
@@ -222,16 +305,47 @@ def test_hybrid_equals_whole_fusion(spark, n, k):
             [(q, p, s) for q, both in lists.items() for p, s in both[side]], "query_id string, post_id string, score double")
         for side in (0, 1)
     ]
-    rows = hybrid.hybrid_search(*frames, n, k).collect()
+    rows = P.fuse_rankings(*frames, n, k).collect()
     for query_id, (left, right) in lists.items():
         mine = sorted(((-r.score, r.post_id) for r in rows if r.query_id == query_id))
         assert [(p, -s) for s, p in mine] == fuse(left, right, n, k)
 
 
+@pytest.mark.parametrize("n, k, grid", [(3, 2, False), (1, 0, True), (5, 60, True), (-1, 5, False)])
+def test_hybrid_equals_whole_fusion(spark, vectors, monkeypatch, n, k, grid):
+    """Vectors with many ties and copies, with and without a keyword ranking."""
+    if grid:
+        on_grid(monkeypatch)
+    rows, frame = vectors
+    rng = random.Random(n * 100 + k)
+    asked = [(f"q{i}", rows[i][1]) for i in range(5)] + [("zero", [0.0] * 8)]
+    ids = [p for p, _ in rows]
+    words = {q: [(p, rng.choice([0.5, rng.random()])) for p in rng.sample(ids, size)] for (q, _), size in zip(asked, (80, 3, 0, 100, 40, 5))}
+    keyword = spark.createDataFrame([(q, p, s) for q, hits in words.items() for p, s in hits], "query_id string, post_id string, score double")
+    got = P.hybrid_search(keyword, spark.createDataFrame(asked, "query_id string, embedding array<float>"), frame, n, k).collect()
+    near = brute(rows, asked[:-1]) | {"zero": []}
+    for query_id, hits in words.items():
+        mine = sorted((-r.score, r.post_id) for r in got if r.query_id == query_id)
+        assert [(p, -s) for s, p in mine] == fuse([(p, -s) for s, p in near[query_id]], hits, n, k)
+
+
+def test_hybrid_makes_no_pairs(spark, vectors):
+    rows, frame = vectors
+    asked = spark.createDataFrame([(f"q{i}", rows[i][1]) for i in range(5)], "query_id string, embedding array<float>")
+    candidates = spark.createDataFrame([("q0", "copy3"), ("q0", "007"), ("q1", "020")], "query_id string, post_id string")
+    got = {(r.query_id, r.post_id): r["rank"] for r in V.vector_places(candidates, asked, frame).collect()}
+    near = brute(rows, [(f"q{i}", rows[i][1]) for i in range(2)])
+    assert got == {(q, p): 1 + [x for _, x in near[q]].index(p) for q, p in (("q0", "copy3"), ("q0", "007"), ("q1", "020"))}
+    query = pa.table({"query_id": ["q"], "embedding": [rows[0][1]], "place_scores": [[1.0, 0.5]], "place_ids": [["000", "x"]]})
+    tables = (pa.table({"post_id": [p for p, _ in rows], "embedding": [v for _, v in rows]}) for _ in range(40))
+    out = pa.concat_tables(V._counts_between(query, tables))
+    assert out.num_rows <= 3 and sum(out["n"].to_pylist()) == 40 * 120
+
+
 def test_fallback_labels(spark):
     hits = spark.createDataFrame([("a", "1", 1.0), ("b", "2", 1.0)], "query_id string, post_id string, score double")
     asked = spark.createDataFrame([("a", [1.0])], "query_id string, embedding array<float>")
-    vec = spark.createDataFrame([("a", "9", 0.5)], "query_id string, post_id string, score double")
+    vec = spark.createDataFrame([("9", [0.5])], "post_id string, embedding array<float>")
     rows = P.search_with_fallback(hits, asked, vec, 5).collect()
     assert {(r.query_id, r.post_id, r.method) for r in rows} == {
         ("a", "1", "hybrid"), ("a", "9", "hybrid"), ("b", "2", "keyword")}
