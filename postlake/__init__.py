@@ -9,6 +9,8 @@ from postlake.operators.incremental import (
     change_totals,
     classify_changes,
     gap_check,
+    judge_batch,
+    judged_report,
     late_filter,
     plan_update,
     update_report,
@@ -50,7 +52,7 @@ from postlake.operators.textindex import (
 from postlake.operators.vectors import vector_scores, vector_search
 from postlake.schemas import CORPUS, POSTINGS, POSTS, UNITS
 from postlake.session import build_session, stage
-from postlake.sources.archive import read_posts, write_posts
-from postlake.sources.corpus import parse_documents, read_corpus, read_rendered, write_corpus
+from postlake.sources.archive import read_posts, read_posts_near, write_changes, write_posts
+from postlake.sources.corpus import parse_documents, read_corpus, read_rendered, write_corpus, write_corpus_changes
 from postlake.sources.dumps import read_raw_items
 from postlake.streaming.ingest import batch_ingest, daily_update, stream_ingest

@@ -11,6 +11,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from postlake.functions.times import day_text
 from postlake.operators.joins import boundary_seen, lookup_ids
 from postlake.operators.stats import archive_latest, archive_summary, batch_summary
 from postlake.schemas import POST_COLUMNS, VALUE_COLUMNS
@@ -64,6 +65,50 @@ def upsert(archive: DataFrame, batch: DataFrame) -> DataFrame:
     return untouched.select(*POST_COLUMNS).unionByName(batch.select(*POST_COLUMNS))
 
 
+def judge_batch(batch: DataFrame, archive: DataFrame, bound: Column) -> DataFrame:
+    """The batch with `old` (its post in the archive as a struct, else null), `late`, `change`
+    and `document` (what becomes of its rendered document: written, removed or unchanged; null
+    without one): everything an update needs to know, from one left join. The archive need hold
+    no other posts than those that the batch may meet."""
+    old = lookup_ids(archive, batch).select("post_id", F.struct(*POST_COLUMNS).alias("old"))
+    differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"old.{c}")) for c in VALUE_COLUMNS])
+    change = F.when(F.col("old").isNull(), "inserted").when(differs, "updated").otherwise("unchanged")
+    on_time = bound.isNull() | F.coalesce(F.col("created_at") >= bound, F.lit(False))
+    shown, was_shown = F.col("is_repost") == 0, F.coalesce(F.col("old.is_repost") == 0, F.lit(False))
+    # The document shows the day, the likes and the text.
+    same = (
+        day_text(F.col("created_at")).eqNullSafe(day_text(F.col("old.created_at")))
+        & F.coalesce("like_count", F.lit(0)).eqNullSafe(F.coalesce("old.like_count", F.lit(0)))
+        & F.coalesce("content", F.lit("")).eqNullSafe(F.coalesce("old.content", F.lit("")))
+    )
+    document = (
+        F.when(shown & was_shown & same, "unchanged").when(shown, "written").when(was_shown, "removed")
+    )
+    return batch.join(old, "post_id", "left").select(
+        *POST_COLUMNS, "old", (F.col("old").isNull() & ~on_time).alias("late"), change.alias("change"), document.alias("document")
+    )
+
+
+def judged_report(judged: DataFrame, newest_before: Column, after: DataFrame) -> DataFrame:
+    """update_report from a judged batch and one scan of the archive after the update."""
+    kept = ~F.col("late")
+    counted = lambda column, value: F.count_if(kept & (F.col(column) == value)).alias(value)
+    figures = judged.agg(
+        F.count("*").alias("n_posts"), F.count_if(kept).alias("applied"), F.count_if("late").alias("n_late"),
+        F.max("created_at").alias("newest"), F.min("created_at").alias("oldest"),
+        F.coalesce(F.bool_or(F.col("old").isNotNull()), F.lit(False)).alias("overlaps"),
+        *[counted("change", c) for c in ("inserted", "updated")], F.count_if(kept & (F.col("change") == "unchanged")).alias("same"),
+        *[counted("document", d) for d in ("written", "removed")],
+    )
+    archive = archive_summary(after, F.count_if(F.col("is_repost") == 0).alias("files")).select(F.struct("*").alias("row")).scalar()
+    return figures.withColumn("a", archive).select(
+        "n_posts", "applied", "n_late", "newest", "oldest", newest_before.alias("newest_before"), "overlaps",
+        F.struct("inserted", "updated", F.col("same").alias("unchanged")).alias("db"),
+        F.struct(F.col("a.files").alias("files"), "written", "removed").alias("corpus"),
+        F.struct(*[F.col(f"a.{c}") for c in ("total", "original", "earliest", "latest", "avg_likes", "avg_views")]).alias("archive"),
+    )
+
+
 def gap_check(batch: DataFrame, archive: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(status row, rows allowed through).
 
@@ -73,10 +118,10 @@ def gap_check(batch: DataFrame, archive: DataFrame) -> tuple[DataFrame, DataFram
     required = archive.agg(F.count("created_at").alias("timed"))
     status = (
         batch_summary(batch, archive)
-        .withColumn("boundary_required", (required.scalar() > 0))
+        .withColumn("overlap_required", (required.scalar() > 0))
         .withColumn(
             "status",
-            F.when(F.col("boundary_required") & ~F.col("saw_existing_boundary"), "gap").otherwise("ok"),
+            F.when(F.col("overlap_required") & ~F.col("overlaps"), "gap").otherwise("ok"),
         )
     )
     passes = status.select(F.col("status") == "ok").scalar()
@@ -88,14 +133,14 @@ def plan_update(batch: DataFrame, archive: DataFrame) -> DataFrame:
     flagged = _late_flags(batch, archive, archive_latest(archive).scalar())
     return (
         flagged.agg(
-            F.count("*").alias("normalized"),
-            F.count_if(~F.col("late")).alias("would_apply"),
-            F.count_if("late").alias("skipped_older_unarchived"),
-            F.max("created_at").alias("newest_seen"),
-            F.min("created_at").alias("oldest_seen"),
+            F.count("*").alias("n_posts"),
+            F.count_if(~F.col("late")).alias("n_kept"),
+            F.count_if("late").alias("n_late"),
+            F.max("created_at").alias("newest"),
+            F.min("created_at").alias("oldest"),
         )
-        .withColumn("current_latest", archive_latest(archive).scalar())
-        .withColumn("saw_existing_boundary", boundary_seen(batch, archive).scalar())
+        .withColumn("archive_newest", archive_latest(archive).scalar())
+        .withColumn("overlaps", boundary_seen(batch, archive).scalar())
     )
 
 
@@ -122,7 +167,7 @@ def update_report(before: DataFrame, batch: DataFrame, after: DataFrame, corpus:
 
     return (
         plan_update(batch, before)
-        .withColumnsRenamed({"would_apply": "applied", "current_latest": "previous_latest"})
+        .withColumnsRenamed({"n_kept": "applied", "archive_newest": "newest_before"})
         .withColumn("db", nested(change_totals(batch, before).drop("late")))
         .withColumn("corpus", nested(corpus))
         .withColumn("archive", nested(archive_summary(after)))

@@ -69,4 +69,4 @@ def enrich_hits(hits: DataFrame, posts: DataFrame, max_hits: int | None = None)
 def boundary_seen(batch: DataFrame, archive: DataFrame) -> DataFrame:
     """One row: does any id of the batch exist in the archive?"""
     shared = lookup_ids(archive.select("post_id"), batch)
-    return shared.agg((F.count("*") > 0).alias("saw_existing_boundary"))
+    return shared.agg((F.count("*") > 0).alias("overlaps"))

@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postlake.operators.queries import query_units, unit_shapes, unit_words, with_clause_sizes
 from postlake.operators.ranking import topk
-from postlake.operators.textindex import TextIndex, bucket_of, build_postings, only_live, read_index, write_index
+from postlake.operators.textindex import TextIndex, bucket_of, build_postings, read_index, write_index
 from postlake.session import scratch_path, stage
+from postlake.sources.segments import only_live
 
 # BM25 constants and the floor of the inverse document frequency.
 K1 = 1.2
@@ -186,7 +187,7 @@ def score_units(units: DataFrame, index: TextIndex) -> DataFrame:
     matches = only_live(
         _matches(index, terms).select(
             *_PLACE, "kind", "n_words", "near_k", "word_no", "tf", "doc_len", opens.alias("opens")
-        ), index,
+        ), index.replaced,
     ).repartition(*_KEY)
     parts = []
     if one_word:

@@ -2,12 +2,14 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postlake.operators.textindex import live_postings
+
 
 def register_views(posts: DataFrame, index=None) -> None:
     """Name the frames `posts`, `postings` and `term_stats` for SQL."""
     posts.createOrReplaceTempView("posts")
     if index is not None:
-        index.postings.createOrReplaceTempView("postings")
+        live_postings(index).createOrReplaceTempView("postings")
         index.term_stats.createOrReplaceTempView("term_stats")
 
 

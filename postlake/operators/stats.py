@@ -23,8 +23,9 @@ def archive_stats(posts: DataFrame) -> DataFrame:
     )
 
 
-def archive_summary(posts: DataFrame) -> DataFrame:
-    """One row. Unlike in archive_stats, `original` is null for an empty archive."""
+def archive_summary(posts: DataFrame, *more: Column) -> DataFrame:
+    """One row, with more figures of the same scan if given. Unlike in archive_stats, `original`
+    is null for an empty archive."""
     return posts.agg(
         F.count("*").alias("total"),
         F.sum(
@@ -34,6 +35,7 @@ def archive_summary(posts: DataFrame) -> DataFrame:
         F.max("created_at").alias("latest"),
         F.round(F.avg(_when_not_repost("like_count")), 1).alias("avg_likes"),
         F.round(F.avg(_when_not_repost("view_count")), 0).alias("avg_views"),
+        *more,
     )
 
 
@@ -44,10 +46,10 @@ def archive_latest(posts: DataFrame) -> DataFrame:
 def batch_summary(batch: DataFrame, archive: DataFrame) -> DataFrame:
     """One row per batch: rows, newest, oldest and whether it reaches the archive."""
     return batch.agg(
-        F.count("*").alias("normalized"),
-        F.max("created_at").alias("newest_seen"),
-        F.min("created_at").alias("oldest_seen"),
-    ).withColumn("saw_existing_boundary", boundary_seen(batch, archive).scalar())
+        F.count("*").alias("n_posts"),
+        F.max("created_at").alias("newest"),
+        F.min("created_at").alias("oldest"),
+    ).withColumn("overlaps", boundary_seen(batch, archive).scalar())
 
 
 def change_counts(classified: DataFrame) -> DataFrame:

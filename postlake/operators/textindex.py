@@ -23,6 +23,7 @@ from postlake.functions.text import tokens
 from postlake.operators.joins import lookup_ids
 from postlake.schemas import POSTINGS
 from postlake.session import stage
+from postlake.sources.segments import folder, markers, only_live, publish, read_segments, replaced_since
 
 #: Folders of a segment's postings, unless write_index is given another number. What is read
 #: for a word is about this part of the index, but files should stay large.
@@ -147,49 +148,40 @@ def build_index(posts: DataFrame, fields=("content",), fold: bool = True) -> Tex
 STORED_POSTINGS = T.StructType([*POSTINGS.fields, T.StructField("segment", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
 STORED_TERMS = "term string, field string, df bigint, lead_df bigint, segment int"
 STORED_TOTALS = "n_docs bigint, n_tokens bigint, segment int"
-STORED_REPLACED = "post_id string, segment int"
-STORED_SEGMENTS = "base boolean, buckets int, fields array<string>, fold boolean, segment int"
-
-
-def _folder(path: str, table: str, segment: int) -> str:
-    return f"{path.rstrip('/')}/{table}/segment={segment}"
-
-
-def _read(spark: SparkSession, path: str, table: str, schema, segments: list) -> DataFrame:
-    top = f"{path.rstrip('/')}/{table}"
-    return spark.read.schema(schema).option("basePath", top).parquet(*[_folder(path, table, n) for n in segments])
+STORED_MARKERS = "name string, base boolean, buckets int, fields array<string>, fold boolean, segment int"
 
 
 def published_segments(spark: SparkSession, path: str) -> list:
     """The segments that make up the index, in order: the last one that holds all posts, and
-    those after it. A segment counts once its marker, written last, is there."""
-    top = f"{path.rstrip('/')}/published"
-    rows = sorted(spark.read.schema(STORED_SEGMENTS).parquet(top).collect(), key=lambda row: row.segment)
+    those after it."""
+    rows = markers(spark, path, STORED_MARKERS)
     return rows[max(i for i, row in enumerate(rows) if row.base):]
 
 
 def _store(
     spark: SparkSession, path: str, number: int, postings: DataFrame, figures, replaced: DataFrame | None,
-    buckets: int, fields, fold: bool,
+    buckets: int, fields, fold: bool, name: str | None = None,
 ) -> None:
     """Write and publish a segment. Its postings are laid out by bucket, term and post, so a
     term found in a third of all posts spreads over many files. `figures` gives term statistics
-    and totals from the postings as stored. Of two writers of one segment the second fails."""
+    and totals from the postings as stored. """
     order = ["bucket", "term", "post_id", "field"]
     (
         postings.withColumn("bucket", bucket_of(F.col("term"), buckets))
         .repartitionByRange(*order).sortWithinPartitions(*order)
-        .write.mode("overwrite").partitionBy("bucket").parquet(_folder(path, "postings", number))
+        .write.mode("overwrite").partitionBy("bucket").parquet(folder(path, "postings", number))
     )
-    stored = _read(spark, path, "postings", STORED_POSTINGS, [number])
+    stored = read_segments(spark, path, "postings", STORED_POSTINGS, [number])
     terms, totals = figures(stored)
-    terms.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(_folder(path, "terms", number))
-    totals.write.mode("overwrite").parquet(_folder(path, "totals", number))
+    terms.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(folder(path, "terms", number))
+    totals.write.mode("overwrite").parquet(folder(path, "totals", number))
     if replaced is not None:
-        replaced.write.mode("overwrite").parquet(_folder(path, "replaced", number))
-    spark.createDataFrame(
-        [(replaced is None, buckets, list(fields), fold)], "base boolean, buckets int, fields array<string>, fold boolean"
-    ).coalesce(1).write.mode("error").parquet(_folder(path, "published", number))
+        replaced.write.mode("overwrite").parquet(folder(path, "replaced", number))
+    marker = spark.createDataFrame(
+        [(name, replaced is None, buckets, list(fields), fold)],
+        "name string, base boolean, buckets int, fields array<string>, fold boolean",
+    )
+    publish(marker, path, number)
 
 
 def _counted(posts: DataFrame):
@@ -209,11 +201,14 @@ def write_index(postings: DataFrame, posts: DataFrame, path: str, buckets: int =
     _store(postings.sparkSession, path, 1, postings.select(*POSTINGS.fieldNames()), _counted(posts), None, buckets, fields, fold)
 
 
-def write_segment(spark: SparkSession, path: str, changed: DataFrame, outdated: DataFrame) -> None:
+def write_segment(spark: SparkSession, path: str, changed: DataFrame, outdated: DataFrame, name: str | None = None) -> None:
     """Add an update to a stored index: `changed` are the posts that are new or have another
     text, `outdated` the posts as they were before that are changed or gone (see index_changes).
-    Only these posts are tokenised and only their postings written."""
+    Only these posts are tokenised and only their postings written. An update that has a name
+    and was added already is not added again."""
     segments = published_segments(spark, path)
+    if name is not None and any(row.name == name for row in segments):
+        return
     last, (fields, fold) = segments[-1], (tuple(segments[-1].fields), segments[-1].fold)
     changed, outdated = (rows.select("post_id", *fields) for rows in (changed, outdated))
 
@@ -232,7 +227,7 @@ def write_segment(spark: SparkSession, path: str, changed: DataFrame, outdated:
         return signed.groupBy("term", "field").agg(F.sum("df").alias("df"), F.sum("lead_df").alias("lead_df")), totals
 
     replaced = changed.select("post_id").union(outdated.select("post_id")).distinct()
-    _store(spark, path, last.segment + 1, build_postings(changed, fields, fold), figures, replaced, last.buckets, fields, fold)
+    _store(spark, path, last.segment + 1, build_postings(changed, fields, fold), figures, replaced, last.buckets, fields, fold, name)
 
 
 def merge_segments(spark: SparkSession, path: str) -> None:
@@ -249,30 +244,21 @@ def read_index(spark: SparkSession, path: str) -> TextIndex:
     """The stored index as its published segments stand now."""
     segments = published_segments(spark, path)
     numbers, last = [row.segment for row in segments], segments[-1]
-    terms = _read(spark, path, "terms", STORED_TERMS, numbers).drop("segment")
-    totals = _read(spark, path, "totals", STORED_TOTALS, numbers).agg(
+    terms = read_segments(spark, path, "terms", STORED_TERMS, numbers).drop("segment")
+    totals = read_segments(spark, path, "totals", STORED_TOTALS, numbers).agg(
         F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")
     )
-    replaced = None
     if len(numbers) > 1:
         terms = terms.groupBy("term", "field").agg(F.sum("df").alias("df"), F.sum("lead_df").alias("lead_df")).where("df > 0")
-        replaced = _read(spark, path, "replaced", STORED_REPLACED, numbers[1:]).groupBy("post_id").agg(F.max("segment").alias("since"))
     return TextIndex(
-        _read(spark, path, "postings", STORED_POSTINGS, numbers), terms, totals, last.buckets, replaced, tuple(last.fields), last.fold
+        read_segments(spark, path, "postings", STORED_POSTINGS, numbers), terms, totals, last.buckets,
+        replaced_since(spark, path, numbers), tuple(last.fields), last.fold,
     )
 
 
-def only_live(rows: DataFrame, index: TextIndex) -> DataFrame:
-    """Rows of postings (post_id, segment) without those that a later segment replaced."""
-    if index.replaced is None:
-        return rows
-    joined = rows.join(index.replaced, "post_id", "left")
-    return joined.where(F.col("since").isNull() | (F.col("segment") >= F.col("since"))).drop("since")
-
-
 def live_postings(index: TextIndex) -> DataFrame:
     """All postings that count, with the schema POSTINGS."""
-    return only_live(index.postings, index).select(*POSTINGS.fieldNames())
+    return only_live(index.postings, index.replaced).select(*POSTINGS.fieldNames())
 
 
 def index_changes(batch: DataFrame, archive: DataFrame, removed: DataFrame | None = None, fields=("content",)) -> tuple[DataFrame, DataFrame]:

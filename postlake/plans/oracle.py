@@ -163,7 +163,7 @@ SELECT h.path, h.post_id, {iso('p.created_at')} AS created_at,
 FROM hits h LEFT JOIN posts p ON p.post_id = h.post_id""")
 put("lookup_ids", HITS, "SELECT post_id, like_count FROM posts WHERE post_id IN (SELECT post_id FROM hits)")
 put("boundary_seen", BATCH, """
-SELECT EXISTS (SELECT 1 FROM incoming WHERE post_id IN (SELECT post_id FROM archive)) AS saw_existing_boundary""")
+SELECT EXISTS (SELECT 1 FROM incoming WHERE post_id IN (SELECT post_id FROM archive)) AS overlaps""")
 put("classify_changes", BATCH, "SELECT post_id, like_count, change FROM judged")
 put("late_filter", BATCH, "SELECT post_id, CASE WHEN late THEN 'late' ELSE 'kept' END AS outcome FROM judged")
 
@@ -195,13 +195,18 @@ put("archive_summary", POSTS, f"""
 SELECT count(*) AS total, CAST(sum(CASE WHEN is_repost = 0 AND is_reply = 0 THEN 1 ELSE 0 END) AS BIGINT) AS original,
   {FIGURES} FROM posts""")
 put("archive_latest", POSTS, f"SELECT {iso('max(created_at)')} AS latest FROM posts")
-SEEN = f"{iso('max(created_at)')} AS newest_seen, {iso('min(created_at)')} AS oldest_seen"
-BOUNDARY = "bool_or(post_id IN (SELECT post_id FROM archive)) AS saw_existing_boundary"
-put("batch_summary", BATCH, f"SELECT count(*) AS normalized, {SEEN}, {BOUNDARY} FROM incoming")
+SEEN = f"{iso('max(created_at)')} AS newest, {iso('min(created_at)')} AS oldest"
+BOUNDARY = "bool_or(post_id IN (SELECT post_id FROM archive)) AS overlaps"
+put("batch_summary", BATCH, f"SELECT count(*) AS n_posts, {SEEN}, {BOUNDARY} FROM incoming")
 put("change_counts", BATCH, """
 SELECT CASE WHEN late THEN 'late' ELSE change END AS change, count(*) AS n_rows FROM judged GROUP BY 1""")
 
-put("dedupe_last_wins", DECODED, f"SELECT {SHOWN} FROM last_sent")
+put("dedupe_last_wins", DECODED + """,
+again AS (
+  SELECT * EXCLUDE (sequence) REPLACE (like_count + 5 AS like_count) FROM decoded
+  WHERE sequence = 0 AND CAST(post_id AS BIGINT) % 4 = 1)""", f"""
+SELECT {SHOWN} FROM (
+  SELECT * FROM last_sent WHERE post_id NOT IN (SELECT post_id FROM again) UNION ALL BY NAME SELECT * FROM again)""")
 put("topk_per_query", POSTS, """
 SELECT query_id, post_id, score, CAST(nth AS INTEGER) AS rank FROM (
   SELECT source || '/' || lang AS query_id, post_id, CAST(like_count AS DOUBLE) AS score,
@@ -405,15 +410,15 @@ put("upsert_posts", BATCH, f"""
 SELECT {SHOWN} FROM (
   SELECT * FROM archive WHERE post_id NOT IN (SELECT post_id FROM incoming) UNION ALL SELECT * FROM incoming)""")
 put("plan_update", BATCH, f"""
-SELECT count(*) AS normalized, count(*) FILTER (NOT late) AS would_apply,
-  count(*) FILTER (late) AS skipped_older_unarchived, {SEEN},
-  (SELECT {iso('bound')} FROM latest) AS current_latest, {BOUNDARY} FROM judged""")
+SELECT count(*) AS n_posts, count(*) FILTER (NOT late) AS n_kept,
+  count(*) FILTER (late) AS n_late, {SEEN},
+  (SELECT {iso('bound')} FROM latest) AS archive_newest, {BOUNDARY} FROM judged""")
 put("update_report", BATCH + f""",
 wanted AS (SELECT post_id, {RENDERED} AS body FROM merged WHERE is_repost = 0),
 present AS (SELECT post_id, {RENDERED} AS body FROM archive WHERE is_repost = 0)""", f"""
-SELECT count(*) AS normalized, count(*) FILTER (NOT late) AS applied,
-  count(*) FILTER (late) AS skipped_older_unarchived, {iso('max(created_at)')} AS newest_seen,
-  (SELECT {iso('bound')} FROM latest) AS previous_latest, {BOUNDARY},
+SELECT count(*) AS n_posts, count(*) FILTER (NOT late) AS applied,
+  count(*) FILTER (late) AS n_late, {iso('max(created_at)')} AS newest,
+  (SELECT {iso('bound')} FROM latest) AS newest_before, {BOUNDARY},
   count(*) FILTER (NOT late AND change = 'inserted') AS inserted,
   count(*) FILTER (NOT late AND change = 'updated') AS updated,
   count(*) FILTER (NOT late AND change = 'unchanged') AS unchanged,
@@ -427,7 +432,7 @@ SELECT count(*) AS normalized, count(*) FILTER (NOT late) AS applied,
   (SELECT {iso('max(created_at)')} FROM merged) AS latest
 FROM judged""")
 put("gap_check", BATCH, """
-SELECT 'near' AS batch, count(*) AS normalized, TRUE AS boundary_required, TRUE AS saw_existing_boundary,
+SELECT 'near' AS batch, count(*) AS n_posts, TRUE AS overlap_required, TRUE AS overlaps,
   'ok' AS status, count(*) AS n_allowed FROM incoming
 UNION ALL
 SELECT 'far', count(*), TRUE, FALSE, 'gap', 0 FROM incoming""")
@@ -458,6 +463,37 @@ applied_later AS (
 SELECT {SHOWN} FROM (
   SELECT * FROM first_day WHERE post_id NOT IN (SELECT post_id FROM applied_later)
   UNION ALL BY NAME SELECT * FROM applied_later)""")
+put("daily_update", DECODED + f""",
+archive AS (SELECT * EXCLUDE (doc_id, lang, source) FROM numbered WHERE doc_id % 5 <> 4),
+latest AS (SELECT max(created_at) AS bound FROM archive),
+judged AS (
+  SELECT s.*, a.post_id IS NOT NULL AS known, a.post_id IS NULL AND NOT coalesce(s.created_at >= (SELECT bound FROM latest), FALSE) AS late,
+    CASE WHEN a.post_id IS NULL THEN 'inserted'
+      WHEN (s.content, s.created_at, s.like_count, s.repost_count, s.reply_count, s.view_count, s.is_reply, s.is_repost, s.is_quote,
+        s.reply_to_post_id) IS DISTINCT FROM (a.content, a.created_at, a.like_count, a.repost_count, a.reply_count, a.view_count,
+        a.is_reply, a.is_repost, a.is_quote, a.reply_to_post_id) THEN 'updated' ELSE 'unchanged' END AS change
+  FROM last_sent s LEFT JOIN archive a ON a.post_id = s.post_id),
+kept AS (SELECT * EXCLUDE (known, late, change) FROM judged WHERE NOT late),
+merged AS (
+  SELECT * FROM archive WHERE post_id NOT IN (SELECT post_id FROM kept) UNION ALL BY NAME SELECT * FROM kept),
+wanted AS (SELECT post_id, {RENDERED} AS body FROM merged WHERE is_repost = 0),
+present AS (SELECT post_id, {RENDERED} AS body FROM archive WHERE is_repost = 0),
+words AS (SELECT post_id, regexp_extract_all(lower(coalesce(content, '')), '{WORD}') AS words FROM merged),
+postings AS (SELECT DISTINCT post_id, unnest(words) AS term FROM words)""", f"""
+SELECT count(*) AS n_posts, count(*) FILTER (NOT late) AS applied, count(*) FILTER (late) AS n_late, CAST(0 AS BIGINT) AS n_rejected,
+  bool_or(known) AS overlaps, count(*) FILTER (NOT late AND change = 'inserted') AS inserted,
+  count(*) FILTER (NOT late AND change = 'updated') AS updated, count(*) FILTER (NOT late AND change = 'unchanged') AS unchanged,
+  (SELECT count(*) FROM wanted) AS files,
+  (SELECT count(*) FROM wanted w LEFT JOIN present p USING (post_id) WHERE p.body IS DISTINCT FROM w.body) AS written,
+  (SELECT count(*) FROM present WHERE post_id NOT IN (SELECT post_id FROM wanted)) AS removed,
+  (SELECT count(*) FROM merged) AS total, (SELECT count(*) FROM merged WHERE is_repost = 0 AND is_reply = 0) AS original,
+  (SELECT round(avg(like_count), 1) FROM merged WHERE is_repost = 0) AS avg_likes,
+  {iso('max(created_at)')} AS newest, (SELECT {iso('bound')} FROM latest) AS newest_before,
+  (SELECT count(*) FROM merged) AS n_docs, (SELECT CAST(sum(len(words)) AS BIGINT) FROM words) AS n_tokens,
+  (SELECT count(DISTINCT term) FROM postings) AS n_terms, (SELECT count(*) FROM postings) AS n_postings,
+  (SELECT count(*) FROM wanted) AS n_documents, (SELECT CAST(sum(length(body)) AS BIGINT) FROM wanted) AS n_chars,
+  (SELECT count(*) FROM merged) AS n_archived, (SELECT CAST(sum(like_count) AS BIGINT) FROM merged) AS n_likes
+FROM judged""")
 put("topk_every_hit", POSTS, """
 SELECT lang AS query_id, post_id, CAST(like_count AS DOUBLE) AS score,
   CAST(row_number() OVER (PARTITION BY lang, n ORDER BY like_count DESC, post_id) AS INTEGER) AS rank, n

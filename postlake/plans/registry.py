@@ -80,8 +80,8 @@ def scan_corpus_text(spark, sf_dir):
 @query
 def write_archive(spark, sf_dir):
     path = scratch_path(spark, "archive")
-    P.write_posts(X.archive(spark, sf_dir), path, "v1")
-    P.write_posts(P.upsert(P.read_posts(spark, path), X.incoming(spark, sf_dir)), path, "v2")
+    P.write_posts(X.archive(spark, sf_dir), path, "v1", clustered=True)
+    P.write_changes(spark, path, "v2", X.incoming(spark, sf_dir))
     return shown(P.read_posts(spark, path))
 
 
@@ -244,7 +244,7 @@ def archive_latest(spark, sf_dir):
 @query
 def batch_summary(spark, sf_dir):
     row = P.batch_summary(X.incoming(spark, sf_dir), X.archive(spark, sf_dir))
-    return _times_as_text(row, "newest_seen", "oldest_seen")
+    return _times_as_text(row, "newest", "oldest")
 
 
 @query
@@ -265,7 +265,11 @@ def corpus_diff_counts(spark, sf_dir):
 
 @query
 def dedupe_last_wins(spark, sf_dir):
-    return shown(P.dedupe_last(decoded(spark, sf_dir)))
+    """Two dumps of one day: the sequences of the later one begin at 0 again."""
+    dump = scratch_path(spark, "dump")
+    for name, items in (("job-a", X.raw_items(spark, sf_dir)), ("job-b", X.later_items(spark, sf_dir))):
+        X.envelopes(items).write.text(f"{dump}/2025-09-29/{name}")
+    return shown(P.dedupe_last(P.decode_items(P.read_raw_items(spark, f"{dump}/2025-09-29/*"))[0]))
 
 
 @query
@@ -472,7 +476,7 @@ def upsert_posts(spark, sf_dir):
 @query
 def plan_update(spark, sf_dir):
     row = P.plan_update(X.incoming(spark, sf_dir), X.archive(spark, sf_dir))
-    return _times_as_text(row, "newest_seen", "oldest_seen", "current_latest")
+    return _times_as_text(row, "newest", "oldest", "archive_newest")
 
 
 @query
@@ -482,10 +486,10 @@ def update_report(spark, sf_dir):
     corpus = P.corpus_diff_counts(P.corpus_diff(P.render_body(after), P.render_body(archive)))
     report = P.update_report(archive, incoming, after, corpus)
     return report.select(
-        "normalized", "applied", "skipped_older_unarchived",
-        time_text(F.col("newest_seen")).alias("newest_seen"),
-        time_text(F.col("previous_latest")).alias("previous_latest"),
-        "saw_existing_boundary",
+        "n_posts", "applied", "n_late",
+        time_text(F.col("newest")).alias("newest"),
+        time_text(F.col("newest_before")).alias("newest_before"),
+        "overlaps",
         "db.inserted", "db.updated", "db.unchanged",
         "corpus.files", "corpus.written", "corpus.removed",
         "archive.total", "archive.original", "archive.avg_likes", "archive.avg_views",
@@ -501,7 +505,7 @@ def gap_check(spark, sf_dir):
     for name, batch in (("near", incoming), ("far", far)):
         status, allowed = P.gap_check(batch, archive)
         parts.append(
-            status.select(F.lit(name).alias("batch"), "normalized", "boundary_required", "saw_existing_boundary", "status")
+            status.select(F.lit(name).alias("batch"), "n_posts", "overlap_required", "overlaps", "status")
             .withColumn("n_allowed", allowed.agg(F.count("*").alias("n")).scalar())
         )
     return parts[0].union(parts[1])
@@ -527,6 +531,28 @@ def stream_ingest_two_days(spark, sf_dir):
     return shown(P.read_posts(spark, archive))
 
 
+@query
+def daily_update(spark, sf_dir):
+    """A day's dump put into an archive by ranges of ids, its stored index and its corpus."""
+    dump, archive, index, corpus = (scratch_path(spark, n) for n in ("dump", "archive", "index", "corpus"))
+    before = X.archive(spark, sf_dir)
+    P.write_posts(before, archive, "v1", clustered=True)
+    P.write_index(P.build_postings(before, fold=False), before, index, fold=False)
+    P.write_corpus(before, corpus)
+    X.envelopes(X.raw_items(spark, sf_dir)).write.text(dump)
+    report = P.daily_update(spark, dump, archive, "v2", index_dir=index, corpus_dir=corpus)
+    found, documents = P.read_index(spark, index), P.read_rendered(spark, corpus)
+    terms = found.term_stats.agg(F.count("*").alias("n_terms"), F.sum("df").alias("n_postings"))
+    bodies = documents.agg(F.count("*").alias("n_documents"), F.sum(F.length("body")).alias("n_chars"))
+    posts = P.read_posts(spark, archive).agg(F.count("*").alias("n_archived"), F.sum("like_count").alias("n_likes"))
+    stored = found.totals.join(F.broadcast(terms)).join(F.broadcast(bodies)).join(F.broadcast(posts))
+    return report.join(F.broadcast(stored)).select(
+        "n_posts", "applied", "n_late", "n_rejected", "overlaps", "db.*", "corpus.*", "archive.total", "archive.original",
+        "archive.avg_likes", time_text(F.col("newest")).alias("newest"), time_text(F.col("newest_before")).alias("newest_before"),
+        "n_docs", "n_tokens", "n_terms", "n_postings", "n_documents", "n_chars", "n_archived", "n_likes",
+    )
+
+
 @query
 def topk_every_hit(spark, sf_dir):
     scored = X.numbered_posts(spark, sf_dir).select(

@@ -1,18 +1,29 @@
-"""The archive table: versioned parquet directories and a pointer to the current one.
+"""The archive table: folders of posts by ranges of their ids, and a pointer to the current ones.
 
-A job cannot overwrite the files it reads, so each write goes to a new version and the
-pointer moves only after the version is complete. A reader sees the old version or the
-new one, never half of either.
+A version is a list of folders, each with the posts of one range of ids. A job cannot overwrite
+the files it reads, so an update writes new folders for the ranges that its posts fall into,
+keeps the others, and moves the pointer only after all is written. A reader sees the old
+version or the new one, never half of either.
 """
 
+import json
 import re
+from datetime import datetime
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from postlake.operators.incremental import upsert
 from postlake.schemas import POST_COLUMNS, POSTS
+from postlake.session import stage
 
 POINTER = "_current"
 
+#: Posts of a range, about; a range that an update makes larger is split.
+RANGE_ROWS = 1_000_000
+
 
 def _pointer_dir(path):
     return f"{path.rstrip('/')}/{POINTER}"
@@ -29,22 +40,45 @@ def published_exists(spark: SparkSession, path: str) -> bool:
 
 
 def current_version(spark: SparkSession, path: str) -> str | None:
-    """Name of the published version, or None for an archive that does not exist yet.
+    """Name of the published version, or None for an archive that does not exist yet."""
+    return _current(spark, path)[0]
+
+
+class Range(NamedTuple):
+    """Posts from an id on, up to the next range; the first begins at the empty text. `latest`
+    is their newest time as text."""
+
+    low: str
+    folder: str | None
+    rows: int
+    latest: str | None
+
+
+def _current(spark: SparkSession, path: str) -> tuple[str | None, list]:
+    """(name, ranges) of the published version.
 
     Pointers are numbered and only ever added, so a failed write leaves the former
     pointer in force. A pointer counts once its job has committed.
     """
     steps = _pointer_steps(spark, path)
     if not steps:
-        return None
-    return spark.read.text(f"{_pointer_dir(path)}/{max(steps):010d}").head()[0]
+        return None, []
+    lines = [json.loads(row.value) for row in spark.read.text(f"{_pointer_dir(path)}/{max(steps):010d}").collect()]
+    ranges = [Range(**{key: line[key] for key in Range._fields}) for line in lines if "folder" in line]
+    return lines[0]["version"], sorted(ranges, key=lambda r: r.low)
+
+
+def archive_newest(spark: SparkSession, path: str) -> datetime | None:
+    """The newest time of the published posts, from the pointer alone."""
+    times = [r.latest for r in _current(spark, path)[1] if r.latest]
+    return max(map(datetime.fromisoformat, times), default=None)
 
 
 def was_published(spark: SparkSession, path: str, version: str) -> bool:
     """Whether a version is or ever was the current one."""
     steps = _pointer_steps(spark, path)
     pointers = [f"{_pointer_dir(path)}/{step:010d}" for step in steps]
-    return bool(steps) and not spark.read.text(pointers).where(F.col("value") == version).isEmpty()
+    return bool(steps) and not spark.read.text(pointers).where(F.get_json_object("value", "$.version") == version).isEmpty()
 
 
 def _pointer_steps(spark, path, complete=True) -> list[int]:
@@ -60,18 +94,48 @@ def _pointer_steps(spark, path, complete=True) -> list[int]:
     ]
 
 
+def _read_folders(spark: SparkSession, path: str, folders: list) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], POSTS)
+    return spark.read.schema(POSTS).parquet(*[f"{path.rstrip('/')}/{folder}" for folder in folders])
+
+
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
     """Posts of the published version, or of a plain parquet folder without a pointer."""
-    version = current_version(spark, path)
-    target = _version_dir(path, version) if version else path
-    return spark.read.schema(POSTS).parquet(target)
+    version, ranges = _current(spark, path)
+    return spark.read.schema(POSTS).parquet(path) if version is None else _read_folders(spark, path, [r.folder for r in ranges])
 
 
 def read_posts_or_empty(spark: SparkSession, path: str) -> DataFrame:
     """Like read_posts, but an archive nothing was published to yet is empty."""
-    if current_version(spark, path) is None:
-        return spark.createDataFrame([], POSTS)
-    return read_posts(spark, path)
+    version, ranges = _current(spark, path)
+    return _read_folders(spark, path, [r.folder for r in ranges])
+
+
+def _range_of(lows: list) -> Column:
+    """The number of the range an id falls into. Least ids travel as one sorted array."""
+    bounds = np.array([low.encode() for low in lows], object)
+
+    @F.pandas_udf("int")
+    def number(ids: pd.Series) -> pd.Series:
+        places = np.searchsorted(bounds, np.array([(i or "").encode() for i in ids], object), "right") - 1
+        return pd.Series(places.astype(np.int32))
+
+    return number("post_id")
+
+
+def _ranges_hit(ids: DataFrame, ranges: list) -> list:
+    """Numbers of the ranges that ids fall into: at most as many as there are ranges."""
+    if not ranges:
+        return []
+    return sorted(r[0] for r in ids.select(_range_of([r.low for r in ranges]).alias("n")).distinct().collect())
+
+
+def read_posts_near(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame:
+    """The posts of all ranges that the ids (post_id) fall into: every post with one of these
+    ids, and its neighbours."""
+    _, ranges = _current(spark, path)
+    return _read_folders(spark, path, [ranges[n].folder for n in _ranges_hit(ids, ranges)])
 
 
 UNCHECKED = object()
@@ -82,26 +146,83 @@ class VersionError(ValueError):
 
 
 def write_posts(posts: DataFrame, path: str, version: str, clustered=False, base=UNCHECKED) -> None:
-    """Write a version and publish it. A version that was published is never written again,
+    """Write a whole version and publish it. A version that was published is never written again,
     as readers may still use it; one whose writing failed is.
 
     `base` names the version the posts were made from (None for none). If another one has
     been published since, nothing is published: its changes would be lost. The pointer is
     added without overwriting, so of two writers that add the same one, one fails.
 
-    `clustered` orders the rows by post_id, so that id look-ups skip row groups. It costs
-    a range shuffle, so it suits the first load; updates keep the order of the files they
-    were read from.
+    `clustered` lays the posts out by ranges of ids, so that updates rewrite only those they
+    touch and id look-ups skip files. It costs a range shuffle, so it suits the first load.
+    Without it the version is one range, which the first update splits.
     """
     spark = posts.sparkSession
-    if was_published(spark, path, version):
-        raise VersionError(f"version {version} was published and may be in use")
+    _refuse_published(spark, path, version)
     rows = posts.select(*[F.col(c).cast(POSTS[c].dataType) for c in POST_COLUMNS])
     if clustered:
-        rows = rows.repartitionByRange("post_id").sortWithinPartitions("post_id")
-    rows.write.mode("overwrite").parquet(_version_dir(path, version))
+        rows = stage(rows, "posts")
+        ranges = _write_ranges(rows, path, version, [EVERYTHING], [0], rows.count())
+    else:
+        rows.write.mode("overwrite").parquet(f"{_version_dir(path, version)}/whole")
+        found = spark.read.schema(POSTS).parquet(f"{_version_dir(path, version)}/whole").agg(*map(F.expr, _FIGURES)).head()
+        ranges = [Range("", f"version={version}/whole", found.n, _text(found.latest))]
+    _publish(spark, path, version, ranges, base)
+
+
+EVERYTHING = Range("", None, 0, None)
+_FIGURES = [f"{figure} AS {name}" for figure, name in (("count(*)", "n"), ("max(created_at)", "latest"), ("min(post_id)", "low"))]
+
+
+def _text(time: datetime | None) -> str | None:
+    return None if time is None else time.isoformat()
+
+
+def write_changes(spark: SparkSession, path: str, version: str, changes: DataFrame, base=UNCHECKED) -> None:
+    """Publish a version with `changes`, one row per post that is new or differs, put into the
+    current one. Only the ranges they fall into are written anew; without changes none is."""
+    _refuse_published(spark, path, version)
+    ranges = _current(spark, path)[1] or [EVERYTHING]
+    touched = _ranges_hit(changes, ranges)
+    if touched:
+        before = _read_folders(spark, path, [ranges[n].folder for n in touched if ranges[n].folder])
+        n_rows = sum(ranges[n].rows for n in touched) + changes.count()
+        new = _write_ranges(upsert(before, changes), path, version, ranges, touched, n_rows)
+        ranges = [r for n, r in enumerate(ranges) if n not in set(touched)] + new
+    _publish(spark, path, version, [r for r in ranges if r.folder], base)
+
+
+def _write_ranges(rows: DataFrame, path: str, version: str, ranges: list, touched: list, n_rows: int) -> list:
+    """Write posts of the touched ranges, each in one or several folders of RANGE_ROWS posts or so;
+    the new ranges. Folders never mix posts of two ranges."""
+    spark = rows.sparkSession
+    pieces = max(len(touched), -(-n_rows // RANGE_ROWS), 1)
+    placed = rows.select(*[F.col(c).cast(POSTS[c].dataType) for c in POST_COLUMNS], _range_of([r.low for r in ranges]).alias("range"))
+    (
+        placed.repartitionByRange(pieces, "range", "post_id").sortWithinPartitions("range", "post_id")
+        .withColumn("piece", F.spark_partition_id())
+        .write.mode("overwrite").partitionBy("range", "piece").parquet(_version_dir(path, version))
+    )
+    written = spark.read.schema("post_id string, created_at timestamp_ntz, range int, piece int").parquet(_version_dir(path, version))
+    found = written.groupBy("range", "piece").agg(*map(F.expr, _FIGURES)).collect()
+    new, seen = [], set()
+    for row in sorted(found, key=lambda r: (r["range"], r.piece)):
+        # The first folder of a range takes its bound, so that the ranges leave no gap.
+        low = row.low if row["range"] in seen else ranges[row["range"]].low
+        seen.add(row["range"])
+        new.append(Range(low, f"version={version}/range={row['range']}/piece={row.piece}", row.n, _text(row.latest)))
+    return new
+
+
+def _refuse_published(spark, path, version) -> None:
+    if was_published(spark, path, version):
+        raise VersionError(f"version {version} was published and may be in use")
+
+
+def _publish(spark, path, version, ranges, base) -> None:
     step = max(_pointer_steps(spark, path, complete=False), default=0) + 1
     if base is not UNCHECKED and (now := current_version(spark, path)) != base:
         raise VersionError(f"version {version} was made from {base}, but {now} is current")
-    pointer = spark.createDataFrame([(version,)], "version string").coalesce(1)
+    lines = [{"version": version, **r._asdict()} for r in ranges] or [{"version": version}]
+    pointer = spark.createDataFrame([(json.dumps(line),) for line in lines], "line string").coalesce(1)
     pointer.write.mode("error").text(f"{_pointer_dir(path)}/{step:010d}")

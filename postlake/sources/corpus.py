@@ -1,28 +1,49 @@
-"""The rendered corpus: one small text document per post that is no repost."""
+"""The rendered corpus: one small text document per post that is no repost.
+
+Stored documents are a row of segments: the first has the documents of all posts, and every
+update adds those it wrote and the ids whose documents are replaced or gone.
+"""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postlake.operators.corpus import render_body
 from postlake.schemas import CORPUS
+from postlake.sources.segments import folder, markers, only_live, publish, read_segments, replaced_since
 
 # Fixed value: header line, blank line, content, final newline.
 DOCUMENT_FORM = r"(?s)\A([0-9-]*) \| (-?\d+) likes\n\n(.*)\n\z"
+STORED = "post_id string, file_name string, body string, segment int"
+MARKERS = "name string, segment int"
 
 
-def write_corpus(posts: DataFrame, path: str) -> None:
-    """Rendered documents as parquet, oldest first within each file.
-
-    One file per post would be millions of tiny files; the file name is a column.
-    """
-    (
-        render_body(posts)
-        .repartitionByRange(F.col("created_at").asc_nulls_first(), F.col("post_id"))
-        .sortWithinPartitions(F.col("created_at").asc_nulls_first(), F.col("post_id"))
-        .select(*CORPUS.fieldNames())
-        .write.parquet(path)
+def _store(rendered: DataFrame, path: str, number: int) -> None:
+    """Oldest first within each file. One file per post would be millions of tiny files; the
+    file name is a column."""
+    age = [F.col("created_at").asc_nulls_first(), F.col("post_id")]
+    rendered.repartitionByRange(*age).sortWithinPartitions(*age).select(*CORPUS.fieldNames()).write.mode("overwrite").parquet(
+        folder(path, "documents", number)
     )
 
 
+def write_corpus(posts: DataFrame, path: str) -> None:
+    """The documents of all posts, as the first segment of a new corpus."""
+    _store(render_body(posts), path, 1)
+    publish(posts.sparkSession.createDataFrame([(None,)], "name string"), path, 1)
+
+
+def write_corpus_changes(spark: SparkSession, path: str, written: DataFrame, removed: DataFrame, name: str) -> None:
+    """Add an update to a stored corpus: posts whose document is new or differs, and ids whose
+    document goes. An update that was added already is not added again."""
+    segments = markers(spark, path, MARKERS)
+    if any(row.name == name for row in segments):
+        return
+    number = segments[-1].segment + 1
+    _store(render_body(written), path, number)
+    ids = written.select("post_id").union(removed.select("post_id")).distinct()
+    ids.write.mode("overwrite").parquet(folder(path, "replaced", number))
+    publish(spark.createDataFrame([(name,)], "name string"), path, number)
+
+
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """(post_id, post_date, like_count, content) from a folder of <id>.txt files."""
     files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt")
@@ -32,8 +53,10 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_rendered(spark: SparkSession, path: str) -> DataFrame:
-    """(post_id, file_name, body) as written by write_corpus."""
-    return spark.read.schema(CORPUS).parquet(path)
+    """(post_id, file_name, body) of a stored corpus as its segments stand now."""
+    numbers = [row.segment for row in markers(spark, path, MARKERS)]
+    rows = read_segments(spark, path, "documents", STORED, numbers)
+    return only_live(rows, replaced_since(spark, path, numbers)).select(*CORPUS.fieldNames())
 
 
 def parse_documents(documents: DataFrame) -> DataFrame:

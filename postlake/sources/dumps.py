@@ -9,16 +9,22 @@ ENVELOPE = (
 )
 
 
-# Where a file's name or folder tells its job: the last date in it.
-JOB_PATTERN = r".*([0-9]{4}-[0-9]{2}-[0-9]{2})"
-
-
-def file_job(pattern: str = JOB_PATTERN) -> Column:
-    """The job a dump file belongs to, which sorts by age: the first group of the pattern in
-    the file's path, else the day on which the file was last written."""
-    named = F.regexp_extract("_metadata.file_path", pattern, 1)
-    written = F.date_format("_metadata.file_modification_time", "yyyy-MM-dd")
-    return F.when(named != "", named).otherwise(written)
+# Where a file's name or folder tells its day: the last date in it.
+DAY_PATTERN = r".*([0-9]{4}-[0-9]{2}-[0-9]{2})"
+# A file that one write of Spark made beside others: they are of one job, however they end.
+PART_PATTERN = r"^(.*)/part-[0-9]+-[^/]*$"
+
+
+def file_job(pattern: str = DAY_PATTERN) -> Column:
+    """The job a dump file belongs to, which sorts by age. Its day is the first group of the
+    pattern in the file's path, else that on which the file was last written. Files of one day
+    follow each other by the time of writing and then by name, whatever their sequences. The
+    part files of one folder are one job, and such jobs of a day go by the folder's name."""
+    path, written = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    named, parts = F.regexp_extract(path, pattern, 1), F.regexp_extract(path, PART_PATTERN, 1)
+    day = F.when(named != "", named).otherwise(F.date_format(written, "yyyy-MM-dd"))
+    moment = F.date_format(written, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.concat_ws(" ", day, F.when(parts != "", F.lit("")).otherwise(moment), F.when(parts != "", parts).otherwise(path))
 
 
 def read_raw_items(spark: SparkSession, path: str, job: Column | None = None) -> DataFrame:

@@ -2,31 +2,28 @@
 
 import uuid
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from postlake.operators.corpus import corpus_diff, corpus_diff_counts, render_body
 from postlake.operators.decode import decode_rows, split_rows
 from postlake.operators.dedupe import dedupe_last
-from postlake.operators.incremental import (
-    NO_BOUND,
-    gap_check,
-    late_filter,
-    plan_update,
-    update_report,
-    upsert,
-)
-from postlake.operators.stats import archive_latest
-from postlake.session import stage
+from postlake.operators.incremental import NO_BOUND, judge_batch, judged_report
+from postlake.operators.textindex import published_segments, write_segment
+from postlake.schemas import POST_COLUMNS
+from postlake.session import drop_stage, stage
 from postlake.sources.archive import (
+    archive_newest,
     current_version,
     published_exists,
-    read_posts,
+    read_posts_near,
     read_posts_or_empty,
     was_published,
-    write_posts,
+    write_changes,
 )
+from postlake.sources.corpus import write_corpus_changes
 from postlake.sources.dumps import read_raw_items, stream_raw_items
 
 BOUND = "late_bound"
@@ -45,14 +42,53 @@ def rejects_dir(archive_dir: str, version: str) -> str:
     return f"{archive_dir.rstrip('/')}/rejects/version={version}"
 
 
-def _take_apart(raw: DataFrame, archive_dir: str, version: str | None) -> tuple[DataFrame, DataFrame]:
-    """(one row per post, unreadable items) of a batch, decoded once. With a version, the
-    unreadable items are kept beside it."""
-    rows = stage(decode_rows(raw), "decoded")
-    posts, rejects = split_rows(rows)
-    if version is not None and not rejects.isEmpty():
-        rejects.write.mode("overwrite").parquet(rejects_dir(archive_dir, version))
-    return stage(dedupe_last(posts), "batch"), rejects
+class _Batch:
+    """One batch on its way into the archive: decoded once, judged once, then written. The
+    archive is only read in the ranges of ids that the batch falls into."""
+
+    def __init__(self, spark, raw: DataFrame, archive_dir: str, bound=None):
+        self.spark, self.archive_dir = spark, archive_dir
+        self.decoded = stage(decode_rows(raw), "decoded")
+        posts, self.rejects = split_rows(self.decoded)
+        self.posts = stage(dedupe_last(posts), "batch")
+        self.base = current_version(spark, archive_dir)
+        self.newest_before = archive_newest(spark, archive_dir)
+        limit = self.newest_before if bound is None else None if bound == NO_BOUND else bound
+        # As text, so that no time zone of the driver or the session comes in.
+        time = F.lit(None if limit is None else str(limit)).cast("timestamp_ntz")
+        self.judged = stage(judge_batch(self.posts, read_posts_near(spark, archive_dir, self.posts), time), "judged")
+
+    def refuse_empty(self, version: str) -> None:
+        if self.posts.isEmpty():
+            raise EmptyBatchError(f"no readable post for version {version}")
+
+    def refuse_gap(self) -> None:
+        if self.newest_before is not None and self.judged.where("old is not null").isEmpty():
+            raise GapError("none of the posts sent is archived yet, so posts between may be missing")
+
+    def keep_rejects(self, version: str) -> None:
+        if not self.rejects.isEmpty():
+            self.rejects.write.mode("overwrite").parquet(rejects_dir(self.archive_dir, version))
+
+    def changes(self) -> DataFrame:
+        return self.judged.where("not late and change <> 'unchanged'")
+
+    def write_index(self, index_dir: str, version: str) -> None:
+        texts = published_segments(self.spark, index_dir)[-1].fields
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"old.{c}")) for c in texts])
+        other_text = self.changes().where(F.col("old").isNull() | ~same)
+        outdated = other_text.where("old is not null").select("old.*")
+        write_segment(self.spark, index_dir, other_text.select(*POST_COLUMNS), outdated, version)
+
+    def write_corpus(self, corpus_dir: str, version: str) -> None:
+        written, removed = (self.changes().where(f"document = '{d}'").select(*POST_COLUMNS) for d in ("written", "removed"))
+        write_corpus_changes(self.spark, corpus_dir, written, removed, version)
+
+    def write_archive(self, version: str) -> None:
+        write_changes(self.spark, self.archive_dir, version, self.changes().select(*POST_COLUMNS), self.base)
+
+    def drop(self) -> None:
+        drop_stage(self.decoded, self.posts, self.judged)
 
 
 def apply_items(
@@ -71,15 +107,14 @@ def apply_items(
     """
     if was_published(spark, archive_dir, version):
         return split_rows(decode_rows(raw))[1]
-    batch, rejects = _take_apart(raw, archive_dir, version)
-    if batch.isEmpty():
-        raise EmptyBatchError(f"no readable post for version {version}")
-    base = current_version(spark, archive_dir)
-    archive = read_posts_or_empty(spark, archive_dir)
+    batch = _Batch(spark, raw, archive_dir, bound)
+    batch.keep_rejects(version)
+    batch.refuse_empty(version)
     if catch_up:
-        _refuse_gap(batch, archive)
-    _publish(batch, archive, archive_dir, version, bound, base)
-    return rejects
+        batch.refuse_gap()
+    batch.write_archive(version)
+    drop_stage(batch.posts, batch.judged)
+    return batch.rejects
 
 
 def batch_ingest(
@@ -96,38 +131,40 @@ def daily_update(
     version: str,
     catch_up: bool = True,
     dry_run: bool = False,
+    index_dir: str | None = None,
+    corpus_dir: str | None = None,
 ) -> DataFrame:
-    """Ingest a folder of dumps and report on it: one row, see update_report, with
-    `n_rejected`, the number of unreadable items, which are kept at rejects_dir.
-
-    A dry run writes nothing to the archive and returns plan_update, after the same checks.
-    The report compares the version before with the one written, both of which stay in place.
+    """Ingest a folder of dumps into the archive, its stored index and its stored corpus, as far
+    as they are given, and report on it: one row, see update_report, with `n_rejected`, the
+    number of unreadable items, which are kept at rejects_dir.
+
+    The batch is joined with its posts in the archive once. Each of the three is written by
+    what changes in it only. Index and corpus take the update under the version's name and once,
+    so an update that failed before the archive was published can be run again. A dry run
+    writes nothing and returns the figures of plan_update, after the same checks.
     """
-    batch, rejects = _take_apart(read_raw_items(spark, in_dir), archive_dir, None if dry_run else version)
-    if batch.isEmpty():
-        raise EmptyBatchError(f"no readable post for version {version}")
-    base = current_version(spark, archive_dir)
-    before = read_posts_or_empty(spark, archive_dir)
+    batch = _Batch(spark, read_raw_items(spark, in_dir), archive_dir)
+    batch.refuse_empty(version)
     if catch_up:
-        _refuse_gap(batch, before)
-    n_rejected = F.lit(rejects.count()).cast("bigint").alias("n_rejected")
+        batch.refuse_gap()
+    n_rejected = F.lit(batch.rejects.count()).cast("bigint").alias("n_rejected")
+    newest_before = F.lit(None if batch.newest_before is None else str(batch.newest_before)).cast("timestamp_ntz")
+    if not dry_run:
+        batch.keep_rejects(version)
+        if index_dir is not None:
+            batch.write_index(index_dir, version)
+        if corpus_dir is not None:
+            batch.write_corpus(corpus_dir, version)
+        batch.write_archive(version)
+    report = judged_report(batch.judged, newest_before, read_posts_or_empty(spark, archive_dir)).select("*", n_rejected)
     if dry_run:
-        return plan_update(batch, before).select("*", n_rejected)
-    _publish(batch, before, archive_dir, version, None, base)
-    after = read_posts(spark, archive_dir)
-    corpus = corpus_diff_counts(corpus_diff(render_body(after), render_body(before)))
-    return update_report(before, batch, after, corpus).select("*", n_rejected)
-
-
-def _refuse_gap(batch, archive) -> None:
-    status, _ = gap_check(batch, archive)
-    if status.head().status == "gap":
-        raise GapError("none of the posts sent is archived yet, so posts between may be missing")
-
-
-def _publish(batch, archive, archive_dir, version, bound, base) -> None:
-    kept, _ = late_filter(batch, archive, bound)
-    write_posts(upsert(archive, kept), archive_dir, version, base=base)
+        report = report.select(
+            "n_posts", F.col("applied").alias("n_kept"), "n_late", "newest", "oldest",
+            F.col("newest_before").alias("archive_newest"), "overlaps", "n_rejected",
+        )
+    row = stage(report, "report")
+    batch.drop()
+    return row
 
 
 def _run_state(spark: SparkSession, archive_dir: str, checkpoint: str) -> tuple[str, datetime | None]:
@@ -135,9 +172,10 @@ def _run_state(spark: SparkSession, archive_dir: str, checkpoint: str) -> tuple[
     checkpoint, so a restarted run goes on with them, and another checkpoint is another run."""
     path = f"{checkpoint.rstrip('/')}-{BOUND}"
     if not published_exists(spark, path):
-        archive_latest(read_posts_or_empty(spark, archive_dir)).select(
-            "latest", F.lit(uuid.uuid4().hex).alias("run_id")
-        ).coalesce(1).write.mode("overwrite").parquet(path)
+        newest = archive_newest(spark, archive_dir)
+        spark.createDataFrame([(newest, uuid.uuid4().hex)], "latest timestamp_ntz, run_id string").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(path)
     row = spark.read.schema("latest timestamp_ntz, run_id string").parquet(path).head()
     return row.run_id or "run", row.latest
 

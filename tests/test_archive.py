@@ -9,6 +9,7 @@ import postlake as P
 from postlake.operators.incremental import NO_BOUND
 from postlake.operators.joins import MAX_BROADCAST_HITS
 from postlake.schemas import POSTS
+from postlake.sources import archive as A
 from postlake.sources.archive import current_version
 from postlake.sources.archive import VersionError
 from postlake.streaming.ingest import EmptyBatchError, GapError, rejects_dir
@@ -131,10 +132,10 @@ def test_report(spark, few):
     after = P.upsert(few, P.late_filter(batch, few)[0])
     corpus = P.corpus_diff_counts(P.corpus_diff(P.render_body(after), P.render_body(few)))
     row = P.update_report(few, batch, after, corpus).head()
-    assert (row.normalized, row.applied, row.skipped_older_unarchived) == (3, 2, 1)
+    assert (row.n_posts, row.applied, row.n_late) == (3, 2, 1)
     assert row.db.asDict() == {"inserted": 1, "updated": 1, "unchanged": 0}
     assert row.corpus.asDict() == {"files": 4, "written": 2, "removed": 0}
-    assert row.archive.total == 5 and row.saw_existing_boundary and row.previous_latest == day(9)
+    assert row.archive.total == 5 and row.overlaps and row.newest_before == day(9)
 
 
 def test_corpus_round_trip(spark, few, tmp_path):
@@ -173,6 +174,97 @@ def test_versions(spark, few, tmp_path):
     assert current_version(spark, path) == "b", "a pointer that was not committed does not count"
 
 
+def files_of(folder):
+    return {f for f in folder.rglob("*.parquet")}
+
+
+def test_updates_rewrite_only_the_ranges_they_touch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(A, "RANGE_ROWS", 10)
+    path = str(tmp_path / "archive")
+    first = make(spark, *[post(f"{i:04d}", i % 50, likes=i) for i in range(100, 200)])
+    P.write_posts(first, path, "v1", clustered=True)
+    _, ranges = A._current(spark, path)
+    assert len(ranges) == 10 and ranges[0].low == "" and sum(r.rows for r in ranges) == 100
+    before = files_of(tmp_path)
+    # New ids: the newest range is written anew, in pieces.
+    new = make(spark, *[post(f"{i:04d}", 60, likes=i) for i in range(200, 225)])
+    P.write_changes(spark, path, "v2", new, base="v1")
+    assert before <= files_of(tmp_path)
+    _, after = A._current(spark, path)
+    assert set(ranges[:-1]) <= set(after) and len(after) > 10 and not ranges[-1] in after
+    assert P.read_posts(spark, path).count() == 125 and A.archive_newest(spark, path) == day(60)
+    # Nothing changes: a new version of the same folders.
+    now = files_of(tmp_path)
+    P.write_changes(spark, path, "v3", new.limit(0), base="v2")
+    assert files_of(tmp_path) == now and A._current(spark, path)[1] == after and current_version(spark, path) == "v3"
+    # Known ids, ids between ranges, before the first and without value.
+    some = make(spark, post("0105", 1, "other"), post("0149x", 1), post("", 1), post("zz", 1), post(None, 2))
+    P.write_changes(spark, path, "v4", some)
+    got = sorted(map(str, P.read_posts(spark, path).collect()))
+    assert got == sorted(map(str, P.upsert(first.unionByName(new), some).collect()))
+    _, final = A._current(spark, path)
+    for i, r in enumerate(final):
+        ids = [x.post_id or "" for x in A._read_folders(spark, path, [r.folder]).select("post_id").collect()]
+        assert all(r.low <= x and (i + 1 == len(final) or x < final[i + 1].low) for x in ids) and len(ids) == r.rows
+    near = P.read_posts_near(spark, path, some.where("post_id = '0105'"))
+    assert near.where("post_id = '0105'").head().content == "other" and near.count() <= 20
+
+
+def test_an_archive_that_begins_with_an_update(spark, few, tmp_path):
+    path = str(tmp_path / "archive")
+    P.write_changes(spark, path, "v1", few, base=None)
+    assert sorted(map(str, P.read_posts(spark, path).collect())) == sorted(map(str, few.collect()))
+    assert A.archive_newest(spark, path) == day(9)
+
+
+def test_two_jobs_of_a_day(spark, tmp_path):
+    """The later job wins whatever its sequences: by time of writing, then by name; part files
+    of one write are one job."""
+    import os
+
+    folder = tmp_path / "2025-09-29"
+    dump(folder, "job-a", 1, ("1", "old", day(1), 3))
+    dump(folder, "job-b", 0, ("1", "new", day(1), 3))
+    dump(folder, "job-c", 0, ("1", "first", day(1), 3), ("2", "same time, later name", day(1), 1))
+    dump(folder, "job-b2", 5, ("2", "same time, earlier name", day(1), 1))
+    for name, seconds in (("job-a", 100), ("job-b", 200), ("job-c", 50), ("job-b2", 50)):
+        os.utime(folder / name, (seconds, seconds))
+    got = {r.post_id: r.content for r in P.dedupe_last(P.decode_items(P.read_raw_items(spark, str(folder)))[0]).collect()}
+    assert got == {"1": "new", "2": "same time, later name"}
+    parts = tmp_path / "2025-09-30" / "dump"
+    parts.parent.mkdir()
+    dump(parts, "part-00000-x.txt", 1, ("1", "high sequence", day(1), 3))
+    dump(parts, "part-00001-x.txt", 0, ("1", "low sequence", day(1), 3))
+    os.utime(parts / "part-00000-x.txt", (10, 10))
+    rows = P.dedupe_last(P.decode_items(P.read_raw_items(spark, f"{tmp_path}/*/*"))[0]).collect()
+    assert {r.post_id: r.content for r in rows}["1"] == "high sequence"
+
+
+def test_daily_update_maintains_index_and_corpus(spark, few, tmp_path):
+    inbox, archive, index, corpus = (str(tmp_path / n) for n in ("inbox", "archive", "index", "corpus"))
+    P.write_posts(few, archive, "start", clustered=True)
+    P.write_index(P.build_postings(few), few, index)
+    P.write_corpus(few, corpus)
+    dump(tmp_path / "inbox", "a.txt", 0, ("1", "first words", day(1), 3), ("20", "new", day(10), 4), ("21", "late", day(2), 4),
+         ("2", "RT @x gone", day(1), 30))
+    row = P.daily_update(spark, inbox, archive, "v", index_dir=index, corpus_dir=corpus).head()
+    posts = P.read_posts(spark, archive)
+    assert (row.applied, row.n_late) == (3, 1) and row.db.asDict() == {"inserted": 1, "updated": 2, "unchanged": 0}
+    assert row.corpus.asDict() == {"files": 3, "written": 2, "removed": 1}
+    read = P.read_index(spark, index)
+    assert sorted(P.live_postings(read).collect()) == sorted(P.build_postings(posts).collect())
+    assert read.totals.head() == P.build_index(posts).totals.head()
+    want = P.render_body(posts).select("post_id", "file_name", "body")
+    assert sorted(P.read_rendered(spark, corpus).collect()) == sorted(want.collect())
+    # An update that failed before the archive was published is run again: nothing is added twice.
+    before = [len(P.published_segments(spark, index)), read.totals.head()]
+    batch_changes = P.judge_batch(posts, posts, F.lit(None).cast("timestamp_ntz"))
+    P.write_segment(spark, index, batch_changes, batch_changes.limit(0), "v")
+    P.write_corpus_changes(spark, corpus, posts, posts.limit(0), "v")
+    assert before == [len(P.published_segments(spark, index)), P.read_index(spark, index).totals.head()]
+    assert P.read_rendered(spark, corpus).count() == 3
+
+
 def test_sql(spark, few):
     P.register_views(few)
     rows = P.run_sql(spark, "WITH t AS (SELECT * FROM posts) SELECT post_id FROM t WHERE like_count > 20 -- note")
@@ -181,6 +273,14 @@ def test_sql(spark, few):
         with pytest.raises(Exception):
             P.run_sql(spark, statement)
     assert P.run_sql(spark, "SELECT 1 AS one;").head().one == 1
+    # Postings and term statistics, a join, a CTE and rows as JSON.
+    P.register_views(few, P.build_index(few))
+    rows = P.to_json_rows(P.run_sql(spark, """
+        WITH rare AS (SELECT term, df FROM term_stats WHERE df = 1)
+        SELECT p.post_id, p.like_count, r.term FROM rare r JOIN postings o ON o.term = r.term JOIN posts p ON p.post_id = o.post_id
+        WHERE size(o.positions) = 1 ORDER BY r.term LIMIT 2"""))
+    assert [json.loads(r.json) for r in rows.collect()] == [
+        {"post_id": "1", "like_count": 10, "term": "100"}, {"post_id": "4", "like_count": 99, "term": "rt"}]
     texts = [json.loads(r.json) for r in P.to_json_rows(few.select("post_id", "content", "view_count")).collect()]
     assert {"post_id": "3", "content": None, "view_count": 0} in texts
 
@@ -280,7 +380,7 @@ def test_daily_update_reports(spark, few, tmp_path):
     dump(inbox, "a.txt", 0, ("1", "first", day(1), 3), ("20", "new", day(10), 4), ("21", "late", day(2), 4))
     P.write_posts(few, archive, "start")
     dry = P.daily_update(spark, str(inbox), archive, "v", dry_run=True).head()
-    assert (dry.would_apply, dry.skipped_older_unarchived) == (2, 1) and current_version(spark, archive) == "start"
+    assert (dry.n_kept, dry.n_late) == (2, 1) and current_version(spark, archive) == "start"
     row = P.daily_update(spark, str(inbox), archive, "v").head()
     assert current_version(spark, archive) == "v"
     assert (row.applied, row.db.inserted, row.db.updated) == (2, 1, 1)
