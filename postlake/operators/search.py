@@ -10,11 +10,15 @@ per post, so no task gets more than its share.
 Prefixes are looked up in the term statistics first and become plain words. Phrases and
 proximity groups are found in two steps: posts that hold all their words, without reading
 positions; then the positions of those words in those posts, compared as arrays.
+
+The best n hits for plain words need not read all postings: every zone of the index limits the
+score that a post in it can reach. The zone with the highest limit is searched first, and of
+the others only those whose limit reaches the n-th score found.
 """
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from postlake.operators.queries import query_units, unit_shapes, unit_words, with_clause_sizes
 from postlake.operators.ranking import topk
@@ -47,9 +51,11 @@ def _asked_terms(units: DataFrame, index: TextIndex, shapes: set) -> DataFrame:
 
 
 def _matches(index: TextIndex, terms: DataFrame) -> DataFrame:
-    """Postings of the terms. The condition on the bucket lets Spark see that the terms select."""
+    """Postings of the terms, in the zones that these may name. The condition on the bucket lets
+    Spark see that the terms select."""
     in_field = F.col("only_field").isNull() | (F.col("only_field") == F.col("field"))
-    return index.postings.join(terms.where("bucket >= 0"), ["bucket", "term"]).where(in_field)
+    key = [c for c in ("bucket", "zone", "term") if c in terms.columns]
+    return index.postings.join(terms.where("bucket >= 0"), key).where(in_field)
 
 
 def _single_words(matches: DataFrame) -> DataFrame:
@@ -171,16 +177,31 @@ def _bm25(tf: Column, df: Column, doc_len: Column, n_docs: Column, n_tokens: Col
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * relative))
 
 
+class _Asked:
+    """A unit table made ready: written, since tables of a known size are joined by Spark as it
+    suits them, with the kinds of its units and the terms of the index they ask for."""
+
+    def __init__(self, units: DataFrame, index: TextIndex):
+        self.index = index
+        self.units = stage(with_clause_sizes(units), "units")
+        self.shapes = unit_shapes(self.units)
+        self.terms = _asked_terms(self.units, index, self.shapes)
+        self.only_words = all(kind == "phrase" and not several for kind, several, _ in self.shapes)
+
+
 def score_units(units: DataFrame, index: TextIndex) -> DataFrame:
     """(query_id, post_id, score) for every post that matches, unranked. `units` has the schema
     UNITS."""
-    # Written tables have a known size, from which Spark chooses how to join them.
-    units = stage(with_clause_sizes(units), "units")
-    shapes = unit_shapes(units)
+    asked = _Asked(units, index)
+    return _score(asked, asked.terms)
+
+
+def _score(asked: _Asked, terms: DataFrame, frequencies: DataFrame | None = None) -> DataFrame:
+    """The scores by the postings of the terms; frequencies are counted unless they are given."""
+    units, index, shapes = asked.units, asked.index, asked.shapes
     kinds = {kind for kind, _, _ in shapes}
     ordered_words = any(several and kind != "near" for kind, several, _ in shapes)
     one_word = any(not several and kind != "near" for kind, several, _ in shapes)
-    terms = _asked_terms(units, index, shapes)
 
     # Positions are read here only to see whether a word opens a field.
     opens = F.array_contains("positions", 0) if ("initial", False, False) in shapes else F.lit(None).cast("boolean")
@@ -203,7 +224,8 @@ def score_units(units: DataFrame, index: TextIndex) -> DataFrame:
     found = reduce(DataFrame.unionByName, parts)
 
     # Plain words have their frequency in the term statistics; other units are counted.
-    frequencies = _plain_frequencies(terms, index.term_stats)
+    given = frequencies is not None
+    frequencies = frequencies if given else _plain_frequencies(terms, index.term_stats)
     if ordered_words or kinds & {"prefix", "initial"}:
         found = stage(found, "found")
         counted = units.where(
@@ -214,11 +236,14 @@ def score_units(units: DataFrame, index: TextIndex) -> DataFrame:
             found.join(counted, ["query_id", "unit"], "left_semi")
             .groupBy("query_id", "unit", "part").agg(F.count("doc_len").alias("df"))
         )
-    frequencies = stage(frequencies, "frequencies")
+    return _apply_clauses(_ranked(asked, found, frequencies if given else stage(frequencies, "frequencies")))
+
 
-    totals = index.totals.select(F.struct("n_docs", "n_tokens").alias("t")).scalar()
-    roles = units.select("query_id", "unit", "clause", "negated", "n_negated", "n_clauses", "n_preset")
-    scored = (
+def _ranked(asked: _Asked, found: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """Found units (query_id, unit, part, tf, doc_len) with their roles and scores."""
+    totals = asked.index.totals.select(F.struct("n_docs", "n_tokens").alias("t")).scalar()
+    roles = asked.units.select("query_id", "unit", "clause", "negated", "n_negated", "n_clauses", "n_preset")
+    return (
         found.join(frequencies, ["query_id", "unit", "part"])
         .join(roles, ["query_id", "unit"])
         .withColumn(
@@ -226,7 +251,48 @@ def score_units(units: DataFrame, index: TextIndex) -> DataFrame:
             _bm25(F.col("tf"), F.col("df"), F.col("doc_len"), totals["n_docs"], totals["n_tokens"]),
         )
     )
-    return _apply_clauses(scored)
+
+
+def _zone_limits(asked: _Asked, frequencies: DataFrame) -> DataFrame:
+    """(query_id, zone, most): no post of the zone scores more for the query. Zones in which a
+    query cannot match are left out. A row per query and zone."""
+    in_field = F.col("only_field").isNull() | (F.col("only_field") == F.col("field"))
+    # A post has no more occurrences than the most of each field together.
+    limits = asked.index.bounds.join(asked.terms, "term").where(in_field).groupBy("query_id", "unit", "zone", "field").agg(
+        F.max("max_tf").alias("tf"), F.min("min_len").alias("doc_len")
+    ).groupBy("query_id", "unit", "zone").agg(F.sum("tf").alias("tf"), F.min("doc_len").alias("doc_len")).withColumn("part", F.lit(0))
+    wanted = ~F.col("negated")
+    return (
+        _ranked(asked, limits, frequencies).groupBy("query_id", "zone").agg(
+            F.coalesce(F.sum(F.when(wanted, F.col("score"))), F.lit(0.0)).alias("most"),
+            F.count_distinct(F.when(wanted & (F.col("n_negated") == 0), F.col("clause"))).alias("n_met"),
+            F.max(F.col("n_clauses") - F.col("n_preset")).alias("n_needed"),
+        )
+        .where("n_met = n_needed").select("query_id", "zone", "most")
+    )
+
+
+def _first_and_rest(asked: _Asked, n: int):
+    """(the best n hits of each query's most promising zone, the zones that may hold better ones,
+    frequencies)."""
+    frequencies = stage(_plain_frequencies(asked.terms, asked.index.term_stats), "frequencies")
+    order = Window.partitionBy("query_id").orderBy(F.desc("most"), "zone")
+    zones = stage(_zone_limits(asked, frequencies).withColumn("nth", F.row_number().over(order)), "zones")
+    terms = asked.terms.join(zones.where("nth = 1").select("query_id", "zone"), "query_id")
+    first = stage(topk(_score(asked, terms, frequencies), n).drop("rank"), "first")
+    reached = first.groupBy("query_id").agg(F.when(F.count("*") >= n, F.min("score")).alias("reached"))
+    # Scores are rounded to six places.
+    rest = zones.where("nth > 1").join(reached, "query_id", "left").where(
+        F.col("reached").isNull() | (F.col("most") >= F.col("reached") - 1e-6)
+    )
+    return first, stage(rest.select("query_id", "zone"), "zones"), frequencies
+
+
+def _best(asked: _Asked, n: int) -> DataFrame:
+    first, rest, frequencies = _first_and_rest(asked, n)
+    if rest.isEmpty():
+        return topk(first, n)
+    return topk(first.unionByName(_score(asked, asked.terms.join(rest, "query_id"), frequencies)), n)
 
 
 def _apply_clauses(scored: DataFrame) -> DataFrame:
@@ -259,7 +325,10 @@ def _apply_clauses(scored: DataFrame) -> DataFrame:
 
 def search_units(units: DataFrame, index: TextIndex, n: int = 10) -> DataFrame:
     """Best n hits per query for a unit table (schema UNITS), which allows nested logic."""
-    return topk(score_units(units, index), n)
+    asked = _Asked(units, index)
+    if asked.only_words and n > 0 and index.bounds is not None:
+        return _best(asked, n)
+    return topk(_score(asked, asked.terms), n)
 
 
 def search(queries: DataFrame, index: TextIndex, n: int = 10) -> DataFrame:

@@ -10,7 +10,10 @@ the postings of its own posts, the ids whose older postings no longer count, and
 differences of the figures. A search reads all segments as one table and leaves out what a
 later segment replaced, so an update writes no more than its batch; `merge_segments` makes
 one segment of all when there are many. Postings lie in folders by a hash of their term, so
-the words asked for, however many, tell which folders are read.
+the words asked for, however many, tell which folders are read, and below by the class of
+their post's length (`zone`). All postings of a post are in one zone, and `bounds` keeps for
+each term and zone the figures that limit what a posting there can add to a score, so a search
+for the best n can leave zones out.
 """
 
 from dataclasses import dataclass
@@ -27,14 +30,15 @@ from postlake.sources.segments import folder, markers, only_live, publish, read_
 
 #: Folders of a segment's postings, unless write_index is given another number. What is read
 #: for a word is about this part of the index, but files should stay large.
-BUCKETS = 64
+BUCKETS = 32
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    """postings (schema POSTINGS with `bucket` and `segment`), term_stats (term, field, df,
-    lead_df), totals (one row); `replaced` says for ids of older segments since which segment
-    they do not count (post_id, since), None with one segment."""
+    """postings (schema POSTINGS with `bucket`, `zone` and `segment`), term_stats (term, field,
+    df, lead_df), totals (one row); `replaced` says for ids of older segments since which
+    segment they do not count (post_id, since), None with one segment; `bounds` (term, field,
+    zone, max_tf, min_len) limits the postings of a zone, None if the index is not stored."""
 
     postings: DataFrame
     term_stats: DataFrame
@@ -43,6 +47,7 @@ class TextIndex:
     replaced: DataFrame | None = None
     fields: tuple = ("content",)
     fold: bool = True
+    bounds: DataFrame | None = None
 
 
 def tokenize(posts: DataFrame, column: str = "content", fold: bool = True) -> DataFrame:
@@ -59,6 +64,11 @@ def bucket_of(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def zone_of(doc_len: Column) -> Column:
+    """Posts of one zone differ in length by a factor of four at most."""
+    return F.floor(F.log2(doc_len) / 2).cast("int")
+
+
 def build_postings(posts: DataFrame, fields=("content",), fold: bool = True) -> DataFrame:
     """One row per term, field and post: tf, positions and the post's whole length.
 
@@ -140,12 +150,13 @@ def build_index(posts: DataFrame, fields=("content",), fold: bool = True) -> Tex
     """An index that is not stored: every search makes the postings it reads anew."""
     postings = build_postings(posts, fields, fold)
     return TextIndex(
-        postings.select("*", bucket_of(F.col("term"), BUCKETS).alias("bucket"), F.lit(1).alias("segment")),
+        postings.select("*", bucket_of(F.col("term"), BUCKETS).alias("bucket"), zone_of(F.col("doc_len")).alias("zone"), F.lit(1).alias("segment")),
         term_stats(postings), index_totals(doc_stats(posts, fields, fold)), fields=tuple(fields), fold=fold,
     )
 
 
-STORED_POSTINGS = T.StructType([*POSTINGS.fields, T.StructField("segment", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
+STORED_POSTINGS = T.StructType([*POSTINGS.fields, *[T.StructField(c, T.IntegerType()) for c in ("segment", "bucket", "zone")]])
+STORED_BOUNDS = "term string, field string, zone int, max_tf int, min_len int, segment int"
 STORED_TERMS = "term string, field string, df bigint, lead_df bigint, segment int"
 STORED_TOTALS = "n_docs bigint, n_tokens bigint, segment int"
 STORED_MARKERS = "name string, base boolean, buckets int, fields array<string>, fold boolean, segment int"
@@ -162,16 +173,18 @@ def _store(
     spark: SparkSession, path: str, number: int, postings: DataFrame, figures, replaced: DataFrame | None,
     buckets: int, fields, fold: bool, name: str | None = None,
 ) -> None:
-    """Write and publish a segment. Its postings are laid out by bucket, term and post, so a
+    """Write and publish a segment. Its postings are laid out by bucket, zone, term and post, so a
     term found in a third of all posts spreads over many files. `figures` gives term statistics
     and totals from the postings as stored. """
-    order = ["bucket", "term", "post_id", "field"]
+    order = ["bucket", "zone", "term", "post_id", "field"]
     (
-        postings.withColumn("bucket", bucket_of(F.col("term"), buckets))
+        postings.withColumns({"bucket": bucket_of(F.col("term"), buckets), "zone": zone_of(F.col("doc_len"))})
         .repartitionByRange(*order).sortWithinPartitions(*order)
-        .write.mode("overwrite").partitionBy("bucket").parquet(folder(path, "postings", number))
+        .write.mode("overwrite").partitionBy("bucket", "zone").parquet(folder(path, "postings", number))
     )
     stored = read_segments(spark, path, "postings", STORED_POSTINGS, [number])
+    limits = stored.groupBy("term", "field", "zone").agg(F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len"))
+    limits.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(folder(path, "bounds", number))
     terms, totals = figures(stored)
     terms.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(folder(path, "terms", number))
     totals.write.mode("overwrite").parquet(folder(path, "totals", number))
@@ -253,6 +266,7 @@ def read_index(spark: SparkSession, path: str) -> TextIndex:
     return TextIndex(
         read_segments(spark, path, "postings", STORED_POSTINGS, numbers), terms, totals, last.buckets,
         replaced_since(spark, path, numbers), tuple(last.fields), last.fold,
+        read_segments(spark, path, "bounds", STORED_BOUNDS, numbers).drop("segment"),
     )
 
 

@@ -193,6 +193,43 @@ def test_buckets_are_pruned_by_the_words(spark, posts, stored, n_words):
     assert {r.query_id for r in P.search(queries, index, 3).collect()} == {"alpha", "beta"}
 
 
+def lengths(rng):
+    """Posts of very different length; the words asked for are denser in some."""
+    rows = []
+    for i in range(600):
+        n = rng.choice([3, 6, 20, 60, 200, 700])
+        words = rng.choices(["mill", "river", "stone"], k=rng.choice([1, 1, 2, 4])) + rng.choices("abcdefgh", k=n)
+        rng.shuffle(words)
+        rows.append((f"{i:03d}", " ".join(words)))
+    return rows
+
+
+def test_zones_that_cannot_reach_the_best_are_not_read(spark, tmp_path):
+    posts = spark.createDataFrame(lengths(random.Random(2)), "post_id string, content string")
+    path = str(tmp_path / "index")
+    P.write_index(P.build_postings(posts), posts, path, buckets=3)
+    P.write_segment(spark, path, *P.index_changes(
+        spark.createDataFrame([("new", "mill mill stone"), ("001", "river")], "post_id string, content string"), posts, posts.where("post_id = '005'")))
+    index = P.read_index(spark, path)
+    queries = search_table(
+        spark, {"query_id": "one", "must": ["mill"]}, {"query_id": "both", "must": ["mill", "river"]},
+        {"query_id": "any", "should": ["stone", "river", "none"]}, {"query_id": "not", "must": ["stone"], "must_not": ["mill", "a"]},
+        {"query_id": "none", "must": ["mill", "none"]}, {"query_id": "field", "must": ["river"], "field": "content"},
+    )
+    for n in (1, 3, 10, 700):
+        whole = P.topk(S.score_units(P.query_units(queries), index), n)
+        assert sorted(P.search(queries, index, n).collect()) == sorted(whole.collect())
+    asked = S._Asked(P.query_units(queries.where("query_id = 'one'")), index)
+    first, rest, _ = S._first_and_rest(asked, 3)
+    there = index.postings.where("term = 'mill'")
+    zones = [r.zone for r in there.select("zone").distinct().collect()]
+    read = {r.zone for r in rest.collect()} | {r.zone for r in first.join(there, "post_id").select("zone").distinct().collect()}
+    assert first.count() == 3 and len(read) < len(zones)
+    assert there.where(F.col("zone").isin(*read)).count() < there.count()
+    text = S._matches(index, asked.terms.join(rest, "query_id"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in text and text.count("dynamicpruning") >= 2
+
+
 def test_positions_are_not_exploded(spark, stored):
     queries = search_table(spark, {"query_id": "p", "phrase": ["beta", "gamma"]}, {"query_id": "x", "prefix": ["theta e"]})
     plan = P.search(queries, P.read_index(spark, stored), 3)._jdf.queryExecution().analyzed().toString()
