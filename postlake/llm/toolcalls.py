@@ -64,30 +64,73 @@ def argument_problem(name: Column, arguments: Column, schemas: dict) -> Column:
     )
 
 
+def _jumps(alone: DataFrame) -> DataFrame:
+    """(conv_id, call_id, base, far) of calls (conv_id, call_id, base) that wait for one call each:
+    the first call down the chain that does not, and how many links away it is. Calls whose chain
+    runs into a cycle are left out.
+
+    Every round doubles the links looked over, so a chain of a thousand calls takes ten.
+    """
+    jumps, length, longest = stage(alone.withColumn("far", F.lit(1)), "jumps"), 1, alone.count()
+    while True:
+        # What another of these calls stands for is looked up under its id.
+        onward = jumps.select("conv_id", F.col("call_id").alias("base"), F.col("base").alias("next"), F.col("far").alias("more"))
+        if jumps.join(onward.select("conv_id", "base"), ["conv_id", "base"], "left_semi").isEmpty():
+            return jumps
+        if length > longest:
+            return jumps.join(onward.select("conv_id", "base"), ["conv_id", "base"], "left_anti").select(*KEY, "base", "far")
+        jumps, length = stage(
+            jumps.join(onward, ["conv_id", "base"], "left").select(
+                *KEY, F.coalesce("next", "base").alias("base"), (F.col("far") + F.coalesce("more", F.lit(0))).alias("far")
+            ), "jumps",
+        ), 2 * length
+
+
 def topological_steps(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, step) of calls not on or behind a cycle; calls have unique ids.
 
-    Each round takes off the dependencies met in the round before; what is left shrinks, and
-    there are as many rounds as the longest chain of calls. Rounds are written to the shared
-    folder.
+    Calls that wait for one other form chains, which pointer doubling takes in one go. Those
+    that wait for several are ordered in rounds: each takes off the calls whose bases all have a
+    step, so there are as many rounds as such calls follow each other on a path. Rounds are
+    written to the shared folder.
     """
     ids = calls.select(*KEY)
     wants = calls.select(*KEY, F.explode(F.array_distinct("depends_on")).alias("needs"))
+    links = stage(
+        wants.join(ids.withColumnRenamed("call_id", "needs"), ["conv_id", "needs"], "left_semi").select(*KEY, "needs"), "links"
+    )
+    front = stage(ids.join(links.select(*KEY).distinct(), KEY, "left_anti").withColumn("step", F.lit(0)), "front")
+    counts = links.groupBy(*KEY).agg(F.count("*").alias("n"), F.min("needs").alias("base"))
+    alone = stage(counts.where("n = 1").select(*KEY, "base"), "alone")
+    jumps = stage(_jumps(alone), "chains")
+    # Links of calls that wait for several, from their bases: `value` is the step they ask for.
+    several = links.join(counts.where("n > 1").select(*KEY), KEY, "left_semi")
+    chained = jumps.withColumnsRenamed({"call_id": "needs", "base": "far_base"})
     pending = stage(
-        wants.join(ids.withColumnRenamed("call_id", "needs"), ["conv_id", "needs"], "left_semi").select(*KEY, "needs"), "pending"
+        several.join(alone.select("conv_id", F.col("call_id").alias("needs"), F.lit(True).alias("single")), ["conv_id", "needs"], "left")
+        .join(chained, ["conv_id", "needs"], "left")
+        .select(
+            *KEY, F.when(F.col("single"), F.col("far_base")).otherwise(F.col("needs")).alias("base"),
+            F.coalesce("far", F.lit(0)).alias("far"), F.lit(None).cast("int").alias("value"),
+        ), "pending",
     )
-    front = stage(ids.join(pending.select(*KEY).distinct(), KEY, "left_anti"), "front")
-    steps, step = front.withColumn("step", F.lit(0)), 0
+    steps = front
     while not pending.isEmpty():
-        step += 1
+        met = front.withColumnsRenamed({"call_id": "base", "step": "known"})
         left = stage(
-            pending.join(front.withColumnRenamed("call_id", "needs"), ["conv_id", "needs"], "left_anti"), "pending"
+            pending.join(met, ["conv_id", "base"], "left").select(
+                *KEY, "base", "far", F.coalesce("value", F.col("known") + F.col("far") + 1).alias("value")
+            ), "pending",
+        )
+        front = stage(
+            left.groupBy(*KEY).agg(F.count_if(F.col("value").isNull()).alias("open"), F.max("value").alias("step"))
+            .where("open = 0").select(*KEY, "step"), "front",
         )
-        front = stage(pending.select(*KEY).distinct().join(left.select(*KEY).distinct(), KEY, "left_anti"), "front")
         if front.isEmpty():
             break
-        steps, pending = steps.union(front.withColumn("step", F.lit(step))), left
-    return steps
+        steps, pending = steps.union(front), left.join(front.select(*KEY), KEY, "left_anti")
+    ends = steps.select("conv_id", F.col("call_id").alias("base"), "step")
+    return steps.union(jumps.join(ends, ["conv_id", "base"]).select(*KEY, (F.col("step") + F.col("far")).alias("step")))
 
 
 def _firsts(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+import random
 
 from postlake.llm import toolcalls as C
 
@@ -39,6 +40,47 @@ def test_topological_order(spark):
         (3, "p"): None, (3, "q"): None, (3, "r"): None, (3, "s"): None, (3, "u"): 0}
 
 
+def longest_paths(calls):
+    """Steps by going over the calls again and again; calls on or behind a cycle have none."""
+    needs = {(c[0], c[1]): {(c[0], d) for d in c[5] or []} for c in calls}
+    needs = {k: {d for d in v if d in needs} for k, v in needs.items()}
+    steps = {}
+    while True:
+        new = {k: 1 + max((steps[d] for d in v), default=-1) for k, v in needs.items() if k not in steps and all(d in steps for d in v)}
+        if not new:
+            return {k: steps.get(k) for k in needs}
+        steps |= new
+
+
+def test_a_chain_of_a_thousand_calls(spark, monkeypatch):
+    """Chains take rounds by the logarithm of their length."""
+    staged = []
+    monkeypatch.setattr(C, "stage", lambda df, name="stage", own=C.stage: staged.append(name) or own(df, name))
+    chain = [(1, f"c{i}", i, "t", "{}", [f"c{i - 1}"] if i else []) for i in range(1_000)]
+    tail = [(1, "end", 5, "t", "{}", ["c999", "c500"]), (1, "after", 6, "t", "{}", ["end"])]
+    frame = spark.createDataFrame([(*c, 1) for c in chain + tail], CALLS).select("conv_id", "call_id", "depends_on")
+    got = {(r.conv_id, r.call_id): r.step for r in C.topological_steps(frame).collect()}
+    assert got == longest_paths(chain + tail) and got[1, "after"] == 1_001
+    assert staged.count("jumps") <= 12 and len(staged) < 25
+
+
+def test_order_of_random_calls(spark):
+    """Chains, joins, forks, cycles and calls behind them, a call that many wait for."""
+    rng = random.Random(3)
+    calls = []
+    for conv in range(40):
+        n = rng.randrange(1, 14)
+        for i in range(n):
+            some = rng.sample(range(n), min(n, rng.choice([0, 1, 1, 1, 2, 3])))
+            some = [d for d in some if rng.random() < 0.15 or d < i]
+            calls.append((conv, f"c{i}", i, "t", "{}", [f"c{d}" for d in some] + ["missing"] * (i % 3 == 0)))
+    calls += [(99, "hub", 0, "t", "{}", None)] + [(99, f"w{i}", 1, "t", "{}", ["hub"]) for i in range(200)]
+    frame = spark.createDataFrame([(*c, 1) for c in calls], CALLS).select("conv_id", "call_id", "depends_on")
+    got = {(r.conv_id, r.call_id): r.step for r in C.topological_steps(frame).collect()}
+    want = longest_paths(calls)
+    assert got == {k: s for k, s in want.items() if s is not None} and None in want.values()
+
+
 def test_arguments(spark):
     cases = {
         '{"n": 1, "s": "x", "x": 1.5, "b": true, "a": [1], "o": {"k": null}}': "", '{"n": 12345678901234567890123}': "",
