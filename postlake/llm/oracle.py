@@ -150,8 +150,8 @@ WITH tokens AS (
 ), lines AS (
   SELECT doc_id, min(i) AS pos, count(*) AS n_words, string_agg(word, ' ' ORDER BY i) AS content FROM words GROUP BY doc_id, line_no
 ), cut AS (
-  SELECT *, CASE WHEN i = 0 OR (h < {_MARKS.format("3 PRECEDING", "1 PRECEDING")}
-    AND h <= {_MARKS.format("1 FOLLOWING", "3 FOLLOWING")}) THEN 1 ELSE 0 END AS begins
+  SELECT *, CASE WHEN i = 0 OR (h < {_MARKS.format("4 PRECEDING", "1 PRECEDING")}
+    AND h <= {_MARKS.format("1 FOLLOWING", "4 FOLLOWING")}) THEN 1 ELSE 0 END AS begins
   FROM (SELECT *, substr(md5(word), 1, 16) AS h FROM words)
 ), pieces AS (
   SELECT doc_id, piece, min(i) AS pos, count(*) AS n_words, string_agg(word, ' ' ORDER BY i) AS content

@@ -25,8 +25,8 @@ lines and 64 for stretches, of which a chance match alone removes nothing.
 
 Edge cases: a null text stays null and an empty one empty; units without a word are never
 removed; a null doc_id ranks last; rows that repeat both id and text are one document and are
-returned each with the same result; rows that repeat only the id are told apart by their
-text. Further columns pass through, and those named like the results are replaced.
+returned each with the same result; rows that repeat only the id are told apart by 32 bits of
+a hash of their text. Further columns pass through, and those named like the results are replaced.
 """
 
 import hashlib
@@ -44,8 +44,8 @@ SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
 MIN_WORDS = 10
 RUN_WORDS = 50
 PASSAGE_WORDS = 25
-REACH = 3
-UNITS = "doc_id bigint, text_key bigint, at int, n_words int, digest binary"
+REACH = 4
+UNITS = "doc_id bigint, text_key int, at int, n_words int, digest binary"
 #: Bytes of the digests, by which the two kinds of unit are told apart.
 LINE_BYTES = 16
 RESULTS = [T.StructField(c, T.LongType()) for c in ("n_units", "n_removed", "n_removed_words")] + [
@@ -53,12 +53,14 @@ RESULTS = [T.StructField(c, T.LongType()) for c in ("n_units", "n_removed", "n_r
 ]
 WORD = re.compile("[^ \t-\r]+")
 LAST_ID = (1 << 63) - 1
+#: Bytes of text worked on at a time by a task, though always whole texts.
+AT_A_TIME = 1_000_000
 
 
 class WordHashes(dict):
     """The first 64 bits of the MD5 of words, remembered."""
 
-    MOST = 1_000_000
+    MOST = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:
@@ -102,13 +104,13 @@ def stretches(hashes: np.ndarray, begins: np.ndarray):
 
 
 def _units(separator: bytes):
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
     names = [field.split()[0] for field in UNITS.split(", ")]
 
     def run(batches):
         known = WordHashes()
         for batch in batches:
-            for first, texts in text_chunks(batch, "text"):
+            for first, texts in text_chunks(batch, "text", AT_A_TIME):
                 owners, ats, sizes, digests, hashes, begins = [], [], [], [], [], [0]
                 for i, text in enumerate(texts):
                     at = 0
@@ -142,7 +144,7 @@ def _units(separator: bytes):
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_key"), "text")
+    return docs.select(F.col("doc_id").cast("bigint"), F.hash("text").alias("text_key"), "text")
 
 
 def repeated_spans(
@@ -206,7 +208,7 @@ def _cut(separator: str, names: list, spans_column: str):
     def run(batches):
         for batch in batches:
             gone = batch.column(batch.schema.get_field_index(spans_column))
-            for first, texts in text_chunks(batch, "text"):
+            for first, texts in text_chunks(batch, "text", AT_A_TIME):
                 part = batch.slice(first, len(texts))
                 out, figures = [], []
                 for text, spans in zip(texts, gone.slice(first, len(texts)).to_pylist()):
@@ -233,7 +235,7 @@ def substring_dedup(
     spans = repeated_spans(docs, unit, min_words, run_words, passage_words).groupBy(
         F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key)
     ).agg(F.collect_set(F.struct("start", "end")).alias(gone))
-    joined = kept.withColumn(key, F.xxhash64("text")).join(
+    joined = kept.withColumn(key, F.hash("text")).join(
         spans, (F.col(key) == F.col(own_key)) & F.col("doc_id").cast("bigint").eqNullSafe(F.col(own_id)), "left"
     )
     fields = list(kept.schema)

@@ -39,7 +39,7 @@ def test_paragraphs(spark):
     assert got == {1: rows[0][1], 2: "y", 3: PROSE}
     # As a passage inside a paragraph the third goes but for its last words.
     [left] = [text for (doc_id, _), text in cut(spark, rows, unit="paragraph").items() if doc_id == 3]
-    assert PROSE.endswith(left) and len(left.split()) < 12
+    assert PROSE.endswith(left) and len(left.split()) < 16
 
 
 def test_hard_rows(spark, hard, empty):
@@ -67,7 +67,7 @@ def brute(docs):
             words += own
         h = [hashlib.md5(w.encode()).hexdigest()[:16] for w in words]
         starts = [
-            i for i in range(len(h)) if i == 0 or (all(h[i] < x for x in h[max(0, i - 3) : i]) and all(h[i] <= x for x in h[i + 1 : i + 4]))
+            i for i in range(len(h)) if i == 0 or (all(h[i] < x for x in h[max(0, i - N.REACH) : i]) and all(h[i] <= x for x in h[i + 1 : i + 1 + N.REACH]))
         ]
         ends = starts[1:] + [len(h)]
         pieces = [tuple(words[a:b]) for a, b in zip(starts, ends)]
