@@ -363,6 +363,16 @@ found AS (
   JOIN tok ON term = 'de' AND (only_field IS NULL OR only_field = field) GROUP BY ALL)"""
 put("field_search", FIELD_TOKENS + SCORED, best(all_of({"language": 1, "content": 1, "any": 1})))
 
+put("benchmark_search", f"""{TOKENS},
+items AS (
+  SELECT 'item' || CAST(item_id AS VARCHAR) AS query_id,
+    ' ' || array_to_string(regexp_extract_all(lower(text), '{WORD}'), ' ') || ' ' AS phrase FROM benchmark),
+texts AS (SELECT post_id, ' ' || array_to_string(words, ' ') || ' ' AS text FROM split),
+found AS (
+  SELECT query_id, 0 AS unit, post_id, (length(text) - length(replace(text, phrase, ' '))) // (length(phrase) - 1) AS tf
+  FROM items JOIN texts ON contains(text, phrase)){SCORED}""",
+    best("SELECT query_id, post_id, round(score, 6) AS score FROM scored"))
+
 VECTORS = """vec AS (SELECT CAST(vec_id * 3 AS VARCHAR) AS post_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 asked AS (SELECT 'q' || CAST(vec_id AS VARCHAR) AS query_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 20 = 0),
 near AS (
@@ -513,3 +523,11 @@ UNION ALL SELECT 'reply_without_target', count(*) FROM faulty WHERE is_reply = 1
 UNION ALL SELECT 'duplicate_id', count(*) FROM (
   SELECT post_id FROM faulty WHERE post_id IS NOT NULL GROUP BY post_id HAVING count(*) > 1)""")
 put("sql_posts", POSTS, "SELECT post_id, like_count, view_count FROM posts WHERE like_count > 500")
+put("sql_index", TOKENS, """
+SELECT CAST(to_json(struct_pack(post_id := post_id, like_count := like_count, n_rare := n_rare, n_places := n_places,
+  first_term := first_term)) AS VARCHAR) AS json
+FROM (
+  SELECT p.post_id, p.like_count, count(*) AS n_rare, CAST(sum(tf) AS BIGINT) AS n_places, min(term) AS first_term
+  FROM (SELECT term, post_id, count(*) AS tf, count(*) OVER (PARTITION BY term) AS df FROM tok GROUP BY term, post_id) o
+  JOIN posts p USING (post_id)
+  WHERE p.is_repost = 0 AND df BETWEEN 2 AND 5 GROUP BY p.post_id, p.like_count HAVING count(*) > 1)""")

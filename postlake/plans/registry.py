@@ -410,6 +410,15 @@ def field_search(spark, sf_dir):
     return P.search(queries, X.text_index(spark, sf_dir, ("content", "lang")), 10)
 
 
+@query
+def benchmark_search(spark, sf_dir):
+    """Every benchmark text as one phrase: posts that quote it whole, some two thousand words asked."""
+    items = X.table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("item"), F.col("item_id").cast("string")).alias("query_id"), F.array("text").alias("phrase")
+    )
+    return P.search(items, X.text_index(spark, sf_dir), 10)
+
+
 @query
 def vector_search(spark, sf_dir):
     return P.vector_search(X.query_vectors(spark, sf_dir), X.vectors(spark, sf_dir), 10)
@@ -584,3 +593,14 @@ def sql_posts(spark, sf_dir):
         spark,
         "SELECT post_id, like_count, view_count FROM posts WHERE like_count > 500 ORDER BY like_count DESC, post_id",
     )
+
+
+@query
+def sql_index(spark, sf_dir):
+    """SQL over posts, postings and term statistics, its rows as JSON."""
+    P.register_views(X.posts(spark, sf_dir), X.text_index(spark, sf_dir))
+    return P.to_json_rows(P.run_sql(spark, """
+        WITH rare AS (SELECT term, df FROM term_stats WHERE df BETWEEN 2 AND 5)
+        SELECT p.post_id, p.like_count, count(*) AS n_rare, sum(o.tf) AS n_places, min(r.term) AS first_term
+        FROM rare r JOIN postings o ON o.term = r.term JOIN posts p ON p.post_id = o.post_id
+        WHERE p.is_repost = 0 GROUP BY p.post_id, p.like_count HAVING count(*) > 1"""))
