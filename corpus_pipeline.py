@@ -29,7 +29,7 @@ def thin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that an earlier document has. A document of which no word is
+    """Texts without the lines and passages that an earlier document has. A document of which no word is
     left goes; one that never had a word stays."""
     done = substring_dedup(docs)
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike("[^ \\t-\\r]")
