@@ -23,6 +23,8 @@ POINTER = "_current"
 
 #: Posts of a range, about; a range that an update makes larger is split.
 RANGE_ROWS = 1_000_000
+#: Bytes of text of a range, about, as one task sorts what a range is written from.
+RANGE_BYTES = 64_000_000
 
 
 def _pointer_dir(path):
@@ -46,12 +48,13 @@ def current_version(spark: SparkSession, path: str) -> str | None:
 
 class Range(NamedTuple):
     """Posts from an id on, up to the next range; the first begins at the empty text. `latest`
-    is their newest time as text."""
+    is their newest time as text, `size` the bytes of their texts, None if it was not kept."""
 
     low: str
     folder: str | None
     rows: int
     latest: str | None
+    size: int | None = None
 
 
 def _current(spark: SparkSession, path: str) -> tuple[str | None, list]:
@@ -64,7 +67,7 @@ def _current(spark: SparkSession, path: str) -> tuple[str | None, list]:
     if not steps:
         return None, []
     lines = [json.loads(row.value) for row in spark.read.text(f"{_pointer_dir(path)}/{max(steps):010d}").collect()]
-    ranges = [Range(**{key: line[key] for key in Range._fields}) for line in lines if "folder" in line]
+    ranges = [Range(**{key: line[key] for key in Range._fields if key in line}) for line in lines if "folder" in line]
     return lines[0]["version"], sorted(ranges, key=lambda r: r.low)
 
 
@@ -162,16 +165,25 @@ def write_posts(posts: DataFrame, path: str, version: str, clustered=False, base
     rows = posts.select(*[F.col(c).cast(POSTS[c].dataType) for c in POST_COLUMNS])
     if clustered:
         rows = stage(rows, "posts")
-        ranges = _write_ranges(rows, path, version, [EVERYTHING], [0], rows.count())
+        ranges = _write_ranges(rows, path, version, [EVERYTHING], [0], *_extent(rows))
     else:
         rows.write.mode("overwrite").parquet(f"{_version_dir(path, version)}/whole")
         found = spark.read.schema(POSTS).parquet(f"{_version_dir(path, version)}/whole").agg(*map(F.expr, _FIGURES)).head()
-        ranges = [Range("", f"version={version}/whole", found.n, _text(found.latest))]
+        ranges = [Range("", f"version={version}/whole", found.n, _text(found.latest), found["size"])]
     _publish(spark, path, version, ranges, base)
 
 
-EVERYTHING = Range("", None, 0, None)
-_FIGURES = [f"{figure} AS {name}" for figure, name in (("count(*)", "n"), ("max(created_at)", "latest"), ("min(post_id)", "low"))]
+EVERYTHING = Range("", None, 0, None, 0)
+_BYTES = "coalesce(sum(octet_length(content)), 0)"
+_FIGURES = [
+    f"{figure} AS {name}"
+    for figure, name in (("count(*)", "n"), ("max(created_at)", "latest"), ("min(post_id)", "low"), (_BYTES, "size"))
+]
+
+
+def _extent(posts: DataFrame) -> tuple[int, int]:
+    """(number of posts, bytes of their texts)."""
+    return tuple(posts.agg(F.count("*"), F.expr(_BYTES)).head())
 
 
 def _text(time: datetime | None) -> str | None:
@@ -186,31 +198,35 @@ def write_changes(spark: SparkSession, path: str, version: str, changes: DataFra
     touched = _ranges_hit(changes, ranges)
     if touched:
         before = _read_folders(spark, path, [ranges[n].folder for n in touched if ranges[n].folder])
-        n_rows = sum(ranges[n].rows for n in touched) + changes.count()
-        new = _write_ranges(upsert(before, changes), path, version, ranges, touched, n_rows)
+        n_rows, n_bytes = _extent(changes)
+        n_rows += sum(ranges[n].rows for n in touched)
+        sizes = [ranges[n].size for n in touched]
+        n_bytes += _extent(before)[1] if None in sizes else sum(sizes)
+        new = _write_ranges(upsert(before, changes), path, version, ranges, touched, n_rows, n_bytes)
         ranges = [r for n, r in enumerate(ranges) if n not in set(touched)] + new
     _publish(spark, path, version, [r for r in ranges if r.folder], base)
 
 
-def _write_ranges(rows: DataFrame, path: str, version: str, ranges: list, touched: list, n_rows: int) -> list:
-    """Write posts of the touched ranges, each in one or several folders of RANGE_ROWS posts or so;
-    the new ranges. Folders never mix posts of two ranges."""
+def _write_ranges(rows: DataFrame, path: str, version: str, ranges: list, touched: list, n_rows: int, n_bytes: int) -> list:
+    """Write posts of the touched ranges, each in one or several folders of RANGE_ROWS posts or
+    RANGE_BYTES of text or so; the new ranges. Folders never mix posts of two ranges."""
     spark = rows.sparkSession
-    pieces = max(len(touched), -(-n_rows // RANGE_ROWS), 1)
+    pieces = max(len(touched), -(-n_rows // RANGE_ROWS), -(-n_bytes // RANGE_BYTES), 1)
     placed = rows.select(*[F.col(c).cast(POSTS[c].dataType) for c in POST_COLUMNS], _range_of([r.low for r in ranges]).alias("range"))
     (
-        placed.repartitionByRange(pieces, "range", "post_id").sortWithinPartitions("range", "post_id")
-        .withColumn("piece", F.spark_partition_id())
+        placed.repartitionByRange(pieces, "range", "post_id").withColumn("piece", F.spark_partition_id())
+        # In the order that partitionBy asks for, so that posts are sorted once.
+        .sortWithinPartitions("range", "piece", "post_id")
         .write.mode("overwrite").partitionBy("range", "piece").parquet(_version_dir(path, version))
     )
-    written = spark.read.schema("post_id string, created_at timestamp_ntz, range int, piece int").parquet(_version_dir(path, version))
+    written = spark.read.schema("post_id string, created_at timestamp_ntz, content string, range int, piece int").parquet(_version_dir(path, version))
     found = written.groupBy("range", "piece").agg(*map(F.expr, _FIGURES)).collect()
     new, seen = [], set()
     for row in sorted(found, key=lambda r: (r["range"], r.piece)):
         # The first folder of a range takes its bound, so that the ranges leave no gap.
         low = row.low if row["range"] in seen else ranges[row["range"]].low
         seen.add(row["range"])
-        new.append(Range(low, f"version={version}/range={row['range']}/piece={row.piece}", row.n, _text(row.latest)))
+        new.append(Range(low, f"version={version}/range={row['range']}/piece={row.piece}", row.n, _text(row.latest), row["size"]))
     return new
 
 

@@ -210,6 +210,27 @@ def test_updates_rewrite_only_the_ranges_they_touch(spark, tmp_path, monkeypatch
     assert near.where("post_id = '0105'").head().content == "other" and near.count() <= 20
 
 
+def test_no_range_is_written_from_more_than_so_many_bytes(spark, tmp_path, monkeypatch):
+    """One task sorts all of a range, so long texts make more ranges than short ones."""
+    monkeypatch.setattr(A, "RANGE_BYTES", 1_000, raising=False)
+    path = str(tmp_path / "archive")
+    first = make(spark, *[post(f"{i:04d}", 1, "x" * 100) for i in range(100)])
+    P.write_posts(first, path, "v1", clustered=True)
+    _, ranges = A._current(spark, path)
+    assert len(ranges) == 10 and sum(r.size for r in ranges) == 10_000
+    # Pointers written before sizes were kept have none.
+    A._publish(spark, path, "v2", [r._replace(size=None) for r in ranges], "v1")
+    more = make(spark, *[post(f"0099{i:02d}", 1, "y" * 100) for i in range(50)], post("zz", 1, None))
+    P.write_changes(spark, path, "v3", more, base="v2")
+    _, after = A._current(spark, path)
+    assert len(after) >= 14 and after[:9] == [r._replace(size=None) for r in ranges[:9]]
+    assert P.read_posts(spark, path).count() == 151
+    # A whole version is split by its first update.
+    P.write_posts(first, str(tmp_path / "whole"), "v1")
+    P.write_changes(spark, str(tmp_path / "whole"), "v2", more)
+    assert len(A._current(spark, str(tmp_path / "whole"))[1]) >= 15
+
+
 def test_an_archive_that_begins_with_an_update(spark, few, tmp_path):
     path = str(tmp_path / "archive")
     P.write_changes(spark, path, "v1", few, base=None)
