@@ -17,6 +17,7 @@ the others only those whose limit reaches the n-th score found.
 """
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -323,17 +324,47 @@ def _apply_clauses(scored: DataFrame) -> DataFrame:
     )
 
 
-def search_units(units: DataFrame, index: TextIndex, n: int = 10) -> DataFrame:
-    """Best n hits per query for a unit table (schema UNITS), which allows nested logic."""
+class SharedHits(NamedTuple):
+    """Whole rankings, made once for all queries that ask the same: `asked` (query_id, question)
+    says which ranking is a query's, `hits` (question, post_id, score, rank) holds them. One-word
+    questions have no more hits in all than the index has postings, however many queries ask."""
+
+    asked: DataFrame
+    hits: DataFrame
+
+    def expanded(self) -> DataFrame:
+        """A row per query and hit."""
+        return self.asked.join(self.hits, "question").select("query_id", "post_id", "score", "rank")
+
+
+def _shared_rankings(units: DataFrame, index: TextIndex) -> SharedHits:
+    """Whole rankings of a unit table. Queries ask the same if their units are equal; the least
+    id of them names the question."""
+    asks = F.to_json(F.sort_array(F.collect_list(F.struct("unit", "clause", "negated", "kind", "words", "near_k", "field"))))
+    asking = stage(units.groupBy("query_id").agg(asks.alias("asks")), "asking")
+    questions = asking.groupBy("asks").agg(F.min("query_id").alias("question"))
+    asked = stage(asking.join(questions, "asks").select("query_id", "question"), "asked")
+    own = units.join(asked.where("query_id = question").select("query_id"), "query_id", "left_semi")
+    found = _Asked(own, index)
+    return SharedHits(asked, stage(topk(_score(found, found.terms), -1).withColumnRenamed("query_id", "question"), "ranked"))
+
+
+def search_units(units: DataFrame, index: TextIndex, n: int = 10, shared: bool = False) -> DataFrame | SharedHits:
+    """Best n hits per query for a unit table (schema UNITS), which allows nested logic; for
+    n < 0 whole rankings, as SharedHits if `shared`."""
+    if n < 0:
+        rankings = _shared_rankings(units, index)
+        return rankings if shared else rankings.expanded()
     asked = _Asked(units, index)
     if asked.only_words and n > 0 and index.bounds is not None:
         return _best(asked, n)
     return topk(_score(asked, asked.terms), n)
 
 
-def search(queries: DataFrame, index: TextIndex, n: int = 10) -> DataFrame:
-    """Best n hits per query over an index: (query_id, post_id, score, rank)."""
-    return search_units(query_units(queries, index.fold), index, n)
+def search(queries: DataFrame, index: TextIndex, n: int = 10, shared: bool = False) -> DataFrame | SharedHits:
+    """Best n hits per query over an index: (query_id, post_id, score, rank). For n < 0 whole
+    rankings; `shared` gives them without a row per query and hit (see SharedHits)."""
+    return search_units(query_units(queries, index.fold), index, n, shared)
 
 
 def search_posts(

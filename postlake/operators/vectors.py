@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from postlake.operators.ranking import topk
 from postlake.session import stage
@@ -29,8 +29,9 @@ MAX_CARRIED_BYTES = 16_000_000
 # Scores worked on at a time by a task, in double (some 16 MB, and a few copies of it).
 SCORES_AT_A_TIME = 2_000_000
 
-# Vectors per group on the joined path.
-SHARD_ROWS = 200_000
+# Vectors a task scores at a time, about, and per group on the joined path.
+TABLE_BYTES = 16_000_000
+SHARD_ROWS = 50_000
 
 
 def _unit_matrix(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -51,55 +52,72 @@ def _unit_matrix(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return rows[has_direction] / lengths[has_direction, None], mask
 
 
-def _best_rows(scores: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
-    """Positions of the n best, ties by id."""
-    if len(scores) <= n:
-        return np.arange(len(scores))
-    cut = np.partition(scores, len(scores) - n)[len(scores) - n]
-    above = np.flatnonzero(scores > cut)
-    tied = np.flatnonzero(scores == cut)
-    tied = tied[np.argsort(ids[tied], kind="stable")][: n - len(above)]
-    return np.concatenate([above, tied])
-
-
-def _score_table(query_ids, query_rows, vectors: pa.Table, n: int) -> pa.Table:
-    rows, mask = _unit_matrix(vectors["embedding"])
-    ids = vectors["post_id"].to_numpy(zero_copy_only=False)[mask].astype(str)
-    if not len(ids) or not len(query_ids):
-        return pa.schema(SCORE_FIELDS).empty_table()
-    scores = np.round(rows @ query_rows.T, 6) + 0.0
-    out_queries, out_ids, out_scores = [], [], []
-    for j, query_id in enumerate(query_ids):
-        column = scores[:, j]
-        best = _best_rows(column, ids, n) if n >= 0 else np.arange(len(ids))
-        out_queries.append(np.full(len(best), query_id, dtype=object))
-        out_ids.append(ids[best])
-        out_scores.append(column[best])
-    return pa.table(
-        [np.concatenate(out_queries), np.concatenate(out_ids).astype(object), np.concatenate(out_scores)],
-        schema=pa.schema(SCORE_FIELDS),
-    )
-
-
-def _keep_best(table: pa.Table, n: int) -> pa.Table:
-    """The n best rows per query of scores gathered from several parts."""
-    frame = table.to_pandas().sort_values(["query_id", "score", "post_id"], ascending=[True, False, True], kind="stable")
-    return pa.Table.from_pandas(frame.groupby("query_id", sort=False).head(n), pa.schema(SCORE_FIELDS), preserve_index=False)
+def _unit_tables(tables):
+    """(unit rows, their ids) of tables of any size, regrouped to TABLE_BYTES or so each."""
 
+    def rows_of(waiting):
+        table = pa.concat_tables(waiting)
+        rows, mask = _unit_matrix(table["embedding"])
+        return rows, table["post_id"].to_numpy(zero_copy_only=False)[mask].astype(str)
 
-def _score_parts(query_ids, query_rows, vectors: pa.Table, n: int):
-    """Score tables of a table of any size, part by part; for a top-n one table with the best
-    found so far, which never holds more than two rounds of n rows per query."""
-    step = max(1, SCORES_AT_A_TIME // max(1, len(query_ids)))
-    best = None
-    for at in range(0, vectors.num_rows, step):
-        part = _score_table(query_ids, query_rows, vectors.slice(at, step), n)
-        if n < 0:
-            yield part
-        else:
-            best = part if best is None else _keep_best(pa.concat_tables([best, part]), n)
-    if best is not None:
-        yield best
+    waiting, size = [], 0
+    for table in tables:
+        step = max(1, TABLE_BYTES * table.num_rows // max(1, table.nbytes))
+        for at in range(0, table.num_rows, step):
+            part = table.slice(at, step)
+            waiting, size = [*waiting, part], size + part.nbytes
+            if size >= TABLE_BYTES:
+                yield rows_of(waiting)
+                waiting, size = [], 0
+    if waiting:
+        yield rows_of(waiting)
+
+
+def _score_blocks(query_rows: np.ndarray, rows: np.ndarray):
+    """(number of the first query, scores of some queries against all rows), block by block."""
+    step = max(1, SCORES_AT_A_TIME // max(1, len(rows)))
+    for at in range(0, len(query_rows), step):
+        yield at, np.round(query_rows[at : at + step] @ rows.T, 6) + 0.0
+
+
+class _Best:
+    """The n best hits of every query so far: those above its n-th score and, by id, of those
+    that share it. What waits to be cut is bounded."""
+
+    def __init__(self, n_queries: int, n: int):
+        self.n = n
+        # The n best scores of each query, the least of them first.
+        self.top = np.full((n_queries, n), -np.inf)
+        self.hits, self.waiting = [], 0
+
+    def add(self, at: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        width = scores.shape[1]
+        both = np.concatenate([self.top[at : at + len(scores)], scores], axis=1)
+        both.partition(width, axis=1)
+        self.top[at : at + len(scores)] = both[:, width:]
+        queries, rows = np.nonzero(scores >= both[:, width, None])
+        self.hits.append((queries + at, scores[queries, rows], ids[rows]))
+        self.waiting += len(queries)
+        if self.waiting > 4 * self.top.size + SCORES_AT_A_TIME:
+            self.cut()
+
+    def cut(self) -> None:
+        if not self.hits:
+            return
+        queries, scores, ids = (np.concatenate(parts) for parts in zip(*self.hits))
+        least = self.top[queries, 0]
+        above, tied = np.flatnonzero(scores > least), np.flatnonzero(scores == least)
+        room = self.n - np.bincount(queries[above], minlength=len(self.top))
+        tied = tied[np.lexsort((ids[tied], queries[tied]))]
+        owner = queries[tied]
+        place = np.arange(len(tied)) - np.searchsorted(owner, owner)
+        kept = np.concatenate([above, tied[place < room[owner]]])
+        self.hits, self.waiting = [(queries[kept], scores[kept], ids[kept])], len(kept)
+
+
+def _hit_table(query_ids: pa.Array, queries: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> pa.Table:
+    columns = [query_ids.take(pa.array(queries)), pa.array(ids.astype(object), pa.string()), pa.array(scores)]
+    return pa.table(columns, schema=pa.schema(SCORE_FIELDS))
 
 
 def _block_rows(vectors: DataFrame) -> int:
@@ -154,22 +172,44 @@ _ARROW = {"string": pa.string(), "double": pa.float64(), "bigint": pa.int64(), "
 
 
 def _scores_of_all(n: int):
+    """Every pair for n < 0; else one table with the n best of each query over all tables."""
+
     def work(queries: pa.Table, tables):
         query_rows, mask = _unit_matrix(queries["embedding"])
-        query_ids = queries["query_id"].to_numpy(zero_copy_only=False)[mask]
-        for table in tables:
-            yield from _score_parts(query_ids, query_rows, table, n)
+        query_ids = queries["query_id"].combine_chunks().filter(pa.array(mask))
+        best = _Best(len(query_rows), max(n, 0))
+        for rows, ids in _unit_tables(tables):
+            if not len(rows) or not len(query_rows) or n == 0:
+                continue
+            for at, scores in _score_blocks(query_rows, rows):
+                if n > 0:
+                    best.add(at, scores, ids)
+                else:
+                    numbers = np.repeat(np.arange(at, at + len(scores)), len(ids))
+                    yield _hit_table(query_ids, numbers, scores.ravel(), np.tile(ids, len(scores)))
+        best.cut()
+        for queries_found, scores, ids in best.hits:
+            yield _hit_table(query_ids, queries_found, scores, ids)
 
     return work
 
 
-def _slots(scores: np.ndarray, ids: np.ndarray, place_scores: np.ndarray, place_ids: np.ndarray) -> np.ndarray:
-    """For each hit the number of places not behind it; places are in order, best first."""
-    low = np.searchsorted(-place_scores, -scores, "left")
-    high = np.searchsorted(-place_scores, -scores, "right")
-    for i in np.flatnonzero(low < high):
-        low[i] += np.searchsorted(place_ids[low[i] : high[i]], ids[i], "right")
-    return low
+def _before_places(scores: np.ndarray, nth_id: np.ndarray, place_scores: np.ndarray, first_id) -> np.ndarray:
+    """For each place the number of hits in front of it: those with a higher score, and those
+    with its score and a lesser id. `first_id` gives, for numbers of places, how many of the
+    ids are less, `nth_id` the number of a hit's id in their order."""
+    order = np.argsort(scores)
+    ascending = scores[order]
+    low, high = np.searchsorted(ascending, place_scores, "left"), np.searchsorted(ascending, place_scores, "right")
+    before = len(scores) - high
+    met = np.flatnonzero(low < high)
+    if len(met):
+        least = first_id(met)
+        alone = high[met] - low[met] == 1
+        before[met[alone]] += nth_id[order[low[met[alone]]]] < least[alone]
+        for j, bound in zip(met[~alone], least[~alone]):
+            before[j] += np.count_nonzero(nth_id[order[low[j] : high[j]]] < bound)
+    return before
 
 
 def _counts_between(queries: pa.Table, tables):
@@ -182,15 +222,17 @@ def _counts_between(queries: pa.Table, tables):
         for scores, ids in zip(kept["place_scores"].to_pylist(), kept["place_ids"].to_pylist())
     ]
     totals = [np.zeros(len(scores) + 1, np.int64) for scores, _ in places]
-    step = max(1, SCORES_AT_A_TIME // max(1, len(places)))
-    for table in tables:
-        for at in range(0, table.num_rows if places else 0, step):
-            part = table.slice(at, step)
-            rows, usable = _unit_matrix(part["embedding"])
-            ids = part["post_id"].to_numpy(zero_copy_only=False)[usable].astype(str)
-            scores = np.round(rows @ query_rows.T, 6) + 0.0
-            for j, (place_scores, place_ids) in enumerate(places):
-                totals[j] += np.bincount(_slots(scores[:, j], ids, place_scores, place_ids), minlength=len(totals[j]))
+    for rows, ids in _unit_tables(tables):
+        if not len(rows) or not places:
+            continue
+        by_id = np.argsort(ids, kind="stable")
+        nth_id, sorted_ids = np.empty(len(ids), np.int64), ids[by_id]
+        nth_id[by_id] = np.arange(len(ids))
+        for at, scores in _score_blocks(query_rows, rows):
+            for j, row in enumerate(scores, at):
+                place_scores, place_ids = places[j]
+                before = _before_places(row, nth_id, place_scores, lambda met: np.searchsorted(sorted_ids, place_ids[met]))
+                totals[j] += np.diff(before, prepend=0, append=len(row))
     names = kept["query_id"].to_pylist()
     found = [(name, slot, n) for name, total in zip(names, totals) for slot, n in enumerate(total.tolist()) if n]
     if found:
@@ -227,16 +269,11 @@ def vector_places(candidates: DataFrame, query_vectors: DataFrame, vectors: Data
     # Places travel with the queries and count among their bytes.
     block = max(1, _block_rows(asked) // (1 + most // 64))
     counts = _on_vectors(asked, posts, _counts_between, "query_id string, slot int, n bigint", block)
-    slots = counts.groupBy("query_id", "slot").agg(F.sum("n").alias("n")).groupBy("query_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("slot", "n"))).alias("counts")
-    )
-    before = F.aggregate(
-        F.sequence(F.lit(0), "nth"), F.lit(0).cast("bigint"),
-        lambda total, i: total + F.coalesce(F.try_element_at("counts", i), F.lit(0)),
-    )
+    slots = counts.groupBy("query_id", F.col("slot").alias("nth")).agg(F.sum("n").alias("n"))
+    up_to = Window.partitionBy("query_id").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        asked.select("query_id", F.posexplode("place_ids").alias("nth", "post_id")).join(slots, "query_id", "left")
-        .select("query_id", "post_id", (F.when(F.col("counts").isNull(), 0).otherwise(before) + 1).alias("rank"))
+        asked.select("query_id", F.posexplode("place_ids").alias("nth", "post_id")).join(slots, ["query_id", "nth"], "left")
+        .select("query_id", "post_id", (F.coalesce(F.sum("n").over(up_to), F.lit(0)) + 1).alias("rank"))
     )
 
 

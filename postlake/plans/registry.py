@@ -439,13 +439,13 @@ def _asked(spark, sf_dir, *words) -> DataFrame:
 
 @query
 def hybrid_search(spark, sf_dir):
-    keyword = P.search(_asked(spark, sf_dir), X.text_index(spark, sf_dir), -1)
+    keyword = P.search(_asked(spark, sf_dir), X.text_index(spark, sf_dir), -1, shared=True)
     return P.hybrid_search(keyword, X.query_vectors(spark, sf_dir), X.vectors(spark, sf_dir), 10)
 
 
 @query
 def search_fallback(spark, sf_dir):
-    keyword = P.search(_asked(spark, sf_dir, "with", "zzzzz"), X.text_index(spark, sf_dir), -1)
+    keyword = P.search(_asked(spark, sf_dir, "with", "zzzzz"), X.text_index(spark, sf_dir), -1, shared=True)
     return P.search_with_fallback(keyword, X.query_vectors(spark, sf_dir), X.vectors(spark, sf_dir), 5)
 
 

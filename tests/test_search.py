@@ -387,3 +387,26 @@ def test_fallback_labels(spark):
     assert {(r.query_id, r.post_id, r.method) for r in rows} == {
         ("a", "1", "hybrid"), ("a", "9", "hybrid"), ("b", "2", "keyword")}
     assert ranking.topk(hits, -1).count() == 2
+
+
+def test_queries_that_ask_the_same_share_a_ranking(spark, vectors):
+    """Whole rankings hold a row per question and hit, not per query and hit."""
+    rows, frame = vectors
+    texts = [(p, " ".join(["red"] * (i % 4) + ["blue"] * (i % 3) + ["x"] * (i % 7))) for i, (p, _) in enumerate(rows)]
+    index = P.build_index(spark.createDataFrame(texts, "post_id string, content string"))
+    words = (["red"], ["blue", "red"], ["zzzzz"])
+    asked = [(f"q{i:02d}", words[i % 3]) for i in range(30)] + [("alone", ["red"]), ("none", [])]
+    queries = spark.createDataFrame(asked, "query_id string, must array<string>")
+    whole, shared = P.search(queries, index, -1), P.search(queries, index, -1, shared=True)
+    assert shared.hits.count() * 10 < whole.count() and shared.hits.select("question").distinct().count() == 2
+    for limit in (-1, 500):
+        for query_id, must in asked[:2] + asked[-2:]:
+            own = spark.createDataFrame([(query_id, must)], "query_id string, must array<string>")
+            got = sorted(tuple(r) for r in P.search(own, index, limit).collect())
+            assert got == sorted(tuple(r) for r in whole.where(f"query_id = '{query_id}'").collect())
+    near = spark.createDataFrame([(f"q{i:02d}", rows[i][1]) for i in range(30)], "query_id string, embedding array<float>")
+    plain = whole.select("query_id", "post_id", "score")
+    for ask in (P.hybrid_search, P.search_with_fallback):
+        for n in (3, -1):
+            results = [sorted(tuple(r) for r in ask(hits, near, frame, n, 5).collect()) for hits in (plain, shared)]
+            assert results[0] == results[1] and results[0]
