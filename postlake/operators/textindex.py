@@ -1,8 +1,8 @@
 """The inverted index: postings, term statistics and totals, in memory or stored.
 
-Postings are made inside each row: the tokens of a post are sorted and cut into runs, one
-per term. Nothing is shuffled, so an index build costs one scan, and a huge post stays the
-work of its own row. Each posting carries its post's length, so ranking needs no join with
+Postings are made where the posts are: the tokens of a few posts at a time are sorted as numbers
+and cut into runs, one per post, term and field. Nothing is shuffled, so an index build costs one
+scan. Each posting carries its post's length, so ranking needs no join with
 the posts.
 
 A stored index is a row of segments. The first holds all posts; every update adds one with
@@ -16,10 +16,13 @@ each term and zone the figures that limit what a posting there can add to a scor
 for the best n can leave zones out.
 """
 
+import sys
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postlake.functions.text import tokens
@@ -28,6 +31,12 @@ from postlake.schemas import POSTINGS
 from postlake.session import stage
 from postlake.sources.segments import folder, markers, only_live, publish, read_segments, replaced_since
 
+# The code that makes postings travels with the tasks, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Tokens that a task sorts at a time, about; one post's are sorted together.
+TOKENS_AT_A_TIME = 500_000
+
 #: Folders of a segment's postings, unless write_index is given another number. What is read
 #: for a word is about this part of the index, but files should stay large.
 BUCKETS = 32
@@ -74,54 +83,60 @@ def build_postings(posts: DataFrame, fields=("content",), fold: bool = True) ->
 
     `lead` marks one of a term's rows per post, so posts can be counted without a distinct.
     """
-    split = posts.select("post_id", *[_field_tokens(f, fold).alias(f"t{i}") for i, f in enumerate(fields)])
-
-    def places(i: int, field: str) -> Column:
-        return F.transform(
-            f"t{i}",
-            lambda term, pos: F.struct(term.alias("term"), F.lit(field).alias("field"), pos.alias("pos")),
-        )
-
-    every_place = F.concat(*[places(i, field) for i, field in enumerate(fields)])
-    ordered = split.select(
-        "post_id",
-        sum((F.size(f"t{i}") for i in range(len(fields))), F.lit(0)).alias("doc_len"),
-        F.sort_array(every_place).alias("t"),
-    )
-
-    def differs(i: Column, *parts: str) -> Column:
-        """Whether this place is the first of its term (and field)."""
-        here, before = F.get("t", i), F.get("t", i - 1)
-        return reduce(or_, [here[p] != before[p] for p in parts], i == 0)
-
-    starts = F.filter(
-        F.when(F.size("t") > 0, F.sequence(F.lit(0), F.size("t") - 1)),
-        lambda i: differs(i, "term", "field"),
-    )
-    runs = F.transform(
-        "starts",
-        lambda start, nth: F.struct(
-            F.get("t", start)["term"].alias("term"),
-            F.get("t", start)["field"].alias("field"),
-            differs(start, "term").alias("lead"),
-            F.transform(
-                F.sequence(start, F.coalesce(F.get("starts", nth + 1), F.size("t")) - 1),
-                lambda i: F.get("t", i)["pos"],
-            ).alias("positions"),
-        ),
-    )
-    return (
-        ordered.select("post_id", "doc_len", "t", starts.alias("starts"))
-        .select("post_id", "doc_len", F.explode(runs).alias("run"))
-        .select(
-            "run.term",
-            "run.field",
-            "post_id",
-            F.size("run.positions").alias("tf"),
-            "doc_len",
-            "run.lead",
-            "run.positions",
-        )
+    names = list(fields)
+    split = posts.select("post_id", *[_field_tokens(f, fold).alias(f"t{i}") for i, f in enumerate(names)])
+
+    def run(batches):
+        for batch in batches:
+            yield from _runs(batch, names)
+
+    return split.mapInArrow(run, T.StructType([
+        T.StructField(c.name, posts.schema["post_id"].dataType if c.name == "post_id" else c.dataType) for c in POSTINGS.fields
+    ]))
+
+
+def _runs(batch: pa.RecordBatch, names: list):
+    """Postings of some posts, given as post_id and the tokens of each field; a few posts at a time."""
+    lengths = [pc.list_value_length(column).to_numpy(zero_copy_only=False) for column in batch.columns[1:]]
+    ends = np.cumsum(sum(lengths, np.zeros(batch.num_rows, np.int64)))
+    at = 0
+    while at < batch.num_rows:
+        done = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, done + TOKENS_AT_A_TIME, "right")))
+        if ends[upto - 1] > done:
+            yield _runs_of(batch.slice(at, upto - at), [n[at:upto] for n in lengths], names)
+        at = upto
+
+
+def _runs_of(batch: pa.RecordBatch, lengths: list, names: list) -> pa.RecordBatch:
+    rows = np.concatenate([np.repeat(np.arange(len(n)), n) for n in lengths])
+    places = np.concatenate([np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) for n in lengths])
+    field_order = np.argsort(np.argsort(names))
+    field = np.repeat(field_order, [n.sum() for n in lengths])
+    coded = pa.concat_arrays([column.flatten() for column in batch.columns[1:]]).dictionary_encode()
+    terms, codes = coded.dictionary, coded.indices.to_numpy()
+    rank = np.empty(len(terms), np.int64)
+    rank[pc.sort_indices(terms).to_numpy()] = np.arange(len(terms))
+    # Tokens by post and term, then by field; those of one field stay in their order.
+    of_term = rows * len(terms) + rank[codes]
+    key = of_term * len(names) + field
+    order = np.argsort(key, kind="stable")
+    key, of_term = key[order], of_term[order]
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    first = order[starts]
+    doc_len = sum(lengths).astype(np.int32)
+    bounds = np.append(starts, len(key))
+    return pa.RecordBatch.from_arrays(
+        [
+            terms.take(pa.array(codes[first])),
+            pa.array(sorted(names)).take(pa.array(field[first])),
+            batch.column(0).take(pa.array(rows[first])),
+            pa.array(np.diff(bounds).astype(np.int32)),
+            pa.array(doc_len[rows[first]]),
+            pa.array(np.diff(of_term[starts], prepend=-1) != 0),
+            pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(places[order].astype(np.int32))),
+        ],
+        names=POSTINGS.fieldNames(),
     )
 
 
@@ -173,13 +188,14 @@ def _store(
     spark: SparkSession, path: str, number: int, postings: DataFrame, figures, replaced: DataFrame | None,
     buckets: int, fields, fold: bool, name: str | None = None,
 ) -> None:
-    """Write and publish a segment. Its postings are laid out by bucket, zone, term and post, so a
-    term found in a third of all posts spreads over many files. `figures` gives term statistics
-    and totals from the postings as stored. """
+    """Write and publish a segment. Its postings are brought together by bucket and zone and sorted
+    by term and post. Spark splits large zones over several tasks, so a term found in a third of
+    all posts spreads over many files, and postings are made once, as no bounds have to be
+    sampled. `figures` gives term statistics and totals from the postings as stored."""
     order = ["bucket", "zone", "term", "post_id", "field"]
     (
         postings.withColumns({"bucket": bucket_of(F.col("term"), buckets), "zone": zone_of(F.col("doc_len"))})
-        .repartitionByRange(*order).sortWithinPartitions(*order)
+        .hint("rebalance", F.col("bucket"), F.col("zone")).sortWithinPartitions(*order)
         .write.mode("overwrite").partitionBy("bucket", "zone").parquet(folder(path, "postings", number))
     )
     stored = read_segments(spark, path, "postings", STORED_POSTINGS, [number])

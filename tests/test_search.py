@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 import postlake as P
-from postlake.operators import ranking, search as S, vectors as V
+from postlake.operators import ranking, search as S, textindex as T, vectors as V
 from postlake.plans.registry import search_table
 from postlake.schemas import UNITS
 from pyspark.sql import functions as F
@@ -410,3 +410,24 @@ def test_queries_that_ask_the_same_share_a_ranking(spark, vectors):
         for n in (3, -1):
             results = [sorted(tuple(r) for r in ask(hits, near, frame, n, 5).collect()) for hits in (plain, shared)]
             assert results[0] == results[1] and results[0]
+
+
+def test_postings_of_a_few_posts_at_a_time(spark, monkeypatch):
+    """Slices of a batch, empty and null texts, and a field whose name sorts first."""
+    posts = [("1", "b a b", "a c"), ("2", None, None), ("3", "", "b"), ("4", "a " * 7, None), (None, "ä a", "z")]
+    frame = spark.createDataFrame(posts, "post_id string, title string, content string").coalesce(1)
+    names, batch = ["title", "content"], pa.RecordBatch.from_pylist(
+        [{"post_id": p, "t0": (t or "").split(), "t1": (c or "").split()} for p, t, c in posts],
+        pa.schema([("post_id", pa.string()), ("t0", pa.list_(pa.string())), ("t1", pa.list_(pa.string()))]),
+    )
+    whole = [tuple(r) for r in P.build_postings(frame, names, fold=False).collect()]
+    assert whole[:4] == [
+        ("a", "content", "1", 1, 5, True, [0]), ("a", "title", "1", 1, 5, False, [1]),
+        ("b", "title", "1", 2, 5, True, [0, 2]), ("c", "content", "1", 1, 5, True, [1]),
+    ]
+    assert [r[:6] for r in whole[4:6]] == [("b", "content", "3", 1, 1, True), ("a", "title", "4", 7, 7, True)]
+    for size in (1, 6, 100):
+        monkeypatch.setattr(T, "TOKENS_AT_A_TIME", size)
+        parts = list(T._runs(batch, names))
+        assert [tuple(r.values()) for part in parts for r in part.to_pylist()] == whole
+        assert len(parts) == {1: 4, 6: 3, 100: 1}[size]
