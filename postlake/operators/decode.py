@@ -105,9 +105,9 @@ def decode_items(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_rows(decode_rows(raw))
 
 
-def split_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_rows(rows: DataFrame, *also: str) -> tuple[DataFrame, DataFrame]:
     posts = rows.where(F.col("problem").isNull()).select(
-        *ARRIVAL, *[F.col(c).cast(POSTS[c].dataType) for c in POST_COLUMNS]
+        *ARRIVAL, *[F.col(c).cast(POSTS[c].dataType) for c in POST_COLUMNS], *also
     )
     rejects = rows.where(F.col("problem").isNotNull()).select(*ARRIVAL, "post_id", "problem", "item_json")
     return posts, rejects

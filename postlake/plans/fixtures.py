@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from postlake.operators.corpus import render_body
 from postlake.operators.textindex import TextIndex, build_postings, read_index, write_index
 from postlake.schemas import POST_COLUMNS
-from postlake.session import scratch_path
+from postlake.session import scratch_path, shuffles_removed
 
 POSTS_SQL = """
 SELECT CAST(doc_id AS STRING) AS post_id, text AS content,
@@ -172,6 +172,12 @@ def envelopes(items: DataFrame) -> DataFrame:
     )
 
 
+def write_dump(items: DataFrame, path: str) -> None:
+    """Envelopes of items as the text files of a dump, compressed as dumps are sent."""
+    with shuffles_removed(items.sparkSession):
+        envelopes(items).write.text(path, compression="gzip")
+
+
 def corpus_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file_name, body) of a corpus that is partly missing, stale and left over."""
     rows = numbered_posts(spark, sf_dir)

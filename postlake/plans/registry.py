@@ -524,7 +524,7 @@ def gap_check(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     dump, archive, checkpoint = (scratch_path(spark, n) for n in ("dump", "archive", "progress"))
     P.write_posts(X.archive(spark, sf_dir), archive, "v1")
-    X.envelopes(X.raw_items(spark, sf_dir)).write.text(dump)
+    X.write_dump(X.raw_items(spark, sf_dir), dump)
     P.stream_ingest(spark, dump, archive, checkpoint).awaitTermination()
     return shown(P.read_posts(spark, archive))
 
@@ -535,7 +535,7 @@ def stream_ingest_two_days(spark, sf_dir):
     dump, archive = scratch_path(spark, "dump"), scratch_path(spark, "archive")
     P.write_posts(X.archive(spark, sf_dir), archive, "v1")
     for day, items in (("2025-09-28", X.raw_items(spark, sf_dir)), ("2025-09-29", X.later_items(spark, sf_dir))):
-        X.envelopes(items).write.text(f"{dump}/{day}")
+        X.write_dump(items, f"{dump}/{day}")
         P.stream_ingest(spark, f"{dump}/*", archive, scratch_path(spark, "progress")).awaitTermination()
     return shown(P.read_posts(spark, archive))
 

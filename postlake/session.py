@@ -3,6 +3,7 @@
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,14 +58,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def stage(df: DataFrame, name="stage") -> DataFrame:
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """What is written inside leaves no shuffle files: they go when the write is done, and not
+    when the driver happens to collect its garbage. A write has a plan of its own, so nothing
+    else reads them."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def save(df: DataFrame, path: str, mode="error", by=()) -> None:
+    """Write a table as Parquet, in folders by the columns given, in the compression that takes
+    the least disk for texts."""
+    with shuffles_removed(df.sparkSession):
+        df.write.mode(mode).partitionBy(*by).parquet(path, compression="zstd")
+
+
+def stage(df: DataFrame, name="stage", lean=False, by=()) -> DataFrame:
     """Write a frame once and read it back, so later uses do not recompute it.
 
-    The written table lives in the shared folder, so it survives lost executors.
+    The written table lives in the shared folder, so it survives lost executors. `lean` tables
+    are written by `save`, as those that hold texts should be, in folders by the columns given.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    if lean:
+        save(df, path, by=by)
+    else:
+        df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     staged.staged_path = path
     return staged
@@ -73,5 +101,14 @@ def stage(df: DataFrame, name="stage") -> DataFrame:
 def drop_stage(*staged: DataFrame) -> None:
     """Remove the folders of staged frames, once what was made from them is written."""
     for df in staged:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_path)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, df.staged_path)
+
+
+def drop_stage_part(staged: DataFrame, column: str, value) -> None:
+    """Remove the rows of one value of a column that a frame was staged by."""
+    _delete(staged.sparkSession, f"{staged.staged_path}/{column}={value}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

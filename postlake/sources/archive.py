@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from postlake.operators.incremental import upsert
 from postlake.schemas import POST_COLUMNS, POSTS
-from postlake.session import stage
+from postlake.session import drop_stage, save, stage
 
 POINTER = "_current"
 
@@ -25,6 +25,9 @@ POINTER = "_current"
 RANGE_ROWS = 1_000_000
 #: Bytes of text of a range, about, as one task sorts what a range is written from.
 RANGE_BYTES = 64_000_000
+#: Slices of ids that an update goes through one after the other, at most, so that what it
+#: shuffles and stages at a time is a part of the archive.
+SLICES = 8
 
 
 def _pointer_dir(path):
@@ -141,6 +144,60 @@ def read_posts_near(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame
     return _read_folders(spark, path, [ranges[n].folder for n in _ranges_hit(ids, ranges)])
 
 
+class Slice(NamedTuple):
+    """Ids from `low` up to the next slice's; the last has no end."""
+
+    low: str
+    high: str | None
+
+    def holds(self, rows: DataFrame) -> DataFrame:
+        """The rows (post_id) of this slice; the first slice has those without an id."""
+        if self.low:
+            rows = rows.where(F.col("post_id") >= self.low)
+        if self.high is not None:
+            below = F.col("post_id") < self.high
+            rows = rows.where(below if self.low else below | F.col("post_id").isNull())
+        return rows
+
+    def meets(self, low: str, high: str | None) -> bool:
+        """Whether ids from low up to high may lie in it."""
+        return (self.high is None or low < self.high) and (high is None or self.low < high)
+
+    def covers(self, low: str, high: str | None) -> bool:
+        """Whether all ids from low up to high lie in it."""
+        return self.low <= low and (self.high is None or (high is not None and high <= self.high))
+
+
+def archive_slices(spark: SparkSession, path: str) -> list[Slice]:
+    """The ids in slices with about as much text of the archive each, SLICES at most and none below
+    RANGE_BYTES. They begin where ranges do, but a range larger than two slices is cut."""
+    ranges = _current(spark, path)[1]
+    sizes = [r.rows * RANGE_BYTES // RANGE_ROWS if r.size is None else r.size for r in ranges]
+    share = max(RANGE_BYTES, sum(sizes) / SLICES)
+    lows, filled = [""], 0
+    for r, size in zip(ranges, sizes):
+        if filled >= share:
+            lows.append(r.low)
+            filled = 0
+        filled += size
+        if size >= 2 * share:
+            lows += _cuts(_read_folders(spark, path, [r.folder]), int(size // share))
+            filled = share
+    lows = sorted(set(lows))
+    return [Slice(*ends) for ends in zip(lows, [*lows[1:], None])]
+
+
+def _cuts(posts: DataFrame, parts: int) -> list[str]:
+    """Ids that cut posts into about equal parts."""
+    spread = posts.where("post_id is not null").select("post_id").repartitionByRange(parts, "post_id").groupBy(F.spark_partition_id())
+    return sorted(row.low for row in spread.agg(F.min("post_id").alias("low")).collect())[1:]
+
+
+def slice_of(slices: list[Slice]) -> Column:
+    """The number of the slice an id lies in."""
+    return F.lit(0) if len(slices) == 1 else _range_of([s.low for s in slices])
+
+
 UNCHECKED = object()
 
 
@@ -164,10 +221,11 @@ def write_posts(posts: DataFrame, path: str, version: str, clustered=False, base
     _refuse_published(spark, path, version)
     rows = posts.select(*[F.col(c).cast(POSTS[c].dataType) for c in POST_COLUMNS])
     if clustered:
-        rows = stage(rows, "posts")
-        ranges = _write_ranges(rows, path, version, [EVERYTHING], [0], *_extent(rows))
+        rows = stage(rows, "posts", lean=True)
+        ranges = _write_ranges(rows, path, f"version={version}", [""], [""], 1, *_extent(rows))
+        drop_stage(rows)
     else:
-        rows.write.mode("overwrite").parquet(f"{_version_dir(path, version)}/whole")
+        save(rows, f"{_version_dir(path, version)}/whole", "overwrite")
         found = spark.read.schema(POSTS).parquet(f"{_version_dir(path, version)}/whole").agg(*map(F.expr, _FIGURES)).head()
         ranges = [Range("", f"version={version}/whole", found.n, _text(found.latest), found["size"])]
     _publish(spark, path, version, ranges, base)
@@ -193,40 +251,85 @@ def _text(time: datetime | None) -> str | None:
 def write_changes(spark: SparkSession, path: str, version: str, changes: DataFrame, base=UNCHECKED) -> None:
     """Publish a version with `changes`, one row per post that is new or differs, put into the
     current one. Only the ranges they fall into are written anew; without changes none is."""
-    _refuse_published(spark, path, version)
-    ranges = _current(spark, path)[1] or [EVERYTHING]
-    touched = _ranges_hit(changes, ranges)
-    if touched:
-        before = _read_folders(spark, path, [ranges[n].folder for n in touched if ranges[n].folder])
-        n_rows, n_bytes = _extent(changes)
-        n_rows += sum(ranges[n].rows for n in touched)
-        sizes = [ranges[n].size for n in touched]
-        n_bytes += _extent(before)[1] if None in sizes else sum(sizes)
-        new = _write_ranges(upsert(before, changes), path, version, ranges, touched, n_rows, n_bytes)
-        ranges = [r for n, r in enumerate(ranges) if n not in set(touched)] + new
-    _publish(spark, path, version, [r for r in ranges if r.folder], base)
-
-
-def _write_ranges(rows: DataFrame, path: str, version: str, ranges: list, touched: list, n_rows: int, n_bytes: int) -> list:
-    """Write posts of the touched ranges, each in one or several folders of RANGE_ROWS posts or
-    RANGE_BYTES of text or so; the new ranges. Folders never mix posts of two ranges."""
-    spark = rows.sparkSession
-    pieces = max(len(touched), -(-n_rows // RANGE_ROWS), -(-n_bytes // RANGE_BYTES), 1)
-    placed = rows.select(*[F.col(c).cast(POSTS[c].dataType) for c in POST_COLUMNS], _range_of([r.low for r in ranges]).alias("range"))
-    (
+    update = Update(spark, path, version, base)
+    for part in archive_slices(spark, path):
+        update.put(part.holds(changes), part)
+    update.publish()
+
+
+class Update:
+    """A version in the making. Changes are put into it slice by slice, and only the ranges they
+    fall into are written anew; it counts once it is published."""
+
+    def __init__(self, spark: SparkSession, path: str, version: str, base=UNCHECKED):
+        _refuse_published(spark, path, version)
+        self.spark, self.path, self.version, self.base = spark, path, version, base
+        self.ranges = _current(spark, path)[1] or [EVERYTHING]
+        self.highs = [*[r.low for r in self.ranges[1:]], None]
+        #: Slices in which a range has no changes, for the case that it has some in another one.
+        self.unchanged = {n: [] for n in range(len(self.ranges))}
+        self.touched, self.new, self.written = set(), [], 0
+
+    def put(self, changes: DataFrame, part: Slice) -> None:
+        """Take the changes of a slice, one row per post that is new or differs."""
+        touched = _ranges_hit(changes, self.ranges)
+        if touched:
+            before = self._read(touched, part)
+            n_rows, n_bytes = map(sum, zip(_extent(changes), self._size(before, touched, part)))
+            self._write(upsert(before, changes), touched, part, n_rows, n_bytes)
+        self._unchanged(part, touched)
+
+    def _unchanged(self, part: Slice, touched: list) -> None:
+        for n, r in enumerate(self.ranges):
+            if n not in touched and r.folder and part.meets(r.low, self.highs[n]):
+                self.unchanged[n].append(part)
+
+    def _read(self, numbers: list, part: Slice) -> DataFrame:
+        return part.holds(_read_folders(self.spark, self.path, [self.ranges[n].folder for n in numbers if self.ranges[n].folder]))
+
+    def _size(self, before: DataFrame, numbers: list, part: Slice) -> tuple[int, int]:
+        """(posts, bytes of text) of the ranges' posts in a slice, from the pointer if it says so."""
+        cut = any(not part.covers(self.ranges[n].low, self.highs[n]) for n in numbers)
+        sizes = [self.ranges[n].size for n in numbers]
+        return _extent(before) if cut or None in sizes else (sum(self.ranges[n].rows for n in numbers), sum(sizes))
+
+    def _write(self, rows: DataFrame, numbers: list, part: Slice, n_rows: int, n_bytes: int) -> None:
+        folder = f"version={self.version}/slice={self.written}"
+        begins = [max(r.low, part.low) for r in self.ranges]
+        self.new += _write_ranges(rows, self.path, folder, [r.low for r in self.ranges], begins, len(numbers), n_rows, n_bytes)
+        self.touched |= set(numbers)
+        self.written += 1
+
+    def publish(self) -> None:
+        for n in sorted(self.touched):
+            for part in self.unchanged[n]:
+                rows = self._read([n], part)
+                self._write(rows, [n], part, *_extent(rows))
+        ranges = [r for n, r in enumerate(self.ranges) if n not in self.touched and r.folder] + self.new
+        _publish(self.spark, self.path, self.version, ranges, self.base)
+
+
+def _write_ranges(rows: DataFrame, path: str, folder: str, lows: list, begins: list, touched: int, n_rows: int, n_bytes: int) -> list:
+    """Write posts of some ranges below a new folder, each in one or several folders of RANGE_ROWS
+    posts or RANGE_BYTES of text or so; the new ranges. Folders never mix posts of two ranges.
+    `lows` are the bounds of the ranges, `begins` those of the posts given."""
+    spark, target = rows.sparkSession, f"{path.rstrip('/')}/{folder}"
+    pieces = max(touched, -(-n_rows // RANGE_ROWS), -(-n_bytes // RANGE_BYTES), 1)
+    placed = rows.select(*[F.col(c).cast(POSTS[c].dataType) for c in POST_COLUMNS], _range_of(lows).alias("range"))
+    laid_out = (
         placed.repartitionByRange(pieces, "range", "post_id").withColumn("piece", F.spark_partition_id())
         # In the order that partitionBy asks for, so that posts are sorted once.
         .sortWithinPartitions("range", "piece", "post_id")
-        .write.mode("overwrite").partitionBy("range", "piece").parquet(_version_dir(path, version))
     )
-    written = spark.read.schema("post_id string, created_at timestamp_ntz, content string, range int, piece int").parquet(_version_dir(path, version))
+    save(laid_out, target, "overwrite", ["range", "piece"])
+    written = spark.read.schema("post_id string, created_at timestamp_ntz, content string, range int, piece int").parquet(target)
     found = written.groupBy("range", "piece").agg(*map(F.expr, _FIGURES)).collect()
     new, seen = [], set()
     for row in sorted(found, key=lambda r: (r["range"], r.piece)):
         # The first folder of a range takes its bound, so that the ranges leave no gap.
-        low = row.low if row["range"] in seen else ranges[row["range"]].low
+        low = row.low if row["range"] in seen else begins[row["range"]]
         seen.add(row["range"])
-        new.append(Range(low, f"version={version}/range={row['range']}/piece={row.piece}", row.n, _text(row.latest), row["size"]))
+        new.append(Range(low, f"{folder}/range={row['range']}/piece={row.piece}", row.n, _text(row.latest), row["size"]))
     return new
 
 

@@ -231,6 +231,46 @@ def test_no_range_is_written_from_more_than_so_many_bytes(spark, tmp_path, monke
     assert len(A._current(spark, str(tmp_path / "whole"))[1]) >= 15
 
 
+def test_an_update_goes_through_slices_of_ids(spark, tmp_path, monkeypatch):
+    """What is staged and shuffled at a time is a slice, also of an archive that is one range, and
+    nothing staged stays."""
+    import os
+
+    from postlake.session import shared_dir
+    from postlake.streaming import ingest
+
+    monkeypatch.setattr(A, "RANGE_BYTES", 1_000)
+    monkeypatch.setattr(A, "SLICES", 4, raising=False)
+    archive, inbox, taken = str(tmp_path / "archive"), str(tmp_path / "inbox"), []
+    first = make(spark, *[post(f"{i:04d}", 1, "x" * 100) for i in range(100, 140)], post("0200", 1, "x" * 100, views=0))
+    P.write_posts(first, archive, "v1")
+    dump(tmp_path / "inbox", "a.txt", 0, ("0090", "y", day(0), 3), *[(f"{i:04d}", "y", day(1), 3) for i in (101, 103, 131, 138)], ("0139x", "new", day(2), 1), ("0200", "x" * 100, day(1), 1))
+    whole, files = ingest.stage, set(os.listdir(shared_dir(spark)))
+
+    def stage(rows, name, **more):
+        staged = whole(rows, name, **more)
+        taken.extend([staged.count()] * (name == "judged"))
+        return staged
+
+    monkeypatch.setattr(ingest, "stage", stage)
+    P.batch_ingest(spark, inbox, archive, "v2")
+    # Ids 101 and 103 lie in the first slice, 131 and after in the last, none in those between.
+    assert len(taken) == 4 and sum(taken) == 7 and max(taken) < 5 and 0 in taken
+    assert set(os.listdir(shared_dir(spark))) == files
+    got = {r.post_id: (r.content, r.like_count) for r in P.read_posts(spark, archive).collect()}
+    same = {r.post_id: (r.content, r.like_count) for r in first.collect()}
+    # 0090 is late; 0200 is as it was.
+    assert got == same | {i: ("y", 3) for i in ("0101", "0103", "0131", "0138")} | {"0139x": ("new", 1)}
+    ranges = A._current(spark, archive)[1]
+    assert P.read_posts(spark, archive).count() == 42 == sum(r.rows for r in ranges) and ranges[0].low == ""
+    # Slices follow the ranges, and one without changes is kept as it is.
+    dump(tmp_path / "next", "b.txt", 0, ("0101", "z", day(1), 3))
+    P.batch_ingest(spark, str(tmp_path / "next"), archive, "v3")
+    after = A._current(spark, archive)[1]
+    assert after[-2:] == ranges[-2:] and after[0] not in ranges and len(A.archive_slices(spark, archive)) > 1
+    assert {r.post_id: r.content for r in P.read_posts(spark, archive).collect()} == {i: c for i, (c, _) in got.items()} | {"0101": "z"}
+
+
 def test_an_archive_that_begins_with_an_update(spark, few, tmp_path):
     path = str(tmp_path / "archive")
     P.write_changes(spark, path, "v1", few, base=None)
