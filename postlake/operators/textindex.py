@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from postlake.functions.text import tokens
 from postlake.operators.joins import lookup_ids
 from postlake.schemas import POSTINGS
-from postlake.session import stage
+from postlake.session import drop_stage, drop_stage_part, save, stage
 from postlake.sources.segments import folder, markers, only_live, publish, read_segments, replaced_since
 
 # The code that makes postings travels with the tasks, so executors need not have this package.
@@ -42,6 +42,12 @@ TOKENS_AT_A_TIME = 500_000
 BUCKETS = 32
 
 
+#: Parts of the buckets in which a segment's postings are laid out one after the other, if there
+#: are more of them than so many.
+PARTS = 8
+PART_ROWS = 1_000_000
+
+
 @dataclass(frozen=True)
 class TextIndex:
     """postings (schema POSTINGS with `bucket`, `zone` and `segment`), term_stats (term, field,
@@ -188,24 +194,30 @@ def _store(
     spark: SparkSession, path: str, number: int, postings: DataFrame, figures, replaced: DataFrame | None,
     buckets: int, fields, fold: bool, name: str | None = None,
 ) -> None:
-    """Write and publish a segment. Its postings are brought together by bucket and zone and sorted
-    by term and post. Spark splits large zones over several tasks, so a term found in a third of
-    all posts spreads over many files, and postings are made once, as no bounds have to be
-    sampled. `figures` gives term statistics and totals from the postings as stored."""
-    order = ["bucket", "zone", "term", "post_id", "field"]
-    (
-        postings.withColumns({"bucket": bucket_of(F.col("term"), buckets), "zone": zone_of(F.col("doc_len"))})
-        .hint("rebalance", F.col("bucket"), F.col("zone")).sortWithinPartitions(*order)
-        .write.mode("overwrite").partitionBy("bucket", "zone").parquet(folder(path, "postings", number))
-    )
+    """Write and publish a segment. Its postings are made once and staged by PARTS of the buckets,
+    then part after part brought together by bucket and zone and sorted by term and post, so that
+    no more than a part is shuffled at a time; few postings are one part. Spark splits large zones
+    over several tasks, so a term found in a third of all posts spreads over many files.
+    `figures` gives term statistics and totals from the postings as stored."""
+    order, target = ["bucket", "zone", "term", "post_id", "field"], folder(path, "postings", number)
+    placed = postings.withColumns({"bucket": bucket_of(F.col("term"), buckets), "zone": zone_of(F.col("doc_len"))})
+    staged = stage(placed.withColumn("part", F.col("bucket") % PARTS), "postings", lean=True, by=["part"])
+    parts = [None] if staged.count() <= PART_ROWS else range(PARTS)
+    for part in parts:
+        own = (staged if part is None else staged.where(F.col("part") == part)).drop("part")
+        laid_out = own.hint("rebalance", F.col("bucket"), F.col("zone")).sortWithinPartitions(*order)
+        save(laid_out, target, "append" if part else "overwrite", ["bucket", "zone"])
+        if part is not None:
+            drop_stage_part(staged, "part", part)
+    drop_stage(staged)
     stored = read_segments(spark, path, "postings", STORED_POSTINGS, [number])
     limits = stored.groupBy("term", "field", "zone").agg(F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len"))
-    limits.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(folder(path, "bounds", number))
+    save(limits.repartitionByRange("term").sortWithinPartitions("term"), folder(path, "bounds", number), "overwrite")
     terms, totals = figures(stored)
-    terms.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(folder(path, "terms", number))
-    totals.write.mode("overwrite").parquet(folder(path, "totals", number))
+    save(terms.repartitionByRange("term").sortWithinPartitions("term"), folder(path, "terms", number), "overwrite")
+    save(totals, folder(path, "totals", number), "overwrite")
     if replaced is not None:
-        replaced.write.mode("overwrite").parquet(folder(path, "replaced", number))
+        save(replaced, folder(path, "replaced", number), "overwrite")
     marker = spark.createDataFrame(
         [(name, replaced is None, buckets, list(fields), fold)],
         "name string, base boolean, buckets int, fields array<string>, fold boolean",

@@ -546,13 +546,13 @@ def daily_update(spark, sf_dir):
     dump, archive, index, corpus = (scratch_path(spark, n) for n in ("dump", "archive", "index", "corpus"))
     before = X.archive(spark, sf_dir)
     P.write_posts(before, archive, "v1", clustered=True)
-    P.write_index(P.build_postings(before, fold=False), before, index, fold=False)
+    X.write_dump(X.raw_items(spark, sf_dir), dump)
     P.write_corpus(before, corpus)
-    X.envelopes(X.raw_items(spark, sf_dir)).write.text(dump)
+    P.write_index(P.build_postings(before, fold=False), before, index, fold=False)
     report = P.daily_update(spark, dump, archive, "v2", index_dir=index, corpus_dir=corpus)
-    found, documents = P.read_index(spark, index), P.read_rendered(spark, corpus)
+    found, documents = P.read_index(spark, index), P.read_rendered(spark, corpus, F.length("body").alias("n_chars"))
     terms = found.term_stats.agg(F.count("*").alias("n_terms"), F.sum("df").alias("n_postings"))
-    bodies = documents.agg(F.count("*").alias("n_documents"), F.sum(F.length("body")).alias("n_chars"))
+    bodies = documents.agg(F.count("*").alias("n_documents"), F.sum("n_chars").alias("n_chars"))
     posts = P.read_posts(spark, archive).agg(F.count("*").alias("n_archived"), F.sum("like_count").alias("n_likes"))
     stored = found.totals.join(F.broadcast(terms)).join(F.broadcast(bodies)).join(F.broadcast(posts))
     return report.join(F.broadcast(stored)).select(

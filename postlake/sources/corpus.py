@@ -4,10 +4,11 @@ Stored documents are a row of segments: the first has the documents of all posts
 update adds those it wrote and the ids whose documents are replaced or gone.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from postlake.operators.corpus import render_body
 from postlake.schemas import CORPUS
+from postlake.session import save
 from postlake.sources.segments import folder, markers, only_live, publish, read_segments, replaced_since
 
 # Fixed value: header line, blank line, content, final newline.
@@ -20,9 +21,8 @@ def _store(rendered: DataFrame, path: str, number: int) -> None:
     """Oldest first within each file. One file per post would be millions of tiny files; the
     file name is a column."""
     age = [F.col("created_at").asc_nulls_first(), F.col("post_id")]
-    rendered.repartitionByRange(*age).sortWithinPartitions(*age).select(*CORPUS.fieldNames()).write.mode("overwrite").parquet(
-        folder(path, "documents", number)
-    )
+    laid_out = rendered.repartitionByRange(*age).sortWithinPartitions(*age).select(*CORPUS.fieldNames())
+    save(laid_out, folder(path, "documents", number), "overwrite")
 
 
 def write_corpus(posts: DataFrame, path: str) -> None:
@@ -40,7 +40,7 @@ def write_corpus_changes(spark: SparkSession, path: str, written: DataFrame, rem
     number = segments[-1].segment + 1
     _store(render_body(written), path, number)
     ids = written.select("post_id").union(removed.select("post_id")).distinct()
-    ids.write.mode("overwrite").parquet(folder(path, "replaced", number))
+    save(ids, folder(path, "replaced", number), "overwrite")
     publish(spark.createDataFrame([(name,)], "name string"), path, number)
 
 
@@ -52,11 +52,15 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_rendered(spark: SparkSession, path: str) -> DataFrame:
-    """(post_id, file_name, body) of a stored corpus as its segments stand now."""
+def read_rendered(spark: SparkSession, path: str, *columns: Column) -> DataFrame:
+    """(post_id, file_name, body) of a stored corpus as its segments stand now; or the columns
+    given, which are made of a document before those that do not count are left out, so that no
+    more than them is shuffled."""
     numbers = [row.segment for row in markers(spark, path, MARKERS)]
     rows = read_segments(spark, path, "documents", STORED, numbers)
-    return only_live(rows, replaced_since(spark, path, numbers)).select(*CORPUS.fieldNames())
+    wanted = [F.col(c) for c in CORPUS.fieldNames()] if not columns else list(columns)
+    found = rows.select(F.struct("post_id", "segment").alias("key"), F.struct(*wanted).alias("row"))
+    return only_live(found.select("key.*", "row"), replaced_since(spark, path, numbers)).select("row.*")
 
 
 def parse_documents(documents: DataFrame) -> DataFrame:

@@ -431,3 +431,16 @@ def test_postings_of_a_few_posts_at_a_time(spark, monkeypatch):
         parts = list(T._runs(batch, names))
         assert [tuple(r.values()) for part in parts for r in part.to_pylist()] == whole
         assert len(parts) == {1: 4, 6: 3, 100: 1}[size]
+
+
+def test_an_index_is_laid_out_part_by_part(spark, tmp_path, monkeypatch):
+    """Postings take several times their size in a shuffle, so no more than a part of them is in one."""
+    rows = spark.createDataFrame(documents(), "post_id string, content string, title string")
+    paths, save = [], T.save
+    monkeypatch.setattr(T, "PART_ROWS", 10, raising=False)
+    monkeypatch.setattr(T, "save", lambda df, path, *a: (paths.append(path), save(df, path, *a)))
+    P.write_index(P.build_postings(rows, FIELDS), rows, str(tmp_path / "index"), buckets=11, fields=FIELDS)
+    assert sum("/postings/" in p for p in paths) == T.PARTS > 1
+    index = P.read_index(spark, str(tmp_path / "index"))
+    assert sorted(P.live_postings(index).collect()) == sorted(P.build_postings(rows, FIELDS).collect())
+    assert {r.bucket for r in index.postings.select("bucket").distinct().collect()} <= set(range(11))
