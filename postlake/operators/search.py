@@ -8,8 +8,8 @@ inside those partitions. A word found in a third of all posts gives many small g
 per post, so no task gets more than its share.
 
 Prefixes are looked up in the term statistics first and become plain words. Phrases and
-proximity groups are found in two steps: posts that hold all their words, without reading
-positions; then the positions of those words in those posts, compared as arrays.
+proximity groups are found in two steps: posts that hold their two rarest words, without reading
+positions; then the positions of all their words in those posts, compared as arrays.
 
 The best n hits for plain words need not read all postings: every zone of the index limits the
 score that a post in it can reach. The zone with the highest limit is searched first, and of
@@ -32,6 +32,11 @@ K1 = 1.2
 B = 0.75
 IDF_FLOOR = 1e-6
 
+#: Words of a phrase or proximity group that choose the posts in which the others are looked for.
+RARE_WORDS = 2
+#: Places up to this many are sent to the postings, 8 bytes each.
+MAX_BROADCAST_PLACES = 1_000_000
+
 _KEY = ["query_id", "post_id"]
 
 
@@ -75,28 +80,55 @@ def _single_words(matches: DataFrame) -> DataFrame:
 _PLACE = [*_KEY, "unit", "field", "segment"]
 
 
-def _places(index: TextIndex, terms: DataFrame, matches: DataFrame) -> DataFrame:
+def _ordered() -> Column:
+    """Whether a unit needs positions."""
+    return (F.col("n_words") > 1) | (F.col("kind") == "near")
+
+
+def _rare_words(terms: DataFrame, index: TextIndex) -> DataFrame:
+    """Of the terms of each unit those of its RARE_WORDS words in the fewest posts."""
+    in_field = F.col("only_field").isNull() | (F.col("only_field") == F.col("field"))
+    word = ["query_id", "unit", "word_no"]
+    counted = index.term_stats.join(terms, "term").where(in_field).groupBy(*word).agg(F.sum("df").alias("df"))
+    fewest = Window.partitionBy("query_id", "unit").orderBy(F.coalesce("df", F.lit(0)), "word_no")
+    words = terms.select(*word).distinct().join(counted, word, "left").withColumn("nth", F.row_number().over(fewest))
+    return terms.join(words.where(F.col("nth") <= RARE_WORDS).select(*word), word)
+
+
+def _candidates(index: TextIndex, terms: DataFrame) -> DataFrame:
+    """The fields of posts that hold the rarest words of a unit, as written table."""
+    rare = stage(_rare_words(terms, index), "rare")
+    held = only_live(_matches(index, rare).select(*_PLACE, "n_words", "word_no"), index.replaced)
+    found = held.groupBy(*_PLACE).agg(F.count_distinct("word_no").alias("n"), F.max("n_words").alias("n_words"))
+    return stage(found.where(F.col("n") == F.least(F.lit(RARE_WORDS), "n_words")).select(*_PLACE), "candidates", lean=True)
+
+
+def _places(index: TextIndex, terms: DataFrame) -> DataFrame:
     """Units that need positions, one row per field that holds all their words, with the
     positions of each word (`words`).
 
-    The fields are found first, from matches without positions. Few as they are, they are
-    written, so that Spark can send them to the postings and shuffle the positions of no
-    other post.
+    The fields that hold the rarest words are found first, from postings without positions, and
+    written. Unless they are very many they are sent to the postings as numbers, so that no other
+    post's are shuffled, however common a unit's other words are.
     """
-    ordered = (F.col("n_words") > 1) | (F.col("kind") == "near")
-    candidates = stage(
-        matches.where(ordered).groupBy(*_PLACE).agg(F.collect_set("word_no").alias("seen"), F.max("n_words").alias("n_words"))
-        .where(F.size("seen") == F.col("n_words")).select(*_PLACE), "candidates",
-    )
+    own = terms.where(_ordered())
+    candidates = _candidates(index, own)
+    found = _matches(index, own).select(*_PLACE, "kind", "n_words", "near_k", "doc_len", "tf", "word_no", "positions")
+    if candidates.count() <= MAX_BROADCAST_PLACES:
+        # Other places of the same numbers go at the end.
+        place = F.xxhash64(*_PLACE)
+        numbers = candidates.select(place.alias("place")).distinct()
+        found = found.withColumn("place", place).join(F.broadcast(numbers), "place", "left_semi").drop("place")
+    else:
+        found = found.join(candidates, _PLACE, "left_semi")
     return (
-        _matches(index, terms.where(ordered))
-        .select(*_PLACE, "kind", "n_words", "near_k", "doc_len", "tf", "word_no", "positions")
-        .join(candidates, _PLACE)
-        .groupBy(*_PLACE)
+        found.groupBy(*_PLACE)
         .agg(
             F.first("kind").alias("kind"), F.max("n_words").alias("n_words"), F.max("near_k").alias("near_k"),
             F.max("doc_len").alias("doc_len"), F.collect_list(F.struct("word_no", "tf", "positions")).alias("words"),
         )
+        .where(F.size(F.array_distinct(F.transform("words", lambda w: w["word_no"]))) == F.col("n_words"))
+        .join(candidates, _PLACE, "left_semi")
     )
 
 
@@ -206,16 +238,16 @@ def _score(asked: _Asked, terms: DataFrame, frequencies: DataFrame | None = None
 
     # Positions are read here only to see whether a word opens a field.
     opens = F.array_contains("positions", 0) if ("initial", False, False) in shapes else F.lit(None).cast("boolean")
-    matches = only_live(
-        _matches(index, terms).select(
-            *_PLACE, "kind", "n_words", "near_k", "word_no", "tf", "doc_len", opens.alias("opens")
-        ), index.replaced,
-    ).repartition(*_KEY)
     parts = []
     if one_word:
+        matches = only_live(
+            _matches(index, terms.where(~_ordered())).select(
+                *_PLACE, "kind", "n_words", "near_k", "word_no", "tf", "doc_len", opens.alias("opens")
+            ), index.replaced,
+        ).repartition(*_KEY)
         parts.append(_single_words(matches))
     if ordered_words or "near" in kinds:
-        places = _places(index, terms, matches)
+        places = _places(index, terms)
         if ordered_words and "near" in kinds:
             places = stage(places, "places")
         parts += [_phrases(places)] if ordered_words else []
@@ -228,7 +260,7 @@ def _score(asked: _Asked, terms: DataFrame, frequencies: DataFrame | None = None
     given = frequencies is not None
     frequencies = frequencies if given else _plain_frequencies(terms, index.term_stats)
     if ordered_words or kinds & {"prefix", "initial"}:
-        found = stage(found, "found")
+        found = stage(found, "found", lean=True)
         counted = units.where(
             F.col("kind").isin("prefix", "initial")
             | ((F.col("kind") == "phrase") & (F.size("words") > 1))

@@ -444,3 +444,26 @@ def test_an_index_is_laid_out_part_by_part(spark, tmp_path, monkeypatch):
     index = P.read_index(spark, str(tmp_path / "index"))
     assert sorted(P.live_postings(index).collect()) == sorted(P.build_postings(rows, FIELDS).collect())
     assert {r.bucket for r in index.postings.select("bucket").distinct().collect()} <= set(range(11))
+
+
+def test_phrases_are_looked_for_where_their_rarest_words_are(spark, tmp_path, monkeypatch):
+    """Postings of common words are shuffled for the posts that hold the rare ones only, and hits
+    are the same if the places are too many to send."""
+    texts = [f"the of in w{i}" for i in range(300)] + ["zebra of the in", "of the zebra in the of", "zebra", "in of the zebra the"]
+    rows = spark.createDataFrame([(f"{i:03d}", t) for i, t in enumerate(texts)], "post_id string, content string")
+    P.write_index(P.build_postings(rows), rows, str(tmp_path / "index"))
+    index = P.read_index(spark, str(tmp_path / "index"))
+    queries = search_table(spark, {"query_id": "p", "phrase": ["of the zebra"]}, {"query_id": "n", "near": ["zebra", "of", "in"], "near_k": 2},
+                           {"query_id": "c", "initial": ["the of"]})
+    units = S.query_units(queries)
+    asked = S._Asked(units.where("query_id <> 'c'"), index)
+    places = S._places(index, asked.terms)
+    assert {(r.query_id, r.post_id) for r in places.collect()} == {(q, p) for q in "pn" for p in ("300", "301", "303")}
+    plan = places._jdf.queryExecution().executedPlan().toString()
+    counted = S._candidates(index, asked.terms).count()
+    assert counted == 6 and "BroadcastHashJoin [place" in plan
+    few = sorted(S.search(queries, index, 10).collect())
+    monkeypatch.setattr(S, "MAX_BROADCAST_PLACES", 0)
+    assert sorted(S.search(queries, index, 10).collect()) == few
+    assert {(r.query_id, r.post_id) for r in few if r.query_id != "c"} == {("p", "301"), ("p", "303"), ("n", "300"), ("n", "301"), ("n", "303")}
+    assert sum(r.query_id == "c" for r in few) == 10
